@@ -1,17 +1,20 @@
 """Declared equi-joins.
 
-Spark's adaptive execution splits a hot key's partition only on a side whose rows the
-join does not have to pad: both sides of an inner join, the kept side of a semi, anti or
-one-sided outer join, no side of a full join.  ``split_outer_join`` therefore runs the
-matched part of an outer join as an inner join and finds the unmatched rows with an anti
-join on the other side's distinct keys, which partial aggregation shrinks before the
-shuffle.  The result is the same bag of rows.
+Adaptive execution splits a hot key's partition only on a side whose rows the join need
+not pad: both sides of an inner join, the kept side of a semi, anti or one-sided outer
+join, no side of a full join.  ``salted_outer_join`` covers the rest.  Keys that hold very
+many rows of such a side are found by counting keys alone; their rows are spread over
+salts, the matching rows of the other side are repeated once per salt, and padded rows
+that exist only because of the repetition are removed again.  Every other key joins as
+usual, and no row is lost: a hot key is by construction present on the side it is hot on,
+so a repeated row always meets at least one real partner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,66 +22,126 @@ from pyspark.sql import types as T
 
 from tierwise.spec import VIEW_SUFFIX, JoinStep, SpecError
 
+# A key is hot from this many rows on, and gets one salt per so many rows.
+ROWS_PER_SALT = 500_000
+# At most this many keys are salted; any other key holds less than 1/1024 of the rows.
+HOT_KEYS = 1024
+# Share of rows counted to find hot keys.  It only steers which keys are salted.
+PROBE = 0.01
+
 
 def alias_of(name: str) -> str:
     return f"{name}{VIEW_SUFFIX}"
 
 
-def key_type(left: T.DataType, right: T.DataType) -> str | None:
+def compare_type(left: T.DataType, right: T.DataType) -> str | None:
     """Type to compare in when only one side is text; None when Spark's own rule is fine."""
     if isinstance(left, T.StringType) == isinstance(right, T.StringType):
         return None
     return (right if isinstance(left, T.StringType) else left).simpleString()
 
 
-def key_equals(
-    left: DataFrame, left_name: str, right: DataFrame, right_name: str, compare_as: str | None = None
-) -> Column:
-    """Equality of two qualified columns; unparsable text never matches and never fails."""
-    left_type = left.select(left_name).schema[0].dataType
-    right_type = right.select(right_name).schema[0].dataType
-    compare_as = compare_as or key_type(left_type, right_type)
-    if compare_as is None:
-        return F.col(left_name) == F.col(right_name)
-    return F.col(left_name).try_cast(compare_as) == F.col(right_name).try_cast(compare_as)
+def key_pair(
+    left: DataFrame, left_name: str, right: DataFrame, right_name: str, key_type: str | None = None
+) -> tuple[Column, Column]:
+    """The two columns to compare; unparsable text becomes null, so it never matches or fails."""
+    key_type = key_type or compare_type(
+        left.select(left_name).schema[0].dataType, right.select(right_name).schema[0].dataType
+    )
+    pair = F.col(left_name), F.col(right_name)
+    return pair if key_type is None else (pair[0].try_cast(key_type), pair[1].try_cast(key_type))
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[Column], rows_per_salt: int = ROWS_PER_SALT, probe: float = PROBE
+) -> DataFrame:
+    """(__hot_0, ..., __salts): keys holding over ``rows_per_salt`` rows, 1,024 rows at most."""
+    names = [f"__hot_{i}" for i in range(len(keys))]
+    counted = df if probe >= 1 else df.sample(fraction=probe, seed=17)
+    counts = (
+        counted.select(*[k.alias(n) for k, n in zip(keys, names)])
+        .dropna()
+        .groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    return (
+        counts.filter(F.col("__n") > rows_per_salt * probe)
+        .orderBy(F.desc("__n"), *names)
+        .limit(HOT_KEYS)
+        .select(*names, F.ceil(F.col("__n") / (rows_per_salt * probe)).cast("int").alias("__salts"))
+    )
+
+
+def _with_salts(df: DataFrame, keys: Sequence[Column], hot: DataFrame, name: str) -> DataFrame:
+    """``df`` plus the number of salts of its key under ``name``, null for an ordinary key."""
+    lookup = hot.withColumnRenamed("__salts", name)
+    match = reduce(and_, [k == F.col(f"__hot_{i}") for i, k in enumerate(keys)])
+    helper = [f"__hot_{i}" for i in range(len(keys))]
+    return df.join(F.broadcast(lookup), match, "left").drop(*helper)  # at most HOT_KEYS rows
 
 
-def _nulls_like(df: DataFrame) -> list[Column]:
-    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
+def _spread(df: DataFrame, salts: str, salt: str, salt_by: Sequence[str]) -> DataFrame:
+    """Give each row of a hot key one salt.
+
+    The salt follows the input partition, plus ``salt_by`` columns for a finer spread.
+    Neither depends on row order, so a recomputed task repeats it exactly; identical
+    copies spread because they sit in many partitions; no extra column has to be read.
+    """
+    position = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_by])
+    chosen = F.pmod(position, F.col(salts)).cast("int")
+    return df.withColumn(salt, F.when(F.col(salts).isNull(), F.lit(0)).otherwise(chosen))
 
 
-def split_outer_join(
+def _repeat(df: DataFrame, salts: str, salt: str) -> DataFrame:
+    """One copy of each row per salt of its key."""
+    last = F.coalesce(F.col(salts), F.lit(1)) - 1
+    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
+
+
+def salted_outer_join(
     left: DataFrame,
     right: DataFrame,
-    condition: Column,
-    left_keys: Sequence[str],
-    right_keys: Sequence[str],
+    pairs: Sequence[tuple[Column, Column]],
     how: str,
+    rows_per_salt: int = ROWS_PER_SALT,
+    probe: float = PROBE,
+    salt_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Left, right or full outer join whose every part adaptive execution can split."""
-    result = left.join(right, condition, "inner")
-    if how in ("left", "full"):
-        matched = right.select(*right_keys).distinct()
-        lonely = left.join(matched, condition, "left_anti")
-        result = result.union(lonely.select("*", *_nulls_like(right)))
+    """Left, right or full outer equi-join that survives a hot key on a padded side."""
+    left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
+    condition = reduce(and_, [a == b for a, b in pairs])
+    lonely_copy = F.lit(False)
+    if how in ("left", "full"):  # right rows pad: adaptive execution cannot split that side
+        hot = hot_keys(right, right_keys, rows_per_salt, probe)
+        right = _with_salts(right, right_keys, hot, "__r_hot")
+        right = _spread(right, "__r_hot", "__r_salt", salt_by).drop("__r_hot")
+        left = _repeat(_with_salts(left, left_keys, hot, "__l_copies"), "__l_copies", "__l_copy")
+        condition &= F.col("__l_copy") == F.col("__r_salt")
+        lonely_copy |= F.col("__l_copies").isNotNull() & F.col("__r_salt").isNull()
     if how in ("right", "full"):
-        matched = left.select(*left_keys).distinct()
-        lonely = right.join(matched, condition, "left_anti")
-        result = result.union(lonely.select(*_nulls_like(left), "*"))
-    return result
+        once = left.filter(F.col("__l_copy") == 0) if how == "full" else left
+        hot = hot_keys(once, left_keys, rows_per_salt, probe)
+        left = _with_salts(left, left_keys, hot, "__l_hot")
+        left = _spread(left, "__l_hot", "__l_salt", ()).drop("__l_hot")
+        right = _repeat(_with_salts(right, right_keys, hot, "__r_copies"), "__r_copies", "__r_copy")
+        condition &= F.col("__r_copy") == F.col("__l_salt")
+        lonely_copy |= F.col("__r_copies").isNotNull() & F.col("__l_salt").isNull()
+    joined = left.join(right, condition, how).filter(~F.coalesce(lonely_copy, F.lit(False)))
+    return joined.drop("__l_copies", "__l_copy", "__l_salt", "__r_copies", "__r_copy", "__r_salt")
 
 
 def join_step(left: DataFrame, right: DataFrame, step: JoinStep) -> DataFrame:
     """Join ``right`` (already aliased) onto the accumulated chain."""
-    left_keys = [f"{alias_of(step.left)}.{k}" for k in step.left_keys]
-    right_keys = [f"{alias_of(step.right_name)}.{k}" for k in step.right_keys]
-    condition = reduce(
-        lambda a, b: a & b,
-        [key_equals(left, lk, right, rk, step.key_type) for lk, rk in zip(left_keys, right_keys)],
-    )
-    if step.skew == "split" and step.join_type in ("left", "right", "full"):
-        return split_outer_join(left, right, condition, left_keys, right_keys, step.join_type)
-    return left.join(right, condition, step.join_type)
+    pairs = [
+        key_pair(
+            left, f"{alias_of(step.left)}.{lk}", right, f"{alias_of(step.right_name)}.{rk}", step.key_type
+        )
+        for lk, rk in zip(step.left_keys, step.right_keys)
+    ]
+    if step.skew == "salt" and step.join_type in ("left", "right", "full"):
+        salt_by = [f"{alias_of(step.right_name)}.{c}" for c in step.salt_by]
+        return salted_outer_join(left, right, pairs, step.join_type, salt_by=salt_by)
+    return left.join(right, reduce(and_, [a == b for a, b in pairs]), step.join_type)
 
 
 def join_chain(frames: Mapping[str, DataFrame], steps: Sequence[JoinStep]) -> DataFrame:
@@ -89,8 +152,7 @@ def join_chain(frames: Mapping[str, DataFrame], steps: Sequence[JoinStep]) -> Da
     """
     if not steps:
         raise SpecError("a join chain needs at least one step")
-    missing = {s for step in steps for s in (step.left, step.right)}
-    missing -= set(frames) | {step.right_name for step in steps}
+    missing = {steps[0].left, *[step.right for step in steps]} - set(frames)
     if missing:
         raise SpecError(f"datasets not available: {sorted(missing)}")
     base = steps[0].left
@@ -107,7 +169,7 @@ def join_chain(frames: Mapping[str, DataFrame], steps: Sequence[JoinStep]) -> Da
     return chain
 
 
-def unparsable_keys(df: DataFrame, key: str, compare_as: str) -> DataFrame:
-    """One row: how many keys are present but cannot be read as ``compare_as``."""
-    bad = F.col(key).isNotNull() & F.col(key).try_cast(compare_as).isNull()
+def unparsable_keys(df: DataFrame, key: str, key_type: str) -> DataFrame:
+    """One row: how many keys are present but cannot be read as ``key_type``."""
+    bad = F.col(key).isNotNull() & F.col(key).try_cast(key_type).isNull()
     return df.agg(F.count_if(bad).alias("unparsable_keys"))

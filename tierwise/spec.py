@@ -124,8 +124,9 @@ class DatasetSpec:
 class JoinStep:
     """One equi-join of the chain.
 
-    ``skew`` is ``split`` (outer joins survive a hot key on the padded side) or
-    ``plain`` (the caller knows that side is unique on its key).
+    ``skew`` is ``salt`` (outer joins survive a hot key on a side they pad) or
+    ``plain`` (the caller knows that side is unique on its key).  ``salt_by`` names
+    right-hand columns that refine the spread of a hot key.
     """
 
     name: str
@@ -136,14 +137,15 @@ class JoinStep:
     join_type: str
     alias: str | None = None
     key_type: str | None = None
-    skew: str = "split"
+    skew: str = "salt"
+    salt_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if len(self.left_keys) != len(self.right_keys) or not self.left_keys:
             raise SpecError(f"{self.name}: left_key and right_key need the same number of columns")
         if self.join_type not in JOIN_TYPES.values():
             raise SpecError(f"{self.name}: unknown join type '{self.join_type}'")
-        _one_of(self.skew, ("split", "plain"), self.name)
+        _one_of(self.skew, ("salt", "plain"), self.name)
 
     @property
     def right_name(self) -> str:
@@ -161,7 +163,8 @@ class JoinStep:
             join_type=JOIN_TYPES.get(join_type, join_type),
             alias=cfg.get("as"),
             key_type=cfg.get("key_type"),
-            skew=cfg.get("skew", "split"),
+            skew=cfg.get("skew", "salt"),
+            salt_by=as_tuple(cfg.get("salt_by")),
         )
 
 
