@@ -16,14 +16,14 @@ BUCKET_DIGITS = 3
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
-    """One row per key: the greatest by ``order_by``, then by the remaining columns.
+    """One row per key: the greatest by ``order_by``, then by the remaining columns (not maps).
 
     The rank filter reaches Spark's window group limit, so each task keeps one row per
     key before the shuffle and a key holding most rows costs one row per task.
     """
     first = [F.col(c).desc_nulls_last() if isinstance(c, str) else c.desc_nulls_last() for c in order_by]
     named = {c for c in order_by if isinstance(c, str)} | set(keys)
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in named]
+    rest = [F.col(c).desc_nulls_last() for c, t in df.dtypes if c not in named and "map<" not in t]
     window = Window.partitionBy(*keys).orderBy(*first, *rest)
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.hashing import version_hash
-from tierwise.operators.keys import dedup_latest, split_null_keys
+from tierwise.operators.keys import dedup_latest, has_key, split_null_keys
 from tierwise.operators.scd1 import require_columns
 
 VERSION_COLUMNS = ("effective_from", "effective_to", "is_current", "row_hash")
@@ -120,7 +120,7 @@ def rebuild_history(
     compared = [c for c in columns if c not in keys and c not in exclude and c not in order_by]
     kept = [c for c in columns if c not in order_by]
     dated = versions.withColumn("effective_from", F.col(effective_from).cast("date"))
-    dated = dated.filter(F.col("effective_from").isNotNull())
+    dated = dated.filter(F.col("effective_from").isNotNull() & has_key(keys))
     daily = dedup_latest(
         dated.select("effective_from", *columns), [*keys, "effective_from"], order_by
     ).select(*kept, "effective_from")
