@@ -78,6 +78,15 @@ def merge_dimension(
     return staged_publish(spark, merged, spec.target_path, "parquet", spec.partition_by, rebalance=True)
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """A published type 2 dimension; its ``is_current`` folders come back as text."""
+    history = read_layer(spark, path)
+    columns = [c for c in history.columns if c not in VERSION_COLUMNS]
+    return history.withColumn("is_current", F.col("is_current").cast("boolean")).select(
+        *columns, *VERSION_COLUMNS
+    )
+
+
 def _merge_versions(
     spark: SparkSession, spec: ScdSpec, source: DataFrame, effective: datetime.date
 ) -> int:
@@ -85,11 +94,10 @@ def _merge_versions(
     columns = [c for c in source.columns if c not in spec.partition_by or c in spec.join_keys]
     source = source.select(*columns)
     if path_exists(spark, spec.target_path):
-        history = read_layer(spark, spec.target_path)
+        history = read_history(spark, spec.target_path)
         if spec.check_target:
             require_unique(history.filter("is_current"), spec.join_keys, spec.target_path)
     else:
         history = open_versions(source, spec.join_keys, effective, exclude).limit(0)
-    ordered = history.select(*[c for c in history.columns if c not in VERSION_COLUMNS], *VERSION_COLUMNS)
-    merged = scd2_merge(source, ordered, spec.join_keys, effective, exclude, spec.order_by)
+    merged = scd2_merge(source, history, spec.join_keys, effective, exclude, spec.order_by)
     return staged_publish(spark, merged, spec.target_path, "parquet", "is_current", rebalance=True)
