@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.functions.columns import drop_file_columns, malformed_counts, side_columns
@@ -32,13 +32,16 @@ from workload.tables import (
     transactions,
 )
 
-STAMP = F.regexp_extract("filename", r"^([a-z]+_\d{14})\.", 1).alias("file_stamp")
 ACCOUNT_SCHEMA = (
     "account_number string, account_type string, customer_id string, balance string, open_date string"
 )
 ACCOUNT_COLUMNS = ["account_number", "account_type", "customer_id", "balance", "open_date"]
 
 
+def file_stamp() -> Column:
+    return F.regexp_extract("filename", r"^([a-z]+_\d{14})\.", 1).alias("file_stamp")
+
+
 def feed_spec(name: str, folder: str, **settings) -> DatasetSpec:
     return DatasetSpec(name, folder, pattern=rf"{name}_\d{{14}}.*", required=True, **settings)
 
@@ -60,7 +63,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     drop_feed(accounts(spark, sf_dir), folder, "accounts", EARLY, "csv", header=True, sep="|")
     frame = ingest(spark, feed_spec("accounts", folder, delimiter="|", schema=ACCOUNT_SCHEMA)).frame
-    return frame.select(*ACCOUNT_COLUMNS, "year", "month", "day", STAMP)
+    return frame.select(*ACCOUNT_COLUMNS, "year", "month", "day", file_stamp())
 
 
 @query(
@@ -101,7 +104,7 @@ def ingest_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     account_snapshots(spark, sf_dir, folder)
     spec = feed_spec("accounts", folder, delimiter="|", snapshot="all", schema=ACCOUNT_SCHEMA)
-    return ingest(spark, spec).frame.select("account_number", "balance", STAMP)
+    return ingest(spark, spec).frame.select("account_number", "balance", file_stamp())
 
 
 @query(
@@ -113,7 +116,7 @@ def ingest_latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     account_snapshots(spark, sf_dir, folder)
     return ingest(spark, feed_spec("accounts", folder, delimiter="|")).frame.select(
-        "account_number", "balance", STAMP
+        "account_number", "balance", file_stamp()
     )
 
 
@@ -145,7 +148,7 @@ def filename_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     drop_feed(customers(spark, sf_dir), folder, "customers", LATE, "csv", header=True)
     return ingest(spark, feed_spec("customers", folder)).frame.select(
-        "customer_id", "year", "month", "day", STAMP
+        "customer_id", "year", "month", "day", file_stamp()
     )
 
 
