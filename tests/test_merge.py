@@ -1,0 +1,176 @@
+import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys, surrogate_keys
+from tierwise.operators.scd1 import MissingColumns, change_class, measured_bytes, scd1_merge, schema_report
+from tierwise.operators.scd2 import late_rows, open_versions, rebuild_history, scd2_merge
+from tierwise.streaming.merge import StreamedDimension
+
+DAY0, DAY1, DAY2 = (datetime.date(2024, 1, d) for d in (1, 2, 3))
+SCHEMA = "k int, a string, b string"
+VALUES = st.one_of(st.none(), st.sampled_from(["x", "y", "x|y"]))
+SOURCE = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), VALUES, VALUES), max_size=10)
+TARGET = st.dictionaries(st.integers(0, 6), st.tuples(VALUES, VALUES), max_size=6).map(
+    lambda d: [(k, *v) for k, v in d.items()]
+)
+SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect() if columns else df.collect()), key=repr)
+
+
+@SLOW
+@given(source=SOURCE, target=TARGET)
+def test_scd1_properties(spark, source, target):
+    s, t = frame(spark, source), frame(spark, target)
+    merged = scd1_merge(s, t, ["k"])
+    keys = [r[0] for r in rows(merged)]
+    assert sorted(keys) == sorted({k for k, *_ in source if k is not None} | {k for k, *_ in target})
+    assert rows(scd1_merge(s, merged, ["k"])) == rows(merged)
+    assert rows(scd1_merge(s, t, ["k"], small_source=True)) == rows(merged)
+    classes = [r.change for r in change_class(s, t, ["k"]).collect()]
+    assert len(classes) == len(keys)
+    given_keys = {k for k, *_ in source if k is not None}
+    kept = rows(scd1_merge(s, t, ["k"], delete_missing=True))
+    assert {r[0] for r in kept} == given_keys
+    assert rows(scd1_merge(s, t, ["k"], delete_missing=True, small_source=True)) == kept
+
+
+@SLOW
+@given(first=TARGET, second=SOURCE, third=TARGET)
+def test_scd2_properties(spark, first, second, third):
+    history = open_versions(frame(spark, first), ["k"], DAY0)
+    for batch, day in ((second, DAY1), (third, DAY2)):
+        history = scd2_merge(frame(spark, batch), history, ["k"], day)
+    found = history.collect()
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r.k, []).append(r)
+    for versions in by_key.values():
+        versions.sort(key=lambda r: r.effective_from)
+        assert [r.is_current for r in versions] == [False] * (len(versions) - 1) + [True]
+        for old, new in zip(versions, versions[1:]):
+            assert old.effective_to == new.effective_from > old.effective_from
+    again = scd2_merge(frame(spark, third), history, ["k"], DAY2)
+    assert rows(again) == rows(history)
+
+
+def test_null_shift_and_separator(spark):
+    shifted = (frame(spark, [(1, None, "y")]), frame(spark, [(1, "y", None)]))
+    joined = (frame(spark, [(1, "a|b", "c")]), frame(spark, [(1, "a", "b|c")]))
+    for s, t in (shifted, joined):
+        assert change_class(s, t, ["k"]).first().change == "updated"
+        assert change_class(s, t, ["k"], compare="hash").first().change == "unchanged"
+        history = open_versions(t, ["k"], DAY0)
+        assert scd2_merge(s, history, ["k"], DAY1).count() == 2  # stored hashes keep them apart
+
+
+def test_null_keys_are_quarantined(spark):
+    source = frame(spark, [(None, "a", "b"), (1, "a", "b")])
+    valid, rejected = split_null_keys(source, ["k"])
+    assert (valid.count(), rejected.count()) == (1, 1)
+    composite = spark.createDataFrame([("1", None, "a"), ("1", "2", "b")], "k string, g string, v string")
+    target = spark.createDataFrame([], "k string, g string, v string")
+    assert rows(scd1_merge(composite, target, ["k", "g"])) == [("1", "2", "b")]
+
+
+def test_duplicate_source_key_keeps_the_latest(spark):
+    source = frame(spark, [(1, "old", "1"), (1, "new", "2")])
+    merged = scd1_merge(source, frame(spark, [(1, "t", "0")]), ["k"], order_by=["b"])
+    assert rows(merged) == [(1, "new", "2")]
+
+
+def test_duplicate_target_key_is_refused(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        require_unique(frame(spark, [(1, "a", "b"), (1, "c", "d")]), ["k"], "target")
+
+
+def test_columns(spark):
+    target = frame(spark, [(1, "a", "b")])
+    with pytest.raises(MissingColumns, match="b"):
+        scd1_merge(target.drop("b"), target, ["k"])
+    wider = target.withColumn("x", F.lit(1))
+    assert scd1_merge(wider, target, ["k"]).columns == ["k", "a", "b"]
+    report = {r.column: (r.in_source, r.in_target, r.same_type) for r in schema_report(wider, target).collect()}
+    assert report["x"] == (True, False, False) and report["k"] == (True, True, True)
+
+
+def test_metadata_columns_stay_but_do_not_count(spark):
+    target = frame(spark, [(1, "a", "old"), (2, "a", "old")])
+    source = frame(spark, [(1, "a", "new"), (2, "c", "new")])
+    for small in (False, True):
+        merged = scd1_merge(source, target, ["k"], metadata_cols=["b"], small_source=small)
+        assert rows(merged) == [(1, "a", "old"), (2, "c", "new")]
+
+
+def test_late_batch_is_reported_and_can_be_sequenced(spark):
+    history = open_versions(frame(spark, [(1, "b", "b")]), ["k"], DAY1)
+    batch = frame(spark, [(1, "a", "a")])
+    assert rows(scd2_merge(batch, history, ["k"], DAY0)) == rows(history)
+    late = late_rows(batch, history, ["k"], DAY0)
+    assert rows(late) == [(1, "a", "a")]
+    dated = late.withColumn("effective_from", F.lit(DAY0))
+    rebuilt = rebuild_history(history.select("k", "a", "b", "effective_from").unionByName(dated), ["k"])
+    found = rows(rebuilt, "a", "effective_from", "effective_to", "is_current")
+    assert found == [("a", DAY0, DAY1, False), ("b", DAY1, None, True)]
+
+
+def test_rebuild_collapses_repeats(spark):
+    versions = spark.createDataFrame(
+        [(1, "a", DAY0, 1), (1, "a", DAY1, 2), (1, "a", DAY2, 3), (1, "b", DAY2, 4), (None, "c", DAY2, 5)],
+        "k int, v string, d date, seq int",
+    )
+    rebuilt = rebuild_history(versions, ["k"], "d", sequence_by=["seq"])
+    assert rebuilt.columns == ["k", "v", "effective_from", "effective_to", "is_current", "row_hash"]
+    found = rows(rebuilt, "k", "v", "effective_from", "effective_to")
+    assert found == [(1, "a", DAY0, DAY2), (1, "b", DAY2, None)]
+
+
+def test_surrogate_keys_are_dense_and_stable(spark):
+    first = surrogate_keys(
+        spark.range(500).select(F.concat(F.lit("c"), F.col("id") % 50).alias("k")),
+        spark.createDataFrame([], "k string, sk bigint"),
+        ["k"],
+    )
+    assert sorted(r.sk for r in first.collect()) == list(range(1, 51))
+    batch = spark.range(80).select(F.concat(F.lit("c"), F.col("id")).alias("k"))
+    second = surrogate_keys(batch.unionByName(spark.createDataFrame([(None,)], "k string")), first, ["k"])
+    found = {r.k: r.sk for r in second.collect()}
+    assert sorted(found.values()) == list(range(1, 81))
+    assert all(found[r.k] == r.sk for r in first.collect())
+    assert {r.k: r.sk for r in surrogate_keys(batch.repartition(7), first, ["k"]).collect()} == found
+
+
+def test_dedup_is_deterministic(spark):
+    data = [(1, "a", "2"), (1, "b", "2"), (1, "c", "1")]
+    for order in (data, data[::-1]):
+        assert rows(dedup_latest(frame(spark, order), ["k"], ["b"])) == [(1, "b", "2")]
+
+
+def test_measured_bytes_bounds_the_text(spark):
+    assert measured_bytes(frame(spark, [(1, "x" * 1000, None)])) >= 1000
+    assert measured_bytes(frame(spark, [])) == 0
+
+
+def test_streamed_dimension(spark, tmp_path):
+    base = tmp_path / "base"
+    frame(spark, [(1, "a", "a"), (2, "b", "b")]).write.parquet(str(base))
+    dimension = StreamedDimension(spark, str(base), str(tmp_path / "changes"), ["k"])
+    assert dimension.snapshot().count() == 2
+    dimension.apply(frame(spark, [(2, "c", "c"), (None, "z", "z")]), 0)
+    dimension.apply(frame(spark, [(2, "c", "c")]), 0)  # replayed
+    dimension.apply(frame(spark, [(2, "d", "d"), (3, "e", "e")]), 1)
+    expected = [(1, "a", "a"), (2, "d", "d"), (3, "e", "e")]
+    assert rows(dimension.snapshot()) == expected
+    assert rows(dimension.snapshot(small_changes=True)) == expected
+    assert dimension.compact() == 3
+    assert rows(dimension.base()) == expected and dimension.snapshot().count() == 3

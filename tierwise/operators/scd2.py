@@ -108,31 +108,30 @@ def rebuild_history(
     keys: Sequence[str],
     effective_from: str = "effective_from",
     exclude: Sequence[str] = (),
-    order_by: Sequence[str] = (),
+    sequence_by: Sequence[str] = (),
 ) -> DataFrame:
     """History from dated rows in any order: the way out of late and out-of-order batches.
 
-    Dates are days and the last row of a key's day wins, chosen before the shuffle; a key
-    therefore brings at most one row per calendar day to the sequencing window, however
-    many raw rows it has.  Repeats of the previous version collapse.
+    Dates are days and the last row of a key's day by ``sequence_by`` wins, chosen before
+    the shuffle; a key therefore brings at most one row per calendar day to the
+    sequencing window, however many raw rows it has.  Repeats of the previous version
+    collapse.  ``sequence_by`` columns only order rows; they are not part of a version.
     """
-    columns = [c for c in versions.columns if c not in VERSION_COLUMNS]
-    compared = [c for c in columns if c not in keys and c not in exclude and c not in order_by]
-    kept = [c for c in columns if c not in order_by]
-    dated = versions.withColumn("effective_from", F.col(effective_from).cast("date"))
-    dated = dated.filter(F.col("effective_from").isNotNull() & has_key(keys))
-    daily = dedup_latest(
-        dated.select("effective_from", *columns), [*keys, "effective_from"], order_by
-    ).select(*kept, "effective_from")
+    helpers = {*VERSION_COLUMNS, effective_from, *sequence_by}
+    kept = [c for c in versions.columns if c not in helpers]
+    compared = [c for c in kept if c not in keys and c not in exclude]
+    dated = versions.select(
+        *kept, *sequence_by, F.col(effective_from).cast("date").alias("effective_from")
+    ).filter(F.col("effective_from").isNotNull() & has_key(keys))
+    daily = dedup_latest(dated, [*keys, "effective_from"], sequence_by)
     by_day = Window.partitionBy(*keys).orderBy("effective_from")
-    hashed = daily.withColumn("row_hash", version_hash(compared))
+    hashed = daily.select(*kept, "effective_from", version_hash(compared).alias("row_hash"))
     starts = (
         hashed.withColumn("__before", F.lag("row_hash").over(by_day))
         .filter(F.col("__before").isNull() | (F.col("__before") != F.col("row_hash")))
         .drop("__before")
     )
-    end = F.lead("effective_from").over(by_day)
-    return starts.withColumn("effective_to", end).select(
+    return starts.withColumn("effective_to", F.lead("effective_from").over(by_day)).select(
         *kept,
         "effective_from",
         "effective_to",

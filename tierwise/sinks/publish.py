@@ -6,7 +6,8 @@ import logging
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise import scratch
@@ -26,8 +27,8 @@ def require_format(spark: SparkSession, file_format: str) -> str:
         return file_format
     try:
         spark.read.format(file_format).load(scratch.work_dir(spark, "probe"))
-    except AnalysisException as err:
-        if err.getCondition() == "DATA_SOURCE_NOT_FOUND":
+    except (PySparkException, Py4JJavaError) as err:
+        if "DATA_SOURCE_NOT_FOUND" in str(err):
             raise SpecError(f"output format '{file_format}' is not on this session's classpath") from err
     return file_format
 

@@ -171,7 +171,7 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("effective_from"),
         "o_orderkey",
     )
-    return rebuild_history(versions, KEY, order_by=["o_orderkey"])
+    return rebuild_history(versions, KEY, sequence_by=["o_orderkey"])
 
 
 @query(
