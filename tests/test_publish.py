@@ -1,0 +1,197 @@
+import datetime
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierwise import scratch
+from tierwise.plans import dimension
+from tierwise.plans.dimension import merge_dimension, read_history
+from tierwise.sinks import publish
+from tierwise.sinks.publish import publish_version, recover, staged_publish, write_partitioned
+from tierwise.sources.catalog import create_external_table, quoted, refresh_partitions, register_views, view
+from tierwise.spec import ScdSpec, SpecError
+
+
+def ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).select("id").collect())
+
+
+def test_publish_onto_its_own_input(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    grown = spark.read.parquet(path).union(spark.range(3, 5))
+    assert staged_publish(spark, grown, path, expected_rows=5) == 5
+    assert staged_publish(spark, spark.read.parquet(path).filter("id > 0"), path) == 4
+    assert ids(spark, path) == [1, 2, 3, 4]
+
+
+def test_wrong_row_count_leaves_the_target(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    with pytest.raises(RuntimeError, match="target unchanged"):
+        staged_publish(spark, spark.range(9), path, expected_rows=3)
+    assert ids(spark, path) == [0, 1, 2]
+
+
+def test_crash_between_the_renames_is_recovered(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    real, calls = scratch.rename, []
+
+    def failing(session, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("lost")
+        real(session, source, target)
+
+    monkeypatch.setattr(scratch, "rename", failing)
+    with pytest.raises(OSError, match="lost"):
+        staged_publish(spark, spark.range(7), path)
+    assert not os.path.exists(path)
+    monkeypatch.setattr(scratch, "rename", real)
+    assert recover(spark, path) and ids(spark, path) == [0, 1, 2]
+    assert not recover(spark, path)
+    staged_publish(spark, spark.range(7), path)
+    assert len(ids(spark, path)) == 7
+
+
+def test_failed_write_leaves_the_target(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(3).write.parquet(path)
+    broken = spark.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        staged_publish(spark, broken, path)
+    assert ids(spark, path) == [0, 1, 2]
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    days = spark.range(4).withColumn("day", F.col("id") % 2)
+    write_partitioned(days, path, partition_by="day")
+    write_partitioned(spark.range(10, 11).withColumn("day", F.lit(1)), path, partition_by="day", dynamic=True)
+    assert ids(spark, path) == [0, 2, 10]
+    write_partitioned(spark.range(10, 11).withColumn("day", F.lit(1)), path, partition_by="day")
+    assert ids(spark, path) == [10]
+
+
+def test_rebalance_gathers_folders_into_few_files(spark, tmp_path):
+    wide = spark.range(0, 4000, 1, 16).withColumn("day", F.col("id") % 5)
+    write_partitioned(wide, f"{tmp_path}/scattered", partition_by="day")
+    write_partitioned(wide, f"{tmp_path}/gathered", partition_by="day", rebalance=True)
+
+    def files(name):
+        return sum(f.endswith(".parquet") for _, _, fs in os.walk(tmp_path / name) for f in fs)
+
+    assert files("scattered") == 80 and files("gathered") <= 16
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_formats(spark, tmp_path, fmt):
+    path = f"{tmp_path}/{fmt}"
+    write_partitioned(spark.range(4).withColumn("day", F.lit("x")), path, fmt, partition_by="day")
+    assert spark.read.format(fmt).load(path).count() == 4
+
+
+def test_external_tables(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    write_partitioned(spark.range(4).withColumn("day", F.col("id") % 2), path, partition_by="day")
+    assert create_external_table(spark, "layer_t", path, partitioned=True).count() == 4
+    late = spark.range(7, 8).withColumn("day", F.lit(9))
+    write_partitioned(late, path, mode="append", partition_by="day")
+    refresh_partitions(spark, "layer_t")
+    assert spark.table("layer_t").count() == 5
+    kind = spark.sql("DESCRIBE TABLE EXTENDED layer_t").filter("col_name = 'Type'").first().data_type
+    assert kind == "EXTERNAL"
+    spark.sql("DROP TABLE layer_t")
+    assert os.path.isdir(path)
+    assert quoted("db.my`t") == "`db`.`myt`"
+
+
+def test_versioned_publish_switches_the_table(spark, tmp_path):
+    base = f"{tmp_path}/versions"
+    assert publish_version(spark, spark.range(3), "versioned_t", base, "v1") == 3
+    grown = spark.table("versioned_t").union(spark.range(3, 5))
+    assert publish_version(spark, grown, "versioned_t", base, "v2") == 5
+    assert spark.table("versioned_t").count() == 5
+    assert sorted(os.listdir(base)) == ["v1", "v2"]
+    spark.sql("DROP TABLE versioned_t")
+
+
+def test_views(spark):
+    frames = {"things": spark.range(3)}
+    register_views(spark, frames)
+    assert view(spark, "things", frames).filter("things_table.id > 0").count() == 2
+    with pytest.raises(SpecError):
+        view(spark, "others", frames)
+
+
+def silver(spark, path, rows):
+    frame = spark.createDataFrame(rows, "k string, v string")
+    frame.withColumns(
+        {
+            "filename": F.lit("things_20240101060606.csv"),
+            "year": F.lit(2024),
+            "month": F.lit(1),
+            "day": F.lit(1),
+        }
+    ).write.mode("overwrite").parquet(path)
+    return path
+
+
+def test_type2_merge_survives_a_crash_after_closing(spark, tmp_path, monkeypatch):
+    day0, day1 = datetime.date(2024, 1, 1), datetime.date(2024, 2, 1)
+    gold = f"{tmp_path}/gold"
+
+    def spec(source):
+        return ScdSpec(source, gold, ("k",), scd_type="scd2")
+
+    merge_dimension(spark, spec(silver(spark, f"{tmp_path}/s0", [("1", "a"), ("2", "b")])), day0)
+    second = spec(silver(spark, f"{tmp_path}/s1", [("1", "z"), ("3", "c")]))
+
+    def crash(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(dimension, "swap", crash)
+    with pytest.raises(OSError, match="lost"):
+        merge_dimension(spark, second, day1)
+    monkeypatch.setattr(dimension, "swap", publish.swap)
+    for _ in range(2):
+        assert merge_dimension(spark, second, day1) == 4
+        found = sorted((r.k, r.v, r.effective_to, r.is_current) for r in read_history(spark, gold).collect())
+        assert found == [
+            ("1", "a", day1, False), ("1", "z", None, True), ("2", "b", None, True), ("3", "c", None, True),
+        ]
+
+
+def test_type2_merge_reads_current_versions_only(spark, tmp_path):
+    gold = f"{tmp_path}/gold"
+    for month, value in ((1, "a"), (2, "b"), (3, "c")):
+        source = silver(spark, f"{tmp_path}/s{month}", [("1", value), ("2", "same")])
+        merge_dimension(
+            spark, ScdSpec(source, gold, ("k",), scd_type="scd2"), datetime.date(2024, month, 1)
+        )
+    assert read_history(spark, gold).count() == 4
+    files = read_history(spark, gold).filter("is_current")._jdf.queryExecution().executedPlan().toString()
+    assert "cast(is_current" in files.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_quarantine_of_incomplete_keys(spark, tmp_path):
+    gold = f"{tmp_path}/gold"
+    spark.createDataFrame([("1", "a", "2024-01-01")], "k string, v string, date_id string").write.partitionBy(
+        "date_id"
+    ).parquet(gold)
+    source = silver(spark, f"{tmp_path}/s", [(None, "x"), ("1", "b")])
+    merge_dimension(spark, ScdSpec(source, gold, ("k",)), quarantine_path=f"{tmp_path}/rejected")
+    assert spark.read.parquet(f"{tmp_path}/rejected").count() == 1
+    assert spark.read.parquet(gold).first().v == "b"
+
+
+def test_shared_folder_is_required_off_local(spark, monkeypatch):
+    assert scratch.work_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    assert scratch.work_root(spark)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.work_root(spark)

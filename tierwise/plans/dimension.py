@@ -8,12 +8,20 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise import scratch
 from tierwise.functions.columns import date_id_from_name, drop_file_columns, with_date_id
-from tierwise.operators.keys import require_unique, split_null_keys
+from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys
 from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
 from tierwise.operators.scd2 import VERSION_COLUMNS, open_versions, scd2_merge
 from tierwise.scratch import path_exists
-from tierwise.sinks.publish import recover, staged_publish, write_partitioned, write_silver
+from tierwise.sinks.publish import (
+    recover,
+    staged_publish,
+    staging_of,
+    swap,
+    write_partitioned,
+    write_silver,
+)
 from tierwise.sources.files import ingest, read_layer
 from tierwise.spec import DatasetSpec, ScdSpec
 
@@ -51,19 +59,19 @@ def merge_dimension(
     quarantine_path: str | None = None,
 ) -> int:
     """Merge the source into the target path and publish it there; returns its row count."""
-    recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
     source = dimension_source(read_layer(spark, spec.source_path))
     if quarantine_path:
         _, rejected = split_null_keys(source, spec.join_keys)
         write_partitioned(rejected, quarantine_path, mode="append")
     if spec.scd_type == "scd2":
         return _merge_versions(spark, spec, source, effective or datetime.date.today())
+    recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
     target = read_layer(spark, spec.target_path)
-    if spec.check_target:
-        require_unique(target, spec.join_keys, spec.target_path)
     batch = prepared_source(source, target, spec.join_keys, spec.order_by)
     small = measured_bytes(batch) <= spec.broadcast_limit_bytes
     log.info("merging %s into %s, small source: %s", spec.source_path, spec.target_path, small)
+    if spec.check_target:
+        require_unique(touched(target, batch, spec.join_keys, small), spec.join_keys, spec.target_path)
     merged = scd1_merge(
         source,
         target,
@@ -75,14 +83,24 @@ def merge_dimension(
         delete_missing=spec.delete_missing,
         small_source=small,
     )
-    return staged_publish(spark, merged, spec.target_path, "parquet", spec.partition_by, rebalance=True)
+    # A small source leaves target rows in their scan tasks, each of few dates: no shuffle to write.
+    return staged_publish(
+        spark, merged, spec.target_path, "parquet", spec.partition_by, rebalance=not small
+    )
+
+
+def touched(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], small: bool) -> DataFrame:
+    """Target keys whose uniqueness the merge relies on: all, or those of a small batch."""
+    known = target.select(*keys)
+    return known.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi") if small else known
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """A published type 2 dimension; its ``is_current`` folders come back as text."""
-    history = read_layer(spark, path)
+    """A published type 2 dimension; folder values come back with their declared types."""
+    history = spark.read.option("basePath", path).parquet(path)
     columns = [c for c in history.columns if c not in VERSION_COLUMNS]
-    return history.withColumn("is_current", F.col("is_current").cast("boolean")).select(
+    types = {"is_current": "boolean", "effective_to": "date"}
+    return history.withColumns({c: F.col(c).cast(t) for c, t in types.items()}).select(
         *columns, *VERSION_COLUMNS
     )
 
@@ -90,14 +108,44 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def _merge_versions(
     spark: SparkSession, spec: ScdSpec, source: DataFrame, effective: datetime.date
 ) -> int:
+    """Type 2 merge whose cost follows the current versions, not the history.
+
+    Current versions live in one folder, closed ones in a folder per closing date.  A
+    merge reads and replaces the current folder and adds the batch's closing date; older
+    folders are not touched.  Closed rows are published first: after a crash the rerun
+    finds the same changes and writes them again.
+    """
     exclude = [*spec.metadata_cols, *spec.compare_exclude]
-    columns = [c for c in source.columns if c not in spec.partition_by or c in spec.join_keys]
-    source = source.select(*columns)
-    if path_exists(spark, spec.target_path):
-        history = read_history(spark, spec.target_path)
+    source = source.drop(*[c for c in spec.partition_by if c not in spec.join_keys])
+    path = spec.target_path.rstrip("/")
+    current_path, closed_path = f"{path}/is_current=true", f"{path}/is_current=false"
+    recover(spark, current_path)
+    if path_exists(spark, current_path):
+        current = read_history(spark, path).filter("is_current")
         if spec.check_target:
-            require_unique(history.filter("is_current"), spec.join_keys, spec.target_path)
+            require_unique(current, spec.join_keys, path)
     else:
-        history = open_versions(source, spec.join_keys, effective, exclude).limit(0)
-    merged = scd2_merge(source, history, spec.join_keys, effective, exclude, spec.order_by)
-    return staged_publish(spark, merged, spec.target_path, "parquet", "is_current", rebalance=True)
+        current = open_versions(source, spec.join_keys, effective, exclude).limit(0)
+    merged = scd2_merge(source, current, spec.join_keys, effective, exclude, spec.order_by)
+    staging = staging_of(f"{path}/merge")
+    write_partitioned(
+        merged, staging, mode="errorifexists", partition_by=["is_current", "effective_to"], rebalance=True
+    )
+    day = f"effective_to={effective.isoformat()}"
+    newly_closed = f"{staging}/is_current=false/{day}"
+    if path_exists(spark, newly_closed):
+        _add_closed(spark, newly_closed, f"{closed_path}/{day}", (*spec.join_keys, "effective_from"))
+    if path_exists(spark, f"{staging}/is_current=true"):
+        swap(spark, f"{staging}/is_current=true", current_path)
+    scratch.delete(spark, staging)
+    return read_history(spark, path).count()
+
+
+def _add_closed(spark: SparkSession, rows_path: str, path: str, identity: tuple[str, ...]) -> None:
+    recover(spark, path)
+    if not path_exists(spark, path):
+        scratch.make_parents(spark, path)
+        scratch.rename(spark, rows_path, path)
+        return
+    both = spark.read.parquet(path).unionByName(spark.read.parquet(rows_path))
+    staged_publish(spark, dedup_latest(both, identity), path)

@@ -55,6 +55,11 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def make_parents(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.mkdirs(target.getParent())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = hadoop_path(spark, path)
     if fs.exists(target):

@@ -17,8 +17,19 @@ log = logging.getLogger(__name__)
 
 # Formats every Spark build can write.
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv")
-STAGING = ".staging-"
-BACKUP = ".previous"
+
+def _hidden_sibling(path: str, suffix: str) -> str:
+    """A folder beside ``path`` that readers skip: leading underscore and no '='."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_{name.replace('=', '-')}.{suffix}"
+
+
+def staging_of(path: str) -> str:
+    return _hidden_sibling(path, f"staging-{uuid.uuid4().hex[:12]}")
+
+
+def backup_of(path: str) -> str:
+    return _hidden_sibling(path, "previous")
 
 
 def require_format(spark: SparkSession, file_format: str) -> str:
@@ -92,7 +103,7 @@ def staged_publish(
     publish through a catalog table (``publish_version``).
     """
     recover(spark, path)
-    staging = f"{path}{STAGING}{uuid.uuid4().hex[:12]}"
+    staging = staging_of(path)
     written = _write_counted(df, staging, file_format, partition_by, rebalance)
     if expected_rows is not None and written != expected_rows:
         raise RuntimeError(f"{path}: wrote {written} rows, expected {expected_rows}; target unchanged")
@@ -107,7 +118,8 @@ def _write_counted(df, path, file_format, partition_by, rebalance) -> int:
 
 
 def swap(spark: SparkSession, staging: str, path: str) -> None:
-    backup = f"{path}{BACKUP}"
+    """Put ``staging`` in the place of ``path``, keeping the old content as one backup."""
+    backup = backup_of(path)
     if scratch.path_exists(spark, path):
         scratch.delete(spark, backup)  # safe: the target itself is present
         scratch.rename(spark, path, backup)
@@ -116,7 +128,7 @@ def swap(spark: SparkSession, staging: str, path: str) -> None:
 
 def recover(spark: SparkSession, path: str) -> bool:
     """After a crash: put the backup back if the target is gone.  Staging is ignored."""
-    backup = f"{path}{BACKUP}"
+    backup = backup_of(path)
     if not scratch.path_exists(spark, path) and scratch.path_exists(spark, backup):
         scratch.rename(spark, backup, path)
         return True

@@ -55,16 +55,16 @@ def deduplicated(
 
     Copies are removed twice: first within ``spreads`` arbitrary shares of the rows, then
     among the at most ``spreads`` survivors of a key.  A key repeated very often is thus
-    never handled by a single task.  The share is a seeded draw per scan position.
+    never handled by a single task.  The share is a seeded draw per scan position.  With
+    ``spreads=1`` there is only the second step and half the state, for keys that repeat
+    rarely.
     """
-    share = F.floor(F.rand(11) * spreads).cast("int")
-    return (
-        events.withWatermark(time, delay)
-        .withColumn("__share", share)
-        .dropDuplicatesWithinWatermark([*keys, "__share"])
-        .drop("__share")
-        .dropDuplicatesWithinWatermark(list(keys))
-    )
+    marked = events.withWatermark(time, delay)
+    if spreads > 1:
+        share = F.floor(F.rand(11) * spreads).cast("int")
+        marked = marked.withColumn("__share", share)
+        marked = marked.dropDuplicatesWithinWatermark([*keys, "__share"]).drop("__share")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_available(
