@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from tierwise.spec import VIEW_SUFFIX, JoinStep, SpecError
 
 # A key is hot from this many rows on, and gets one salt per so many rows.
-ROWS_PER_SALT = 500_000
+ROWS_PER_SALT = 100_000
+# More salts than this would not make a task smaller.
+MAX_SALTS = 1 << 16
 # At most this many keys are salted; any other key holds less than 1/1024 of the rows.
 HOT_KEYS = 1024
 # Share of rows counted to find hot keys.  It only steers which keys are salted.
@@ -54,8 +56,11 @@ def key_pair(
 
 def hot_keys(
     df: DataFrame, keys: Sequence[Column], rows_per_salt: int = ROWS_PER_SALT, probe: float = PROBE
-) -> DataFrame:
-    """(__hot_0, ..., __salts): keys holding over ``rows_per_salt`` rows, 1,024 rows at most."""
+) -> DataFrame | None:
+    """(__hot_0, ..., __salts) of keys holding over ``rows_per_salt`` rows; None if there are none.
+
+    Runs one job that reads the key columns; at most ``HOT_KEYS`` rows reach the driver.
+    """
     names = [f"__hot_{i}" for i in range(len(keys))]
     counted = df if probe >= 1 else df.sample(fraction=probe, seed=17)
     counts = (
@@ -64,12 +69,12 @@ def hot_keys(
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    return (
-        counts.filter(F.col("__n") > rows_per_salt * probe)
-        .orderBy(F.desc("__n"), *names)
-        .limit(HOT_KEYS)
-        .select(*names, F.ceil(F.col("__n") / (rows_per_salt * probe)).cast("int").alias("__salts"))
-    )
+    per_salt = rows_per_salt * probe
+    salts = F.least(F.ceil(F.col("__n") / per_salt), F.lit(MAX_SALTS)).cast("int").alias("__salts")
+    hot = counts.filter(F.col("__n") > per_salt).orderBy(F.desc("__n"), *names).limit(HOT_KEYS)
+    hot = hot.select(*names, salts)
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def _with_salts(df: DataFrame, keys: Sequence[Column], hot: DataFrame, name: str) -> DataFrame:
@@ -107,23 +112,28 @@ def salted_outer_join(
     probe: float = PROBE,
     salt_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Left, right or full outer equi-join that survives a hot key on a padded side."""
+    """Left, right or full outer equi-join that survives a hot key on a padded side.
+
+    Without hot keys it is the plain join.
+    """
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     condition = reduce(and_, [a == b for a, b in pairs])
+    # Padded sides, which adaptive execution cannot split: right of a left join and vice versa.
+    hot_right = hot_keys(right, right_keys, rows_per_salt, probe) if how in ("left", "full") else None
+    hot_left = hot_keys(left, left_keys, rows_per_salt, probe) if how in ("right", "full") else None
+    if hot_right is None and hot_left is None:
+        return left.join(right, condition, how)
     lonely_copy = F.lit(False)
-    if how in ("left", "full"):  # right rows pad: adaptive execution cannot split that side
-        hot = hot_keys(right, right_keys, rows_per_salt, probe)
-        right = _with_salts(right, right_keys, hot, "__r_hot")
+    if hot_right is not None:
+        right = _with_salts(right, right_keys, hot_right, "__r_hot")
         right = _spread(right, "__r_hot", "__r_salt", salt_by).drop("__r_hot")
-        left = _repeat(_with_salts(left, left_keys, hot, "__l_copies"), "__l_copies", "__l_copy")
+        left = _repeat(_with_salts(left, left_keys, hot_right, "__l_copies"), "__l_copies", "__l_copy")
         condition &= F.col("__l_copy") == F.col("__r_salt")
         lonely_copy |= F.col("__l_copies").isNotNull() & F.col("__r_salt").isNull()
-    if how in ("right", "full"):
-        once = left.filter(F.col("__l_copy") == 0) if how == "full" else left
-        hot = hot_keys(once, left_keys, rows_per_salt, probe)
-        left = _with_salts(left, left_keys, hot, "__l_hot")
+    if hot_left is not None:
+        left = _with_salts(left, left_keys, hot_left, "__l_hot")
         left = _spread(left, "__l_hot", "__l_salt", ()).drop("__l_hot")
-        right = _repeat(_with_salts(right, right_keys, hot, "__r_copies"), "__r_copies", "__r_copy")
+        right = _repeat(_with_salts(right, right_keys, hot_left, "__r_copies"), "__r_copies", "__r_copy")
         condition &= F.col("__r_copy") == F.col("__l_salt")
         lonely_copy |= F.col("__r_copies").isNotNull() & F.col("__l_salt").isNull()
     joined = left.join(right, condition, how).filter(~F.coalesce(lonely_copy, F.lit(False)))

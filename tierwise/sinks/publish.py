@@ -5,8 +5,10 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,19 +73,32 @@ def write_partitioned(
 
 
 def write_silver(
-    frames: Mapping[str, DataFrame], specs: Mapping[str, DatasetSpec], dynamic: bool = True
+    frames: Mapping[str, DataFrame],
+    specs: Mapping[str, DatasetSpec],
+    dynamic: bool = True,
+    parallel: int = 4,
 ) -> None:
     """Publish every ingested dataset by year, month and day.
 
     No shuffle: a scan task reads few files, hence few days.  With ``dynamic`` earlier
-    days survive; without it the whole dataset is replaced.
+    days survive; without it the whole dataset is replaced.  The datasets are independent
+    jobs, ``parallel`` of them submitted at a time; the first failure is raised once the
+    running ones have ended, and names its dataset.
     """
-    for name, frame in frames.items():
-        path = specs[name].output_path
-        if not path:
+    for name in frames:
+        if not specs[name].output_path:
             raise SpecError(f"dataset {name}: output_path is required to write silver")
+
+    def write(name: str) -> None:
+        path = specs[name].output_path
         log.info("writing silver dataset %s to %s", name, path)
-        write_partitioned(frame, path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
+        write_partitioned(frames[name], path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(write), name) for name in frames}
+    for name, job in jobs.items():
+        if job.exception() is not None:
+            raise RuntimeError(f"silver dataset {name} was not written") from job.exception()
 
 
 def staged_publish(

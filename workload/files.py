@@ -35,6 +35,10 @@ from workload.tables import (
 ACCOUNT_SCHEMA = (
     "account_number string, account_type string, customer_id string, balance string, open_date string"
 )
+CUSTOMER_SCHEMA = "customer_id string, name string, age string, city string"
+TRANSACTION_SCHEMA = (
+    "account_number bigint, amount double, transaction_id bigint, transaction_type string"
+)
 ACCOUNT_COLUMNS = ["account_number", "account_type", "customer_id", "balance", "open_date"]
 
 
@@ -74,8 +78,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     drop_json_arrays(transactions(spark, sf_dir).drop("l_shipdate"), folder, "transactions", EARLY)
-    schema = "account_number bigint, amount double, transaction_id bigint, transaction_type string"
-    spec = feed_spec("transactions", folder, format="json", schema=schema)
+    spec = feed_spec("transactions", folder, format="json", schema=TRANSACTION_SCHEMA)
     return drop_file_columns(ingest(spark, spec).frame)
 
 
@@ -166,9 +169,10 @@ def bank_config(spark: SparkSession, sf_dir: str) -> dict:
         n: {"input_path": p, "output_path": f"{root}/silver/{n}", "regex": rf"{n}_\d{{14}}.*"}
         for n, p in bronze.items()
     }
-    datasets["accounts"] |= {"format": "csv", "delimiter": "|", "casts": {"balance": "double"}}
-    datasets["customers"] |= {"format": "csv", "casts": {"age": "double"}}
-    datasets["transactions"] |= {"format": "json", "snapshot": "all"}
+    accounts_feed = {"format": "csv", "delimiter": "|", "schema": ACCOUNT_SCHEMA}
+    datasets["accounts"] |= {**accounts_feed, "casts": {"balance": "double"}}
+    datasets["customers"] |= {"format": "csv", "schema": CUSTOMER_SCHEMA, "casts": {"age": "double"}}
+    datasets["transactions"] |= {"format": "json", "schema": TRANSACTION_SCHEMA, "snapshot": "all"}
     join = {"left": "accounts", "left_key": "account_number", "right_key": "account_number"}
     return {
         "datasets": datasets,
