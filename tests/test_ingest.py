@@ -1,5 +1,7 @@
 import pytest
 
+from tierwise.plans.incremental import ingest_new
+from tierwise.plans.report import publish_silver
 from tierwise.sources.files import feed_files, ingest, ingest_all, list_files
 from tierwise.sources.ledger import FileLedger
 from tierwise.spec import DatasetSpec, SpecError
@@ -103,3 +105,57 @@ def test_stream_takes_each_file_once(spark, feed, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(things.output_path).collect()) == ["1", "2", "3", "5"]
     with pytest.raises(SpecError, match="declared schema"):
         feed_stream(spark, spec(feed))
+
+
+def test_incremental_ingest_repeats_safely(spark, feed, tmp_path, monkeypatch):
+    things = spec(feed, schema=SCHEMA, output_path=str(tmp_path / "silver"))
+    ledger = FileLedger(spark, str(tmp_path / "ledger"))
+
+    def silver():
+        return sorted(r.id for r in spark.read.parquet(things.output_path).collect())
+
+    real = FileLedger.record
+    monkeypatch.setattr(FileLedger, "record", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        ingest_new(spark, things, ledger, "b1")
+    monkeypatch.setattr(FileLedger, "record", real)
+    assert ingest_new(spark, things, ledger, "b1") == 2 and silver() == ["1", "2", "3"]
+    assert ingest_new(spark, things, ledger, "b2") == 0
+    (feed / "things_20240102090909.csv").write_text("id,v\n8,h\n")  # a second file of a known day
+    assert ingest_new(spark, things, ledger, "b3") == 1 and silver() == ["1", "2", "3", "8"]
+
+
+@pytest.mark.parametrize(
+    "fmt, text, options, expected",
+    [
+        ("text", "hello\nworld\n", {}, ["hello", "world"]),
+        ("xml", "<a><r><v>x</v></r><r><v>y</v></r></a>", {"rowTag": "r"}, ["x", "y"]),
+        ("json", '{"v": "p"}\n{"v": "q"}\n', {}, ["p", "q"]),
+    ],
+)
+def test_further_formats(spark, tmp_path, fmt, text, options, expected):
+    (tmp_path / f"things_20240101060606.{fmt}").write_text(text)
+    things = DatasetSpec("things", str(tmp_path), format=fmt, multiline=False, options=options)
+    frame = ingest(spark, things).frame
+    assert sorted(r[0] for r in frame.collect()) == expected
+    assert frame.first().day == "01"
+
+
+def test_rules_send_rows_to_quarantine(spark, feed, tmp_path):
+    things = DatasetSpec.from_dict(
+        "things",
+        {
+            "input_path": str(feed),
+            "output_path": str(tmp_path / "silver"),
+            "regex": r"things_\d{14}.*",
+            "snapshot": "all",
+            "rules": [{"name": "known", "kind": "in_set", "column": "v", "values": ["a", "c"]}],
+            "quarantine_path": str(tmp_path / "rejected"),
+            "table": "silver_things",
+        },
+    )
+    publish_silver(spark, {"things": ingest(spark, things).frame}, {"things": things})
+    assert sorted(r.id for r in spark.table("silver_things").collect()) == ["1", "3"]
+    rejected = spark.read.parquet(str(tmp_path / "rejected")).collect()
+    assert [(r.id, r.failed_rules) for r in rejected] == [("2", ["known"])]
+    spark.sql("DROP TABLE silver_things")

@@ -3,8 +3,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tierwise.functions.columns import malformed_counts, try_casts
-from tierwise.operators.quality import Rule, not_unique, orphans, quarantine, rule_report
-from tierwise.spec import DatasetSpec, ReportSpec, ScdSpec, SpecError
+from tierwise.operators.quality import not_unique, orphans, quarantine, rule_report
+from tierwise.spec import DatasetSpec, ReportSpec, Rule, ScdSpec, SpecError
 
 RULES = [
     Rule("given", "not_null", "k"),
@@ -49,8 +49,11 @@ def test_malformed_text_is_counted_and_nulled(spark):
 
 
 def test_bad_descriptions_are_refused(spark):
-    with pytest.raises(SpecError, match="unknown kind"):
-        rule_report(spark.range(1), [Rule("r", "odd", "id")])
+    for bad in ({"kind": "odd"}, {"kind": "range"}, {"kind": "in_set"}, {"kind": "sql"}, {"kind": "x", "y": 1}):
+        with pytest.raises(SpecError):
+            Rule.from_dict({"name": "r", "column": "c", **bad})
+    with pytest.raises(SpecError, match="quarantine_path"):
+        DatasetSpec("d", "/x", rules=(Rule("r", "not_null", "c"),))
     with pytest.raises(SpecError, match="regex"):
         DatasetSpec("d", "/x", pattern="(")
     with pytest.raises(SpecError, match="snapshot|latest"):

@@ -2,66 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.operators.keys import duplicate_keys
-from tierwise.spec import SpecError, as_tuple
-
-
-@dataclass(frozen=True)
-class Rule:
-    """A named row rule.
-
-    kind: ``not_null``, ``range`` (min and/or max, inclusive), ``in_set`` (values),
-    ``regex`` (pattern found in the text), ``type`` (text parses as ``as_type``) or
-    ``sql`` (a boolean expression).  Nulls only break ``not_null``.
-    """
-
-    name: str
-    kind: str
-    column: str | None = None
-    min: object = None
-    max: object = None
-    values: tuple = ()
-    pattern: str | None = None
-    as_type: str | None = None
-    expression: str | None = None
-
-    @classmethod
-    def from_dict(cls, cfg: Mapping) -> Rule:
-        known = {**cfg, "values": tuple(cfg.get("values", ()))}
-        return cls(**known)
-
-    def broken(self) -> Column:
-        """True where a row breaks the rule; never null."""
-        value = F.col(self.column) if self.column else None
-        if self.kind == "not_null":
-            return value.isNull()
-        if self.kind == "range":
-            low = value < F.lit(self.min) if self.min is not None else F.lit(False)
-            high = value > F.lit(self.max) if self.max is not None else F.lit(False)
-            bad = low | high
-        elif self.kind == "in_set":
-            bad = ~value.isin(*self.values)
-        elif self.kind == "regex":
-            bad = ~value.rlike(self.pattern)
-        elif self.kind == "type":
-            bad = value.try_cast(self.as_type).isNull() & value.isNotNull()
-        elif self.kind == "sql":
-            bad = ~F.expr(self.expression)
-        else:
-            raise SpecError(f"rule {self.name}: unknown kind '{self.kind}'")
-        return F.coalesce(bad, F.lit(False))
+from tierwise.spec import Rule, as_tuple
+
+
+def broken(rule: Rule) -> Column:
+    """True where a row breaks the rule; never null."""
+    value = F.col(rule.column) if rule.column else None
+    if rule.kind == "not_null":
+        return value.isNull()
+    if rule.kind == "range":
+        low = value < F.lit(rule.min) if rule.min is not None else F.lit(False)
+        high = value > F.lit(rule.max) if rule.max is not None else F.lit(False)
+        bad = low | high
+    elif rule.kind == "in_set":
+        bad = ~value.isin(*rule.values)
+    elif rule.kind == "regex":
+        bad = ~value.rlike(rule.pattern)
+    elif rule.kind == "type":
+        bad = value.try_cast(rule.as_type).isNull() & value.isNotNull()
+    else:
+        bad = ~F.expr(rule.expression)
+    return F.coalesce(bad, F.lit(False))
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, rows_checked, rows_bad) for all rules in one aggregate pass."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count_if(r.broken()).alias(r.name) for r in rules]
+        F.count(F.lit(1)).alias("__rows"), *[F.count_if(broken(r)).alias(r.name) for r in rules]
     )
     return counts.unpivot(["__rows"], [r.name for r in rules], "rule", "rows_bad").select(
         "rule", F.col("__rows").alias("rows_checked"), "rows_bad"
@@ -69,7 +42,7 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def with_failed_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    failed = F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.name)) for r in rules]))
+    failed = F.array_compact(F.array(*[F.when(broken(r), F.lit(r.name)) for r in rules]))
     return df.withColumn("failed_rules", failed)
 
 

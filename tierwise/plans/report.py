@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from tierwise.functions.columns import date_id, project
 from tierwise.operators.joins import join_chain
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
+from tierwise.operators.quality import quarantine
 from tierwise.sinks.publish import require_format, write_partitioned, write_silver
-from tierwise.sources.catalog import register_views
+from tierwise.sources.catalog import create_external_table, register_views
 from tierwise.sources.files import IngestResult, frames, ingest_all, read_layer
-from tierwise.spec import OutputSpec, ReportSpec, SpecError
+from tierwise.spec import DATE_PARTS, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
 log = logging.getLogger(__name__)
 
@@ -61,6 +62,27 @@ def report_aggregates(chain: DataFrame, spec: ReportSpec) -> DataFrame:
     return global_aggregates(chain, spec.aggregations)
 
 
+def publish_silver(
+    spark: SparkSession,
+    ingested: Mapping[str, DataFrame],
+    specs: Mapping[str, DatasetSpec],
+    dynamic: bool = True,
+) -> None:
+    """Validate, set rejects aside, write silver and register its tables."""
+    valid = {}
+    for name, frame in ingested.items():
+        rules = specs[name].rules
+        valid[name], rejected = quarantine(frame, rules) if rules else (frame, None)
+        if rejected is not None:
+            write_partitioned(
+                rejected, specs[name].quarantine_path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic
+            )
+    write_silver(valid, specs, dynamic=dynamic)
+    for name in valid:
+        if specs[name].table:
+            create_external_table(spark, specs[name].table, specs[name].output_path, partitioned=True)
+
+
 def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     used = {spec.joins[0].left, *[s.right for s in spec.joins]} if spec.joins else set(spec.datasets)
     return {
@@ -84,7 +106,7 @@ def run_report(
     """
     require_format(spark, spec.output.format)
     ingested = ingest_all(spark, spec.datasets.values())
-    write_silver(frames(ingested), spec.datasets, dynamic=dynamic_silver)
+    publish_silver(spark, frames(ingested), spec.datasets, dynamic_silver)
     silver = read_silver(spark, spec)
     register_views(spark, silver)
     chain = report_chain(silver, spec)
@@ -102,8 +124,18 @@ def run_report(
 
     rows = report_rows(chain, spec.output)
     write_partitioned(
-        rows, spec.output.path, spec.output.format, "overwrite", spec.output.partition_by, rebalance=True
+        rows,
+        spec.output.path,
+        spec.output.format,
+        "overwrite",
+        spec.output.partition_by,
+        dynamic=spec.output.dynamic,
+        rebalance=True,
     )
+    if spec.output.table:
+        create_external_table(
+            spark, spec.output.table, spec.output.path, spec.output.format, bool(spec.output.partition_by)
+        )
     report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)

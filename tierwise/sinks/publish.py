@@ -94,8 +94,11 @@ def write_silver(
         log.info("writing silver dataset %s to %s", name, path)
         write_partitioned(frames[name], path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
 
+    if not frames:
+        return
+    in_session = inheritable_thread_target(next(iter(frames.values())).sparkSession)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        jobs = {name: pool.submit(inheritable_thread_target(write), name) for name in frames}
+        jobs = {name: pool.submit(in_session(write), name) for name in frames}
     for name, job in jobs.items():
         if job.exception() is not None:
             raise RuntimeError(f"silver dataset {name} was not written") from job.exception()

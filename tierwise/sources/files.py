@@ -134,6 +134,13 @@ def _ingest(spark: SparkSession, spec: DatasetSpec) -> IngestResult:
     return IngestResult(spec.name, "read", frame=frame, rejected=rejected)
 
 
+def day_files(listing: DataFrame, fresh: DataFrame) -> DataFrame:
+    """All files of the days that ``fresh`` files belong to."""
+    day = F.substring("stamp", 1, 8).alias("__day")
+    days = fresh.filter("dated").select(day).distinct()
+    return listing.withColumn("__day", F.substring("stamp", 1, 8)).join(days, "__day", "left_semi").drop("__day")
+
+
 def ingest_all(spark: SparkSession, specs: Iterable[DatasetSpec]) -> dict[str, IngestResult]:
     """One lazy frame per readable dataset, plus the status of every dataset."""
     return {spec.name: ingest(spark, spec) for spec in specs}

@@ -10,6 +10,7 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 # Configuration vocabulary, file-name stamp and view suffix.
 STAMP_PATTERN = r".*_(\d{4})(\d{2})(\d{2})\d{6}\..*"
@@ -71,13 +72,61 @@ def _one_of(value: str, allowed: Sequence[str], where: str) -> str:
     return value
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A named row rule.
+
+    kind: ``not_null``, ``range`` (min and/or max, inclusive), ``in_set`` (values),
+    ``regex`` (pattern found in the text), ``type`` (text parses as ``as_type``) or
+    ``sql`` (a boolean expression).  Nulls only break ``not_null``.
+    """
+
+    name: str
+    kind: str
+    column: str | None = None
+    min: object = None
+    max: object = None
+    values: tuple = ()
+    pattern: str | None = None
+    as_type: str | None = None
+    expression: str | None = None
+
+    # What each kind needs beside its name.
+    NEEDS: ClassVar[Mapping[str, tuple[str, ...]]] = {
+        "not_null": ("column",),
+        "range": ("column",),
+        "in_set": ("column", "values"),
+        "regex": ("column", "pattern"),
+        "type": ("column", "as_type"),
+        "sql": ("expression",),
+    }
+
+    def __post_init__(self) -> None:
+        where = f"rule {self.name}"
+        _one_of(self.kind, tuple(self.NEEDS), where)
+        for needed in self.NEEDS[self.kind]:
+            if not getattr(self, needed):
+                raise SpecError(f"{where}: '{needed}' is required")
+        if self.kind == "range" and self.min is None and self.max is None:
+            raise SpecError(f"{where}: a range needs min or max")
+
+    @classmethod
+    def from_dict(cls, cfg: Mapping) -> Rule:
+        unknown = set(cfg) - set(cls.__dataclass_fields__)
+        if unknown:
+            raise SpecError(f"rule {cfg.get('name')}: unknown settings {sorted(unknown)}")
+        return cls(**{**cfg, "values": tuple(cfg.get("values", ()))})
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     """A feed: the files of one directory whose names match ``pattern``.
 
     ``snapshot`` is ``latest`` (files carrying the newest stamp) or ``all``.
     ``schema`` is an optional DDL string; without it columns come as read.
-    ``casts`` are applied with ``try_cast`` when the silver layer is read back.
+    ``casts`` are applied with ``try_cast`` when the silver layer is read back.  Rows
+    breaking one of ``rules`` go to ``quarantine_path`` instead of silver.  ``table``
+    registers the silver folder as an external table.
     """
 
     name: str
@@ -93,6 +142,9 @@ class DatasetSpec:
     required: bool = False
     casts: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
+    rules: tuple[Rule, ...] = ()
+    quarantine_path: str | None = None
+    table: str | None = None
 
     def __post_init__(self) -> None:
         _one_of(self.snapshot, ("latest", "all"), f"dataset {self.name}")
@@ -100,6 +152,8 @@ class DatasetSpec:
             re.compile(self.pattern)
         except re.error as err:
             raise SpecError(f"dataset {self.name}: bad regex {self.pattern!r}: {err}") from err
+        if self.rules and not self.quarantine_path:
+            raise SpecError(f"dataset {self.name}: rules need a quarantine_path")
 
     @classmethod
     def from_dict(cls, name: str, cfg: Mapping) -> DatasetSpec:
@@ -117,6 +171,9 @@ class DatasetSpec:
             required=as_bool(cfg.get("required", False)),
             casts=dict(cfg.get("casts", {})),
             options=dict(cfg.get("options", {})),
+            rules=tuple(Rule.from_dict(r) for r in cfg.get("rules", ())),
+            quarantine_path=cfg.get("quarantine_path"),
+            table=cfg.get("table"),
         )
 
 
@@ -173,7 +230,8 @@ class OutputSpec:
     """Projection and sink of a report.
 
     ``date_parts`` are the three columns ``date_id`` is built from.  ``legacy_date_id``
-    keeps the unpadded text form (``2024-1-1``) instead of a DATE.
+    keeps the unpadded text form (``2024-1-1``) instead of a DATE.  ``dynamic`` replaces
+    only the days the run produced.  ``table`` registers the folder as an external table.
     """
 
     path: str
@@ -183,6 +241,8 @@ class OutputSpec:
     partition_by: tuple[str, ...] = ("date_id",)
     legacy_date_id: bool = False
     drop_unmatched: bool = False
+    dynamic: bool = False
+    table: str | None = None
 
     @classmethod
     def from_dict(cls, cfg: Mapping) -> OutputSpec:
@@ -194,6 +254,8 @@ class OutputSpec:
             partition_by=as_tuple(cfg.get("partition_by", "date_id")),
             legacy_date_id=as_bool(cfg.get("legacy_date_id", False)),
             drop_unmatched=as_bool(cfg.get("drop_unmatched", False)),
+            dynamic=as_bool(cfg.get("dynamic", False)),
+            table=cfg.get("table"),
         )
 
 

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.operators.keys import dedup_latest, surrogate_keys
-from tierwise.operators.quality import Rule, not_unique, orphans, rule_report, with_failed_rules
+from tierwise.operators.quality import not_unique, orphans, rule_report, with_failed_rules
 from tierwise.operators.scd1 import change_class, scd1_merge
 from tierwise.operators.scd2 import open_versions, rebuild_history, scd2_merge
 from tierwise.plans.dimension import merge_dimension
 from tierwise.scratch import work_dir
 from tierwise.sinks.publish import staged_publish, write_partitioned
 from tierwise.sources.files import read_layer
-from tierwise.spec import ScdSpec
+from tierwise.spec import Rule, ScdSpec
 from workload.registry import query
 from workload.tables import CUT, EARLY, LATE, SQL_PROFILES, profiles, table
 
