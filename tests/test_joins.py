@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierwise.operators.joins import hot_keys, join_chain, salted_outer_join, unparsable_keys
+from tierwise.operators.joins import _spread, hot_keys, join_chain, salted_outer_join, unparsable_keys
 from tierwise.spec import JoinStep, SpecError
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
@@ -41,16 +41,27 @@ def test_hot_key_is_spread_over_salts(spark):
     )
     plain = keys.join(copy, F.col("a.k") == F.col("b.k"), "left")
     assert joined.count() == plain.count() == 2003
-    from tierwise.operators.joins import _spread, _with_salts
-
     table = hot_keys(rows, [F.col("k")], 100, 1.0)
-    salted = _spread(_with_salts(rows, [F.col("k")], table, "s"), "s", "salt", ["y"])
+    salted = _spread(rows, [F.col("k")], table, "salt", ["y"])
     sizes = [r["count"] for r in salted.filter("k = 7").groupBy("salt").count().collect()]
     assert len(sizes) == 21 and max(sizes) < 250
-    by_partition = _spread(_with_salts(rows, [F.col("k")], table, "s"), "s", "salt", [])
+    by_partition = _spread(rows, [F.col("k")], table, "salt")
     assert by_partition.filter("k = 7").select("salt").distinct().count() > 8
 
 
+def test_full_join_spreads_rows_without_a_key(spark):
+    rows = spark.range(0, 3000, 1, 24).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("y")
+    )
+    table = hot_keys(rows, [F.col("k")], 100, 1.0, with_nulls=True)
+    assert [(r["__hot_0"], r["__salts"]) for r in table.collect()] == [(None, 10)]
+    spread = _spread(rows, [F.col("k")], table, "salt")
+    assert spread.filter("k is null").select("salt").distinct().count() > 5
+    a, b = rows.alias("a"), rows.alias("b")
+    joined = salted_outer_join(a, b, [(F.col("a.k"), F.col("b.k"))], "full", rows_per_salt=100, probe=1.0)
+    assert joined.count() == 4000
+
+
 def test_composite_and_mixed_type_keys(spark):
     a = spark.createDataFrame([("1", "x", 1), ("bad", "x", 2), (None, "y", 3)], "k string, g string, i int")
     b = spark.createDataFrame([(1, "x", 10), (1, "x", 11), (2, "y", 12)], "k bigint, g string, j int")

@@ -60,8 +60,12 @@ def test_scd2_properties(spark, first, second, third):
         assert [r.is_current for r in versions] == [False] * (len(versions) - 1) + [True]
         for old, new in zip(versions, versions[1:]):
             assert old.effective_to == new.effective_from > old.effective_from
-    again = scd2_merge(frame(spark, third), history, ["k"], DAY2)
-    assert rows(again) == rows(history)
+    for small in (False, True):
+        again = scd2_merge(frame(spark, third), history, ["k"], DAY2, small_source=small)
+        assert rows(again) == rows(history)
+    opened = open_versions(frame(spark, first), ["k"], DAY0)
+    both = [scd2_merge(frame(spark, second), opened, ["k"], DAY1, small_source=b) for b in (False, True)]
+    assert rows(both[0]) == rows(both[1])
 
 
 def test_null_shift_and_separator(spark):

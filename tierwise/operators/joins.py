@@ -55,7 +55,11 @@ def key_pair(
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[Column], rows_per_salt: int = ROWS_PER_SALT, probe: float = PROBE
+    df: DataFrame,
+    keys: Sequence[Column],
+    rows_per_salt: int = ROWS_PER_SALT,
+    probe: float = PROBE,
+    with_nulls: bool = False,
 ) -> DataFrame | None:
     """(__hot_0, ..., __salts) of keys holding over ``rows_per_salt`` rows; None if there are none.
 
@@ -63,12 +67,9 @@ def hot_keys(
     """
     names = [f"__hot_{i}" for i in range(len(keys))]
     counted = df if probe >= 1 else df.sample(fraction=probe, seed=17)
-    counts = (
-        counted.select(*[k.alias(n) for k, n in zip(keys, names)])
-        .dropna()
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
+    counted = counted.select(*[k.alias(n) for k, n in zip(keys, names)])
+    counted = counted if with_nulls else counted.dropna()
+    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     per_salt = rows_per_salt * probe
     salts = F.least(F.ceil(F.col("__n") / per_salt), F.lit(MAX_SALTS)).cast("int").alias("__salts")
     hot = counts.filter(F.col("__n") > per_salt).orderBy(F.desc("__n"), *names).limit(HOT_KEYS)
@@ -77,30 +78,36 @@ def hot_keys(
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def _with_salts(df: DataFrame, keys: Sequence[Column], hot: DataFrame, name: str) -> DataFrame:
+def _with_salts(
+    df: DataFrame, keys: Sequence[Column], hot: DataFrame, name: str, null_safe: bool = False
+) -> DataFrame:
     """``df`` plus the number of salts of its key under ``name``, null for an ordinary key."""
     lookup = hot.withColumnRenamed("__salts", name)
-    match = reduce(and_, [k == F.col(f"__hot_{i}") for i, k in enumerate(keys)])
     helper = [f"__hot_{i}" for i in range(len(keys))]
-    return df.join(F.broadcast(lookup), match, "left").drop(*helper)  # at most HOT_KEYS rows
+    match = [k.eqNullSafe(F.col(h)) if null_safe else k == F.col(h) for k, h in zip(keys, helper)]
+    return df.join(F.broadcast(lookup), reduce(and_, match), "left").drop(*helper)  # HOT_KEYS rows at most
 
 
-def _spread(df: DataFrame, salts: str, salt: str, salt_by: Sequence[str]) -> DataFrame:
+def _spread(
+    df: DataFrame, keys: Sequence[Column], hot: DataFrame, salt: str, salt_by: Sequence[str] = ()
+) -> DataFrame:
     """Give each row of a hot key one salt.
 
     The salt follows the input partition, plus ``salt_by`` columns for a finer spread.
     Neither depends on row order, so a recomputed task repeats it exactly; identical
     copies spread because they sit in many partitions; no extra column has to be read.
+    Rows without a key match nothing, so they may be spread like any hot key.
     """
+    df = _with_salts(df, keys, hot, "__salts", null_safe=True)
     position = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_by])
-    chosen = F.pmod(position, F.col(salts)).cast("int")
-    return df.withColumn(salt, F.when(F.col(salts).isNull(), F.lit(0)).otherwise(chosen))
+    chosen = F.pmod(position, F.col("__salts")).cast("int")
+    return df.withColumn(salt, F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(chosen)).drop("__salts")
 
 
-def _repeat(df: DataFrame, salts: str, salt: str) -> DataFrame:
-    """One copy of each row per salt of its key."""
+def _repeat(df: DataFrame, keys: Sequence[Column], hot: DataFrame, salts: str, copy: str) -> DataFrame:
+    """One copy of each row per salt of its key; ``salts`` stays null for ordinary keys."""
     last = F.coalesce(F.col(salts), F.lit(1)) - 1
-    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
+    return _with_salts(df, keys, hot, salts).withColumn(copy, F.explode(F.sequence(F.lit(0), last)))
 
 
 def salted_outer_join(
@@ -119,21 +126,21 @@ def salted_outer_join(
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     condition = reduce(and_, [a == b for a, b in pairs])
     # Padded sides, which adaptive execution cannot split: right of a left join and vice versa.
-    hot_right = hot_keys(right, right_keys, rows_per_salt, probe) if how in ("left", "full") else None
-    hot_left = hot_keys(left, left_keys, rows_per_salt, probe) if how in ("right", "full") else None
+    # A full join pads rows without a key as well.
+    probing = {"rows_per_salt": rows_per_salt, "probe": probe, "with_nulls": how == "full"}
+    hot_right = hot_keys(right, right_keys, **probing) if how in ("left", "full") else None
+    hot_left = hot_keys(left, left_keys, **probing) if how in ("right", "full") else None
     if hot_right is None and hot_left is None:
         return left.join(right, condition, how)
     lonely_copy = F.lit(False)
     if hot_right is not None:
-        right = _with_salts(right, right_keys, hot_right, "__r_hot")
-        right = _spread(right, "__r_hot", "__r_salt", salt_by).drop("__r_hot")
-        left = _repeat(_with_salts(left, left_keys, hot_right, "__l_copies"), "__l_copies", "__l_copy")
+        right = _spread(right, right_keys, hot_right, "__r_salt", salt_by)
+        left = _repeat(left, left_keys, hot_right, "__l_copies", "__l_copy")
         condition &= F.col("__l_copy") == F.col("__r_salt")
         lonely_copy |= F.col("__l_copies").isNotNull() & F.col("__r_salt").isNull()
     if hot_left is not None:
-        left = _with_salts(left, left_keys, hot_left, "__l_hot")
-        left = _spread(left, "__l_hot", "__l_salt", ()).drop("__l_hot")
-        right = _repeat(_with_salts(right, right_keys, hot_left, "__r_copies"), "__r_copies", "__r_copy")
+        left = _spread(left, left_keys, hot_left, "__l_salt")
+        right = _repeat(right, right_keys, hot_left, "__r_copies", "__r_copy")
         condition &= F.col("__r_copy") == F.col("__l_salt")
         lonely_copy |= F.col("__r_copies").isNotNull() & F.col("__l_salt").isNull()
     joined = left.join(right, condition, how).filter(~F.coalesce(lonely_copy, F.lit(False)))

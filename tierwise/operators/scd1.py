@@ -146,10 +146,14 @@ def scd1_merge(
     ready = F.broadcast(ready)
     how = "inner" if delete_missing else "left"
     kept = _paired(ready, target, keys, how).select(*merged)
-    matched = target.select(*keys).join(F.broadcast(ready.select(*keys)), list(keys), "left_semi")
-    # Matched keys are a subset of the source's keys, so they fit a broadcast as well.
-    fresh = ready.join(F.broadcast(matched.distinct()), list(keys), "left_anti")
-    return kept.unionByName(fresh)
+    return kept.unionByName(unmatched(ready, target, keys))
+
+
+def unmatched(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a small batch whose key the target lacks; of the target only keys are read."""
+    matched = target.select(*keys).join(F.broadcast(batch.select(*keys)), list(keys), "left_semi")
+    # Matched keys are a subset of the batch's keys, so they fit a broadcast as well.
+    return batch.join(F.broadcast(matched.distinct()), list(keys), "left_anti")
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.hashing import version_hash
 from tierwise.operators.keys import dedup_latest, has_key, split_null_keys
-from tierwise.operators.scd1 import require_columns
+from tierwise.operators.scd1 import require_columns, unmatched
 
 VERSION_COLUMNS = ("effective_from", "effective_to", "is_current", "row_hash")
 
@@ -34,7 +34,7 @@ def open_versions(
     )
 
 
-def _changes(
+def _batch(
     source: DataFrame,
     history: DataFrame,
     keys: Sequence[str],
@@ -42,15 +42,19 @@ def _changes(
     exclude: Sequence[str],
     order_by: Sequence[str],
 ) -> DataFrame:
-    """Current versions (t) beside the batch as open versions (s), with markers."""
-    columns = business_columns(history)
+    """The batch as open versions: complete keys, one row per key, the history's types."""
     require_columns(source, history, derived=VERSION_COLUMNS)
     valid, _ = split_null_keys(source, keys)
     types = {f.name: f.dataType for f in history.schema}
-    batch = dedup_latest(valid, keys, order_by).select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
-    s = open_versions(batch, keys, effective, exclude).withColumn("__in_s", F.lit(True)).alias("s")
-    t = history.filter("is_current").withColumn("__in_t", F.lit(True)).alias("t")
-    return t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")
+    columns = [F.col(c).cast(types[c]).alias(c) for c in business_columns(history)]
+    return open_versions(dedup_latest(valid, keys, order_by).select(*columns), keys, effective, exclude)
+
+
+def _paired(batch: DataFrame, current: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Current versions (t) beside the batch (s), with markers."""
+    s = batch.withColumn("__in_s", F.lit(True)).alias("s")
+    t = current.withColumn("__in_t", F.lit(True)).alias("t")
+    return t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], how)
 
 
 def scd2_merge(
@@ -60,6 +64,7 @@ def scd2_merge(
     effective: datetime.date,
     exclude: Sequence[str] = (),
     order_by: Sequence[str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """The whole history after a batch valid from ``effective``.
 
@@ -67,9 +72,14 @@ def scd2_merge(
     pass through untouched.  Only current versions are joined.  Applying a batch twice
     changes nothing.  Changes not later than the version they would close are left out
     here and reported by ``late_rows``; ``rebuild_history`` can sequence them.
+    ``small_source`` says the source is known to fit a broadcast: no version is shuffled.
     """
     columns = history.columns
-    base = _changes(source, history, keys, effective, exclude, order_by)
+    batch = _batch(source, history, keys, effective, exclude, order_by).select(*columns)
+    current = history.filter("is_current")
+    if small_source:
+        batch = F.broadcast(batch)
+    base = _paired(batch, current, keys, "left" if small_source else "full")
     in_s, in_t = F.col("s.__in_s").isNotNull(), F.col("t.__in_t").isNotNull()
     changed = in_s & in_t & (F.col("s.row_hash") != F.col("t.row_hash"))
     closes = changed & (F.col("t.effective_from") < F.lit(effective))
@@ -86,6 +96,8 @@ def scd2_merge(
         .otherwise(F.array(as_is))
     )
     merged = base.select(F.explode(rows).alias("v")).select("v.*")
+    if small_source:
+        merged = merged.unionByName(unmatched(batch, current, keys))
     return history.filter("NOT is_current").unionByName(merged)
 
 
@@ -98,7 +110,8 @@ def late_rows(
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Batch rows that change a key whose current version is not older than the batch."""
-    base = _changes(source, history, keys, effective, exclude, order_by)
+    batch = _batch(source, history, keys, effective, exclude, order_by)
+    base = _paired(batch, history.filter("is_current"), keys, "inner")
     late = (F.col("s.row_hash") != F.col("t.row_hash")) & (F.col("t.effective_from") >= F.lit(effective))
     return base.filter(late).select(*[F.col(f"s.{c}") for c in business_columns(history)])
 

@@ -120,17 +120,20 @@ def _merge_versions(
     path = spec.target_path.rstrip("/")
     current_path, closed_path = f"{path}/is_current=true", f"{path}/is_current=false"
     recover(spark, current_path)
+    small = measured_bytes(source) <= spec.broadcast_limit_bytes
     if path_exists(spark, current_path):
         current = read_history(spark, path).filter("is_current")
         if spec.check_target:
-            require_unique(current, spec.join_keys, path)
+            batch = split_null_keys(source, spec.join_keys)[0]
+            require_unique(touched(current, batch, spec.join_keys, small), spec.join_keys, path)
     else:
         current = open_versions(source, spec.join_keys, effective, exclude).limit(0)
-    merged = scd2_merge(source, current, spec.join_keys, effective, exclude, spec.order_by)
-    staging = staging_of(f"{path}/merge")
-    write_partitioned(
-        merged, staging, mode="errorifexists", partition_by=["is_current", "effective_to"], rebalance=True
+    merged = scd2_merge(
+        source, current, spec.join_keys, effective, exclude, spec.order_by, small_source=small
     )
+    staging = staging_of(f"{path}/merge")
+    folders = ["is_current", "effective_to"]  # two folders, so any task writes two files at most
+    write_partitioned(merged, staging, mode="errorifexists", partition_by=folders)
     day = f"effective_to={effective.isoformat()}"
     newly_closed = f"{staging}/is_current=false/{day}"
     if path_exists(spark, newly_closed):
