@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from tierwise.functions.columns import drop_file_columns, malformed_counts, side_columns
 from tierwise.operators.scd1 import schema_report
 from tierwise.plans.dimension import initial_load
-from tierwise.plans.report import run_report
+from tierwise.plans.incremental import ingest_new
+from tierwise.plans.report import publish_silver, run_report
 from tierwise.scratch import work_dir
 from tierwise.sinks.publish import write_partitioned, write_silver
 from tierwise.sources.catalog import create_external_table, register_views, view
 from tierwise.sources.files import feed_files, ingest, ingest_all, read_layer
-from tierwise.sources.ledger import unprocessed
-from tierwise.spec import DatasetSpec, ReportSpec
+from tierwise.sources.ledger import FileLedger, unprocessed
+from tierwise.spec import DatasetSpec, ReportSpec, Rule
 from workload.registry import query
 from workload.tables import (
     CUT,
@@ -353,6 +354,52 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "ingest_incremental",
+    f"""select account_number, balance, case when o_orderdate < timestamp '{CUT}' then 1 else 2 end as "day"
+    from ({SQL_ACCOUNTS})""",
+)
+def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries; the job runs after each, and once more with nothing new."""
+    root = work_dir(spark, "incremental")
+    ledger = FileLedger(spark, f"{root}/ledger")
+    rows = accounts(spark, sf_dir)
+    early = F.col("open_date") < CUT
+    spec = feed_spec(
+        "accounts", f"{root}/bronze", output_path=f"{root}/silver", delimiter="|", schema=ACCOUNT_SCHEMA
+    )
+    for part, stamp in ((rows.filter(early), EARLY), (rows.filter(~early), LATE)):
+        drop_feed(part, spec.input_path, "accounts", stamp, "csv", header=True, sep="|")
+        ingest_new(spark, spec, ledger, stamp)
+    ingest_new(spark, spec, ledger, "again")
+    return read_layer(spark, spec.output_path).select("account_number", "balance", "day")
+
+
+@query(
+    "dq_feed_rules",
+    f"""select account_number, case when o_totalprice > 450000 then 'price_plausible' else '' end failed
+    from ({SQL_ACCOUNTS.replace("o_orderdate from", "o_orderdate, o_totalprice from")})""",
+)
+def dq_feed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed published through its rules: silver and quarantine together hold every row."""
+    root = work_dir(spark, "rules")
+    drop_feed(accounts(spark, sf_dir), f"{root}/bronze", "accounts", EARLY, "csv", header=True, sep="|")
+    rule = Rule("price_plausible", "sql", expression="try_cast(balance as double) <= 450000")
+    spec = feed_spec(
+        "accounts",
+        f"{root}/bronze",
+        output_path=f"{root}/silver",
+        delimiter="|",
+        schema=ACCOUNT_SCHEMA,
+        rules=(rule,),
+        quarantine_path=f"{root}/quarantine",
+    )
+    publish_silver(spark, {"accounts": ingest(spark, spec).frame}, {"accounts": spec})
+    valid = read_layer(spark, spec.output_path).select("account_number", F.lit("").alias("failed"))
+    rejected = spark.read.parquet(spec.quarantine_path)
+    return valid.unionByName(rejected.select("account_number", F.concat_ws(",", "failed_rules").alias("failed")))
+
+
 @query("external_table", "select * from orders")
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _orders_by_year(spark, sf_dir)

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from tierwise.operators.keys import dedup_latest, surrogate_keys
 from tierwise.operators.quality import not_unique, orphans, rule_report, with_failed_rules
-from tierwise.operators.scd1 import change_class, scd1_merge
-from tierwise.operators.scd2 import open_versions, rebuild_history, scd2_merge
-from tierwise.plans.dimension import merge_dimension
+from tierwise.operators.scd1 import change_class, measured_bytes, scd1_merge
+from tierwise.operators.scd2 import late_rows, open_versions, rebuild_history, scd2_merge
+from tierwise.plans.dimension import merge_dimension, read_history
 from tierwise.scratch import work_dir
 from tierwise.sinks.publish import staged_publish, write_partitioned
 from tierwise.sources.files import read_layer
-from tierwise.spec import Rule, ScdSpec
+from tierwise.spec import DATE_PARTS, Rule, ScdSpec
 from workload.registry import query
 from workload.tables import CUT, EARLY, LATE, SQL_PROFILES, profiles, table
 
@@ -33,6 +33,14 @@ def scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd1_merge(source, target, KEY)
 
 
+@query("scd1_small_source", SQL_MERGED)
+def scd1_small_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form used for a batch measured to fit a broadcast; else the full join."""
+    source, target = profiles(spark, sf_dir)
+    small = measured_bytes(source) <= ScdSpec.broadcast_limit_bytes
+    return scd1_merge(source, target, KEY, small_source=small)
+
+
 @query(
     "scd1_change_class",
     f"""with {SQL_PROFILES} select coalesce(s.customer_key, t.customer_key) customer_key,
@@ -94,22 +102,21 @@ def scd1_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, path)
 
 
+def _silver(rows: DataFrame, path: str, stamp: str) -> str:
+    """A snapshot as a dated silver source."""
+    parts = {"year": stamp[:4], "month": stamp[4:6], "day": stamp[6:8], "filename": f"customers_{stamp}.csv"}
+    dated = rows.drop("as_of").withColumns({c: F.lit(v) for c, v in parts.items()})
+    write_partitioned(dated, path, partition_by=DATE_PARTS)
+    return path
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> ScdSpec:
     """The two snapshots as a gold dimension and a dated silver source."""
     source, target = profiles(spark, sf_dir)
     root = work_dir(spark, "dimension")
     gold = target.drop("as_of").withColumn("date_id", F.lit("2024-01-01"))
     write_partitioned(gold, f"{root}/gold", partition_by="date_id")
-    silver = source.drop("as_of").withColumns(
-        {
-            "filename": F.lit(f"customers_{LATE}.csv"),
-            "year": F.lit("2024"),
-            "month": F.lit("01"),
-            "day": F.lit("02"),
-        }
-    )
-    write_partitioned(silver, f"{root}/silver", partition_by=["year", "month", "day"])
-    return ScdSpec(f"{root}/silver", f"{root}/gold", tuple(KEY))
+    return ScdSpec(_silver(source, f"{root}/silver", LATE), f"{root}/gold", tuple(KEY))
 
 
 @query(
@@ -130,9 +137,7 @@ SQL_HASH = """md5(concat(coalesce(concat(cast(length({0}status) as varchar), ':'
     coalesce(concat(cast(length({0}priority) as varchar), ':', {0}priority), '-')))"""
 
 
-@query(
-    "scd2_merge",
-    f"""with {SQL_PROFILES},
+SQL_VERSIONS = f"""with {SQL_PROFILES},
     j as (select t.customer_key tk, t.status ts, t.priority tp, s.customer_key sk, s.status ss, s.priority sp,
           {SQL_HASH.format('t.')} th, {SQL_HASH.format('s.')} sh
           from tgt t full join src s on t.customer_key = s.customer_key)
@@ -141,12 +146,37 @@ SQL_HASH = """md5(concat(coalesce(concat(cast(length({0}status) as varchar), ':'
       not (sk is not null and th <> sh) is_current, th row_hash from j where tk is not null
     union all
     select sk, ss, sp, date '2024-01-01', null, true, sh from j
-      where sk is not null and (tk is null or th <> sh)""",
-)
+      where sk is not null and (tk is null or th <> sh)"""
+FIRST_DAY, NEXT_DAY = datetime.date(2023, 1, 1), datetime.date(2024, 1, 1)
+
+
+@query("scd2_merge", SQL_VERSIONS)
 def scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = [df.drop("as_of") for df in profiles(spark, sf_dir)]
-    history = open_versions(target, KEY, datetime.date(2023, 1, 1))
-    return scd2_merge(source, history, KEY, datetime.date(2024, 1, 1))
+    return scd2_merge(source, open_versions(target, KEY, FIRST_DAY), KEY, NEXT_DAY)
+
+
+@query("scd2_dimension_job", SQL_VERSIONS)
+def scd2_dimension_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both snapshots through the published dimension, the second one delivered twice."""
+    source, target = profiles(spark, sf_dir)
+    root = work_dir(spark, "versions")
+    first = _silver(target, f"{root}/first", EARLY)
+    later = _silver(source, f"{root}/later", LATE)
+    for path, day in ((first, FIRST_DAY), (later, NEXT_DAY), (later, NEXT_DAY)):
+        merge_dimension(spark, ScdSpec(path, f"{root}/gold", tuple(KEY), scd_type="scd2"), day)
+    return read_history(spark, f"{root}/gold")
+
+
+@query(
+    "scd2_late_rows",
+    f"""with {SQL_PROFILES} select t.customer_key, t.status, t.priority from tgt t
+    join src s on t.customer_key = s.customer_key where t.status <> s.status or t.priority <> s.priority""",
+)
+def scd2_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier snapshot arriving after the later one."""
+    later, earlier = [df.drop("as_of") for df in profiles(spark, sf_dir)]
+    return late_rows(earlier, open_versions(later, KEY, NEXT_DAY), KEY, FIRST_DAY)
 
 
 @query(

@@ -14,7 +14,13 @@ from tierwise.functions.columns import (
 )
 from tierwise.functions.hashing import row_hash
 from tierwise.operators.joins import join_chain
-from tierwise.operators.metrics import daily_summary, day_over_day, global_aggregates, totals_per_key
+from tierwise.operators.metrics import (
+    daily_summary,
+    day_over_day,
+    global_aggregates,
+    grouped_aggregates,
+    totals_per_key,
+)
 from tierwise.plans.report import report_rows
 from tierwise.spec import JoinStep, OutputSpec
 from workload.registry import query
@@ -340,15 +346,21 @@ def daily_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.withColumn("total_change", F.round("total_change", 2))
 
 
-@query(
-    "grouped_rollup",
-    """select o_orderstatus, o_orderpriority, count(*) n, round(sum(o_totalprice), 2) total
-    from orders group by rollup (o_orderstatus, o_orderpriority)""",
-)
-def grouped_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tierwise.operators.metrics import grouped_aggregates
+SQL_GROUPED = """select o_orderstatus, o_orderpriority, count(*) n, round(sum(o_totalprice), 2) total
+    from orders group by %s (o_orderstatus, o_orderpriority)"""
+
 
+def _grouped(spark: SparkSession, sf_dir: str, grouping: str) -> DataFrame:
     expressions = {"n": "count(*)", "total": "round(sum(o_totalprice), 2)"}
-    return grouped_aggregates(
-        table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"], expressions, "rollup"
-    )
+    by = ["o_orderstatus", "o_orderpriority"]
+    return grouped_aggregates(table(spark, sf_dir, "orders"), by, expressions, grouping)
+
+
+@query("grouped_rollup", SQL_GROUPED % "rollup")
+def grouped_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grouped(spark, sf_dir, "rollup")
+
+
+@query("grouped_cube", SQL_GROUPED % "cube")
+def grouped_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grouped(spark, sf_dir, "cube")
