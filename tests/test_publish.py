@@ -195,3 +195,45 @@ def test_shared_folder_is_required_off_local(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.work_root(spark)
+
+
+def test_several_silver_days_the_latest_file_wins(spark, tmp_path):
+    def day(stamp, rows):
+        frame = spark.createDataFrame(rows, "k string, v string")
+        parts = {"year": stamp[:4], "month": stamp[4:6], "day": stamp[6:8], "filename": f"f_{stamp}.csv"}
+        frame.withColumns({c: F.lit(v) for c, v in parts.items()}).write.mode("append").partitionBy(
+            "year", "month", "day"
+        ).parquet(f"{tmp_path}/silver")
+
+    day("20240101060606", [("1", "zzz"), ("2", "only first")])
+    day("20240102060606", [("1", "old")])
+    day("20240102080808", [("1", "new")])
+    gold = f"{tmp_path}/gold"
+    spark.createDataFrame([("1", "t", "2023-01-01")], "k string, v string, date_id string").write.partitionBy(
+        "date_id"
+    ).parquet(gold)
+    cfg = {"source_table": f"{tmp_path}/silver", "target_table": gold, "join_keys": "k"}
+    merge_dimension(spark, ScdSpec.from_dict({**cfg, "source_filter": "day = 2"}))
+    assert [(r.k, r.v, str(r.date_id)) for r in spark.read.parquet(gold).collect()] == [("1", "new", "2024-01-02")]
+    merge_dimension(spark, ScdSpec.from_dict(cfg))
+    assert sorted((r.k, r.v) for r in spark.read.parquet(gold).collect()) == [("1", "new"), ("2", "only first")]
+    versions = ScdSpec.from_dict({**cfg, "target_table": f"{tmp_path}/v", "scd_type": "scd2"})
+    assert merge_dimension(spark, versions, datetime.date(2024, 1, 2)) == 2
+    assert sorted((r.k, r.v) for r in read_history(spark, f"{tmp_path}/v").collect()) == [
+        ("1", "new"), ("2", "only first"),
+    ]
+    with pytest.raises(ValueError, match="empty source"):
+        merge_dimension(
+            spark, ScdSpec.from_dict({**cfg, "source_filter": "day = 9", "delete_missing": True})
+        )
+
+
+def test_table_follows_replaced_partitions(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    for days in (2, 1):
+        staged_publish(
+            spark, spark.range(4).withColumn("day", F.col("id") % days), path, partition_by="day"
+        )
+        table = create_external_table(spark, "followed_t", path, partitioned=True)
+        assert table.count() == 4 and spark.sql("SHOW PARTITIONS followed_t").count() == days
+    spark.sql("DROP TABLE followed_t")

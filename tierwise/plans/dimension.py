@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise import scratch
-from tierwise.functions.columns import date_id_from_name, drop_file_columns, with_date_id
+from tierwise.functions.columns import date_id_from_name, drop_file_columns, file_stamp, with_date_id
 from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys
 from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
 from tierwise.operators.scd2 import VERSION_COLUMNS, open_versions, scd2_merge
@@ -27,6 +27,8 @@ from tierwise.spec import DatasetSpec, ScdSpec
 
 log = logging.getLogger(__name__)
 
+STAMP = "__stamp"
+
 
 def initial_load(
     spark: SparkSession, first: DatasetSpec, gold_path: str, then: DatasetSpec | None = None
@@ -48,8 +50,12 @@ def initial_load(
 
 
 def dimension_source(silver: DataFrame) -> DataFrame:
-    """Silver rows in the dimension's shape: ``date_id`` from the file name, no file columns."""
-    return drop_file_columns(silver.withColumn("date_id", date_id_from_name(F.col("filename"))))
+    """Silver rows in the dimension's shape: ``date_id`` from the file name, no file columns.
+
+    The file's stamp stays as a helper that orders several rows of one key.
+    """
+    name = F.col("filename")
+    return drop_file_columns(silver.withColumns({"date_id": date_id_from_name(name), STAMP: file_stamp(name)}))
 
 
 def merge_dimension(
@@ -59,16 +65,21 @@ def merge_dimension(
     quarantine_path: str | None = None,
 ) -> int:
     """Merge the source into the target path and publish it there; returns its row count."""
-    source = dimension_source(read_layer(spark, spec.source_path))
+    silver = read_layer(spark, spec.source_path)
+    source = dimension_source(silver.filter(spec.source_filter) if spec.source_filter else silver)
+    order_by = spec.order_by or (STAMP,)
     if quarantine_path:
         _, rejected = split_null_keys(source, spec.join_keys)
-        write_partitioned(rejected, quarantine_path, mode="append")
+        write_partitioned(rejected.drop(STAMP), quarantine_path, mode="append")
     if spec.scd_type == "scd2":
-        return _merge_versions(spark, spec, source, effective or datetime.date.today())
+        return _merge_versions(spark, spec, source, order_by, effective or datetime.date.today())
     recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
     target = read_layer(spark, spec.target_path)
-    batch = prepared_source(source, target, spec.join_keys, spec.order_by)
-    small = measured_bytes(batch) <= spec.broadcast_limit_bytes
+    batch = prepared_source(source, target, spec.join_keys, order_by)
+    size = measured_bytes(batch)
+    if spec.delete_missing and size == 0:
+        raise ValueError(f"{spec.source_path}: an empty source would delete the whole dimension")
+    small = size <= spec.broadcast_limit_bytes
     log.info("merging %s into %s, small source: %s", spec.source_path, spec.target_path, small)
     if spec.check_target:
         require_unique(touched(target, batch, spec.join_keys, small), spec.join_keys, spec.target_path)
@@ -79,7 +90,7 @@ def merge_dimension(
         compare=spec.compare,
         metadata_cols=spec.metadata_cols,
         compare_exclude=spec.compare_exclude,
-        order_by=spec.order_by,
+        order_by=order_by,
         delete_missing=spec.delete_missing,
         small_source=small,
     )
@@ -106,7 +117,11 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _merge_versions(
-    spark: SparkSession, spec: ScdSpec, source: DataFrame, effective: datetime.date
+    spark: SparkSession,
+    spec: ScdSpec,
+    source: DataFrame,
+    order_by: tuple[str, ...],
+    effective: datetime.date,
 ) -> int:
     """Type 2 merge whose cost follows the current versions, not the history.
 
@@ -127,9 +142,9 @@ def _merge_versions(
             batch = split_null_keys(source, spec.join_keys)[0]
             require_unique(touched(current, batch, spec.join_keys, small), spec.join_keys, path)
     else:
-        current = open_versions(source, spec.join_keys, effective, exclude).limit(0)
+        current = open_versions(source.drop(STAMP), spec.join_keys, effective, exclude).limit(0)
     merged = scd2_merge(
-        source, current, spec.join_keys, effective, exclude, spec.order_by, small_source=small
+        source, current, spec.join_keys, effective, exclude, order_by, small_source=small
     )
     staging = staging_of(f"{path}/merge")
     folders = ["is_current", "effective_to"]  # two folders, so any task writes two files at most

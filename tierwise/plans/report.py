@@ -13,7 +13,13 @@ from tierwise.functions.columns import date_id, project
 from tierwise.operators.joins import join_chain
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
 from tierwise.operators.quality import quarantine
-from tierwise.sinks.publish import require_format, write_partitioned, write_silver
+from tierwise.sinks.publish import (
+    BUILT_IN_FORMATS,
+    require_format,
+    staged_publish,
+    write_partitioned,
+    write_silver,
+)
 from tierwise.sources.catalog import create_external_table, register_views
 from tierwise.sources.files import IngestResult, frames, ingest_all, read_layer
 from tierwise.spec import DATE_PARTS, DatasetSpec, OutputSpec, ReportSpec, SpecError
@@ -91,6 +97,28 @@ def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     }
 
 
+def publish_report(spark: SparkSession, rows: DataFrame, output: OutputSpec) -> None:
+    """Replace the gold table, or with ``dynamic`` only the days in ``rows``.
+
+    File formats are swapped in after they are complete: an overwrite in place would
+    delete the old table first and leave nothing behind a failed job.
+    """
+    if output.dynamic or output.format not in BUILT_IN_FORMATS:
+        write_partitioned(
+            rows,
+            output.path,
+            output.format,
+            "overwrite",
+            output.partition_by,
+            dynamic=output.dynamic,
+            rebalance=True,
+        )
+    else:
+        staged_publish(spark, rows, output.path, output.format, output.partition_by, rebalance=True)
+    if output.table:
+        create_external_table(spark, output.table, output.path, output.format, bool(output.partition_by))
+
+
 def run_report(
     spark: SparkSession,
     spec: ReportSpec,
@@ -122,20 +150,7 @@ def run_report(
             aggregates = metrics.first()
             log.info("aggregates: %s", aggregates.asDict())
 
-    rows = report_rows(chain, spec.output)
-    write_partitioned(
-        rows,
-        spec.output.path,
-        spec.output.format,
-        "overwrite",
-        spec.output.partition_by,
-        dynamic=spec.output.dynamic,
-        rebalance=True,
-    )
-    if spec.output.table:
-        create_external_table(
-            spark, spec.output.table, spec.output.path, spec.output.format, bool(spec.output.partition_by)
-        )
+    publish_report(spark, report_rows(chain, spec.output), spec.output)
     report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)

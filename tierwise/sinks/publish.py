@@ -19,6 +19,7 @@ log = logging.getLogger(__name__)
 
 # Formats every Spark build can write.
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv")
+COUNTED_FORMATS = ("parquet", "orc")  # counting reads footers only
 
 def _hidden_sibling(path: str, suffix: str) -> str:
     """A folder beside ``path`` that readers skip: leading underscore and no '='."""
@@ -112,29 +113,27 @@ def staged_publish(
     partition_by: str | Sequence[str] = (),
     rebalance: bool = False,
     expected_rows: int | None = None,
-) -> int:
+) -> int | None:
     """Replace ``path`` with ``df``, which may itself read ``path``; returns the row count.
 
     The result is written beside the target, verified, and swapped in by two renames.  A
     failure before the swap leaves the target untouched; one between the renames leaves
     a backup that ``recover`` puts back.  Renames are not atomic on object stores: there,
-    publish through a catalog table (``publish_version``).
+    publish through a catalog table (``publish_version``).  Text formats are only counted
+    when there is a number to compare with, since that reads them.
     """
     recover(spark, path)
     staging = staging_of(path)
-    written = _write_counted(df, staging, file_format, partition_by, rebalance)
+    write_partitioned(df, staging, file_format, "errorifexists", partition_by, rebalance=rebalance)
+    written = None
+    if expected_rows is not None or file_format in COUNTED_FORMATS:
+        written = spark.read.format(file_format).load(staging).count()
     if expected_rows is not None and written != expected_rows:
         raise RuntimeError(f"{path}: wrote {written} rows, expected {expected_rows}; target unchanged")
     swap(spark, staging, path)
     return written
 
 
-def _write_counted(df, path, file_format, partition_by, rebalance) -> int:
-    """Write and count what is really there; for Parquet and ORC that reads footers only."""
-    write_partitioned(df, path, file_format, "errorifexists", partition_by, rebalance=rebalance)
-    return df.sparkSession.read.format(file_format).load(path).count()
-
-
 def swap(spark: SparkSession, staging: str, path: str) -> None:
     """Put ``staging`` in the place of ``path``, keeping the old content as one backup."""
     backup = backup_of(path)
@@ -160,9 +159,9 @@ def publish_version(
     from tierwise.sources.catalog import create_external_table, repoint_table
 
     path = f"{base_path}/{version}"
-    written = _write_counted(df, path, "parquet", (), False)
+    write_partitioned(df, path, "parquet", "errorifexists")
     if spark.catalog.tableExists(table):
         repoint_table(spark, table, path)
     else:
         create_external_table(spark, table, path)
-    return written
+    return spark.read.parquet(path).count()

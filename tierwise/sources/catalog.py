@@ -43,8 +43,9 @@ def create_external_table(
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:
-    """Make partition folders added behind the catalog's back visible."""
-    spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
+    """Follow partition folders added or removed behind the catalog's back."""
+    spark.sql(f"MSCK REPAIR TABLE {quoted(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(quoted(table))
 
 
 def repoint_table(spark: SparkSession, table: str, path: str) -> None:

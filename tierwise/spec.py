@@ -291,7 +291,12 @@ class ReportSpec:
 
 @dataclass(frozen=True)
 class ScdSpec:
-    """A gold dimension and the silver source merged into it."""
+    """A gold dimension and the silver source merged into it.
+
+    ``source_filter`` is a SQL condition on the silver layer, normally on its year, month
+    and day, so that a run reads only new days.  Several source rows of one key are
+    reduced to the latest by ``order_by``, or by the stamp of their files.
+    """
 
     source_path: str
     target_path: str
@@ -305,6 +310,7 @@ class ScdSpec:
     partition_by: tuple[str, ...] = ("date_id",)
     check_target: bool = True
     broadcast_limit_bytes: int = 64 << 20
+    source_filter: str | None = None
 
     def __post_init__(self) -> None:
         _one_of(self.scd_type, ("scd1", "scd2"), "dimension")
@@ -327,4 +333,5 @@ class ScdSpec:
             partition_by=as_tuple(cfg.get("partition_by", "date_id")),
             check_target=as_bool(cfg.get("check_target", True)),
             broadcast_limit_bytes=int(cfg.get("broadcast_limit_bytes", 64 << 20)),
+            source_filter=cfg.get("source_filter"),
         )
