@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierwise.operators.joins import _spread, hot_keys, join_chain, salted_outer_join, unparsable_keys
+from tierwise.operators.joins import _spread, hot_keys, join_chain, key_pair, salted_outer_join, unparsable_keys
 from tierwise.spec import JoinStep, SpecError
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
@@ -109,3 +109,21 @@ def test_outer_steps_without_hot_keys_are_plain(spark):
     chain = join_chain(frames, steps)
     assert chain.count() == 20
     assert str(chain._jdf.queryExecution().optimizedPlan()).count("LeftOuter") == 3  # no hot key, no salt
+
+
+def test_hot_key_of_mixed_types(spark):
+    a = spark.createDataFrame([("7",), ("8",), ("bad",)], "k string").alias("a")
+    b = spark.createDataFrame([(7, i) for i in range(50)], "k bigint, y int").alias("b")
+    pairs = [key_pair(a, "a.k", b, "b.k")]
+    joined = salted_outer_join(a, b, pairs, "left", rows_per_salt=5, probe=1.0)
+    assert joined.count() == 52 and joined.filter("b.k is null").count() == 2
+    assert joined.columns == ["k", "k", "y"]
+
+
+def test_semi_join_moves_distinct_keys_only(spark):
+    a = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    b = spark.createDataFrame([(1, 1)] * 9, "k int, y int")
+    for how, expected in (("semi", [1]), ("anti", [None, 2])):
+        joined = join_chain({"a": a, "b": b}, [step("j", left="a", right="b", join_type=how)])
+        assert sorted((r.k for r in joined.collect()), key=str) == sorted(expected, key=str)
+        assert "Aggregate" in str(joined._jdf.queryExecution().optimizedPlan())

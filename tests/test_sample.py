@@ -142,6 +142,31 @@ def test_metrics_table_and_command_line(spark, bronze):
     assert main(["report", str(path), "--preview", "3"]) == 0
 
 
+def test_grouped_aggregates(spark, bronze):
+    cfg = config(bronze)
+    cfg["etl"] |= {"group_by": ["customers_table.name"], "grouping": "rollup"}
+    cfg["etl"]["aggregations"] = {"rows": "count(*)", "amount": "sum(transactions_table.amount)"}
+    result = run_report(spark, ReportSpec.from_dict(cfg))
+    assert result.aggregates is None
+    assert sorted(map(tuple, result.metrics.collect()), key=str) == [
+        ("Alice", 3, 300), ("Bob", 1, 200), ("Charlie", 2, 800), (None, 6, 1300),
+    ]
+
+
+def test_silver_failure_names_its_dataset(spark, bronze):
+    (bronze / "bronze" / "customers" / "customers_20240101070707.csv").write_text("a,b\n1,2\n")
+    cfg = config(bronze)
+    cfg["datasets"]["customers"]["rules"] = [
+        {"name": "boom", "kind": "sql", "expression": "raise_error('boom') is null"}
+    ]
+    cfg["datasets"]["customers"]["quarantine_path"] = f"{bronze}/quarantine"
+    with pytest.raises(Exception, match="customers|boom"):
+        run_report(spark, ReportSpec.from_dict(cfg))
+    del cfg["datasets"]["customers"]["output_path"], cfg["datasets"]["customers"]["rules"]
+    with pytest.raises(SpecError, match="output_path"):
+        run_report(spark, ReportSpec.from_dict(cfg))
+
+
 def test_missing_output_format_fails_before_any_work(spark, bronze):
     spec = ReportSpec.from_dict(config(bronze, format="no_such_source"))
     with pytest.raises(SpecError, match="classpath"):

@@ -2,12 +2,13 @@
 
 Adaptive execution splits a hot key's partition only on a side whose rows the join need
 not pad: both sides of an inner join, the kept side of a semi, anti or one-sided outer
-join, no side of a full join.  ``salted_outer_join`` covers the rest.  Keys that hold very
-many rows of such a side are found by counting keys alone; their rows are spread over
-salts, the matching rows of the other side are repeated once per salt, and padded rows
-that exist only because of the repetition are removed again.  Every other key joins as
-usual, and no row is lost: a hot key is by construction present on the side it is hot on,
-so a repeated row always meets at least one real partner.
+join, no side of a full join.  The other side of a semi or anti join is reduced to its
+distinct keys, and ``salted_outer_join`` covers the rest.  Keys that hold very many rows
+of such a side are found by counting keys alone; their rows are spread over salts, the
+matching rows of the other side are repeated once per salt, and padded rows that exist
+only because of the repetition are removed again.  Every other key joins as usual, and no
+row is lost: a hot key is by construction present on the side it is hot on, so a repeated
+row always meets at least one real partner.
 """
 
 from __future__ import annotations
@@ -155,6 +156,9 @@ def join_step(left: DataFrame, right: DataFrame, step: JoinStep) -> DataFrame:
         )
         for lk, rk in zip(step.left_keys, step.right_keys)
     ]
+    if step.join_type in ("left_semi", "left_anti"):
+        # Only the keys decide; repeats collapse before the shuffle.
+        right = right.select(*[f"{alias_of(step.right_name)}.{k}" for k in step.right_keys]).distinct()
     if step.skew == "salt" and step.join_type in ("left", "right", "full"):
         salt_by = [f"{alias_of(step.right_name)}.{c}" for c in step.salt_by]
         return salted_outer_join(left, right, pairs, step.join_type, salt_by=salt_by)

@@ -42,6 +42,7 @@ BANK_DATE_PARTS = ("transactions_table.year", "transactions_table.month", "trans
 class ReportResult:
     ingested: Mapping[str, IngestResult]
     aggregates: Row | None
+    metrics: DataFrame | None
     report: DataFrame
 
 
@@ -129,8 +130,9 @@ def run_report(
     """Run the whole job.
 
     After the silver writes there are two actions: one row of aggregates and the gold
-    write.  ``metrics_path`` appends that row to a table; ``preview`` shows rows of the
-    gold table.
+    write.  ``metrics_path`` appends the aggregates to a table instead of returning that
+    row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
+    the gold table.
     """
     require_format(spark, spec.output.format)
     ingested = ingest_all(spark, spec.datasets.values())
@@ -139,13 +141,12 @@ def run_report(
     register_views(spark, silver)
     chain = report_chain(silver, spec)
 
-    aggregates = None
+    aggregates = metrics = None
     if spec.aggregations:
         metrics = report_aggregates(chain, spec)
         if metrics_path:
-            write_partitioned(
-                metrics.withColumn("recorded_at", F.current_timestamp()), metrics_path, mode="append"
-            )
+            stamped = metrics.withColumn("recorded_at", F.current_timestamp())
+            write_partitioned(stamped, metrics_path, mode="append")
         elif not spec.group_by:
             aggregates = metrics.first()
             log.info("aggregates: %s", aggregates.asDict())
@@ -154,4 +155,4 @@ def run_report(
     report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)
-    return ReportResult(ingested, aggregates, report)
+    return ReportResult(ingested, aggregates, metrics, report)

@@ -53,15 +53,15 @@ def deduplicated(
 ) -> DataFrame:
     """One row per key within the watermark.
 
-    Copies are removed twice: first within ``spreads`` arbitrary shares of the rows, then
-    among the at most ``spreads`` survivors of a key.  A key repeated very often is thus
-    never handled by a single task.  The share is a seeded draw per scan position.  With
-    ``spreads=1`` there is only the second step and half the state, for keys that repeat
-    rarely.
+    Copies are removed twice: first within ``spreads`` shares of the input partitions,
+    then among the at most ``spreads`` survivors of a key per batch.  A key repeated very
+    often is thus never handled by a single task.  The share follows the input partition,
+    so a recomputed task repeats it.  With ``spreads=1`` there is only the second step and
+    half the state, for keys that repeat rarely.
     """
     marked = events.withWatermark(time, delay)
     if spreads > 1:
-        share = F.floor(F.rand(11) * spreads).cast("int")
+        share = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(spreads)).cast("int")
         marked = marked.withColumn("__share", share)
         marked = marked.dropDuplicatesWithinWatermark([*keys, "__share"]).drop("__share")
     return marked.dropDuplicatesWithinWatermark(list(keys))
