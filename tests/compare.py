@@ -20,7 +20,7 @@ def connect(sf_dir: str):
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6)
+        return None if math.isnan(value) else value
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value

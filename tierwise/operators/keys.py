@@ -69,6 +69,8 @@ def surrogate_keys(
     sorts all keys, and nothing depends on partition numbers, so a lost executor cannot
     change a number.  Duplicates collapse before the shuffle.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4: the bucket offsets are broadcast")
     known = existing.select(*keys, sk)
     unseen = (
         batch.select(*keys)

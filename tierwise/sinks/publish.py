@@ -5,14 +5,14 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise import scratch
+from tierwise.parallel import together
 from tierwise.spec import DATE_PARTS, DatasetSpec, SpecError, as_tuple
 
 log = logging.getLogger(__name__)
@@ -81,28 +81,34 @@ def write_silver(
 ) -> None:
     """Publish every ingested dataset by year, month and day.
 
-    No shuffle: a scan task reads few files, hence few days.  With ``dynamic`` earlier
-    days survive; without it the whole dataset is replaced.  The datasets are independent
-    jobs, ``parallel`` of them submitted at a time; the first failure is raised once the
-    running ones have ended, and names its dataset.
+    No shuffle by default: a scan task reads few files, hence few days, and writes no
+    more files than it read.  A feed of very many small files can ask for ``compact``.
+    With ``dynamic`` earlier days survive; without it the whole dataset is replaced.  The
+    datasets are independent jobs, ``parallel`` of them submitted at a time.
     """
     for name in frames:
         if not specs[name].output_path:
             raise SpecError(f"dataset {name}: output_path is required to write silver")
 
     def write(name: str) -> None:
-        path = specs[name].output_path
-        log.info("writing silver dataset %s to %s", name, path)
-        write_partitioned(frames[name], path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
-
-    if not frames:
-        return
-    in_session = inheritable_thread_target(next(iter(frames.values())).sparkSession)
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        jobs = {name: pool.submit(in_session(write), name) for name in frames}
-    for name, job in jobs.items():
-        if job.exception() is not None:
-            raise RuntimeError(f"silver dataset {name} was not written") from job.exception()
+        spec = specs[name]
+        log.info("writing silver dataset %s to %s", name, spec.output_path)
+        try:
+            write_partitioned(
+                frames[name],
+                spec.output_path,
+                "parquet",
+                "overwrite",
+                DATE_PARTS,
+                dynamic=dynamic,
+                rebalance=spec.compact,
+            )
+        except (PySparkException, Py4JJavaError) as err:
+            raise RuntimeError(f"silver dataset {name} was not written") from err
+
+    if frames:
+        spark = next(iter(frames.values())).sparkSession
+        together(spark, {name: partial(write, name) for name in frames}, parallel)
 
 
 def staged_publish(

@@ -12,12 +12,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.functions.columns import file_name_parts, file_stamp, try_casts
+from tierwise.parallel import together
 from tierwise.scratch import path_exists
 from tierwise.spec import DATE_PARTS, READ_FORMATS, STAMP_PATTERN, DatasetSpec, SpecError
 
@@ -87,11 +89,17 @@ def read_feed(
 ) -> tuple[str, DataFrame | None]:
     """Rows of the feed's current snapshot; (reason, None) when there is nothing to read.
 
-    ``files`` restricts the read to a subset of the listing, e.g. the files a ledger has
-    not seen yet.
+    ``files`` restricts the read to a subset of the listing, e.g. the days a ledger has
+    not seen completely yet.
     """
-    usable = (feed_files(spark, spec) if files is None else files).filter("dated")
-    if spec.schema and files is None:
+    return _read(spark, spec, feed_files(spark, spec) if files is None else files, files is None)
+
+
+def _read(
+    spark: SparkSession, spec: DatasetSpec, listing: DataFrame, whole_feed: bool
+) -> tuple[str, DataFrame | None]:
+    usable = listing.filter("dated")
+    if spec.schema and whole_feed:
         facts = usable.agg(F.count(F.lit(1)).alias("n"), F.max("stamp").alias("latest")).first()
         if facts.n == 0:
             return "no file with a date in its name matches", None
@@ -125,10 +133,11 @@ def _ingest(spark: SparkSession, spec: DatasetSpec) -> IngestResult:
     if not path_exists(spark, spec.input_path):
         return IngestResult(spec.name, "no_files", f"{spec.input_path} does not exist")
     try:
-        reason, frame = read_feed(spark, spec)
-        rejected = feed_files(spark, spec).filter("NOT dated")
+        listing = feed_files(spark, spec)
+        reason, frame = _read(spark, spec, listing, whole_feed=True)
     except AnalysisException as err:
         return IngestResult(spec.name, "error", str(err).splitlines()[0])
+    rejected = listing.filter("NOT dated")
     if frame is None:
         return IngestResult(spec.name, "no_files", reason, rejected=rejected)
     return IngestResult(spec.name, "read", frame=frame, rejected=rejected)
@@ -142,8 +151,11 @@ def day_files(listing: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def ingest_all(spark: SparkSession, specs: Iterable[DatasetSpec]) -> dict[str, IngestResult]:
-    """One lazy frame per readable dataset, plus the status of every dataset."""
-    return {spec.name: ingest(spark, spec) for spec in specs}
+    """One lazy frame per readable dataset, plus the status of every dataset.
+
+    Listing and schema inference of the datasets run side by side.
+    """
+    return together(spark, {spec.name: partial(ingest, spark, spec) for spec in specs})
 
 
 def frames(results: dict[str, IngestResult]) -> dict[str, DataFrame]:

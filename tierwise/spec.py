@@ -126,7 +126,8 @@ class DatasetSpec:
     ``schema`` is an optional DDL string; without it columns come as read.
     ``casts`` are applied with ``try_cast`` when the silver layer is read back.  Rows
     breaking one of ``rules`` go to ``quarantine_path`` instead of silver.  ``table``
-    registers the silver folder as an external table.
+    registers the silver folder as an external table; ``compact`` gathers each day's
+    rows before writing silver.
     """
 
     name: str
@@ -145,6 +146,7 @@ class DatasetSpec:
     rules: tuple[Rule, ...] = ()
     quarantine_path: str | None = None
     table: str | None = None
+    compact: bool = False
 
     def __post_init__(self) -> None:
         _one_of(self.snapshot, ("latest", "all"), f"dataset {self.name}")
@@ -174,6 +176,7 @@ class DatasetSpec:
             rules=tuple(Rule.from_dict(r) for r in cfg.get("rules", ())),
             quarantine_path=cfg.get("quarantine_path"),
             table=cfg.get("table"),
+            compact=as_bool(cfg.get("compact", False)),
         )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierwise import scratch
 from tierwise.operators.keys import dedup_latest, has_key
-from tierwise.operators.scd1 import align, require_columns, scd1_merge
+from tierwise.operators.scd1 import align, measured_bytes, require_columns, scd1_merge
 from tierwise.sinks.publish import recover, staged_publish
 
 
@@ -65,14 +65,16 @@ class StreamedDimension:
             changes, base, self.keys, order_by=["batch_id"], small_source=small_changes
         )
 
-    def compact(self) -> int:
+    def compact(self, broadcast_limit_bytes: int = 64 << 20) -> int:
         """Publish the snapshot as the new base, then drop the folders it contains.
 
         A crash in between leaves folders whose rows the base already has; merging them
-        again changes nothing.
+        again changes nothing.  Changes measured to fit a broadcast leave the base unshuffled.
         """
         folded = scratch.list_names(self.spark, self.changes)
-        rows = staged_publish(self.spark, self.snapshot(), self.path)
+        changes = self._change_rows()
+        small = changes is not None and measured_bytes(changes) <= broadcast_limit_bytes
+        rows = staged_publish(self.spark, self.snapshot(small), self.path)
         for folder in folded:
             scratch.delete(self.spark, f"{self.changes}/{folder}")
         return rows
