@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tierwise.operators import joins
 from tierwise.operators.joins import _spread, hot_keys, join_chain, key_pair, salted_outer_join, unparsable_keys
 from tierwise.spec import JoinStep, SpecError
 
@@ -127,3 +128,21 @@ def test_semi_join_moves_distinct_keys_only(spark):
         joined = join_chain({"a": a, "b": b}, [step("j", left="a", right="b", join_type=how)])
         assert sorted((r.k for r in joined.collect()), key=str) == sorted(expected, key=str)
         assert "Aggregate" in str(joined._jdf.queryExecution().optimizedPlan())
+
+
+def test_chain_of_salted_steps_equals_the_plain_chain(spark, monkeypatch):
+    def eager(df, keys, rows_per_salt, probe, with_nulls):
+        return hot_keys(df, keys, 3, 1.0, with_nulls)
+
+    monkeypatch.setattr(joins, "hot_keys", eager)
+    rows = [(i % 4 if i % 5 else None, i) for i in range(30)]
+    frames = {n: spark.createDataFrame(rows[: 10 + 5 * i], f"k int, {n} int") for i, n in enumerate("abcd")}
+    for hows in (("left", "full", "inner"), ("right", "left", "full"), ("full", "right", "left")):
+        found = []
+        for skew in ("salt", "plain"):
+            steps = [
+                step(f"j{n}", left="a", right=n, join_type=how, skew=skew) for n, how in zip("bcd", hows)
+            ]
+            chain = join_chain(frames, steps).select("a_table.a", "b_table.b", "c_table.c", "d_table.d")
+            found.append(chain.groupBy("a", "b", "c", "d").count())
+        assert found[0].exceptAll(found[1]).count() == found[1].exceptAll(found[0]).count() == 0

@@ -115,6 +115,17 @@ def test_report(spark, bronze, second, expected, rows):
     ]
 
 
+def test_next_day_replaces_the_snapshot_not_the_layer(spark, bronze):
+    spec = ReportSpec.from_dict(config(bronze))
+    run_report(spark, spec)
+    path = bronze / "bronze" / "accounts" / "accounts_20240215080808.csv"
+    path.write_text(HEADER + SECOND)
+    result = run_report(spark, spec)
+    assert result.aggregates.total_balance == 35000.0 and result.report.count() == 5
+    silver = spark.read.parquet(f"{bronze}/silver/accounts")
+    assert sorted({(r.month, r.day) for r in silver.collect()}) == [(1, 1), (2, 15)]
+
+
 def test_legacy_date_id_is_unpadded(spark, bronze):
     spec = ReportSpec.from_dict(config(bronze, legacy_date_id="true"))
     run_report(spark, spec)

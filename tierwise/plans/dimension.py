@@ -101,8 +101,11 @@ def merge_dimension(
 
 
 def touched(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], small: bool) -> DataFrame:
-    """Target keys whose uniqueness the merge relies on: all, or those of a small batch."""
-    known = target.select(*keys)
+    """Target keys whose uniqueness the merge relies on: all, or those of a small batch.
+
+    Rows without a complete key match nothing and do not count.
+    """
+    known, _ = split_null_keys(target.select(*keys), keys)
     return known.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi") if small else known
 
 

@@ -21,7 +21,7 @@ from tierwise.sinks.publish import (
     write_silver,
 )
 from tierwise.sources.catalog import create_external_table, register_views
-from tierwise.sources.files import IngestResult, frames, ingest_all, read_layer
+from tierwise.sources.files import IngestResult, frames, ingest_all, latest_day, read_layer
 from tierwise.spec import DATE_PARTS, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
 log = logging.getLogger(__name__)
@@ -91,11 +91,19 @@ def publish_silver(
 
 
 def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
+    """The datasets the report uses.
+
+    Silver keeps earlier days; of a ``latest`` dataset only the newest day counts, so an
+    older snapshot of the same rows is not joined a second time.
+    """
     used = {spec.joins[0].left, *[s.right for s in spec.joins]} if spec.joins else set(spec.datasets)
-    return {
-        name: read_layer(spark, spec.datasets[name].output_path, dict(spec.datasets[name].casts))
-        for name in sorted(used)
-    }
+    frames = {}
+    for name in sorted(used):
+        dataset = spec.datasets[name]
+        frame = read_layer(spark, dataset.output_path, dict(dataset.casts))
+        newest = latest_day(spark, dataset.output_path) if dataset.snapshot == "latest" else None
+        frames[name] = frame if newest is None else frame.filter(newest)
+    return frames
 
 
 def publish_report(spark: SparkSession, rows: DataFrame, output: OutputSpec) -> None:

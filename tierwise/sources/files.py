@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.columns import file_name_parts, file_stamp, try_casts
 from tierwise.parallel import together
-from tierwise.scratch import path_exists
+from tierwise.scratch import list_names, path_exists
 from tierwise.spec import DATE_PARTS, READ_FORMATS, STAMP_PATTERN, DatasetSpec, SpecError
 
 log = logging.getLogger(__name__)
@@ -162,6 +162,21 @@ def frames(results: dict[str, IngestResult]) -> dict[str, DataFrame]:
     return {name: r.frame for name, r in results.items() if r.frame is not None}
 
 
+def latest_day(spark: SparkSession, path: str) -> Column | None:
+    """Condition selecting a silver layer's newest day folder, found by listing names only."""
+    condition, folder = None, path.rstrip("/")
+    for part in DATE_PARTS:
+        values = [n.split("=", 1)[1] for n in list_names(spark, folder) if n.startswith(f"{part}=")]
+        numbers = [v for v in values if v.isdigit()]
+        if not numbers:
+            return condition
+        newest = max(numbers, key=int)
+        here = F.col(part) == int(newest)
+        condition = here if condition is None else condition & here
+        folder = f"{folder}/{part}={newest}"
+    return condition
+
+
 def read_layer(
     spark: SparkSession, path: str, casts: dict[str, str] | None = None, text_parts: bool = False
 ) -> DataFrame:
