@@ -1,5 +1,6 @@
 """Golden tests on a small bank sample with hand-derived results."""
 
+import datetime
 import json
 
 import pytest
@@ -126,6 +127,21 @@ def test_next_day_replaces_the_snapshot_not_the_layer(spark, bronze):
     assert sorted({(r.month, r.day) for r in silver.collect()}) == [(1, 1), (2, 15)]
 
 
+def test_run_from_a_day_replaces_later_days_only(spark, bronze):
+    day1 = datetime.date(2024, 1, 1)
+    cfg = config(bronze, dynamic=True, drop_unmatched=True)
+    cfg["datasets"]["transactions"]["snapshot"] = "all"
+    run_report(spark, ReportSpec.from_dict(cfg))
+    path = bronze / "bronze" / "transactions" / "transactions_20240103090909.json"
+    path.write_text('[{"transaction_id": 9, "account_number": 1002, "amount": 7, "transaction_type": "Deposit"}]')
+    (bronze / "gold" / "bank" / "date_id=2024-01-01" / "untouched.marker").write_text("")
+    result = run_report(spark, ReportSpec.from_dict(cfg), from_day=datetime.date(2024, 1, 2))
+    assert (result.aggregates.total_transaction_amount, result.report.count()) == (7, 7)
+    assert (bronze / "gold" / "bank" / "date_id=2024-01-01" / "untouched.marker").exists()
+    with pytest.raises(SpecError, match="from_day"):
+        run_report(spark, ReportSpec.from_dict(config(bronze)), from_day=day1)
+
+
 def test_legacy_date_id_is_unpadded(spark, bronze):
     spec = ReportSpec.from_dict(config(bronze, legacy_date_id="true"))
     run_report(spark, spec)
@@ -257,8 +273,6 @@ def test_initial_load_refuses_to_replace(spark, bronze):
 
 
 def test_type2_dimension_job(spark, bronze):
-    import datetime
-
     first = seeded(spark, bronze)
     spec = ScdSpec(first.source_path, f"{bronze}/gold/history", ("account_number",), scd_type="scd2")
     merge_dimension(spark, spec, datetime.date(2024, 1, 1))

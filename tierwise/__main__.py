@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--effective", type=datetime.date.fromisoformat, help="batch date of a type 2 merge")
     parser.add_argument("--quarantine", help="folder for source rows with an incomplete key")
     parser.add_argument("--preview", type=int, default=0, help="rows of the gold report to show")
+    parser.add_argument("--from-day", type=datetime.date.fromisoformat, help="first day of a report run")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
 
@@ -30,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if args.job == "report":
-        run_report(spark, ReportSpec.from_dict(config), preview=args.preview)
+        run_report(spark, ReportSpec.from_dict(config), preview=args.preview, from_day=args.from_day)
     elif args.job == "dimension":
         merge_dimension(spark, ScdSpec.from_dict(config), args.effective, args.quarantine)
     else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from tierwise.sinks.publish import (
 )
 from tierwise.sources.catalog import create_external_table, register_views
 from tierwise.sources.files import IngestResult, frames, ingest_all, latest_day, read_layer
-from tierwise.spec import DATE_PARTS, DatasetSpec, OutputSpec, ReportSpec, SpecError
+from tierwise.spec import DATE_PARTS, VIEW_SUFFIX, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
 log = logging.getLogger(__name__)
 
@@ -106,6 +107,21 @@ def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     return frames
 
 
+def since(
+    silver: Mapping[str, DataFrame], output: OutputSpec, from_day: datetime.date
+) -> dict[str, DataFrame]:
+    """Silver with the dataset that dates the report cut to ``from_day`` and later.
+
+    Folders of earlier days are not read, and only later gold days are replaced.
+    """
+    if not (output.dynamic and output.drop_unmatched):
+        raise SpecError("output: from_day needs dynamic and drop_unmatched, or older days would be lost")
+    parts = output.date_parts or BANK_DATE_PARTS
+    dated = parts[0].split(".")[0].removesuffix(VIEW_SUFFIX)
+    day = date_id(*[F.col(p.rsplit(".", 1)[-1]) for p in parts])
+    return {**silver, dated: silver[dated].filter(day >= F.lit(from_day))}
+
+
 def publish_report(spark: SparkSession, rows: DataFrame, output: OutputSpec) -> None:
     """Replace the gold table, or with ``dynamic`` only the days in ``rows``.
 
@@ -134,18 +150,21 @@ def run_report(
     metrics_path: str | None = None,
     dynamic_silver: bool = True,
     preview: int = 0,
+    from_day: datetime.date | None = None,
 ) -> ReportResult:
     """Run the whole job.
 
     After the silver writes there are two actions: one row of aggregates and the gold
     write.  ``metrics_path`` appends the aggregates to a table instead of returning that
     row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
-    the gold table.
+    the gold table.  ``from_day`` limits the run to later days, see ``since``.
     """
     require_format(spark, spec.output.format)
     ingested = ingest_all(spark, spec.datasets.values())
     publish_silver(spark, frames(ingested), spec.datasets, dynamic_silver)
     silver = read_silver(spark, spec)
+    if from_day:
+        silver = since(silver, spec.output, from_day)
     register_views(spark, silver)
     chain = report_chain(silver, spec)
 

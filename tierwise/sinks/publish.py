@@ -21,10 +21,11 @@ log = logging.getLogger(__name__)
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv")
 COUNTED_FORMATS = ("parquet", "orc")  # counting reads footers only
 
+
 def _hidden_sibling(path: str, suffix: str) -> str:
     """A folder beside ``path`` that readers skip: leading underscore and no '='."""
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    return f"{parent}/_{name.replace('=', '-')}.{suffix}"
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}_{name.replace('=', '-')}.{suffix}"
 
 
 def staging_of(path: str) -> str:

@@ -27,10 +27,8 @@ from workload.registry import query
 from workload.tables import (
     SQL_CHAIN,
     SQL_PROFILES,
-    accounts,
     chain_frames,
     profiles,
-    returned_lines,
     table,
 )
 
