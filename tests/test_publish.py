@@ -86,6 +86,17 @@ def test_rebalance_gathers_folders_into_few_files(spark, tmp_path):
     assert files("scattered") == 80 and files("gathered") <= 16
 
 
+def test_a_day_holding_everything_is_still_written_in_parallel(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 8).select(F.md5(F.col("id").cast("string")).alias("v"), F.lit(1).alias("day"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_partitioned(rows, f"{tmp_path}/t", partition_by="day", rebalance=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(tmp_path / "t" / "day=1") if f.endswith(".parquet")]
+    assert len(files) > 3
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
 def test_formats(spark, tmp_path, fmt):
     path = f"{tmp_path}/{fmt}"

@@ -4,7 +4,13 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tierwise.streaming.windows import deduplicated, run_available, tumbling
+from tierwise.streaming.windows import (
+    deduplicated,
+    merge_sessions_locally,
+    run_available,
+    sessions,
+    tumbling,
+)
 
 SCHEMA = "id int, ts timestamp"
 START = datetime.datetime(2024, 1, 1)
@@ -47,3 +53,25 @@ def test_duplicates_across_batches_and_a_hot_key(spark, tmp_path):
             found = sorted(r.id for r in spark.read.parquet(f"{root}/out").collect())
             assert found == [7, *range(100, 110)]
             arrive(spark, f"{root}/in", [(7, 3), (100, 3)])
+
+
+def test_sessions_grow_across_batches(spark, tmp_path):
+    merge_sessions_locally(spark)
+    root = str(tmp_path)
+
+    def run():
+        found = sessions(
+            stream(spark, f"{root}/in"), "ts", "60 minutes", "30 minutes", ["id"], {"n": F.count(F.lit(1))}
+        )
+        run_available(found, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        rows = spark.read.parquet(f"{root}/out").collect()
+        minutes = [
+            (r.id, *[int((t - START).total_seconds() // 60) for t in (r.window_start, r.window_end)], r.n)
+            for r in rows
+        ]
+        return sorted(minutes)
+
+    arrive(spark, f"{root}/in", [(1, 0), (1, 40), (2, 5)])  # two sessions of 1 so far
+    assert run() == []
+    arrive(spark, f"{root}/in", [(1, 20), (3, 200)])  # joins them, late but inside the watermark
+    assert run() == [(1, 0, 70, 3), (2, 5, 35, 1)]

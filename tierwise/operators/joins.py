@@ -100,7 +100,9 @@ def _spread(
     Rows without a key match nothing, so they may be spread like any hot key.
     """
     df = _with_salts(df, keys, hot, "__salts", null_safe=True)
-    position = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_by])
+    position = F.spark_partition_id().cast("long")
+    if salt_by:
+        position = position + F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(MAX_SALTS))
     chosen = F.pmod(position, F.col("__salts")).cast("int")
     return df.withColumn(salt, F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(chosen)).drop("__salts")
 

@@ -61,7 +61,7 @@ def deduplicated(
     """
     marked = events.withWatermark(time, delay)
     if spreads > 1:
-        share = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(spreads)).cast("int")
+        share = F.spark_partition_id() % spreads
         marked = marked.withColumn("__share", share)
         marked = marked.dropDuplicatesWithinWatermark([*keys, "__share"]).drop("__share")
     return marked.dropDuplicatesWithinWatermark(list(keys))
