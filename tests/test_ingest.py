@@ -44,6 +44,23 @@ def test_undated_files_are_rejected_not_lost(spark, feed):
     assert [r.file_name for r in result.rejected.collect()] == ["things_20240103080808"]
 
 
+@pytest.mark.parametrize("schema", [None, SCHEMA])
+def test_impossible_dates_and_double_stamps(spark, feed, schema):
+    (feed / "things_20241399060606.csv").write_text("id,v\n6,x\n")
+    (feed / "things_20230101060606.old_20240103070707.csv").write_text("id,v\n7,y\n")
+    result = ingest(spark, spec(feed, schema=schema))
+    assert [(r.id, r.day) for r in result.frame.collect()] == [("7", "03")]
+    assert {r.file_name[7:15] for r in result.rejected.collect()} == {"20241399", "20240103"}
+    every = ingest(spark, spec(feed, schema=schema, snapshot="all")).frame
+    assert sorted(r.id for r in every.collect()) == ["1", "2", "3", "7"]
+
+
+def test_file_columns_replace_columns_of_the_feed(spark, tmp_path):
+    (tmp_path / "things_20240102080808.csv").write_text("id,year\n1,1999\n")
+    frame = ingest(spark, spec(tmp_path)).frame
+    assert [(r.id, r.year) for r in frame.collect()] == [("1", "2024")]
+
+
 def test_listing_reads_names_only(spark, feed):
     plan = list_files(spark, str(feed))._jdf.queryExecution().toString()
     assert "content" not in plan.split("ReadSchema")[-1]

@@ -21,6 +21,11 @@ def file_stamp(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, STAMP_DIGITS, 1), F.lit(""))
 
 
+def is_dated(name: Column) -> Column:
+    """Whether a file name carries a stamp whose first eight digits are a real date."""
+    return name.rlike(f"^{STAMP_PATTERN}$") & date_id_from_name(name).isNotNull()
+
+
 def padded(part: Column, width: int = 2) -> Column:
     return F.lpad(part.cast("string"), width, "0")
 

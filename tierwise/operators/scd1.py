@@ -76,10 +76,18 @@ def compare_columns(target: DataFrame, keys: Sequence[str], exclude: Sequence[st
 def prepared_source(
     source: DataFrame, target: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Complete keys only, one row per key, aligned to the target."""
+    """Complete keys only, one row per key, aligned to the target; no other column is read."""
     require_columns(source, target)
-    valid, _ = split_null_keys(source, keys)
-    return align(dedup_latest(valid, keys, order_by), target)
+    return align(latest_complete(source, target.columns, keys, order_by), target)
+
+
+def latest_complete(
+    source: DataFrame, columns: Sequence[str], keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """The latest row of each complete key, reduced to ``columns`` and the ordering ones."""
+    extra = [c for c in order_by if c not in columns]
+    valid, _ = split_null_keys(source.select(*columns, *extra), keys)
+    return dedup_latest(valid, keys, order_by)
 
 
 def _paired(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.functions.hashing import version_hash
-from tierwise.operators.keys import dedup_latest, has_key, split_null_keys
-from tierwise.operators.scd1 import require_columns, unmatched
+from tierwise.operators.keys import dedup_latest, has_key
+from tierwise.operators.scd1 import latest_complete, require_columns, unmatched
 
 VERSION_COLUMNS = ("effective_from", "effective_to", "is_current", "row_hash")
 
@@ -44,10 +44,11 @@ def _batch(
 ) -> DataFrame:
     """The batch as open versions: complete keys, one row per key, the history's types."""
     require_columns(source, history, derived=VERSION_COLUMNS)
-    valid, _ = split_null_keys(source, keys)
+    names = business_columns(history)
     types = {f.name: f.dataType for f in history.schema}
-    columns = [F.col(c).cast(types[c]).alias(c) for c in business_columns(history)]
-    return open_versions(dedup_latest(valid, keys, order_by).select(*columns), keys, effective, exclude)
+    latest = latest_complete(source, names, keys, order_by)
+    typed = latest.select(*[F.col(c).cast(types[c]).alias(c) for c in names])
+    return open_versions(typed, keys, effective, exclude)
 
 
 def _paired(batch: DataFrame, current: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -18,10 +18,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.functions.columns import file_name_parts, file_stamp, try_casts
+from tierwise.functions.columns import file_name_parts, file_stamp, is_dated, try_casts
 from tierwise.parallel import together
 from tierwise.scratch import list_names, path_exists
-from tierwise.spec import DATE_PARTS, READ_FORMATS, STAMP_PATTERN, DatasetSpec, SpecError
+from tierwise.spec import DATE_PARTS, READ_FORMATS, DatasetSpec, SpecError
 
 log = logging.getLogger(__name__)
 
@@ -63,7 +63,7 @@ def feed_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     return (
         list_files(spark, spec.input_path)
         .filter(name_matches(name, spec.pattern))
-        .withColumns({"stamp": file_stamp(name), "dated": name.rlike(f"^{STAMP_PATTERN}$")})
+        .withColumns({"stamp": file_stamp(name), "dated": is_dated(name)})
     )
 
 
@@ -80,8 +80,7 @@ def _reader(spark: SparkSession, spec: DatasetSpec):
 
 def _with_file_columns(df: DataFrame) -> DataFrame:
     """Tag every row at the scan, before a shuffle can hide the file it came from."""
-    parts = file_name_parts(F.col("_metadata.file_name"))
-    return df.select("*", *[column.alias(name) for name, column in parts.items()])
+    return df.withColumns(file_name_parts(F.col("_metadata.file_name")))
 
 
 def read_feed(
@@ -104,9 +103,9 @@ def _read(
         if facts.n == 0:
             return "no file with a date in its name matches", None
         name = F.col("_metadata.file_name")
-        chosen = name_matches(name, spec.pattern) & name.rlike(f"^{STAMP_PATTERN}$")
+        chosen = name_matches(name, spec.pattern) & is_dated(name)
         if spec.snapshot == "latest":
-            chosen &= name.contains(f"_{facts.latest}.")
+            chosen &= file_stamp(name) == facts.latest
         return "", _with_file_columns(_reader(spark, spec).load(spec.input_path).filter(chosen))
     rows = usable.select("path", "stamp").collect()  # file names only
     if spec.snapshot == "latest" and rows:

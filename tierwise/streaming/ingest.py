@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierwise.functions.columns import file_name_parts
+from tierwise.functions.columns import file_name_parts, is_dated
 from tierwise.sources.files import name_matches
-from tierwise.spec import DATE_PARTS, STAMP_PATTERN, DatasetSpec, SpecError
+from tierwise.spec import DATE_PARTS, DatasetSpec, SpecError
 
 
 def feed_stream(spark: SparkSession, spec: DatasetSpec, max_files: int | None = None) -> DataFrame:
@@ -23,12 +23,8 @@ def feed_stream(spark: SparkSession, spec: DatasetSpec, max_files: int | None =
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name")
-    rows = reader.load(spec.input_path)
-    parts = file_name_parts(name)
-    tagged = rows.select("*", *[column.alias(n) for n, column in parts.items()])
-    return tagged.filter(
-        name_matches(F.col("filename"), spec.pattern) & F.col("filename").rlike(f"^{STAMP_PATTERN}$")
-    )
+    rows = reader.load(spec.input_path).withColumns(file_name_parts(name))
+    return rows.filter(name_matches(F.col("filename"), spec.pattern) & is_dated(F.col("filename")))
 
 
 def stream_to_silver(
