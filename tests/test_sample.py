@@ -180,6 +180,19 @@ def test_grouped_aggregates(spark, bronze):
     ]
 
 
+def test_rules_in_the_report_job(spark, bronze):
+    cfg = config(bronze)
+    cfg["datasets"]["accounts"] |= {
+        "rules": [{"name": "small", "kind": "sql", "expression": "try_cast(balance as double) < 6000"}],
+        "quarantine_path": f"{bronze}/quarantine",
+        "compact": True,
+    }
+    result = run_report(spark, ReportSpec.from_dict(cfg))
+    assert [tuple(r) for r in result.quality["accounts"].collect()] == [("small", 3, 1)]
+    assert result.report.count() == 4 and result.aggregates.total_balance == 18000.0
+    assert [r.account_number for r in spark.read.parquet(f"{bronze}/quarantine").collect()] == ["1003"]
+
+
 def test_silver_failure_names_its_dataset(spark, bronze):
     (bronze / "bronze" / "customers" / "customers_20240101070707.csv").write_text("a,b\n1,2\n")
     cfg = config(bronze)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tierwise.functions.columns import date_id, project
 from tierwise.operators.joins import join_chain
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
-from tierwise.operators.quality import quarantine
+from tierwise.operators.quality import quarantine, rule_report
 from tierwise.sinks.publish import (
     BUILT_IN_FORMATS,
     require_format,
@@ -45,6 +45,7 @@ class ReportResult:
     aggregates: Row | None
     metrics: DataFrame | None
     report: DataFrame
+    quality: Mapping[str, DataFrame]
 
 
 def report_chain(silver: Mapping[str, DataFrame], spec: ReportSpec) -> DataFrame:
@@ -157,11 +158,13 @@ def run_report(
     After the silver writes there are two actions: one row of aggregates and the gold
     write.  ``metrics_path`` appends the aggregates to a table instead of returning that
     row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
-    the gold table.  ``from_day`` limits the run to later days, see ``since``.
+    the gold table.  ``from_day`` limits the run to later days, see ``since``.  The result's
+    ``quality`` holds a rule report per dataset with rules, computed when it is read.
     """
     require_format(spark, spec.output.format)
     ingested = ingest_all(spark, spec.datasets.values())
-    publish_silver(spark, frames(ingested), spec.datasets, dynamic_silver)
+    read = frames(ingested)
+    publish_silver(spark, read, spec.datasets, dynamic_silver)
     silver = read_silver(spark, spec)
     if from_day:
         silver = since(silver, spec.output, from_day)
@@ -182,4 +185,5 @@ def run_report(
     report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)
-    return ReportResult(ingested, aggregates, metrics, report)
+    quality = {n: rule_report(f, spec.datasets[n].rules) for n, f in read.items() if spec.datasets[n].rules}
+    return ReportResult(ingested, aggregates, metrics, report, quality)
