@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwise import scratch
+from tierwise.operators.scd1 import scd1_merge
 from tierwise.plans import dimension
 from tierwise.plans.dimension import merge_dimension, read_history
 from tierwise.sinks import publish
@@ -248,3 +249,82 @@ def test_table_follows_replaced_partitions(spark, tmp_path):
         table = create_external_table(spark, "followed_t", path, partitioned=True)
         assert table.count() == 4 and spark.sql("SHOW PARTITIONS followed_t").count() == days
     spark.sql("DROP TABLE followed_t")
+
+
+def days_dimension(spark, tmp_path, days=6):
+    gold = f"{tmp_path}/gold"
+    spark.range(days * 10).select(
+        F.col("id").cast("string").alias("k"),
+        F.lit("t").alias("v"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") / 10).cast("int")).alias("date_id"),
+    ).write.partitionBy("date_id").parquet(gold)
+    return gold
+
+
+def gold_files(gold):
+    return {f"{os.path.basename(d)}/{f}" for d, _, fs in os.walk(gold) for f in fs if f.endswith(".parquet")}
+
+
+def batch_of(spark, tmp_path, rows, day="20240102"):
+    source = silver(spark, f"{tmp_path}/s", rows)
+    frame = spark.read.parquet(source).withColumn("filename", F.lit(f"things_{day}060606.csv"))
+    frame.write.mode("overwrite").parquet(f"{tmp_path}/dated")
+    return f"{tmp_path}/dated"
+
+
+def expected_days(spark, spec):
+    target = spark.read.parquet(spec.target_path)
+    source = dimension.dimension_source(spark.read.parquet(spec.source_path))
+    return sorted(map(tuple, scd1_merge(source, target, ["k"]).collect()))
+
+
+def test_small_batch_rewrites_touched_days_only(spark, tmp_path):
+    gold = days_dimension(spark, tmp_path)
+    spec = ScdSpec(batch_of(spark, tmp_path, [("3", "new"), ("900", "new")]), gold, ("k",))
+    before, expected = gold_files(gold), expected_days(spark, spec)
+    assert merge_dimension(spark, spec) == 61
+    assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
+    kept = {f for f in before & gold_files(gold)}
+    assert {f.split("/")[0][-2:] for f in kept} == {"03", "04", "05", "06"}
+    assert not os.path.exists(f"{tmp_path}/_gold.days")
+
+
+def test_crash_while_days_move_in_is_completed(spark, tmp_path, monkeypatch):
+    gold = days_dimension(spark, tmp_path)
+    spec = ScdSpec(batch_of(spark, tmp_path, [("3", "new"), ("900", "new")]), gold, ("k",))
+    expected = expected_days(spark, spec)
+
+    def half(session, path, column):
+        day = publish.scratch.list_names(session, f"{tmp_path}/_gold.days")[-1]
+        moved = session.read.parquet(f"{tmp_path}/_gold.days").filter(F.col(column) == day.split("=")[1])
+        write_partitioned(moved, path, partition_by=column, dynamic=True)
+        raise OSError("lost")
+
+    real = publish.finish_days
+    monkeypatch.setattr(dimension, "_replace_days", wrap_finish(dimension._replace_days, half, real))
+    with pytest.raises(OSError, match="lost"):
+        merge_dimension(spark, spec)
+    monkeypatch.undo()
+    assert merge_dimension(spark, spec) == 61
+    assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
+
+
+def wrap_finish(call, broken, real):
+    def run(*args):
+        dimension.finish_days = broken
+        try:
+            return call(*args)
+        finally:
+            dimension.finish_days = real
+
+    return run
+
+
+def test_emptied_day_falls_back_to_the_whole_dimension(spark, tmp_path):
+    gold = days_dimension(spark, tmp_path)
+    rows = [(str(i), "new") for i in range(10)]  # all of the first day move to the second
+    spec = ScdSpec(batch_of(spark, tmp_path, rows), gold, ("k",))
+    expected = expected_days(spark, spec)
+    assert merge_dimension(spark, spec) == 60
+    assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
+    assert not os.path.exists(f"{gold}/date_id=2024-01-01")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime
 import logging
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tierwise import scratch
 from tierwise.functions.columns import date_id_from_name, drop_file_columns, file_stamp, with_date_id
@@ -15,7 +18,10 @@ from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
 from tierwise.operators.scd2 import VERSION_COLUMNS, open_versions, scd2_merge
 from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
+    discard_days,
+    finish_days,
     recover,
+    stage_days,
     staged_publish,
     staging_of,
     swap,
@@ -74,6 +80,8 @@ def merge_dimension(
     if spec.scd_type == "scd2":
         return _merge_versions(spark, spec, source, order_by, effective or datetime.date.today())
     recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
+    if len(spec.partition_by) == 1:
+        finish_days(spark, spec.target_path, spec.partition_by[0])
     target = read_layer(spark, spec.target_path)
     batch = prepared_source(source, target, spec.join_keys, order_by)
     size = measured_bytes(batch)
@@ -83,10 +91,10 @@ def merge_dimension(
     log.info("merging %s into %s, small source: %s", spec.source_path, spec.target_path, small)
     if spec.check_target:
         require_unique(touched(target, batch, spec.join_keys, small), spec.join_keys, spec.target_path)
-    merged = scd1_merge(
+    merge = partial(
+        scd1_merge,
         source,
-        target,
-        spec.join_keys,
+        keys=spec.join_keys,
         compare=spec.compare,
         metadata_cols=spec.metadata_cols,
         compare_exclude=spec.compare_exclude,
@@ -94,12 +102,44 @@ def merge_dimension(
         delete_missing=spec.delete_missing,
         small_source=small,
     )
+    if small and not spec.delete_missing and _replace_days(spark, spec, merge, batch, target):
+        return read_layer(spark, spec.target_path).count()
     # A small source leaves target rows in their scan tasks, each of few dates: no shuffle to write.
     return staged_publish(
-        spark, merged, spec.target_path, "parquet", spec.partition_by, rebalance=not small
+        spark, merge(target), spec.target_path, "parquet", spec.partition_by, rebalance=not small
     )
 
 
+def _replace_days(
+    spark: SparkSession,
+    spec: ScdSpec,
+    merge: Callable[[DataFrame], DataFrame],
+    batch: DataFrame,
+    target: DataFrame,
+) -> bool:
+    """Rewrite only the date folders a small batch touches, if they are the minority.
+
+    Those are the folders of matched target rows and of the batch's own dates.  False,
+    with the target unchanged, when the whole dimension has to be rewritten after all.
+    """
+    path, column = spec.target_path.rstrip("/"), spec.partition_by[0] if spec.partition_by else None
+    if len(spec.partition_by) != 1 or not isinstance(target.schema[column].dataType, DateType):
+        return False
+    keys = list(spec.join_keys)
+    hit = target.select(*keys, column).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
+    dates = hit.select(column).unionByName(batch.select(column)).distinct()
+    days = [row[0] for row in dates.collect()]  # one row per folder
+    existing = [n for n in scratch.list_names(spark, path) if n.startswith(f"{column}=")]
+    if None in days or 2 * len(days) > len(existing):
+        return False
+    staged = stage_days(spark, merge(target.filter(F.col(column).isin(days))), path, column)
+    emptied = {f"{column}={d}" for d in days} & set(existing) - staged
+    if emptied:  # a folder that lost all its rows would not be replaced
+        discard_days(spark, path)
+        return False
+    return finish_days(spark, path, column)
+
+
 def touched(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], small: bool) -> DataFrame:
     """Target keys whose uniqueness the merge relies on: all, or those of a small batch.
 

@@ -159,6 +159,31 @@ def recover(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def stage_days(spark: SparkSession, df: DataFrame, path: str, column: str) -> set[str]:
+    """Write complete ``column`` folders of ``path`` aside; returns their names.
+
+    ``df`` may read ``path``.  Once staged (Spark's ``_SUCCESS`` marks that),
+    ``finish_days`` can be repeated until it went through.
+    """
+    staging = _hidden_sibling(path, "days")
+    write_partitioned(df, staging, partition_by=column)
+    return {n for n in scratch.list_names(spark, staging) if n.startswith(f"{column}=")}
+
+
+def finish_days(spark: SparkSession, path: str, column: str) -> bool:
+    """Move staged folders in; after a crash, complete or discard what was left."""
+    staging = _hidden_sibling(path, "days")
+    complete = scratch.path_exists(spark, f"{staging}/_SUCCESS")
+    if complete:
+        write_partitioned(spark.read.parquet(staging), path, partition_by=column, dynamic=True)
+    scratch.delete(spark, staging)
+    return complete
+
+
+def discard_days(spark: SparkSession, path: str) -> None:
+    scratch.delete(spark, _hidden_sibling(path, "days"))
+
+
 def publish_version(
     spark: SparkSession, df: DataFrame, table: str, base_path: str, version: str
 ) -> int:
