@@ -286,7 +286,7 @@ def test_small_batch_rewrites_touched_days_only(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
     kept = {f for f in before & gold_files(gold)}
     assert {f.split("/")[0][-2:] for f in kept} == {"03", "04", "05", "06"}
-    assert not os.path.exists(f"{tmp_path}/_gold.days")
+    assert not os.path.exists(publish.days_of(f"{tmp_path}/gold"))
 
 
 def test_crash_while_days_move_in_is_completed(spark, tmp_path, monkeypatch):
@@ -295,8 +295,8 @@ def test_crash_while_days_move_in_is_completed(spark, tmp_path, monkeypatch):
     expected = expected_days(spark, spec)
 
     def half(session, path, column):
-        day = publish.scratch.list_names(session, f"{tmp_path}/_gold.days")[-1]
-        moved = session.read.parquet(f"{tmp_path}/_gold.days").filter(F.col(column) == day.split("=")[1])
+        day = publish.scratch.list_names(session, publish.days_of(f"{tmp_path}/gold"))[-1]
+        moved = session.read.parquet(publish.days_of(f"{tmp_path}/gold")).filter(F.col(column) == day.split("=")[1])
         write_partitioned(moved, path, partition_by=column, dynamic=True)
         raise OSError("lost")
 

@@ -22,18 +22,22 @@ BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv")
 COUNTED_FORMATS = ("parquet", "orc")  # counting reads footers only
 
 
-def _hidden_sibling(path: str, suffix: str) -> str:
-    """A folder beside ``path`` that readers skip: leading underscore and no '='."""
+def _aside(path: str, kind: str) -> str:
+    """A folder in a hidden one beside ``path``: readers skip underscores, unless '=' follows."""
     parent, slash, name = path.rstrip("/").rpartition("/")
-    return f"{parent}{slash}_{name.replace('=', '-')}.{suffix}"
+    return f"{parent}{slash}_{kind}/{name.replace('=', '-')}"
 
 
 def staging_of(path: str) -> str:
-    return _hidden_sibling(path, f"staging-{uuid.uuid4().hex[:12]}")
+    return f"{_aside(path, 'staging')}-{uuid.uuid4().hex[:12]}"
 
 
 def backup_of(path: str) -> str:
-    return _hidden_sibling(path, "previous")
+    return _aside(path, "previous")
+
+
+def days_of(path: str) -> str:
+    return _aside(path, "days")
 
 
 def require_format(spark: SparkSession, file_format: str) -> str:
@@ -146,6 +150,7 @@ def swap(spark: SparkSession, staging: str, path: str) -> None:
     backup = backup_of(path)
     if scratch.path_exists(spark, path):
         scratch.delete(spark, backup)  # safe: the target itself is present
+        scratch.make_parents(spark, backup)
         scratch.rename(spark, path, backup)
     scratch.rename(spark, staging, path)
 
@@ -165,14 +170,14 @@ def stage_days(spark: SparkSession, df: DataFrame, path: str, column: str) -> se
     ``df`` may read ``path``.  Once staged (Spark's ``_SUCCESS`` marks that),
     ``finish_days`` can be repeated until it went through.
     """
-    staging = _hidden_sibling(path, "days")
+    staging = days_of(path)
     write_partitioned(df, staging, partition_by=column)
     return {n for n in scratch.list_names(spark, staging) if n.startswith(f"{column}=")}
 
 
 def finish_days(spark: SparkSession, path: str, column: str) -> bool:
     """Move staged folders in; after a crash, complete or discard what was left."""
-    staging = _hidden_sibling(path, "days")
+    staging = days_of(path)
     complete = scratch.path_exists(spark, f"{staging}/_SUCCESS")
     if complete:
         write_partitioned(spark.read.parquet(staging), path, partition_by=column, dynamic=True)
@@ -181,7 +186,7 @@ def finish_days(spark: SparkSession, path: str, column: str) -> bool:
 
 
 def discard_days(spark: SparkSession, path: str) -> None:
-    scratch.delete(spark, _hidden_sibling(path, "days"))
+    scratch.delete(spark, days_of(path))
 
 
 def publish_version(
