@@ -37,9 +37,6 @@ NONE = np.int64(1) << 62
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
 
-LOWER = Lowercase()
-
-
 def _classes(limit: int) -> tuple[str, str]:
     """Letters and numbers below a code point, as the inside of a character class."""
     kinds = {k: "".join(re.escape(c) for c in map(chr, range(limit)) if unicodedata.category(c)[0] == k) for k in "LN"}
@@ -58,34 +55,6 @@ FAR_WORDS = Split(Regex(rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^\s\p{{L}}\p{{N}}]+"
 LOWER = Lowercase()
 
 
-def _classes(limit: int) -> tuple[str, str]:
-    """Letters and numbers below a code point, as the inside of a character class."""
-    kinds = {k: "".join(re.escape(c) for c in map(chr, range(limit)) if unicodedata.category(c)[0] == k) for k in "LN"}
-    return kinds["L"], kinds["N"]
-
-
-#: Below this code point the standard library's regular expressions do, which are faster.
-NEAR = 0x250
-_LETTER, _NUMBER = _classes(NEAR)
-NEAR_WORD = re.compile(rf"{CONTRACTIONS}|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
-NEAR_ONLY = re.compile(f"[\0-{chr(NEAR - 1)}]*")
-#: White space for str but not for the vocabulary's pattern.
-SEPARATORS = re.compile("[\x1c-\x1f]")
-
-
-@functools.cache
-def far_word() -> regex.Pattern:
-    """The word pattern for any text.
-
-    Letters are those of the Unicode version of ``unicodedata``: later ones are no letters for the
-    vocabulary's tokenizer either.
-    """
-    unassigned = "".join(c for c in map(chr, range(NEAR, 0x110000)) if unicodedata.category(c) == "Cn")
-    later = "".join(regex.findall(r"\p{L}", unassigned))
-    letter = rf"\p{{L}}--[{later}]" if later else r"\p{L}"
-    return regex.compile(rf"(?V1){CONTRACTIONS}|[{letter}]+|\p{{N}}|[^\s\p{{N}}[{letter}]]+")
-
-
 def byte_symbols() -> list[str]:
     """The character that stands for each byte: itself if it can be seen, else one from U+0100 on."""
     seen = [b for r in ((33, 127), (161, 173), (174, 256)) for b in range(*r)]
