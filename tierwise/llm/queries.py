@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierwise.llm import bpe
+from tierwise.llm import bpe, decontaminate, simhash
 from tierwise.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +21,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {"op3_bpe": op3_bpe}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document has of the benchmark's windows of ten words."""
+    return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest id that links of two bits reach."""
+    found = simhash.near_duplicates(documents(spark, sf_dir), words=3, seed=42, max_bits=2)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Query] = {
+    "op3_bpe": op3_bpe,
+    "op8_decontamination": op8_decontamination,
+    "op9_simhash": op9_simhash,
+}
 ORACLE: dict[str, str] = {}
