@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from tierwise.scratch import work_dir
 
 #: Rows of one slice of an Arrow batch; texts of a slice are Python objects at the same time.
 SLICE_ROWS = 500
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -44,6 +47,18 @@ def map_slices(
                 rows = handle(batch.slice(start, SLICE_ROWS).to_pydict())
                 yield pa.RecordBatch.from_pydict(rows, schema=arrow)
 
+    return map_arrow(frame, run, schema)
+
+
+def map_arrow(
+    frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` whose workers look for this package where the driver found it, too; a cluster
+    without that folder gets the package with ``--py-files``."""
+    environment = frame.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [PACKAGE_ROOT])
     return frame.mapInArrow(run, schema)
 
 

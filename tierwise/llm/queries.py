@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, simhash
+from tierwise.llm import bpe, decontaminate, pii, simhash
 from tierwise.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the plain patterns', and all spans."""
+    return pii.digests(pii.find(documents(spark, sf_dir)))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of ids and the digests of its ids and of their decoded text."""
     return bpe.encode(documents(spark, sf_dir), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -34,6 +39,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op3_bpe": op3_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
