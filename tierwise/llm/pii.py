@@ -363,12 +363,12 @@ def digests(found: DataFrame) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [
-        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS
-    ]
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, KINDS),
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
