@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,6 +30,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A key that rows share only if both their id and their text are equal; never null."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.hex(F.xxhash64(text)))
+
+
 def map_slices(
     frame: DataFrame, work: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:

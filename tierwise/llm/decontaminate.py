@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import id_and_text, map_slices, written
+from tierwise.llm.common import id_and_text, map_slices, row_key, written
 
 #: Words of a window and of a shingle.
 WINDOW, SHINGLE = 10, 5
@@ -128,15 +128,15 @@ def shingle_counts(rows: DataFrame, cells, sizes: list[int]) -> DataFrame:
 
 def candidates(rows: DataFrame, cells, sizes: list[int], window: int) -> DataFrame:
     """(row_key, doc_id, n_words, found): the prefix shingles of each document, with their place and
-    the words that a window around them can have.  Rows that are equal have one key."""
+    the words that a window around them can have."""
     found = "array<struct<shingle: long, at: int, start: int, around: string>>"
 
     def work():
         kept = cells.value
 
         def handle(part: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"row_key": [], "doc_id": part["doc_id"], "n_words": [], "found": []}
-            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+            out: dict[str, list] = {"row_key": part["row_key"], "doc_id": part["doc_id"], "n_words": [], "found": []}
+            for text in part["text"]:
                 words = words_of(text)
                 hashes, near = word_hashes(words), []
                 for n in sizes:
@@ -145,42 +145,32 @@ def candidates(rows: DataFrame, cells, sizes: list[int], window: int) -> DataFra
                         start = max(0, at - window + n)
                         around = b" ".join(words[start : at + window]).decode("utf-8", "replace")
                         near.append({"shingle": int(shingles[at].view(np.int64)), "at": at, "start": start, "around": around})
-                out["row_key"].append(xxhash.xxh3_128_digest(b"%s:%s" % (str(doc_id).encode(), text)))
                 out["n_words"].append(len(words))
                 out["found"].append(near)
             return out
 
         return handle
 
-    return map_slices(rows, work, f"row_key binary, doc_id long, n_words long, found {found}")
-
+    return map_slices(rows, work, f"row_key string, doc_id long, n_words long, found {found}")
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """What each row of ``docs`` (doc_id, text) has of ``items`` (item_id, text).
 
-    A window is ``window`` item words in a row; an item of fewer words, but not none, is one window.
-    Gives doc_id, n_words, n_hit (words inside any occurrence of a window), n_items (items with a
-    window that occurs), items_sha256 (of their ids, sorted as text, comma-joined) and contaminated.
-    Null texts have no words.  Items without an id hit words, but are not counted or named.  Equal
-    items count each, equal rows give equal rows; other columns are not read.
-    """
+def search(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' (row_key, doc_id, n_words), the items' (item_id, win) and the occurrences of
+    windows in documents (row_key, start, end, win)."""
     spark = docs.sparkSession
-    rows = id_and_text(docs).withColumn("text", F.col("text").cast("binary"))
+    rows = id_and_text(docs).select("doc_id", row_key().alias("row_key"), F.col("text").cast("binary").alias("text"))
     given = id_and_text(items, "item_id").withColumn("text", F.col("text").cast("binary"))
     windows = written(item_windows(given, window, shingle), "windows")
     unique = written(windows.groupBy("win", "n").agg(F.first("shingles").alias("shingles")), "windows")
     sizes = sorted(r[0] for r in unique.select(F.least("n", F.lit(shingle))).distinct().collect())
 
     cells = spark.sparkContext.broadcast(bitmap(unique.select(F.explode("shingles").alias("shingle"))))
-    counts = shingle_counts(rows, cells, sizes)
+    counts = written(shingle_counts(rows.select("text"), cells, sizes), "shingles")
     each = unique.select("win", "n", F.posexplode("shingles").alias("offset", "shingle"))
-    rarest = F.min(F.struct("n_found", "shingle", "offset")).alias("rarest")
-    prefixes = written(
-        each.join(counts, "shingle").groupBy("win", "n").agg(rarest).select("win", "n", "rarest.shingle", "rarest.offset")
-        # a window with a shingle that no document has cannot occur
-        .join(each.join(counts, "shingle", "left_anti").select("win", "n").distinct(), ["win", "n"], "left_anti"),
-        "prefixes",
-    )
+    # a window with a shingle that no document has cannot occur
+    rarest = F.min(F.struct(F.coalesce("n_found", F.lit(0)).alias("n_found"), "shingle", "offset")).alias("rarest")
+    prefixes = each.join(counts, "shingle", "left").groupBy("win", "n").agg(rarest).filter("rarest.n_found > 0")
+    prefixes = written(prefixes.select("win", "n", "rarest.shingle", "rarest.offset"), "prefixes")
 
     cells = spark.sparkContext.broadcast(bitmap(prefixes.select("shingle")))
     scanned = written(candidates(rows, cells, sizes, window), "candidates")
@@ -188,7 +178,20 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     inside = F.expr("at >= offset AND at - offset + n <= n_words")
     same = F.expr("array_join(slice(split(around, ' ', -1), at - offset - start + 1, n), ' ') = win")
     hits = near.join(prefixes, "shingle").filter(inside).filter(same)
-    hits = written(hits.selectExpr("row_key", "at - offset AS start", "at - offset + n AS end", "win"), "hits")
+    hits = hits.selectExpr("row_key", "at - offset AS start", "at - offset + n AS end", "win")
+    return scanned.select("row_key", "doc_id", "n_words"), windows.select("item_id", "win"), written(hits, "hits")
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """What each row of ``docs`` (doc_id, text) has of ``items`` (item_id, text).
+
+    A window is ``window`` item words in a row; an item of fewer words, but not none, is one window.
+    Gives doc_id, n_words, n_hit (words inside any occurrence of a window), n_items (items with a
+    window that occurs), items_sha256 (of their ids, sorted as text, comma-joined) and contaminated.
+    Null texts have no words.  Items without an id hit words, but are not counted or named.  Equal
+    items count each, equal rows give equal rows; other columns are not read.
+    """
+    scanned, windows, hits = search(docs, items, window, shingle)
     covered = F.expr(
         """aggregate(array_sort(collect_set(struct(start, end))), named_struct('n', 0L, 'upto', 0),
            (seen, span) -> named_struct('n', seen.n + greatest(0, span.end - greatest(span.start, seen.upto)),
@@ -200,8 +203,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     of_row = hits.select("row_key", "win").distinct().join(of_window, "win").select("row_key", "item").distinct()
     named = of_row.groupBy("row_key").agg(F.array_sort(F.collect_list("item")).alias("named"))
     return (
-        scanned.select("row_key", "doc_id", "n_words")
-        .join(n_hit, "row_key", "left")
+        scanned.join(n_hit, "row_key", "left")
         .join(named, "row_key", "left")
         .select(
             "doc_id",
@@ -212,3 +214,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
             F.col("n_hit").isNotNull().alias("contaminated"),
         )
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that have no window of an item, with all their columns as they are."""
+    _, _, hits = search(docs, items, window, shingle)
+    gone = hits.select(F.col("row_key").alias("__row_key")).distinct()
+    return docs.withColumn("__row_key", row_key()).join(gone, "__row_key", "left_anti").drop("__row_key")

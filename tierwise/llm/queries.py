@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, pii, simhash
+from tierwise.llm import bpe, decontaminate, pii, quality, simhash
 from tierwise.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,16 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def good_label():
+    return (F.col("quality") == 1) & (F.col("toxic") == 0)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight, Gumbel key and whether it is in the sample."""
+    found, _ = quality.resample(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), good_label())
+    return found
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document has of the benchmark's windows of ten words."""
     return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
@@ -41,6 +51,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op3_bpe": op3_bpe,
+    "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
 }

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import id_and_text, map_slices, written
+from tierwise.llm.common import id_and_text, map_slices, row_key, written
 from tierwise.llm.components import connected_components
 
 #: Shingles counted at a time: 64 bytes each.
@@ -44,14 +44,14 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fingerprint long) of each row's whole text; a null text is the empty one."""
+    """(doc_id, row_key, fingerprint long) of each row's whole text; a null text is the empty one."""
     one = partial(fingerprint, words=words, seed=seed)
-    rows = id_and_text(docs).withColumn("text", F.col("text").cast("binary"))
-    return map_slices(
-        rows,
-        lambda: lambda part: {"doc_id": part["doc_id"], "fingerprint": list(map(one, part["text"]))},
-        "doc_id long, fingerprint long",
-    )
+    rows = id_and_text(docs).select("doc_id", row_key().alias("row_key"), F.col("text").cast("binary").alias("text"))
+
+    def handle(part: dict[str, list]) -> dict[str, list]:
+        return {"doc_id": part["doc_id"], "row_key": part["row_key"], "fingerprint": list(map(one, part["text"]))}
+
+    return map_slices(rows, lambda: handle, "doc_id long, row_key string, fingerprint long")
 
 
 def variants(prints: DataFrame) -> DataFrame:
@@ -78,6 +78,20 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return a.join(b, (a["key"] == b["other_key"]) & close).select("u", "v")
 
 
+def grouped(docs: DataFrame, words: int, seed: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and (fingerprint, first, smallest): the first document that has the
+    fingerprint, and that of all that chains of links reach.  The first has the smallest id."""
+    prints = written(fingerprints(docs, words, seed), "fingerprints")
+    entry = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    first = written(prints.groupBy("fingerprint").agg(F.min(entry).alias("first")), "first")
+    linked = connected_components(near_links(first, max_bits)).withColumnRenamed("node", "fingerprint")
+    linked = written(linked.join(first, "fingerprint"), "components")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
+    linked = linked.join(smallest, "root").select("fingerprint", "smallest")
+    of_print = first.join(linked, "fingerprint", "left").withColumn("smallest", F.coalesce("smallest", "first"))
+    return prints, of_print
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of each row of ``docs``.
 
@@ -85,13 +99,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: i
     is the smallest ``doc_id`` in it (null if none has one).  Texts without a word, null ones too,
     have the fingerprint zero.  Repeated rows give repeated rows; other columns are not read.
     """
-    prints = written(fingerprints(docs, words, seed), "fingerprints")
-    first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    linked = connected_components(near_links(prints, max_bits)).withColumnRenamed("node", "fingerprint")
-    linked = written(linked.join(first, "fingerprint"), "components")
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("smallest_id"))
-    linked = linked.join(smallest, "root").select("fingerprint", "smallest_id")
-    of_print = first.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("smallest_id", "first_id").alias("component_id")
-    )
-    return prints.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    prints, of_print = grouped(docs, words, seed, max_bits)
+    component = of_print.select("fingerprint", F.col("smallest.doc_id").alias("component_id"))
+    return prints.join(component, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component: that of the smallest ``doc_id``.
+
+    Rows without an id come after those with one; of equal rows one stays, of several texts with
+    the smallest id one.  All columns are kept as they are.
+    """
+    _, of_print = grouped(docs, words, seed, max_bits)
+    stay = of_print.filter("first = smallest").select(F.col("first.row_key").alias("__row_key"))
+    keyed = docs.withColumn("__row_key", row_key())
+    return keyed.join(stay, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
