@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, pii, quality, simhash
+from tierwise.llm import bpe, decontaminate, pii, quality, simhash, warc
 from tierwise.llm.common import documents
+from tierwise.scratch import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,11 +49,25 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the WARC files that its ARC archives were converted to."""
+    path = work_dir(spark, "warc")
+    warc.write_warc(warc.with_revisits(warc.convert(warc.pages_as_arc(documents(spark, sf_dir, "pages")))), path)
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL_WARC = """select page_id, cast(bytes as bigint) payload_bytes, sha256(body) payload_digest,
+    case when copy then 'revisit' else 'response' end record_type, case when copy then first end refers_to
+  from (select *, bytes >= 100 and page_id <> first copy
+    from (select page_id, body, strlen(body) bytes, min(page_id) over (partition by body) first
+      from (select page_id, coalesce(html, '') body from pages)))"""
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op3_bpe": op3_bpe,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
+    "op10_warc": op10_warc,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_warc": SQL_WARC}
