@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, pii, quality, simhash, warc
+from tierwise.llm import bpe, decontaminate, pii, quality, simhash, url_filter, warc
 from tierwise.llm.common import documents
 from tierwise.scratch import work_dir
 
@@ -22,6 +22,63 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(documents(spark, sf_dir)))
 
 
+FETCHED = "timestamp_ntz '2023-01-01 00:00:00' + make_dt_interval(int(page_id * 7919 % 730), int(page_id % 24))"
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with the time they were fetched, which the table has not: spread over two years."""
+    return documents(spark, sf_dir, "pages").selectExpr("page_id", "url", f"{FETCHED} AS fetched")
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Dated entries for the pages' hosts, parent domains and first path segments: which of them are
+    listed, where, from when on and until when follows from their digests."""
+    host = url_filter.host_of(F.col("url"))
+    parent = F.regexp_extract(host, r"[^.]+\.[^.]+$", 0)
+    first = F.concat(host, F.lit("/"), F.element_at(url_filter.segments_of(F.col("url")), 1))
+    patterns = pages.select(F.explode(F.array(host, parent, first)).alias("pattern")).filter("pattern <> ''").distinct()
+    digit = [F.conv(F.substring(F.md5("pattern"), at, 3), 16, 10).cast("int") for at in (1, 4, 7, 10)]
+    begin = F.date_add(F.lit("2022-07-01").cast("date"), digit[1] % 800)
+    name = F.element_at(F.array(F.lit("ads"), F.lit("fraud"), F.lit("malware")), digit[0] % 3 + 1)
+    end, again = F.date_add(begin, digit[2] % 300), F.date_add(begin, digit[2] % 300 + digit[3] % 200)
+    entry = [
+        F.struct(begin.alias("day"), F.lit(True).alias("listed")),
+        F.struct(end.alias("day"), F.lit(False).alias("listed")),
+        F.struct(again.alias("day"), F.lit(True).alias("listed")),
+    ]
+    dated = F.explode(F.when(digit[0] % 2 == 0, F.array(*entry)).otherwise(F.array(entry[0])))
+    return patterns.filter(digit[3] % 5 < 3).select(name.alias("list"), "pattern", dated.alias("e")).select("list", "pattern", "e.*")
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every capture with the lists that had it when it was fetched."""
+    return url_filter.evaluate(captures(spark, sf_dir), dated_lists(documents(spark, sf_dir, "pages")))
+
+
+SQL_LISTS = """with p as (select page_id, url, timestamp '2023-01-01' + to_days(cast(page_id * 7919 % 730 as int))
+      + to_hours(cast(page_id % 24 as int)) fetched, lower(regexp_replace(regexp_replace(regexp_replace(regexp_extract(url,
+      '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '\\.$', '')) host,
+      [s for s in string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1), '/') if s <> ''] segs
+      from pages),
+    names as (select distinct pattern from (select unnest([host, regexp_extract(host, '[^.]+\\.[^.]+$', 0),
+      host || '/' || segs[1]]) pattern from p) where pattern <> ''),
+    digits as (select pattern, [cast('0x' || substr(md5(pattern), i, 3) as int) for i in [1, 4, 7, 10]] d from names),
+    begun as (select pattern, d, date '2022-07-01' + d[2] % 800 b, ['ads', 'fraud', 'malware'][d[1] % 3 + 1] list
+      from digits where d[4] % 5 < 3),
+    e as (select list, pattern, b as day, true listed from begun
+      union all select list, pattern, b + d[3] % 300, false from begun where d[1] % 2 = 0
+      union all select list, pattern, b + d[3] % 300 + d[4] % 200, true from begun where d[1] % 2 = 0),
+    days as (select list, pattern, day, bool_and(listed) listed from e group by all),
+    iv as (select *, coalesce(lead(day) over (partition by list, pattern order by day), date '9999-12-31') upto from days),
+    m as (select p.page_id, p.url, p.fetched, iv.list from p join iv on iv.listed and iv.day <= cast(p.fetched as date)
+      and cast(p.fetched as date) < iv.upto and (p.host = split_part(iv.pattern, '/', 1)
+        or p.host like '%.' || split_part(iv.pattern, '/', 1))
+      and (not contains(iv.pattern, '/') or p.segs[1] = split_part(iv.pattern, '/', 2)))
+    select p.page_id, p.url, p.fetched, count(m.list) > 0 blocked, string_agg(distinct m.list, ',' order by m.list) lists,
+      count(m.list) n_entries
+    from p left join m on p.page_id = m.page_id group by p.page_id, p.url, p.fetched"""
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of ids and the digests of its ids and of their decoded text."""
     return bpe.encode(documents(spark, sf_dir), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -64,10 +121,11 @@ SQL_WARC = """select page_id, cast(bytes as bigint) payload_bytes, sha256(body)
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_url_lists": op2_url_lists,
     "op3_bpe": op3_bpe,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
 }
-ORACLE: dict[str, str] = {"op10_warc": SQL_WARC}
+ORACLE: dict[str, str] = {"op2_url_lists": SQL_LISTS, "op10_warc": SQL_WARC}
