@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, pii, quality, simhash, url_filter, warc
+from tierwise.llm import bpe, decontaminate, pii, quality, simhash, spotsigs, url_filter, warc
 from tierwise.llm.common import documents
 from tierwise.scratch import work_dir
 
@@ -84,6 +84,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, beside those of its edited text and of the next document."""
+    return spotsigs.compare_with_next(documents(spark, sf_dir))
+
+
 def good_label():
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_url_lists": op2_url_lists,
     "op3_bpe": op3_bpe,
+    "op4_spotsigs": op4_spotsigs,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
