@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, pii, quality, simhash, spotsigs, url_filter, warc
+from tierwise.llm import bpe, decontaminate, packing, pii, quality, simhash, spotsigs, url_filter, warc
 from tierwise.llm.common import documents
 from tierwise.scratch import work_dir
 
+BYTE_VOCABULARY = packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +90,11 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_with_next(documents(spark, sf_dir))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of 2,048 ids."""
+    return packing.pack(documents(spark, sf_dir), BYTE_VOCABULARY)
+
+
 def good_label():
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
 
@@ -129,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_lists": op2_url_lists,
     "op3_bpe": op3_bpe,
     "op4_spotsigs": op4_spotsigs,
+    "op5_packing": op5_packing,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
