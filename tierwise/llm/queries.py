@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, packing, pii, quality, simhash, spotsigs, url_filter, warc
+from tierwise.llm import bpe, decontaminate, lm, packing, pii, quality, simhash, spotsigs, url_filter, warc
 from tierwise.llm.common import documents
 from tierwise.scratch import work_dir
 
@@ -95,6 +95,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_VOCABULARY)
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-likelihood under the network trained on all of them."""
+    return lm.score(documents(spark, sf_dir))
+
+
 def good_label():
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
 
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op3_bpe": op3_bpe,
     "op4_spotsigs": op4_spotsigs,
     "op5_packing": op5_packing,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_quality": op7_quality,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
