@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm import bpe, decontaminate, pii, quality, simhash
 from tierwise.llm.common import documents, written
-from tierwise.llm.queries import VOCABULARY, good_label
+from tierwise.llm.queries import VOCABULARY, good_and_bad
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the importance sample; the others go."""
-    _, sample = quality.resample(docs, documents(spark, sf_dir, "labels"), good_label())
+    _, sample = quality.resample(docs, documents(spark, sf_dir, "labels"), **good_and_bad())
     return sample.keeps(docs)
 
 

@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import pytest
+from conftest import TEXTS
+from pyspark.sql import functions as F
+
+from tierwise.llm import quality
+from tierwise.llm.queries import good_and_bad, op7_quality
+
+
+def test_kth_largest(spark):
+    rng = random.Random(3)
+    keys = [rng.gauss(0, 1) ** 3 for _ in range(6000)] + [0.5] * 3000 + [1e9, -1e9]
+    frame = spark.createDataFrame([(k,) for k in keys], "key double")
+    ordered = sorted(keys, reverse=True)
+    for k in (1, 2, 700, 2000, 4000, 8999, 9001):
+        assert quality.kth_largest(frame, k) == ordered[k - 1]
+    assert quality.kth_largest(frame, len(keys)) == -np.inf
+    assert quality.kth_largest(frame, 0) == np.inf
+    assert quality.kth_largest(frame.limit(0), 5) == -np.inf
+
+
+def test_counts_and_weights_against_brute_force(spark, docs, texts):
+    wanted = np.array(sorted(texts)[::3], dtype=np.int64)
+    raw, target = quality.bucket_counts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), wanted)
+    expected = [np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)]
+    for i, text in texts.items():
+        words = quality.WORD.findall(text.lower())
+        assert len(quality.ngrams(text)) == max(0, 2 * len(words) - 1)
+        for bucket in quality.ngrams(text):
+            expected[0][bucket] += 1
+            expected[1][bucket] += i in set(wanted)
+    assert (raw == expected[0]).all() and (target == expected[1]).all()
+
+
+@pytest.fixture(scope="module")
+def held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found, sample = quality.resample(spark.read.parquet(f"{folder}/documents.parquet"), labels.filter("doc_id % 2 = 0"), **good_and_bad())
+    return found.join(labels.filter("doc_id % 2 = 1"), "doc_id").collect(), found, sample
+
+
+def test_held_out_accuracy(held_out):
+    rows, _, _ = held_out
+    good = [r.selected for r in rows if r.quality == 1 and r.toxic == 0]
+    bad = [r.selected for r in rows if r.quality == 0]
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.1
+
+
+def test_sample_has_its_size(spark, docs):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    found, sample = quality.resample(docs, labels, **good_and_bad(), size=50)
+    rows = found.collect()
+    keys = sorted((r.key for r in rows), reverse=True)
+    assert [r.selected for r in rows] == [r.key >= keys[49] for r in rows]
+    kept = sample.keeps(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.selected}
+
+
+def test_noise_is_gumbel(spark):
+    noise = spark.range(20_000).select(F.lit(0.0).alias("w"), F.col("id").alias("doc_id"))
+    values = [r[0] for r in noise.select(quality.gumbel_key("w", 7, 1.0)).collect()]
+    assert abs(np.mean(values) - np.euler_gamma) < 0.03 and abs(np.var(values) - np.pi**2 / 6) < 0.06
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (7, None, None), (None, 1, 0), (5, 1, 0), (9, 0, 1)], "doc_id long, quality int, toxic int")
+    found, sample = quality.resample(odd_docs, labels, **good_and_bad())
+    assert sorted(str(r.doc_id) for r in found.collect()) == sorted(str(i) for i, _ in TEXTS)
+    assert sample.keeps(odd_docs).columns == odd_docs.columns
+    found, sample = quality.resample(odd_docs, labels.limit(0), **good_and_bad())
+    assert all(r.selected and r.log_weight == 0 for r in found.collect())
+    assert sample.keeps(odd_docs).count() == len(TEXTS)
+    found, sample = quality.resample(no_docs, labels, **good_and_bad())
+    assert found.count() == 0 and sample.keeps(no_docs).count() == 0
+
+
+def test_query(spark, docs):
+    assert op7_quality(spark, "/root/testdata/sf0.001").count() == docs.count()

@@ -6,10 +6,10 @@ of their ratio, per n-gram.  A sample without replacement in proportion to the (
 is drawn by the Gumbel top-k rule: the k documents with the largest sum of weight and Gumbel noise.
 
 The n-grams of all documents are counted.  At most ``MAX_LABELLED`` labelled rows are used, those
-with the smallest hashes of their ids: one half of the good ones gives the target's n-grams, the
-other half says how many documents to keep, unless a size is given: as many as reach the weight
-that ``KEEP_GOOD`` of that half reach, which had no part in the model.  Noise depends on ``doc_id``
-and the seed only.
+with the smallest hashes of their ids: one half gives the target's n-grams, the other half, which had
+no part in the model, says how many documents to keep, unless a size is given: as many as reach the
+weight halfway between the one that ``KEEP_GOOD`` of its good documents reach and the one that
+``BELOW_BAD`` of its bad ones do not.  Noise depends on ``doc_id`` and the seed only.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ BUCKETS, PRIOR = 1 << 16, 1.0
 SHRINK = 30
 #: Labelled rows that are used, at most.
 MAX_LABELLED = 100_000
-#: Share of good labelled documents whose weight is reached; weights are divided by the temperature.
-KEEP_GOOD, TEMPERATURE = 0.995, 0.01
+#: Shares of good and of bad labelled documents above and below the two weights that set the size.
+KEEP_GOOD, BELOW_BAD = 0.995, 0.9
+#: Weights are divided by it before noise is added.
+TEMPERATURE = 0.01
 #: Parts of a range in the search of the k-th largest key, and keys that are looked at one by one.
 PARTS, FEW = 512, 2000
 
@@ -61,12 +63,12 @@ class Ratio:
         return len(buckets), float(self.weights[buckets].sum(dtype=np.float64) / (len(buckets) + SHRINK))
 
 
-def labelled_ids(labels: DataFrame, good: Column, limit: int, half: int) -> DataFrame:
-    """(doc_id) of one half of the good ones among at most ``limit`` labelled rows."""
-    rows = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(good.cast("int")).alias("good"))
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).filter(
-        (F.col("good") == 1) & (F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == half)
-    ).select("doc_id")
+def labelled(labels: DataFrame, good: Column, bad: Column, limit: int, half: int) -> DataFrame:
+    """(doc_id, good, bad) of one half of at most ``limit`` labelled documents."""
+    rows = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    sides = rows.agg(F.coalesce(F.max(good), F.lit(False)).alias("good"), F.coalesce(F.max(bad), F.lit(False)).alias("bad"))
+    chosen = sides.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return chosen.filter(F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == half)
 
 
 def bucket_counts(rows: DataFrame, target_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +97,9 @@ def bucket_counts(rows: DataFrame, target_ids: np.ndarray) -> tuple[np.ndarray,
     return raw, target
 
 
-def fit(docs: DataFrame, labels: DataFrame, good: Column, limit: int = MAX_LABELLED) -> Ratio:
-    """The ratio of good to all text; all zero if no document is labelled good."""
-    ids = np.array([r[0] for r in labelled_ids(labels, good, limit, 0).collect()], dtype=np.int64)
+def fit(docs: DataFrame, sample: DataFrame) -> Ratio:
+    """The ratio of the text of ``sample``'s good documents to all text; all zero if there is none."""
+    ids = np.array([r[0] for r in sample.filter("good").select("doc_id").collect()], dtype=np.int64)
     raw, target = bucket_counts(id_and_text(docs), ids)
     if not target.sum():
         return Ratio(np.zeros(BUCKETS))
@@ -172,6 +174,7 @@ def resample(
     docs: DataFrame,
     labels: DataFrame,
     good: Column,
+    bad: Column,
     size: int | None = None,
     seed: int = 7,
     temperature: float = TEMPERATURE,
@@ -179,21 +182,24 @@ def resample(
 ) -> tuple[DataFrame, Sample]:
     """Weights and decisions of all rows, and the sample that was drawn.
 
-    ``docs`` have doc_id and text, ``labels`` doc_id and what ``good`` reads; a document labelled
-    more than once is good if one label says so.  Gives doc_id, n_grams, log_weight, key and
+    ``docs`` have doc_id and text, ``labels`` doc_id and what ``good`` and ``bad`` read; a document
+    labelled more than once is what any of its labels says.  Gives doc_id, n_grams, log_weight, key and
     selected.  Rows whose keys are equal to the last one's are all in the sample (equal ids with
     equal texts, that is).  Without a good label every weight is 0 and, without ``size``, all rows are
     kept.  Null texts are empty ones; rows without an id share one noise.
     """
-    model = fit(docs, labels, good, limit)
+    model = fit(docs, labelled(labels, good, bad, limit, 0))
     scored = with_weight(id_and_text(docs), model, "log_weight", count="n_grams").select("doc_id", "n_grams", "log_weight")
     scored = written(scored.withColumn("key", gumbel_key("log_weight", seed, temperature)), "weights")
     if size is None:
-        reached = (
-            scored.join(F.broadcast(labelled_ids(labels, good, limit, 1)), "doc_id")  # at most ``limit`` ids
-            .agg(F.percentile_approx("log_weight", 1 - KEEP_GOOD, 10_000))
-            .first()[0]
-        )
-        size = scored.filter(F.col("log_weight") >= F.lit(-np.inf if reached is None else reached)).count()
+        judged = scored.join(F.broadcast(labelled(labels, good, bad, limit, 1)), "doc_id")  # at most ``limit`` rows
+        low_good = F.percentile_approx(F.when(F.col("good"), F.col("log_weight")), 1 - KEEP_GOOD, 10_000)
+        high_bad = F.percentile_approx(F.when(F.col("bad"), F.col("log_weight")), BELOW_BAD, 10_000)
+        reached, ruled_out = judged.agg(low_good, high_bad).first()
+        if reached is None:
+            reached = -np.inf
+        elif ruled_out is not None and ruled_out < reached:
+            reached = (reached + ruled_out) / 2
+        size = scored.filter(F.col("log_weight") >= F.lit(reached)).count()
     sample = Sample(model, kth_largest(scored, size), seed, temperature)
     return scored.withColumn("selected", F.col("key") >= F.lit(sample.least_key)), sample

@@ -100,13 +100,14 @@ def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
-def good_label():
-    return (F.col("quality") == 1) & (F.col("toxic") == 0)
+def good_and_bad() -> dict:
+    """What the labels call good and bad; toxic documents of good quality are neither."""
+    return {"good": (F.col("quality") == 1) & (F.col("toxic") == 0), "bad": F.col("quality") == 0}
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's importance weight, Gumbel key and whether it is in the sample."""
-    found, _ = quality.resample(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), good_label())
+    found, _ = quality.resample(documents(spark, sf_dir), documents(spark, sf_dir, "labels"), **good_and_bad())
     return found
 
 

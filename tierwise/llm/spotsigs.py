@@ -111,7 +111,8 @@ def blocks_in_order(rows: DataFrame, n: int) -> DataFrame:
     narrow = keyed.select("key")
     cuts = narrow.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
     bounds = sorted(set(cuts or []))
-    starts = sorted(r[0] for r in narrow.groupBy(at_most(bounds, F.col("key")).alias("b")).agg(F.min("key")).collect())
+    first_of_each = narrow.groupBy(at_most(bounds, F.col("key")).alias("b")).agg(F.min("key").alias("first"))
+    starts = sorted(r["first"] for r in first_of_each.collect())
     if not starts:
         return keyed.withColumns({"block": F.lit(0), "guard": F.lit(False)})
     block = at_most(starts, F.col("key")) - 1
