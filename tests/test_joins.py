@@ -4,7 +4,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierwise.operators import joins
-from tierwise.operators.joins import _spread, hot_keys, join_chain, key_pair, salted_outer_join, unparsable_keys
+from tierwise.operators.joins import (
+    _spread,
+    hot_keys,
+    join_chain,
+    key_pair,
+    salted_outer_join,
+    unparsable_keys,
+    with_row,
+)
 from tierwise.spec import JoinStep, SpecError
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
@@ -12,7 +20,11 @@ ROWS = st.lists(st.tuples(KEYS, st.integers(0, 2)), max_size=25)
 
 
 def frame(spark, rows, value):
-    return spark.createDataFrame(rows, f"k int, {value} int").repartition(3)
+    return with_row(spark.createDataFrame(rows, f"k int, {value} int").repartition(3), f"row_{value}")
+
+
+def salted(a, b, pairs, how, parts, rows=("a.row_x", "b.row_y")):
+    return salted_outer_join(a, b, pairs, how, *map(F.col, rows), parts)
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
@@ -23,46 +35,87 @@ def test_salted_join_equals_plain_join(spark, how, left, right):
     b = frame(spark, right, "y").alias("b")
     pairs = [(F.col("a.k"), F.col("b.k"))]
     plain = a.join(b, pairs[0][0] == pairs[0][1], how)
-    salted = salted_outer_join(a, b, pairs, how, rows_per_salt=2, probe=1.0)
+    spread = salted(a, b, pairs, how, 12)
     names = ["a.k", "a.x", "b.k", "b.y"]
-    rows = [sorted(map(tuple, df.select(*names).collect()), key=repr) for df in (plain, salted)]
+    rows = [sorted(map(tuple, df.select(*names).collect()), key=repr) for df in (plain, spread)]
     assert rows[0] == rows[1]
 
 
-def test_hot_key_is_spread_over_salts(spark):
-    rows = spark.range(0, 6000, 1, 24).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("y")
-    )
-    hot = hot_keys(rows, [F.col("k")], rows_per_salt=100, probe=1.0).collect()
-    assert [(r["__hot_0"], r["__salts"]) for r in hot] == [(7, 21)]  # ceil(2001 / 100)
-    keys = spark.createDataFrame([(7,), (8,), (-1,)], "k long").alias("a")
-    copy = rows.alias("b")
-    joined = salted_outer_join(
-        keys, copy, [(F.col("a.k"), F.col("b.k"))], "left", rows_per_salt=100, probe=1.0
+def numbered(spark, tmp_path, rows, name="row"):
+    """``rows`` as a Parquet table, each with its place in the files."""
+    path = str(tmp_path / name)
+    rows.write.parquet(path)
+    return with_row(spark.read.parquet(path), name)
+
+
+def test_hot_key_is_spread_over_salts(spark, tmp_path):
+    rows = spark.range(0, 6000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.lit(1).alias("y")
     )
+    table = numbered(spark, tmp_path, rows)
+    hot = hot_keys(table, [F.col("k")], 60)
+    assert [(r["__hot_0"], r["__salts"]) for r in hot.collect()] == [(7, 21)]  # ceil(2001 / 100)
+    salts = _spread(table, [F.col("k")], hot, "salt", F.col("row")).filter("k = 7").groupBy("salt").count()
+    sizes = [r["count"] for r in salts.collect()]  # copies of one row spread, too
+    assert len(sizes) == 21 and max(sizes) < 150
+    shuffled = _spread(table.repartition(8, "k"), [F.col("k")], hot, "salt", F.col("row"))
+    assert shuffled.filter("k = 7").select("salt").distinct().count() == 21
+    keys = numbered(spark, tmp_path, spark.createDataFrame([(7,), (8,), (-1,)], "k long"), "other").alias("a")
+    copy = table.alias("b")
+    joined = salted(keys, copy, [(F.col("a.k"), F.col("b.k"))], "left", 60, ("a.other", "b.row"))
     plain = keys.join(copy, F.col("a.k") == F.col("b.k"), "left")
     assert joined.count() == plain.count() == 2003
-    table = hot_keys(rows, [F.col("k")], 100, 1.0)
-    salted = _spread(rows, [F.col("k")], table, "salt", ["y"])
-    sizes = [r["count"] for r in salted.filter("k = 7").groupBy("salt").count().collect()]
-    assert len(sizes) == 21 and max(sizes) < 250
-    by_partition = _spread(rows, [F.col("k")], table, "salt")
-    assert by_partition.filter("k = 7").select("salt").distinct().count() > 8
 
 
-def test_full_join_spreads_rows_without_a_key(spark):
-    rows = spark.range(0, 3000, 1, 24).select(
+def test_every_hot_key_counts(spark):
+    rows = with_row(spark.range(60_000).select((F.col("id") % 3000).alias("k")), "row")
+    hot = hot_keys(rows, [F.col("k")], 6000)
+    assert hot.count() == 3000 and hot.filter("__salts = 2").count() == 3000
+
+
+def test_shuffled_hot_left_side_is_split(spark, tmp_path):
+    """Tasks of a right and of a full step: no task has much more than its share of the hot key."""
+    rows = spark.range(0, 40_000, 1, 4).select(F.lit(7).alias("k"), F.col("id").alias("x"))
+    left = numbered(spark, tmp_path, rows).repartition(8, "k").alias("a")
+    right = with_row(spark.createDataFrame([(7, 1), (8, 2)], "k int, y int"), "other").alias("b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("right", "full"):
+            joined = salted(left, right, [(F.col("a.k"), F.col("b.k"))], how, 32, ("a.row", "b.other"))
+            tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert sum(r["count"] for r in tasks) == 40_001
+            assert max(r["count"] for r in tasks) < 40_000 * 0.35
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_full_join_spreads_rows_without_a_key(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 4).select(
         F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("y")
     )
-    table = hot_keys(rows, [F.col("k")], 100, 1.0, with_nulls=True)
-    assert [(r["__hot_0"], r["__salts"]) for r in table.collect()] == [(None, 10)]
-    spread = _spread(rows, [F.col("k")], table, "salt")
-    assert spread.filter("k is null").select("salt").distinct().count() > 5
-    a, b = rows.alias("a"), rows.alias("b")
-    joined = salted_outer_join(a, b, [(F.col("a.k"), F.col("b.k"))], "full", rows_per_salt=100, probe=1.0)
+    table = numbered(spark, tmp_path, rows)
+    hot = hot_keys(table, [F.col("k")], 30, with_nulls=True)
+    assert [(r["__hot_0"], r["__salts"]) for r in hot.collect()] == [(None, 10)]
+    spread = _spread(table, [F.col("k")], hot, "salt", F.col("row"))
+    assert spread.filter("k is null").select("salt").distinct().count() == 10
+    a, b = table.alias("a"), table.alias("b")
+    joined = salted(a, b, [(F.col("a.k"), F.col("b.k"))], "full", 30, ("a.row", "b.row"))
     assert joined.count() == 4000
 
 
+def test_building_a_chain_runs_no_job(spark):
+    frames = {n: spark.range(20).withColumnRenamed("id", "k") for n in "abcd"}
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    steps = [step(f"j{n}", left="a", right=n, join_type=how) for n, how in zip("bcd", ("left", "right", "full"))]
+    chain = join_chain(frames, steps)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert chain.count() == 20 and chain.columns == ["k"] * 4
+
+
 def test_composite_and_mixed_type_keys(spark):
     a = spark.createDataFrame([("1", "x", 1), ("bad", "x", 2), (None, "y", 3)], "k string, g string, i int")
     b = spark.createDataFrame([(1, "x", 10), (1, "x", 11), (2, "y", 12)], "k bigint, g string, j int")
@@ -104,21 +157,12 @@ def test_join_types_pass_through(spark, how):
     assert joined.count() == expected[how]
 
 
-def test_outer_steps_without_hot_keys_are_plain(spark):
-    frames = {n: spark.range(20).withColumnRenamed("id", "k") for n in "abcd"}
-    steps = [step(f"j{n}", left="a", right=n, join_type="left") for n in "bcd"]
-    chain = join_chain(frames, steps)
-    assert chain.count() == 20
-    assert str(chain._jdf.queryExecution().optimizedPlan()).count("LeftOuter") == 3  # no hot key, no salt
-
-
 def test_hot_key_of_mixed_types(spark):
-    a = spark.createDataFrame([("7",), ("8",), ("bad",)], "k string").alias("a")
-    b = spark.createDataFrame([(7, i) for i in range(50)], "k bigint, y int").alias("b")
-    pairs = [key_pair(a, "a.k", b, "b.k")]
-    joined = salted_outer_join(a, b, pairs, "left", rows_per_salt=5, probe=1.0)
+    a = with_row(spark.createDataFrame([("7",), ("8",), ("bad",)], "k string"), "row_x").alias("a")
+    b = with_row(spark.createDataFrame([(7, i) for i in range(50)], "k bigint, y int"), "row_y").alias("b")
+    joined = salted(a, b, [key_pair(a, "a.k", b, "b.k")], "left", 10)
     assert joined.count() == 52 and joined.filter("b.k is null").count() == 2
-    assert joined.columns == ["k", "k", "y"]
+    assert joined.columns == ["k", "row_x", "k", "y", "row_y"]
 
 
 def test_semi_join_moves_distinct_keys_only(spark):
@@ -131,8 +175,8 @@ def test_semi_join_moves_distinct_keys_only(spark):
 
 
 def test_chain_of_salted_steps_equals_the_plain_chain(spark, monkeypatch):
-    def eager(df, keys, rows_per_salt, probe, with_nulls):
-        return hot_keys(df, keys, 3, 1.0, with_nulls)
+    def eager(df, keys, parts, with_nulls):
+        return hot_keys(df, keys, 10, with_nulls)
 
     monkeypatch.setattr(joins, "hot_keys", eager)
     rows = [(i % 4 if i % 5 else None, i) for i in range(30)]

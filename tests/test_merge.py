@@ -9,6 +9,7 @@ from tierwise.operators.keys import dedup_latest, require_unique, split_null_key
 from tierwise.operators.scd1 import MissingColumns, change_class, measured_bytes, scd1_merge, schema_report
 from tierwise.operators.scd2 import late_rows, open_versions, rebuild_history, scd2_merge
 from tierwise.streaming.merge import StreamedDimension
+from stopping import steps_until_done
 
 DAY0, DAY1, DAY2 = (datetime.date(2024, 1, d) for d in (1, 2, 3))
 SCHEMA = "k int, a string, b string"
@@ -175,6 +176,31 @@ def test_streamed_dimension(spark, tmp_path):
     dimension.apply(frame(spark, [(2, "d", "d"), (3, "e", "e")]), 1)
     expected = [(1, "a", "a"), (2, "d", "d"), (3, "e", "e")]
     assert rows(dimension.snapshot()) == expected
-    assert rows(dimension.snapshot(small_changes=True)) == expected
     assert dimension.compact() == 3
     assert rows(dimension.base()) == expected and dimension.snapshot().count() == 3
+
+
+def test_compact_survives_a_stop_after_any_step(spark, tmp_path):
+    """Batches 9 and 10: in text order the newer one would go first, and the older one win."""
+
+    def prepared(root):
+        frame(spark, [(1, "a", "a")]).write.parquet(f"{root}/base")
+        dimension = StreamedDimension(spark, f"{root}/base", f"{root}/changes", ["k"])
+        dimension.apply(frame(spark, [(1, "old9", "x"), (2, "n", "n")]), 9)
+        dimension.apply(frame(spark, [(1, "new10", "x")]), 10)
+        return dimension
+
+    expected = [(1, "new10", "x"), (2, "n", "n")]
+    stops = 0
+    for stop, run in steps_until_done(tmp_path):
+        dimension = prepared(run.root)
+        with run.stopping():
+            dimension.compact()
+        stops += run.stopped
+        again = StreamedDimension(spark, f"{run.root}/base", f"{run.root}/changes", ["k"])
+        assert rows(again.snapshot()) == expected, stop
+        again.compact()
+        assert rows(again.base()) == expected and again.batches() == [], stop
+        again.apply(frame(spark, [(2, "later", "n")]), 11)
+        assert rows(again.snapshot()) == [(1, "new10", "x"), (2, "later", "n")]
+    assert stops >= 4

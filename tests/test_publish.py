@@ -12,6 +12,7 @@ from tierwise.sinks import publish
 from tierwise.sinks.publish import publish_version, recover, staged_publish, write_partitioned
 from tierwise.sources.catalog import create_external_table, quoted, refresh_partitions, register_views, view
 from tierwise.spec import ScdSpec, SpecError
+from stopping import steps_until_done
 
 
 def ids(spark, path):
@@ -289,42 +290,63 @@ def test_small_batch_rewrites_touched_days_only(spark, tmp_path):
     assert not os.path.exists(publish.days_of(f"{tmp_path}/gold"))
 
 
-def test_crash_while_days_move_in_is_completed(spark, tmp_path, monkeypatch):
+def test_replacing_days_survives_a_stop_after_any_step(spark, tmp_path):
+    """The first day loses all its rows to the second, which the rerun must know."""
+    stops = 0
+    for stop, run in steps_until_done(tmp_path):
+        gold = days_dimension(spark, run.root, 5)
+        rows = [(str(i), "new") for i in range(10)]
+        spec = ScdSpec(batch_of(spark, run.root, rows), gold, ("k",))
+        expected = expected_days(spark, spec)
+        with run.stopping():
+            assert merge_dimension(spark, spec) == 50
+        stops += run.stopped
+        assert merge_dimension(spark, spec) == 50, stop
+        assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected, stop
+        assert not os.path.exists(f"{gold}/date_id=2024-01-01")
+        assert not os.path.exists(publish.days_of(gold))
+    assert stops >= 4
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_checks_do_not_depend_on_the_batch_size(spark, tmp_path, limit):
     gold = days_dimension(spark, tmp_path)
-    spec = ScdSpec(batch_of(spark, tmp_path, [("3", "new"), ("900", "new")]), gold, ("k",))
-    expected = expected_days(spark, spec)
-
-    def half(session, path, column):
-        day = publish.scratch.list_names(session, publish.days_of(f"{tmp_path}/gold"))[-1]
-        moved = session.read.parquet(publish.days_of(f"{tmp_path}/gold")).filter(F.col(column) == day.split("=")[1])
-        write_partitioned(moved, path, partition_by=column, dynamic=True)
-        raise OSError("lost")
-
-    real = publish.finish_days
-    monkeypatch.setattr(dimension, "_replace_days", wrap_finish(dimension._replace_days, half, real))
-    with pytest.raises(OSError, match="lost"):
+    twice = spark.createDataFrame([("55", "again")], "k string, v string").withColumn("date_id", F.lit("2024-03-01"))
+    twice.write.mode("append").partitionBy("date_id").parquet(gold)
+    spec = ScdSpec(batch_of(spark, tmp_path, [("3", "new")]), gold, ("k",), broadcast_limit_bytes=limit)
+    with pytest.raises(ValueError, match="not unique"):
         merge_dimension(spark, spec)
-    monkeypatch.undo()
-    assert merge_dimension(spark, spec) == 61
-    assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
 
 
-def wrap_finish(call, broken, real):
-    def run(*args):
-        dimension.finish_days = broken
-        try:
-            return call(*args)
-        finally:
-            dimension.finish_days = real
-
-    return run
-
-
-def test_emptied_day_falls_back_to_the_whole_dimension(spark, tmp_path):
-    gold = days_dimension(spark, tmp_path)
-    rows = [(str(i), "new") for i in range(10)]  # all of the first day move to the second
-    spec = ScdSpec(batch_of(spark, tmp_path, rows), gold, ("k",))
-    expected = expected_days(spark, spec)
-    assert merge_dimension(spark, spec) == 60
-    assert sorted(map(tuple, spark.read.parquet(gold).select("k", "v", "date_id").collect())) == expected
-    assert not os.path.exists(f"{gold}/date_id=2024-01-01")
+def test_no_source_row_is_lost_without_a_trace(spark, tmp_path):
+    gold, rejected = days_dimension(spark, tmp_path), f"{tmp_path}/rejected"
+    spec = ScdSpec(batch_of(spark, tmp_path, [("3", "new"), (None, "x")]), gold, ("k",))
+    with pytest.raises(ValueError, match="without a key: 1"):
+        merge_dimension(spark, spec)
+    for _ in range(2):  # a rerun leaves one copy
+        merge_dimension(spark, spec, quarantine_path=rejected)
+        assert spark.read.parquet(rejected).count() == 1
+
+
+def test_late_and_corrected_versions(spark, tmp_path):
+    history = f"{tmp_path}/history"
+    day = {n: datetime.date(2024, 1, n) for n in (5, 7, 8)}
+
+    def run(rows, n, **more):
+        source = batch_of(spark, tmp_path, rows)
+        return merge_dimension(spark, ScdSpec(source, history, ("k",), scd_type="scd2", **more), day[n])
+
+    run([("1", "a"), ("2", "b")], 5)
+    run([("1", "c")], 8)
+    assert run([("1", "corrected")], 8) == 3  # the same day again replaces what it opened
+    versions = read_history(spark, history).filter("k = '1'").orderBy("effective_from").collect()
+    assert [(r.v, str(r.effective_from), r.is_current) for r in versions] == [
+        ("a", "2024-01-05", False), ("corrected", "2024-01-08", True),
+    ]
+    with pytest.raises(ValueError, match="older than the current version: 1"):
+        run([("1", "late"), ("2", "B")], 7)
+    for _ in range(2):
+        assert run([("1", "late"), ("2", "B")], 7, late_path=f"{tmp_path}/late") == 4
+        assert [r.v for r in spark.read.parquet(f"{tmp_path}/late").collect()] == ["late"]
+    with pytest.raises(SpecError, match="type 1"):
+        ScdSpec("s", "t", ("k",), scd_type="scd2", delete_missing=True)

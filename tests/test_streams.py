@@ -5,10 +5,12 @@ import datetime
 from pyspark.sql import functions as F
 
 from tierwise.streaming.windows import (
+    LOCAL_SESSIONS,
     deduplicated,
-    merge_sessions_locally,
     run_available,
+    run_to_end,
     sessions,
+    sessions_merged_locally,
     tumbling,
 )
 
@@ -56,14 +58,16 @@ def test_duplicates_across_batches_and_a_hot_key(spark, tmp_path):
 
 
 def test_sessions_grow_across_batches(spark, tmp_path):
-    merge_sessions_locally(spark)
     root = str(tmp_path)
+    before = spark.conf.get(LOCAL_SESSIONS)
 
     def run():
         found = sessions(
             stream(spark, f"{root}/in"), "ts", "60 minutes", "30 minutes", ["id"], {"n": F.count(F.lit(1))}
         )
-        run_available(found, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        with sessions_merged_locally(spark):
+            run_available(found, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        assert spark.conf.get(LOCAL_SESSIONS) == before
         rows = spark.read.parquet(f"{root}/out").collect()
         minutes = [
             (r.id, *[int((t - START).total_seconds() // 60) for t in (r.window_start, r.window_end)], r.n)
@@ -75,3 +79,19 @@ def test_sessions_grow_across_batches(spark, tmp_path):
     assert run() == []
     arrive(spark, f"{root}/in", [(1, 20), (3, 200)])  # joins them, late but inside the watermark
     assert run() == [(1, 0, 70, 3), (2, 5, 35, 1)]
+
+
+def test_a_bounded_run_gives_open_windows_too(spark, tmp_path):
+    root = str(tmp_path)
+
+    def run():
+        frame = tumbling(stream(spark, f"{root}/in"), "ts", "10 minutes", "1 hour", [], {"n": F.count(F.lit(1))})
+        run_to_end(frame, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        found = spark.read.parquet(f"{root}/out").collect()
+        return {int((r.window_start - START).total_seconds() // 3600): r.n for r in found}
+
+    arrive(spark, f"{root}/in", [(1, 5), (2, 65)])
+    assert run() == {0: 1, 1: 1}
+    arrive(spark, f"{root}/in", [(3, 57), (4, 125)])
+    assert run() == {0: 2, 1: 1, 2: 1}
+    assert run() == {0: 2, 1: 1, 2: 1}

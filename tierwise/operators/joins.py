@@ -3,34 +3,35 @@
 Adaptive execution splits a hot key's partition only on a side whose rows the join need
 not pad: both sides of an inner join, the kept side of a semi, anti or one-sided outer
 join, no side of a full join.  The other side of a semi or anti join is reduced to its
-distinct keys, and ``salted_outer_join`` covers the rest.  Keys that hold very many rows
-of such a side are found by counting keys alone; their rows are spread over salts, the
-matching rows of the other side are repeated once per salt, and padded rows that exist
-only because of the repetition are removed again.  Every other key joins as usual, and no
-row is lost: a hot key is by construction present on the side it is hot on, so a repeated
-row always meets at least one real partner.
+distinct keys, and ``salted_outer_join`` covers the rest.  A key is hot if it holds more
+than a share of a side's rows (``HOT_SHARE`` of a shuffle partition's mean), whatever the
+size, so there are at most ``shuffle partitions / HOT_SHARE`` of them and none is left
+out.  Their rows are spread over salts, the matching rows of the other side are repeated
+once per salt, and padded rows that exist only because of the repetition are removed
+again.  Every other key joins as usual, and no row is lost: a hot key is by construction
+present on the side it is hot on, so a repeated row always meets at least one real partner.
+
+Counting the keys is part of the join's own plan: nothing runs while it is built.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.spec import VIEW_SUFFIX, JoinStep, SpecError
 
-# A key is hot from this many rows on, and gets one salt per so many rows.
-ROWS_PER_SALT = 100_000
-# More salts than this would not make a task smaller.
-MAX_SALTS = 1 << 16
-# At most this many keys are salted; any other key holds less than 1/1024 of the rows.
-HOT_KEYS = 1024
-# Share of rows counted to find hot keys.  It only steers which keys are salted.
-PROBE = 0.01
+# A key is hot if its rows are more than this share of what a shuffle partition has on average.
+HOT_SHARE = 0.25
+# Prefix of the helper columns that say which row of its dataset a row came from.
+ROW = "__row_"
 
 
 def alias_of(name: str) -> str:
@@ -55,28 +56,30 @@ def key_pair(
     return pair if key_type is None else (pair[0].try_cast(key_type), pair[1].try_cast(key_type))
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[Column],
-    rows_per_salt: int = ROWS_PER_SALT,
-    probe: float = PROBE,
-    with_nulls: bool = False,
-) -> DataFrame | None:
-    """(__hot_0, ..., __salts) of keys holding over ``rows_per_salt`` rows; None if there are none.
+def with_row(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number that tells its rows apart and is the same when a task is repeated.
 
-    Runs one job that reads the key columns; at most ``HOT_KEYS`` rows reach the driver.
+    For a file scan that knows them these are the file and the place in it, of which no column has
+    to be read; copies of a row differ.  For other frames it is the partition the row is in now.
+    """
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    try:
+        return df.withColumn(name, place)
+    except AnalysisException:  # no scan, or one of a format without places
+        return df.withColumn(name, F.spark_partition_id().cast("long"))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[Column], parts: int, with_nulls: bool = False) -> DataFrame:
+    """(__hot_0, ..., __salts) of the keys that hold over 1 / ``parts`` of the rows: under ``parts`` rows.
+
+    Each has a salt for every such share of its rows.
     """
     names = [f"__hot_{i}" for i in range(len(keys))]
-    counted = df if probe >= 1 else df.sample(fraction=probe, seed=17)
-    counted = counted.select(*[k.alias(n) for k, n in zip(keys, names)])
-    counted = counted if with_nulls else counted.dropna()
-    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
-    per_salt = rows_per_salt * probe
-    salts = F.least(F.ceil(F.col("__n") / per_salt), F.lit(MAX_SALTS)).cast("int").alias("__salts")
-    hot = counts.filter(F.col("__n") > per_salt).orderBy(F.desc("__n"), *names).limit(HOT_KEYS)
-    hot = hot.select(*names, salts)
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)])
+    counts = (keyed if with_nulls else keyed.dropna()).groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    share = keyed.agg((F.count(F.lit(1)) / parts).alias("__share")).scalar()
+    hot = counts.filter(F.col("__n") > share)
+    return hot.select(*names, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
 
 
 def _with_salts(
@@ -86,24 +89,19 @@ def _with_salts(
     lookup = hot.withColumnRenamed("__salts", name)
     helper = [f"__hot_{i}" for i in range(len(keys))]
     match = [k.eqNullSafe(F.col(h)) if null_safe else k == F.col(h) for k, h in zip(keys, helper)]
-    return df.join(F.broadcast(lookup), reduce(and_, match), "left").drop(*helper)  # HOT_KEYS rows at most
+    # bounded: fewer hot keys than ``parts``
+    return df.join(F.broadcast(lookup), reduce(and_, match), "left").drop(*helper)
 
 
-def _spread(
-    df: DataFrame, keys: Sequence[Column], hot: DataFrame, salt: str, salt_by: Sequence[str] = ()
-) -> DataFrame:
-    """Give each row of a hot key one salt.
+def _spread(df: DataFrame, keys: Sequence[Column], hot: DataFrame, salt: str, row: Column) -> DataFrame:
+    """Give each row of a hot key one salt, by its ``row`` number.
 
-    The salt follows the input partition, plus ``salt_by`` columns for a finer spread.
-    Neither depends on row order, so a recomputed task repeats it exactly; identical
-    copies spread because they sit in many partitions; no extra column has to be read.
-    Rows without a key match nothing, so they may be spread like any hot key.
+    That was taken at the scan, so rows of one key that a shuffle brought into one partition spread as
+    well, and a repeated task repeats it.  Rows without a key match nothing, so they may be
+    spread like any hot key.
     """
     df = _with_salts(df, keys, hot, "__salts", null_safe=True)
-    position = F.spark_partition_id().cast("long")
-    if salt_by:
-        position = position + F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(MAX_SALTS))
-    chosen = F.pmod(position, F.col("__salts")).cast("int")
+    chosen = F.pmod(row, F.col("__salts")).cast("int")
     return df.withColumn(salt, F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(chosen)).drop("__salts")
 
 
@@ -118,31 +116,31 @@ def salted_outer_join(
     right: DataFrame,
     pairs: Sequence[tuple[Column, Column]],
     how: str,
-    rows_per_salt: int = ROWS_PER_SALT,
-    probe: float = PROBE,
-    salt_by: Sequence[str] = (),
+    left_row: Column,
+    right_row: Column,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left, right or full outer equi-join that survives a hot key on a padded side.
 
-    Without hot keys it is the plain join.
+    ``left_row`` and ``right_row`` are the sides' row numbers (``with_row``); keys with over
+    1 / ``parts`` of a padded side's rows are salted.
     """
+    if parts is None:
+        parts = math.ceil(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) / HOT_SHARE)
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     condition = reduce(and_, [a == b for a, b in pairs])
     # Padded sides, which adaptive execution cannot split: right of a left join and vice versa.
     # A full join pads rows without a key as well.
-    probing = {"rows_per_salt": rows_per_salt, "probe": probe, "with_nulls": how == "full"}
-    hot_right = hot_keys(right, right_keys, **probing) if how in ("left", "full") else None
-    hot_left = hot_keys(left, left_keys, **probing) if how in ("right", "full") else None
-    if hot_right is None and hot_left is None:
-        return left.join(right, condition, how)
+    hot_right = hot_keys(right, right_keys, parts, how == "full") if how in ("left", "full") else None
+    hot_left = hot_keys(left, left_keys, parts, how == "full") if how in ("right", "full") else None
     lonely_copy = F.lit(False)
     if hot_right is not None:
-        right = _spread(right, right_keys, hot_right, "__r_salt", salt_by)
+        right = _spread(right, right_keys, hot_right, "__r_salt", right_row)
         left = _repeat(left, left_keys, hot_right, "__l_copies", "__l_copy")
         condition &= F.col("__l_copy") == F.col("__r_salt")
         lonely_copy |= F.col("__l_copies").isNotNull() & F.col("__r_salt").isNull()
     if hot_left is not None:
-        left = _spread(left, left_keys, hot_left, "__l_salt")
+        left = _spread(left, left_keys, hot_left, "__l_salt", left_row)
         right = _repeat(right, right_keys, hot_left, "__r_copies", "__r_copy")
         condition &= F.col("__r_copy") == F.col("__l_salt")
         lonely_copy |= F.col("__r_copies").isNotNull() & F.col("__l_salt").isNull()
@@ -150,6 +148,11 @@ def salted_outer_join(
     return joined.drop("__l_copies", "__l_copy", "__l_salt", "__r_copies", "__r_copy", "__r_salt")
 
 
+def row_of(df: DataFrame) -> Column:
+    """One number from the row numbers of all datasets that are part of ``df``."""
+    return F.xxhash64(*[F.col(c) for c in df.columns if c.startswith(ROW)])
+
+
 def join_step(left: DataFrame, right: DataFrame, step: JoinStep) -> DataFrame:
     """Join ``right`` (already aliased) onto the accumulated chain."""
     pairs = [
@@ -162,8 +165,7 @@ def join_step(left: DataFrame, right: DataFrame, step: JoinStep) -> DataFrame:
         # Only the keys decide; repeats collapse before the shuffle.
         right = right.select(*[f"{alias_of(step.right_name)}.{k}" for k in step.right_keys]).distinct()
     if step.skew == "salt" and step.join_type in ("left", "right", "full"):
-        salt_by = [f"{alias_of(step.right_name)}.{c}" for c in step.salt_by]
-        return salted_outer_join(left, right, pairs, step.join_type, salt_by=salt_by)
+        return salted_outer_join(left, right, pairs, step.join_type, row_of(left), row_of(right))
     return left.join(right, reduce(and_, [a == b for a, b in pairs]), step.join_type)
 
 
@@ -179,17 +181,24 @@ def join_chain(frames: Mapping[str, DataFrame], steps: Sequence[JoinStep]) -> Da
     if missing:
         raise SpecError(f"datasets not available: {sorted(missing)}")
     base = steps[0].left
-    chain = frames[base].alias(alias_of(base))
+    salted = any(s.skew == "salt" and s.join_type in ("left", "right", "full") for s in steps)
+
+    def dataset(name: str, alias: str) -> DataFrame:
+        # numbered before the first shuffle
+        frame = with_row(frames[name], f"{ROW}{alias}") if salted else frames[name]
+        return frame.alias(alias_of(alias))
+
+    chain = dataset(base, base)
     joined = {base}
     for step in steps:
         if step.left not in joined:
             raise SpecError(f"{step.name}: '{step.left}' is not part of the chain yet")
         if step.right_name in joined:
             raise SpecError(f"{step.name}: '{step.right_name}' is joined already; give it an 'as' name")
-        chain = join_step(chain, frames[step.right].alias(alias_of(step.right_name)), step)
+        chain = join_step(chain, dataset(step.right, step.right_name), step)
         if step.join_type not in ("left_semi", "left_anti"):
             joined.add(step.right_name)
-    return chain
+    return chain.drop(*[f"{ROW}{name}" for name in joined]) if salted else chain
 
 
 def unparsable_keys(df: DataFrame, key: str, key_type: str) -> DataFrame:

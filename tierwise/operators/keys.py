@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tierwise.functions.hashing import version_hash
 
-# Hex digits of the bucket a new surrogate key is numbered in: 16 ** 3 = 4,096 buckets.
-BUCKET_DIGITS = 3
+# Hex digits of the bucket a new surrogate key is numbered in: 16 ** 4 = 65,536 buckets.
+BUCKET_DIGITS = 4
+# Hex digits by which buckets are grouped to sum up their sizes: at most 4,096 groups.
+GROUP_DIGITS = 3
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
@@ -64,13 +66,14 @@ def surrogate_keys(
 ) -> DataFrame:
     """``existing`` (keys, sk) plus dense new numbers after its maximum for unseen keys.
 
-    New keys are numbered inside hash buckets in key order; bucket counts, at most
-    ``16 ** digits`` rows, are summed up into start offsets and broadcast back.  No task
-    sorts all keys, and nothing depends on partition numbers, so a lost executor cannot
+    New keys are numbered inside hash buckets in key order, ``16 ** digits`` of them, as many
+    as one wants.  Bucket sizes are counted before anything is sorted and summed up in two
+    levels: within groups of buckets, and over the at most 4,096 groups.  No task sorts all
+    keys or all buckets, and nothing depends on partition numbers, so a lost executor cannot
     change a number.  Duplicates collapse before the shuffle.
     """
-    if not 1 <= digits <= 4:
-        raise ValueError("digits must be 1 to 4: the bucket offsets are broadcast")
+    if not 1 <= digits <= 32:
+        raise ValueError("digits must be 1 to 32, the length of a hash")
     known = existing.select(*keys, sk)
     unseen = (
         batch.select(*keys)
@@ -79,15 +82,23 @@ def surrogate_keys(
         .join(known.select(*keys), list(keys), "left_anti")
         .withColumn("__bucket", key_bucket(keys, digits))
     )
+    sizes = unseen.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    sizes = sizes.withColumn("__group", F.substring("__bucket", 1, GROUP_DIGITS))
+    in_group = Window.partitionBy("__group").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The highest key in use enters as an empty first group: '' sorts before any hex text.
+    start = known.agg(F.coalesce(F.max(sk).cast("long"), F.lit(0)).alias("__size"))
+    groups = sizes.groupBy("__group").agg(F.sum("__size").alias("__size"))
+    groups = groups.unionByName(start.withColumn("__group", F.lit("")))
+    over_groups = Window.orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
+    group_offsets = groups.select("__group", F.sum("__size").over(over_groups).alias("__base"))
+    offsets = (
+        sizes.select("__group", "__bucket", F.coalesce(F.sum("__size").over(in_group), F.lit(0)).alias("__before"))
+        .join(F.broadcast(group_offsets), "__group")  # at most 4,097 rows
+        .select("__bucket", (F.col("__base") + F.col("__before")).alias("__offset"))
+    )
     in_bucket = Window.partitionBy("__bucket").orderBy(*keys)
     ranked = unseen.withColumn("__rank", F.row_number().over(in_bucket))
-    sizes = ranked.groupBy("__bucket").agg(F.max("__rank").cast("long").alias("__size"))
-    # The highest key in use enters as an empty first bucket: '' sorts before any hex text.
-    start = known.agg(F.coalesce(F.max(sk).cast("long"), F.lit(0)).alias("__size"))
-    sizes = sizes.unionByName(start.withColumn("__bucket", F.lit("")))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__bucket", F.sum("__size").over(before).alias("__offset"))
-    fresh = ranked.join(F.broadcast(offsets), "__bucket").select(
+    fresh = ranked.join(offsets, "__bucket").select(
         *keys, (F.col("__offset") + F.col("__rank")).cast("long").alias(sk)
     )
     return known.withColumn(sk, F.col(sk).cast("long")).unionByName(fresh)

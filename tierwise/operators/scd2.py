@@ -71,8 +71,9 @@ def scd2_merge(
 
     Changed keys get their current version closed and a new one opened; closed versions
     pass through untouched.  Only current versions are joined.  Applying a batch twice
-    changes nothing.  Changes not later than the version they would close are left out
-    here and reported by ``late_rows``; ``rebuild_history`` can sequence them.
+    changes nothing, and a changed delivery for the same day replaces the versions that day
+    opened.  Changes earlier than the version they would close are left out here and
+    reported by ``late_rows``; ``rebuild_history`` can sequence them.
     ``small_source`` says the source is known to fit a broadcast: no version is shuffled.
     """
     columns = history.columns
@@ -84,6 +85,7 @@ def scd2_merge(
     in_s, in_t = F.col("s.__in_s").isNotNull(), F.col("t.__in_t").isNotNull()
     changed = in_s & in_t & (F.col("s.row_hash") != F.col("t.row_hash"))
     closes = changed & (F.col("t.effective_from") < F.lit(effective))
+    replaces = changed & (F.col("t.effective_from") == F.lit(effective))
 
     def version(side: str, **values: Column) -> Column:
         return F.struct(*[values.get(c, F.col(f"{side}.{c}")).alias(c) for c in columns])
@@ -92,7 +94,7 @@ def scd2_merge(
     closed = version("t", effective_to=F.lit(effective).cast("date"), is_current=F.lit(False))
     opened = version("s")
     rows = (
-        F.when(~in_t, F.array(opened))
+        F.when(~in_t | replaces, F.array(opened))
         .when(closes, F.array(closed, opened))
         .otherwise(F.array(as_is))
     )
@@ -110,10 +112,10 @@ def late_rows(
     exclude: Sequence[str] = (),
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Batch rows that change a key whose current version is not older than the batch."""
+    """Batch rows that change a key whose current version is newer than the batch."""
     batch = _batch(source, history, keys, effective, exclude, order_by)
     base = _paired(batch, history.filter("is_current"), keys, "inner")
-    late = (F.col("s.row_hash") != F.col("t.row_hash")) & (F.col("t.effective_from") >= F.lit(effective))
+    late = (F.col("s.row_hash") != F.col("t.row_hash")) & (F.col("t.effective_from") > F.lit(effective))
     return base.filter(late).select(*[F.col(f"s.{c}") for c in business_columns(history)])
 
 

@@ -15,10 +15,9 @@ from tierwise import scratch
 from tierwise.functions.columns import date_id_from_name, drop_file_columns, file_stamp, with_date_id
 from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys
 from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
-from tierwise.operators.scd2 import VERSION_COLUMNS, open_versions, scd2_merge
+from tierwise.operators.scd2 import VERSION_COLUMNS, late_rows, open_versions, scd2_merge
 from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
-    discard_days,
     finish_days,
     recover,
     stage_days,
@@ -46,8 +45,9 @@ def initial_load(
     seed = ingest(spark, first)
     if seed.frame is None:
         raise FileNotFoundError(f"{first.name}: {seed.reason}")
-    gold = with_date_id(seed.frame).drop("filename")
-    write_partitioned(gold, gold_path, "parquet", "errorifexists", "date_id")
+    if path_exists(spark, gold_path):
+        raise FileExistsError(f"{gold_path} already exists")
+    staged_publish(spark, with_date_id(seed.frame).drop("filename"), gold_path, partition_by="date_id")
     if then is not None:
         later = ingest(spark, then)
         if later.frame is None:
@@ -70,18 +70,24 @@ def merge_dimension(
     effective: datetime.date | None = None,
     quarantine_path: str | None = None,
 ) -> int:
-    """Merge the source into the target path and publish it there; returns its row count."""
+    """Merge the source into the target path and publish it there; returns its row count.
+
+    No source row is lost without a trace: those with an incomplete key go to a folder of
+    ``quarantine_path`` for their batch, changes that come too late for a type 2 history to
+    ``late_path`` likewise; where one is needed and not given, the job fails before it writes.  A
+    batch is named by its date, or else by the newest stamp of its files, so a rerun replaces it.
+    """
     silver = read_layer(spark, spec.source_path)
     source = dimension_source(silver.filter(spec.source_filter) if spec.source_filter else silver)
     order_by = spec.order_by or (STAMP,)
-    if quarantine_path:
-        _, rejected = split_null_keys(source, spec.join_keys)
-        write_partitioned(rejected.drop(STAMP), quarantine_path, mode="append")
+    batch_name = effective.isoformat() if effective else source.agg(F.max(STAMP)).first()[0]
+    _, rejected = split_null_keys(source, spec.join_keys)
+    set_aside(rejected.drop(STAMP), quarantine_path, batch_name, f"{spec.source_path}: rows without a key")
     if spec.scd_type == "scd2":
-        return _merge_versions(spark, spec, source, order_by, effective or datetime.date.today())
+        return _merge_versions(spark, spec, source, order_by, effective or datetime.date.today(), batch_name)
     recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
     if len(spec.partition_by) == 1:
-        finish_days(spark, spec.target_path, spec.partition_by[0])
+        finish_days(spark, spec.target_path.rstrip("/"))
     target = read_layer(spark, spec.target_path)
     batch = prepared_source(source, target, spec.join_keys, order_by)
     size = measured_bytes(batch)
@@ -90,7 +96,7 @@ def merge_dimension(
     small = size <= spec.broadcast_limit_bytes
     log.info("merging %s into %s, small source: %s", spec.source_path, spec.target_path, small)
     if spec.check_target:
-        require_unique(touched(target, batch, spec.join_keys, small), spec.join_keys, spec.target_path)
+        require_unique(split_null_keys(target, spec.join_keys)[0], spec.join_keys, spec.target_path)
     merge = partial(
         scd1_merge,
         source,
@@ -132,21 +138,28 @@ def _replace_days(
     existing = [n for n in scratch.list_names(spark, path) if n.startswith(f"{column}=")]
     if None in days or 2 * len(days) > len(existing):
         return False
-    staged = stage_days(spark, merge(target.filter(F.col(column).isin(days))), path, column)
-    emptied = {f"{column}={d}" for d in days} & set(existing) - staged
-    if emptied:  # a folder that lost all its rows would not be replaced
-        discard_days(spark, path)
-        return False
-    return finish_days(spark, path, column)
+    touched = target.join(F.broadcast(dates), column, "left_semi").select(*target.columns)
+    stage_days(spark, merge(touched), path, column, [f"{column}={d}" for d in days])
+    return finish_days(spark, path)
 
 
-def touched(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], small: bool) -> DataFrame:
-    """Target keys whose uniqueness the merge relies on: all, or those of a small batch.
+def set_aside(rows: DataFrame, path: str | None, batch: str | None, what: str) -> int:
+    """Write ``rows`` to the batch's own folder below ``path``; returns their number.
 
-    Rows without a complete key match nothing and do not count.
+    A batch without such rows leaves no folder of an earlier run behind.
     """
-    known, _ = split_null_keys(target.select(*keys), keys)
-    return known.join(F.broadcast(batch.select(*keys)), list(keys), "left_semi") if small else known
+    spark = rows.sparkSession
+    count = rows.count()
+    if count and not path:
+        raise ValueError(f"{what}: {count}, and no folder to set them aside in")
+    if path:
+        folder = f"{path.rstrip('/')}/batch={batch}"
+        if count:
+            write_partitioned(rows, folder)
+            log.warning("%s: %d, set aside in %s", what, count, folder)
+        else:
+            scratch.delete(spark, folder)
+    return count
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -165,6 +178,7 @@ def _merge_versions(
     source: DataFrame,
     order_by: tuple[str, ...],
     effective: datetime.date,
+    batch_name: str | None,
 ) -> int:
     """Type 2 merge whose cost follows the current versions, not the history.
 
@@ -182,10 +196,11 @@ def _merge_versions(
     if path_exists(spark, current_path):
         current = read_history(spark, path).filter("is_current")
         if spec.check_target:
-            batch = split_null_keys(source, spec.join_keys)[0]
-            require_unique(touched(current, batch, spec.join_keys, small), spec.join_keys, path)
+            require_unique(split_null_keys(current, spec.join_keys)[0], spec.join_keys, path)
     else:
         current = open_versions(source.drop(STAMP), spec.join_keys, effective, exclude).limit(0)
+    late = late_rows(source, current, spec.join_keys, effective, exclude, order_by)
+    set_aside(late, spec.late_path, batch_name, f"{path}: changes older than the current version")
     merged = scd2_merge(
         source, current, spec.join_keys, effective, exclude, order_by, small_source=small
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,7 @@ def work_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="tierwise-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -72,3 +75,27 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; present with its whole content, or not at all."""
+    fs, target = hadoop_path(spark, path)
+    _, part = hadoop_path(spark, f"{path}.part")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if it does not exist."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierwise import scratch
 from tierwise.parallel import together
@@ -20,6 +22,9 @@ log = logging.getLogger(__name__)
 # Formats every Spark build can write.
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv")
 COUNTED_FORMATS = ("parquet", "orc")  # counting reads footers only
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Names of the small files beside published or staged data; readers skip them.
+PLAN, NOTE = "_replaced_folders", "_note"
 
 
 def _aside(path: str, kind: str) -> str:
@@ -124,6 +129,7 @@ def staged_publish(
     partition_by: str | Sequence[str] = (),
     rebalance: bool = False,
     expected_rows: int | None = None,
+    note: str | None = None,
 ) -> int | None:
     """Replace ``path`` with ``df``, which may itself read ``path``; returns the row count.
 
@@ -131,7 +137,8 @@ def staged_publish(
     failure before the swap leaves the target untouched; one between the renames leaves
     a backup that ``recover`` puts back.  Renames are not atomic on object stores: there,
     publish through a catalog table (``publish_version``).  Text formats are only counted
-    when there is a number to compare with, since that reads them.
+    when there is a number to compare with, since that reads them.  ``note`` is a text that is
+    published with the data, see ``note_of``.
     """
     recover(spark, path)
     staging = staging_of(path)
@@ -141,10 +148,16 @@ def staged_publish(
         written = spark.read.format(file_format).load(staging).count()
     if expected_rows is not None and written != expected_rows:
         raise RuntimeError(f"{path}: wrote {written} rows, expected {expected_rows}; target unchanged")
+    if note is not None:
+        scratch.write_text(spark, f"{staging}/{NOTE}", note)
     swap(spark, staging, path)
     return written
 
 
+def note_of(spark: SparkSession, path: str) -> str | None:
+    return scratch.read_text(spark, f"{path.rstrip('/')}/{NOTE}")
+
+
 def swap(spark: SparkSession, staging: str, path: str) -> None:
     """Put ``staging`` in the place of ``path``, keeping the old content as one backup."""
     backup = backup_of(path)
@@ -164,29 +177,47 @@ def recover(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def stage_days(spark: SparkSession, df: DataFrame, path: str, column: str) -> set[str]:
-    """Write complete ``column`` folders of ``path`` aside; returns their names.
+def stage_days(spark: SparkSession, df: DataFrame, path: str, column: str, days: Sequence[str]) -> None:
+    """Write the new content of the folders ``days`` of ``path`` aside; one without rows will go.
 
-    ``df`` may read ``path``.  Once staged (Spark's ``_SUCCESS`` marks that),
-    ``finish_days`` can be repeated until it went through.
+    ``df`` may read ``path`` and has rows of these folders only.  The list of folders is written last:
+    with it the stage is complete, and ``finish_days`` can be repeated until it went through.
     """
     staging = days_of(path)
+    scratch.delete(spark, staging)
     write_partitioned(df, staging, partition_by=column)
-    return {n for n in scratch.list_names(spark, staging) if n.startswith(f"{column}=")}
+    written = {n for n in scratch.list_names(spark, staging) if n.startswith(f"{column}=")}
+    if strays := written - set(days):
+        scratch.delete(spark, staging)
+        raise RuntimeError(f"{path}: rows of folders that were not to be replaced: {sorted(strays)}")
+    plan = {"replaced": sorted(written), "emptied": sorted(set(days) - written)}
+    scratch.write_text(spark, f"{staging}/{PLAN}", json.dumps(plan))
 
 
-def finish_days(spark: SparkSession, path: str, column: str) -> bool:
-    """Move staged folders in; after a crash, complete or discard what was left."""
+def finish_days(spark: SparkSession, path: str) -> bool:
+    """Move complete staged folders in; after a crash, go on where it stopped, or discard the rest."""
     staging = days_of(path)
-    complete = scratch.path_exists(spark, f"{staging}/_SUCCESS")
-    if complete:
-        write_partitioned(spark.read.parquet(staging), path, partition_by=column, dynamic=True)
+    plan = scratch.read_text(spark, f"{staging}/{PLAN}")
+    if plan is not None:
+        todo = json.loads(plan)
+        for name in todo["replaced"]:
+            if scratch.path_exists(spark, f"{staging}/{name}"):  # else it was moved before
+                scratch.delete(spark, f"{path}/{name}")
+                scratch.rename(spark, f"{staging}/{name}", f"{path}/{name}")
+        drop_folders(spark, path, todo["emptied"])
     scratch.delete(spark, staging)
-    return complete
+    return plan is not None
+
+
+def drop_folders(spark: SparkSession, path: str, names: Iterable[str]) -> None:
+    for name in names:
+        scratch.delete(spark, f"{path.rstrip('/')}/{name}")
 
 
-def discard_days(spark: SparkSession, path: str) -> None:
-    scratch.delete(spark, days_of(path))
+def folders_of(days: DataFrame, columns: Sequence[str]) -> set[str]:
+    """Names of the partition folders that the rows of ``days`` are in: one row for each folder."""
+    names = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in columns]
+    return {r[0] for r in days.select(F.concat_ws("/", *names)).distinct().collect()}
 
 
 def publish_version(

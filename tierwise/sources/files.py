@@ -67,17 +67,22 @@ def feed_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     )
 
 
-def _reader(spark: SparkSession, spec: DatasetSpec):
-    reader = spark.read.format(spec.format).options(**spec.options)
+def with_format(reader, spec: DatasetSpec):
+    """A batch or stream reader with the feed's format, options and declared schema."""
+    reader = reader.format(spec.format).options(**spec.options)
     if spec.format == "csv":
         reader = reader.option("header", spec.header).option("sep", spec.delimiter)
-        if spec.header and spec.schema is None:
-            reader = reader.option("enforceSchema", False)  # a file with other columns is an error
+        if spec.header:
+            reader = reader.option("enforceSchema", False)  # a file whose header says otherwise is an error
     if spec.format == "json":
         reader = reader.option("multiLine", spec.multiline)
     return reader.schema(spec.schema) if spec.schema else reader
 
 
+def _reader(spark: SparkSession, spec: DatasetSpec):
+    return with_format(spark.read, spec)
+
+
 def _with_file_columns(df: DataFrame) -> DataFrame:
     """Tag every row at the scan, before a shuffle can hide the file it came from."""
     return df.withColumns(file_name_parts(F.col("_metadata.file_name")))

@@ -185,8 +185,7 @@ class JoinStep:
     """One equi-join of the chain.
 
     ``skew`` is ``salt`` (outer joins survive a hot key on a side they pad) or
-    ``plain`` (the caller knows that side is unique on its key).  ``salt_by`` names
-    right-hand columns that refine the spread of a hot key.
+    ``plain`` (the caller knows that side is unique on its key).
     """
 
     name: str
@@ -198,7 +197,6 @@ class JoinStep:
     alias: str | None = None
     key_type: str | None = None
     skew: str = "salt"
-    salt_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if len(self.left_keys) != len(self.right_keys) or not self.left_keys:
@@ -224,7 +222,6 @@ class JoinStep:
             alias=cfg.get("as"),
             key_type=cfg.get("key_type"),
             skew=cfg.get("skew", "salt"),
-            salt_by=as_tuple(cfg.get("salt_by")),
         )
 
 
@@ -298,7 +295,8 @@ class ScdSpec:
 
     ``source_filter`` is a SQL condition on the silver layer, normally on its year, month
     and day, so that a run reads only new days.  Several source rows of one key are
-    reduced to the latest by ``order_by``, or by the stamp of their files.
+    reduced to the latest by ``order_by``, or by the stamp of their files.  ``late_path`` gets
+    the rows that come too late for a type 2 history.
     """
 
     source_path: str
@@ -314,10 +312,13 @@ class ScdSpec:
     check_target: bool = True
     broadcast_limit_bytes: int = 64 << 20
     source_filter: str | None = None
+    late_path: str | None = None
 
     def __post_init__(self) -> None:
         _one_of(self.scd_type, ("scd1", "scd2"), "dimension")
         _one_of(self.compare, ("null_safe", "hash"), "dimension")
+        if self.scd_type == "scd2" and (self.delete_missing or self.compare != "null_safe"):
+            raise SpecError("dimension: delete_missing and compare are settings of type 1")
         if not self.join_keys:
             raise SpecError("dimension: join_keys must not be empty")
 
@@ -337,4 +338,5 @@ class ScdSpec:
             check_target=as_bool(cfg.get("check_target", True)),
             broadcast_limit_bytes=int(cfg.get("broadcast_limit_bytes", 64 << 20)),
             source_filter=cfg.get("source_filter"),
+            late_path=cfg.get("late_path"),
         )

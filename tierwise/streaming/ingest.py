@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierwise.functions.columns import file_name_parts, is_dated
-from tierwise.sources.files import name_matches
+from tierwise.sources.files import name_matches, with_format
 from tierwise.spec import DATE_PARTS, DatasetSpec, SpecError
 
 
@@ -15,11 +15,7 @@ def feed_stream(spark: SparkSession, spec: DatasetSpec, max_files: int | None =
     """New files of a feed, tagged like the batch read.  A stream needs a declared schema."""
     if not spec.schema:
         raise SpecError(f"dataset {spec.name}: a stream needs a declared schema")
-    reader = spark.readStream.format(spec.format).schema(spec.schema).options(**spec.options)
-    if spec.format == "csv":
-        reader = reader.option("header", spec.header).option("sep", spec.delimiter)
-    if spec.format == "json":
-        reader = reader.option("multiLine", spec.multiline)
+    reader = with_format(spark.readStream, spec)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name")

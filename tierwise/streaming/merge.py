@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierwise import scratch
 from tierwise.operators.keys import dedup_latest, has_key
-from tierwise.operators.scd1 import align, measured_bytes, require_columns, scd1_merge
-from tierwise.sinks.publish import recover, staged_publish
+from tierwise.operators.scd1 import align, require_columns, scd1_merge
+from tierwise.sinks.publish import note_of, recover, staged_publish
 
 
 class StreamedDimension:
@@ -50,30 +51,34 @@ class StreamedDimension:
             .start()
         )
 
+    def folded(self) -> int:
+        """The last batch that the base contains; the number is published with it."""
+        return int(note_of(self.spark, self.path) or -1)
+
+    def batches(self) -> list[int]:
+        """Batches with a change folder, in their order."""
+        return sorted(int(n.split("=")[1]) for n in scratch.list_names(self.spark, self.changes) if "=" in n)
+
     def _change_rows(self) -> DataFrame | None:
-        if not scratch.list_names(self.spark, self.changes):
+        """Changes that the base does not contain yet."""
+        if not [b for b in self.batches() if b > self.folded()]:
             return None
-        return self.spark.read.option("basePath", self.changes).parquet(self.changes)
+        rows = self.spark.read.option("basePath", self.changes).parquet(self.changes)
+        return rows.filter(F.col("batch_id") > self.folded())
 
-    def snapshot(self, small_changes: bool = False) -> DataFrame:
+    def snapshot(self) -> DataFrame:
         """The dimension with all applied batches, later batches winning."""
         base, changes = self.base(), self._change_rows()
-        if changes is None:
-            return base
-        return scd1_merge(
-            changes, base, self.keys, order_by=["batch_id"], small_source=small_changes
-        )
+        return base if changes is None else scd1_merge(changes, base, self.keys, order_by=["batch_id"])
 
-    def compact(self, broadcast_limit_bytes: int = 64 << 20) -> int:
-        """Publish the snapshot as the new base, then drop the folders it contains.
+    def compact(self) -> int:
+        """Publish the snapshot as the new base, then drop the folders it contains, oldest first.
 
-        A crash in between leaves folders whose rows the base already has; merging them
-        again changes nothing.  Changes measured to fit a broadcast leave the base unshuffled.
+        The base says which batches it contains, so folders that a crash left are not merged again.
         """
-        folded = scratch.list_names(self.spark, self.changes)
-        changes = self._change_rows()
-        small = changes is not None and measured_bytes(changes) <= broadcast_limit_bytes
-        rows = staged_publish(self.spark, self.snapshot(small), self.path)
-        for folder in folded:
-            scratch.delete(self.spark, f"{self.changes}/{folder}")
+        batches = self.batches()
+        last = max([self.folded(), *batches])
+        rows = staged_publish(self.spark, self.snapshot(), self.path, note=str(last))
+        for batch in batches:
+            scratch.delete(self.spark, f"{self.changes}/batch_id={batch}")
         return rows

@@ -1,12 +1,14 @@
 """Event-time aggregates and de-duplication with bounded state.
 
-All results are emitted in append mode: once, when the watermark has passed the window's
-end.  State therefore holds open windows only, however long the stream runs.
+A stream that goes on appends a window once, when the watermark has passed its end
+(``run_available``): state holds open windows only.  A run over everything there is can also give
+every window, those still open included (``run_to_end``): its state holds all windows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,8 +58,10 @@ def deduplicated(
     Copies are removed twice: first within ``spreads`` shares of the input partitions,
     then among the at most ``spreads`` survivors of a key per batch.  A key repeated very
     often is thus never handled by a single task.  The share follows the input partition,
-    so a recomputed task repeats it.  With ``spreads=1`` there is only the second step and
-    half the state, for keys that repeat rarely.
+    so a recomputed task repeats it.  State: for each key within the watermark one entry of the
+    second step and one for each share it came in, so 2 for a key that comes once and up to
+    ``spreads + 1`` for one that comes everywhere.  With ``spreads=1`` there is only the second
+    step with one entry a key, for keys that repeat rarely.
     """
     marked = events.withWatermark(time, delay)
     if spreads > 1:
@@ -82,5 +86,31 @@ def run_available(
     return writer.start(path)
 
 
-def merge_sessions_locally(spark: SparkSession) -> None:
+def run_to_end(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Process everything available, leave all windows with their values so far in ``path``, and stop.
+
+    Each batch replaces the result as a whole; a repeated batch writes the same.
+    """
+
+    def replace(result: DataFrame, batch_id: int) -> None:
+        result.write.mode("overwrite").parquet(path)
+
+    return (
+        frame.writeStream.foreachBatch(replace)
+        .outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+@contextmanager
+def sessions_merged_locally(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside merge sessions in each task before they shuffle them; the session's own
+    setting is as before afterwards."""
+    before = spark.conf.get(LOCAL_SESSIONS, None)
     spark.conf.set(LOCAL_SESSIONS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(LOCAL_SESSIONS) if before is None else spark.conf.set(LOCAL_SESSIONS, before)

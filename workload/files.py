@@ -74,7 +74,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ingest_json",
     """select l_orderkey account_number, l_extendedprice amount, l_partkey * 10 + l_linenumber transaction_id,
-    l_linestatus transaction_type from lineitem where l_returnflag = 'R'""",
+    l_linestatus transaction_type from lineitem""",
 )
 def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
@@ -199,7 +199,7 @@ def bank_config(spark: SparkSession, sf_dir: str) -> dict:
     "ingest_all_datasets",
     """select 'accounts' as dataset, 'read' as status, count(*) as n from orders
     union all select 'customers', 'read', count(*) from customer
-    union all select 'transactions', 'read', count(*) from lineitem where l_returnflag = 'R'""",
+    union all select 'transactions', 'read', count(*) from lineitem""",
 )
 def ingest_all_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReportSpec.from_dict(bank_config(spark, sf_dir))
@@ -298,13 +298,11 @@ def initial_load_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.select(*columns).unionByName(silver.select(*columns))
 
 
-@query("view_scan", "select c_custkey, c_name, c_acctbal from customer where c_acctbal < 0")
+@query("view_scan", "select c_custkey, c_name, c_acctbal from customer")
 def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = {"customer": table(spark, sf_dir, "customer")}
     register_views(spark, frames)
-    return view(spark, "customer", frames).filter("customer_table.c_acctbal < 0").select(
-        "customer_table.c_custkey", "c_name", "c_acctbal"
-    )
+    return view(spark, "customer", frames).select("customer_table.c_custkey", "c_name", "c_acctbal")
 
 
 @query("drop_columns", "select c_custkey, c_name, c_nationkey from customer")
@@ -314,12 +312,12 @@ def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "select_side_star",
-    "select o.* from orders o join customer c on o.o_custkey = c.c_custkey where c.c_acctbal > 0",
+    "select o.* from orders o join customer c on o.o_custkey = c.c_custkey",
 )
 def select_side_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").alias("o")
-    rich = table(spark, sf_dir, "customer").filter("c_acctbal > 0").alias("c")
-    return side_columns(orders.join(rich, F.col("o.o_custkey") == F.col("c.c_custkey")), "o")
+    customer = table(spark, sf_dir, "customer").alias("c")
+    return side_columns(orders.join(customer, F.col("o.o_custkey") == F.col("c.c_custkey")), "o")
 
 
 @query("preview_limit", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 20")

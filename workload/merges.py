@@ -213,7 +213,7 @@ def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_latest(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER)
 
 
-SQL_BUCKET = "substr(md5(concat(cast(length(cast(k as varchar)) as varchar), ':', cast(k as varchar))), 1, 3)"
+SQL_BUCKET = "substr(md5(concat(cast(length(cast(k as varchar)) as varchar), ':', cast(k as varchar))), 1, 4)"
 
 
 @query(

@@ -93,7 +93,7 @@ def report_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_left",
     """select a.o_orderkey, a.o_totalprice, t.l_linenumber, t.l_extendedprice from orders a
-    left join (select * from lineitem where l_returnflag = 'R') t on a.o_orderkey = t.l_orderkey""",
+    left join lineitem t on a.o_orderkey = t.l_orderkey""",
 )
 def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["orders_table.o_orderkey", "orders_table.o_totalprice"]
@@ -145,7 +145,7 @@ def _order_filter_join(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
 @query(
     "join_semi",
     """select o_orderkey, o_totalprice from orders a where exists
-    (select 1 from lineitem t where t.l_orderkey = a.o_orderkey and l_returnflag = 'R')""",
+    (select 1 from lineitem t where t.l_orderkey = a.o_orderkey)""",
 )
 def join_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_filter_join(spark, sf_dir, "left_semi")
@@ -154,7 +154,7 @@ def join_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_anti",
     """select o_orderkey, o_totalprice from orders a where not exists
-    (select 1 from lineitem t where t.l_orderkey = a.o_orderkey and l_returnflag = 'R')""",
+    (select 1 from lineitem t where t.l_orderkey = a.o_orderkey)""",
 )
 def join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_filter_join(spark, sf_dir, "left_anti")
@@ -245,7 +245,7 @@ def global_aggs_no_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "filter_predicates",
     """select a.o_orderkey, t.l_linenumber from orders a left join
-    (select * from lineitem where l_returnflag = 'R') t on a.o_orderkey = t.l_orderkey
+    lineitem t on a.o_orderkey = t.l_orderkey
     where (t.l_orderkey is null or t.l_extendedprice < 20000) and a.o_orderstatus != 'P'
     and a.o_orderpriority is not null and (length(a.o_orderpriority) < 8 or a.o_orderpriority = '1-URGENT')""",
 )

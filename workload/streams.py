@@ -10,9 +10,10 @@ from tierwise.streaming.ingest import stream_to_silver
 from tierwise.streaming.merge import StreamedDimension
 from tierwise.streaming.windows import (
     deduplicated,
-    merge_sessions_locally,
     run_available,
+    run_to_end,
     sessions,
+    sessions_merged_locally,
     sliding,
     tumbling,
 )
@@ -22,8 +23,6 @@ from workload.registry import query
 from workload.tables import EARLY, LATE, drop_feed, profiles, table, table_stream
 
 DELAY = "10 minutes"
-# A window is final, hence visible, once the watermark (newest event less DELAY) has passed its end.
-SQL_FINAL = "(select max(ts) - interval '10 minutes' from events)"
 
 
 def measures() -> dict:
@@ -31,8 +30,14 @@ def measures() -> dict:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events stream; watermarks need an instant, so ``ts`` is read as UTC."""
-    return table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events stream; watermarks need an instant, so ``ts`` is read as the session zone's time,
+    in which ``_local_times`` gives it back.
+
+    Windows begin on full hours of UTC: in a zone with half hours they would not on the clock's, so
+    the time is moved by the zone's offset first.
+    """
+    utc = F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")))
+    return table_stream(spark, sf_dir, "events").withColumn("ts", utc)
 
 
 def _finished(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
@@ -41,45 +46,48 @@ def _finished(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
-def _local_times(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+def _all_windows(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+    root = work_dir(spark, label)
+    run_to_end(frame, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    utc = {
+        c: F.to_timestamp_ntz(F.to_utc_timestamp(F.col(c), F.current_timezone()).cast("string"))
+        for c in ("window_start", "window_end")
+    }
+    return spark.read.parquet(f"{root}/out").withColumns(utc)
 
 
 @query(
     "stream_tumbling",
-    f"""select * from (select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour
-    window_end, event_type, count(*) n, round(sum(value), 2) total from events group by 1, 2, 3)
-    where window_end <= {SQL_FINAL}""",
+    """select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour
+    window_end, event_type, count(*) n, round(sum(value), 2) total from events group by 1, 2, 3""",
 )
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tumbling(events(spark, sf_dir), "ts", DELAY, "1 hour", ["event_type"], measures())
-    return _local_times(_finished(spark, counts, "tumbling"))
+    return _all_windows(spark, counts, "tumbling")
 
 
 @query(
     "stream_sliding",
-    f"""select * from (select s window_start, s + interval 1 hour window_end, count(*) n,
+    """select s window_start, s + interval 1 hour window_end, count(*) n,
     round(sum(value), 2) total from (select value, unnest([time_bucket(interval 30 minutes, ts),
-    time_bucket(interval 30 minutes, ts) - interval 30 minutes]) s from events) group by 1, 2)
-    where window_end <= {SQL_FINAL}""",
+    time_bucket(interval 30 minutes, ts) - interval 30 minutes]) s from events) group by 1, 2""",
 )
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = sliding(events(spark, sf_dir), "ts", DELAY, "1 hour", "30 minutes", [], measures())
-    return _local_times(_finished(spark, counts, "sliding"))
+    return _all_windows(spark, counts, "sliding")
 
 
 @query(
     "stream_session",
-    f"""select * from (select user_id, min(ts) window_start, max(ts) + interval 6 hours window_end, count(*) n,
+    """select user_id, min(ts) window_start, max(ts) + interval 6 hours window_end, count(*) n,
     round(sum(value), 2) total from (select *, sum(fresh) over (partition by user_id order by ts, event_id
       rows unbounded preceding) s from (select *, case when ts - lag(ts) over (partition by user_id
-      order by ts, event_id) < interval 6 hours then 0 else 1 end fresh from events)) group by user_id, s)
-    where window_end <= {SQL_FINAL}""",
+      order by ts, event_id) < interval 6 hours then 0 else 1 end fresh from events)) group by user_id, s""",
 )
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merge_sessions_locally(spark)
     visits = sessions(events(spark, sf_dir), "ts", DELAY, "6 hours", ["user_id"], measures())
-    return _local_times(_finished(spark, visits, "session"))
+    with sessions_merged_locally(spark):
+        return _all_windows(spark, visits, "session")
 
 
 @query("stream_dedup", "select event_id, user_id, event_type, value from events")

@@ -1,7 +1,6 @@
 """The given tables, in their own shape and in the bank domain's shape.
 
-orders stand in for accounts, returned line items for transactions, customer for
-customers.  A customer's latest order before and from ``CUT`` on gives two snapshots of
+orders stand in for accounts, line items for transactions, customer for customers.  A customer's latest order before and from ``CUT`` on gives two snapshots of
 one dimension.  Bronze feeds are these frames written as dated files.
 """
 
@@ -20,8 +19,8 @@ EARLY, LATE = "20240101060606", "20240102080808"
 SQL_ACCOUNTS = """select cast(o_orderkey as varchar) account_number, o_orderpriority account_type,
     cast(o_custkey as varchar) customer_id, cast(o_totalprice as varchar) balance,
     strftime(o_orderdate, '%Y-%m-%d') open_date, o_orderdate from orders"""
-SQL_CHAIN = """orders a left join (select * from lineitem where l_returnflag = 'R') t
-    on a.o_orderkey = t.l_orderkey join customer u on a.o_custkey = u.c_custkey"""
+SQL_CHAIN = """orders a left join lineitem t on a.o_orderkey = t.l_orderkey
+    join customer u on a.o_custkey = u.c_custkey"""
 SQL_PROFILES = f"""ranked as (select o_custkey customer_key, o_orderstatus status, o_orderpriority priority,
       cast(o_orderdate as date) as_of, o_orderdate < timestamp '{CUT}' early,
       row_number() over (partition by o_custkey, o_orderdate < timestamp '{CUT}'
@@ -43,15 +42,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def returned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-
-
 def chain_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The chain's datasets under their own column names."""
     return {
         "orders": table(spark, sf_dir, "orders"),
-        "lines": returned_lines(spark, sf_dir),
+        "lines": table(spark, sf_dir, "lineitem"),
         "customer": table(spark, sf_dir, "customer"),
     }
 
@@ -76,7 +71,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return returned_lines(spark, sf_dir).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("account_number"),
         F.col("l_extendedprice").alias("amount"),
         (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
