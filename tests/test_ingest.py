@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from tierwise.plans.incremental import ingest_new
 from tierwise.plans.report import publish_silver
-from tierwise.sources.files import feed_files, ingest, ingest_all, list_files
+from tierwise.sources.files import feed_files, ingest, ingest_all, list_files, read_layer
 from tierwise.sources.ledger import FileLedger
-from tierwise.spec import DatasetSpec, SpecError
+from tierwise.spec import DatasetSpec, Rule, SpecError
 from tierwise.streaming.ingest import feed_stream, stream_to_silver
 from workload.tables import drop_feed
 
@@ -25,6 +25,7 @@ def feed(tmp_path):
 
 def spec(feed, **settings):
     settings.setdefault("pattern", r"things_\d{14}.*")
+    settings.setdefault("snapshot", "latest")
     return DatasetSpec("things", str(feed), **settings)
 
 
@@ -73,7 +74,7 @@ def test_declared_schema_prunes_files_at_planning(spark, tmp_path):
     for name in ("things_20240101060606.parquet", "other_20240103080808.parquet"):
         (tmp_path / "bronze" / name).write_text("not a parquet file at all")
     things = DatasetSpec(
-        "things", f"{tmp_path}/bronze", format="parquet", pattern=r"things_\d{14}.*", schema="id string"
+        "things", f"{tmp_path}/bronze", format="parquet", pattern=r"things_\d{14}.*", schema="id string", snapshot="latest"
     )
     assert ingest(spark, things).frame.count() == 3  # older and foreign files are never opened
 
@@ -104,6 +105,12 @@ def test_files_with_other_columns_fail_loudly(spark, feed):
         frame.collect()
 
 
+def test_a_declared_schema_does_not_rename_columns(spark, tmp_path):
+    (tmp_path / "things_20240105080808.csv").write_text("v,id\nz,7\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest(spark, spec(tmp_path, schema=SCHEMA)).frame.collect()
+
+
 def test_ledger_remembers_files(spark, feed, tmp_path):
     ledger = FileLedger(spark, str(tmp_path / "ledger"))
     things = spec(feed)
@@ -129,6 +136,24 @@ def test_stream_takes_each_file_once(spark, feed, tmp_path):
         feed_stream(spark, spec(feed))
 
 
+def test_stream_and_batch_share_silver_and_rules(spark, feed, tmp_path):
+    rule = Rule("not_c", "sql", expression="v <> 'c'")
+    folders = {"output_path": str(tmp_path / "silver"), "quarantine_path": str(tmp_path / "rejected")}
+    things = spec(feed, schema=SCHEMA, snapshot="all", rules=(rule,), **folders)
+
+    def ids(path):
+        return sorted(r.id for r in read_layer(spark, path).collect())
+
+    stream_to_silver(spark, things, str(tmp_path / "checkpoint")).awaitTermination()
+    assert ids(things.output_path) == ["1", "2"] and ids(things.quarantine_path) == ["3"]
+    (feed / "things_20240107080808.csv").write_text("id,v\n6,f\n")
+    publish_silver(spark, {"things": ingest(spark, things).frame}, {"things": things})
+    assert ids(things.output_path) == ["1", "2", "6"]
+    (feed / "things_20240107090808.csv").write_text("id,v\n7,c\n8,g\n")
+    stream_to_silver(spark, things, str(tmp_path / "checkpoint")).awaitTermination()
+    assert ids(things.output_path) == ["1", "2", "6", "8"] and ids(things.quarantine_path) == ["3", "7"]
+
+
 def test_incremental_ingest_repeats_safely(spark, feed, tmp_path, monkeypatch):
     things = spec(feed, schema=SCHEMA, output_path=str(tmp_path / "silver"))
     ledger = FileLedger(spark, str(tmp_path / "ledger"))

@@ -1,4 +1,4 @@
-"""Golden tests on a small bank sample with hand-derived results."""
+"""A small lending library with hand-derived results."""
 
 import datetime
 import json
@@ -8,296 +8,293 @@ import pytest
 from tierwise.__main__ import main
 from tierwise.operators.scd1 import change_class, scd1_merge
 from tierwise.plans.dimension import initial_load, merge_dimension
-from tierwise.plans.report import run_report
+from tierwise.plans.report import accounting, run_report
 from tierwise.spec import DatasetSpec, ReportSpec, ScdSpec, SpecError
 
-HEADER = "account_number|account_type|customer_id|balance|open_date\n"
-FIRST = (
-    "1001|Savings Account|1|5000|2022-01-01\n1002|Checking Account|2|3000|2022-01-15\n"
-    "1003|Investment Account|3|10000|2022-03-20\n"
-)
-SECOND = (
-    "1001|Savings Account|1|5000|2022-01-01\n1004|Checking Account|4|6000|2024-01-15\n"
-    "1003|Premium Investment Account|3|10000|2022-03-20\n"
-)
-CUSTOMERS = (
-    "customer_id,name,age,gender,city\n1,Alice,25,Female,New York\n2,Bob,35,Male,Los Angeles\n"
-    "3,Charlie,30,Male,Chicago\n"
-)
-TRANSACTIONS = [
-    (1, 1001, 100, "Deposit"),
-    (2, 1001, 50, "Withdrawal"),
-    (3, 1002, 200, "Deposit"),
-    (4, 1003, 500, "Withdrawal"),
-    (5, 1003, 300, "Deposit"),
-    (6, 1001, 150, "Withdrawal"),
+COLUMNS = ["isbn", "genre", "branch_id", "copies", "bought_on"]
+MORNING = [
+    ("b1", "Poetry", "N", "4", "2019-05-01"),
+    ("b2", "History", "S", "7", "2020-02-11"),
+    ("b3", "Travel", "N", "2", "2021-08-30"),
+    ("b4", "Science", "E", "5", "2022-01-09"),  # never lent
 ]
-AGGREGATIONS = {
-    "total_balance": "sum(accounts_table.balance) as total_balance",
-    "new_accounts_count": "count(distinct accounts_table.account_number) as new_accounts_count",
-    "avg_age": "avg(customers_table.age) as avg_age",
-    "total_transaction_amount": "sum(transactions_table.amount) as total_transaction_amount",
-    "transactions_count": "count(*) as transactions_count",
-    "avg_balance": "avg(accounts_table.balance) as avg_balance",
-}
+EVENING = [
+    ("b1", "Poetry", "N", "4", "2019-05-01"),
+    ("b3", "Guide", "N", "2", "2021-08-30"),
+    ("b5", "Drama", "W", "9", "2024-03-01"),  # no such branch
+]
+BRANCHES = "branch_id,town,visitors\nN,Aalen,120\nS,Bonn,300\nE,Celle,90\n"
+LOANS = [(11, "b1", 14, "home"), (12, "b1", 3, "hall"), (13, "b2", 21, "home"), (14, "b3", 7, "home"), (15, "b2", 1, "hall"), (16, "b2", 5, "home")]
+SHOWN = ["loans_table.loan_id", "loans_table.isbn", "loans_table.days", "branches_table.branch_id", "branches_table.town"]
+MERGED = {"b1": "Poetry", "b2": "History", "b3": "Guide", "b4": "Science", "b5": "Drama"}
+
+
+def books_text(rows):
+    return "\n".join("|".join(line) for line in [COLUMNS, *rows]) + "\n"
+
+
+def loans_text(rows):
+    return json.dumps([dict(zip(("loan_id", "isbn", "days", "kind"), r)) for r in rows], indent=1)
+
+
+def deliver(root, name, text):
+    folder = root / "bronze" / name.split("_")[0]
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
 
 
 @pytest.fixture
 def bronze(tmp_path):
-    for feed in ("accounts", "customers", "transactions"):
-        (tmp_path / "bronze" / feed).mkdir(parents=True)
-    root = tmp_path / "bronze"
-    (root / "accounts" / "accounts_20240101060606.csv").write_text(HEADER + FIRST)
-    (root / "customers" / "customers_20240101070707.csv").write_text(CUSTOMERS)
-    fields = ("transaction_id", "account_number", "amount", "transaction_type")
-    rows = [dict(zip(fields, t)) for t in TRANSACTIONS]
-    (root / "transactions" / "transactions_20240101090909.json").write_text(json.dumps(rows, indent=1))
+    deliver(tmp_path, "books_20240309101500.csv", books_text(MORNING))
+    deliver(tmp_path, "branches_20240309110000.csv", BRANCHES)
+    deliver(tmp_path, "loans_20240309120000.json", loans_text(LOANS))
     return tmp_path
 
 
-def add_second(root):
-    path = root / "bronze" / "accounts" / "accounts_20240101080808.csv"
-    path.write_text(HEADER + SECOND)
+def add_evening(root, stamp="20240309171500"):
+    deliver(root, f"books_{stamp}.csv", books_text(EVENING))
 
 
 def config(root, **output):
     def dataset(name, **more):
-        return {
-            "input_path": f"{root}/bronze/{name}/",
-            "output_path": f"{root}/silver/{name}/",
-            "regex": rf"{name}_\d{{14}}.*",
-            **more,
-        }
+        paths = {"input_path": f"{root}/bronze/{name}/", "output_path": f"{root}/silver/{name}/"}
+        return {**paths, "regex": rf"{name}_\d{{14}}.*", "snapshot": "latest", **more}
 
+    on = {"left": "books", "join_type": "left"}
     return {
         "datasets": {
-            "accounts": dataset("accounts", format="csv", header="true", delimiter="|"),
-            "customers": dataset("customers", format="csv", header="true"),
-            "transactions": dataset("transactions", format="json"),
+            "books": dataset("books", format="csv", header="true", delimiter="|"),
+            "branches": dataset("branches", format="csv", header="true"),
+            "loans": dataset("loans", format="json"),
         },
-        "spark_conf": {},
         "etl": {
-            "join": {
-                "left": "accounts",
-                "right": "transactions",
-                "left_key": "account_number",
-                "right_key": "account_number",
-                "join_type": "left",
+            "join": {**on, "right": "loans", "left_key": "isbn", "right_key": "isbn"},
+            "join_b": {**on, "right": "branches", "left_key": "branch_id", "right_key": "branch_id", "join_type": "inner"},
+            "aggregations": {
+                "copies": "sum(books_table.copies)",
+                "titles": "count(distinct books_table.isbn)",
+                "busiest": "max(cast(branches_table.visitors as int))",
+                "days": "sum(loans_table.days)",
+                "rows": "count(*)",
+                "longest": "max(loans_table.days)",
             },
-            "join2": {
-                "left": "accounts",
-                "right": "customers",
-                "left_key": "customer_id",
-                "right_key": "customer_id",
-                "join_type": "inner",
+            "output": {
+                "path": f"{root}/gold/lending/",
+                "select": SHOWN,
+                "date_parts": ["loans_table.year", "loans_table.month", "loans_table.day"],
+                **output,
             },
-            "aggregations": AGGREGATIONS,
-            "output": {"path": f"{root}/gold/bank/", "format": "parquet", **output},
         },
     }
 
 
-@pytest.mark.parametrize(
-    "second, expected, rows",
-    [
-        (False, (38000.0, 3, 28.333333333333332, 1300, 6, 6333.333333333333), 6),
-        (True, (35000.0, 2, 27.0, 1100, 5, 7000.0), 5),
-    ],
-)
-def test_report(spark, bronze, second, expected, rows):
-    if second:
-        add_second(bronze)
-    result = run_report(spark, ReportSpec.from_dict(config(bronze)))
+def run(spark, root, **output):
+    return run_report(spark, ReportSpec.from_dict(config(root, **output)))
+
+
+# morning: b1 twice, b2 three times, b3 once, b4 without a loan; evening: b1 twice, b3 once
+@pytest.mark.parametrize("evening, expected", [(False, (36.0, 4, 300, 51, 7, 21)), (True, (10.0, 2, 120, 24, 3, 14))])
+def test_report(spark, bronze, evening, expected):
+    if evening:
+        add_evening(bronze)
+    result = run(spark, bronze)
     assert tuple(result.aggregates) == pytest.approx(expected)
-    assert result.report.count() == rows
-    assert {str(r.date_id) for r in result.report.select("date_id").collect()} == {"2024-01-01"}
-    assert result.report.columns == [
-        "transaction_id", "account_number", "amount", "transaction_type", "customer_id", "name", "date_id",
-    ]
+    assert result.report.count() == expected[4]
+    days = {str(r.date_id) for r in result.report.select("date_id").collect()}
+    assert days == ({"2024-03-09"} if evening else {"2024-03-09", "None"})
+    assert result.report.columns == ["loan_id", "isbn", "days", "branch_id", "town", "date_id"]
 
 
 def test_next_day_replaces_the_snapshot_not_the_layer(spark, bronze):
-    spec = ReportSpec.from_dict(config(bronze))
-    run_report(spark, spec)
-    path = bronze / "bronze" / "accounts" / "accounts_20240215080808.csv"
-    path.write_text(HEADER + SECOND)
-    result = run_report(spark, spec)
-    assert result.aggregates.total_balance == 35000.0 and result.report.count() == 5
-    silver = spark.read.parquet(f"{bronze}/silver/accounts")
-    assert sorted({(r.month, r.day) for r in silver.collect()}) == [(1, 1), (2, 15)]
+    run(spark, bronze)
+    add_evening(bronze, "20240402080000")
+    result = run(spark, bronze)
+    assert result.aggregates.titles == 2 and result.report.count() == 3
+    silver = spark.read.parquet(f"{bronze}/silver/books")
+    assert sorted({(r.month, r.day) for r in silver.collect()}) == [(3, 9), (4, 2)]
+
+
+def test_several_stamps_need_a_declared_snapshot(spark, bronze):
+    add_evening(bronze)
+    for schema in (None, ", ".join(f"{c} string" for c in COLUMNS)):
+        cfg = config(bronze)
+        cfg["datasets"]["books"] |= {"snapshot": None, "schema": schema}
+        with pytest.raises(SpecError, match="declare 'snapshot'"):
+            run_report(spark, ReportSpec.from_dict(cfg))
+
+
+def test_a_report_needs_its_projection(spark, bronze):
+    for missing in ("select", "date_parts"):
+        with pytest.raises(SpecError, match=missing):
+            run(spark, bronze, **{missing: []})
 
 
 def test_run_from_a_day_replaces_later_days_only(spark, bronze):
-    day1 = datetime.date(2024, 1, 1)
     cfg = config(bronze, dynamic=True, drop_unmatched=True)
-    cfg["datasets"]["transactions"]["snapshot"] = "all"
+    cfg["datasets"]["loans"]["snapshot"] = "all"
     run_report(spark, ReportSpec.from_dict(cfg))
-    path = bronze / "bronze" / "transactions" / "transactions_20240103090909.json"
-    path.write_text('[{"transaction_id": 9, "account_number": 1002, "amount": 7, "transaction_type": "Deposit"}]')
-    (bronze / "gold" / "bank" / "date_id=2024-01-01" / "untouched.marker").write_text("")
-    result = run_report(spark, ReportSpec.from_dict(cfg), from_day=datetime.date(2024, 1, 2))
-    assert (result.aggregates.total_transaction_amount, result.report.count()) == (7, 7)
-    assert (bronze / "gold" / "bank" / "date_id=2024-01-01" / "untouched.marker").exists()
+    deliver(bronze, "loans_20240311120000.json", loans_text([(21, "b2", 9, "home")]))
+    (bronze / "gold" / "lending" / "date_id=2024-03-09" / "untouched.marker").write_text("")
+    result = run_report(spark, ReportSpec.from_dict(cfg), from_day=datetime.date(2024, 3, 10))
+    assert (result.aggregates.days, result.report.count()) == (9, 7)
+    assert (bronze / "gold" / "lending" / "date_id=2024-03-09" / "untouched.marker").exists()
     with pytest.raises(SpecError, match="from_day"):
-        run_report(spark, ReportSpec.from_dict(config(bronze)), from_day=day1)
+        run_report(spark, ReportSpec.from_dict(config(bronze)), from_day=datetime.date(2024, 3, 10))
+
+
+def test_a_correction_that_empties_a_gold_day(spark, bronze):
+    cfg = config(bronze, dynamic=True, drop_unmatched=True)
+    cfg["datasets"]["loans"]["snapshot"] = "all"
+    deliver(bronze, "loans_20240311120000.json", loans_text([(21, "b2", 9, "home")]))
+    days = [str(r.date_id) for r in run_report(spark, ReportSpec.from_dict(cfg)).report.select("date_id").distinct().collect()]
+    assert sorted(days) == ["2024-03-09", "2024-03-11"]
+    deliver(bronze, "loans_20240311120000.json", loans_text([(21, "unknown", 9, "home")]))
+    days = [str(r.date_id) for r in run_report(spark, ReportSpec.from_dict(cfg)).report.select("date_id").distinct().collect()]
+    assert days == ["2024-03-09"]
 
 
 def test_legacy_date_id_is_unpadded(spark, bronze):
-    spec = ReportSpec.from_dict(config(bronze, legacy_date_id="true"))
-    run_report(spark, spec)
-    assert (bronze / "gold" / "bank" / "date_id=2024-1-1").is_dir()
+    run(spark, bronze, legacy_date_id="true")
+    assert (bronze / "gold" / "lending" / "date_id=2024-3-9").is_dir()
 
 
-def test_account_without_transactions_keeps_a_null_date(spark, bronze):
-    extra = "1009|Savings Account|1|7000|2022-01-01\n"
-    (bronze / "bronze" / "accounts" / "accounts_20240101060606.csv").write_text(HEADER + FIRST + extra)
-    report = run_report(spark, ReportSpec.from_dict(config(bronze))).report
-    padded = report.filter("transaction_id is null").collect()
-    assert len(padded) == 1 and padded[0].date_id is None and padded[0].name == "Alice"
-    dropped = run_report(spark, ReportSpec.from_dict(config(bronze, drop_unmatched=True))).report
-    assert dropped.count() == 6
+def test_book_without_loans_keeps_a_null_date(spark, bronze):
+    padded = run(spark, bronze).report.filter("loan_id is null").collect()
+    assert [(r.date_id, r.town) for r in padded] == [(None, "Celle")]
+    assert run(spark, bronze, drop_unmatched=True).report.count() == 6
 
 
 def test_metrics_table_and_command_line(spark, bronze):
-    spec = ReportSpec.from_dict(config(bronze))
-    for _ in range(2):
-        run_report(spark, spec, metrics_path=f"{bronze}/metrics")
-    metrics = spark.read.parquet(f"{bronze}/metrics")
-    assert metrics.count() == 2 and "recorded_at" in metrics.columns
     path = bronze / "report.json"
     path.write_text(json.dumps(config(bronze)))
-    assert main(["report", str(path), "--preview", "3"]) == 0
+    for batch in ("one", "two", "one"):
+        assert main(["report", str(path), "--preview", "3", "--metrics", f"{bronze}/metrics", "--batch", batch]) == 0
+    metrics = spark.read.parquet(f"{bronze}/metrics")
+    assert sorted(r.run_id for r in metrics.collect()) == ["one", "two"] and "recorded_at" in metrics.columns
 
 
 def test_grouped_aggregates(spark, bronze):
     cfg = config(bronze)
-    cfg["etl"] |= {"group_by": ["customers_table.name"], "grouping": "rollup"}
-    cfg["etl"]["aggregations"] = {"rows": "count(*)", "amount": "sum(transactions_table.amount)"}
+    cfg["etl"] |= {"group_by": ["branches_table.town"], "grouping": "rollup"}
+    cfg["etl"]["aggregations"] = {"rows": "count(*)", "days": "sum(loans_table.days)"}
     result = run_report(spark, ReportSpec.from_dict(cfg))
     assert result.aggregates is None
     assert sorted(map(tuple, result.metrics.collect()), key=str) == [
-        ("Alice", 3, 300), ("Bob", 1, 200), ("Charlie", 2, 800), (None, 6, 1300),
-    ]
+        ("Aalen", 3, 24), ("Bonn", 3, 27), ("Celle", 1, None), (None, 7, 51),
+    ]
 
 
-def test_rules_in_the_report_job(spark, bronze):
-    cfg = config(bronze)
-    cfg["datasets"]["accounts"] |= {
-        "rules": [{"name": "small", "kind": "sql", "expression": "try_cast(balance as double) < 6000"}],
-        "quarantine_path": f"{bronze}/quarantine",
+def few_copies(root, **rule):
+    cfg = config(root)
+    cfg["datasets"]["books"] |= {
+        "rules": [{"name": "few", "kind": "sql", "expression": "try_cast(copies as int) < 5", **rule}],
+        "quarantine_path": f"{root}/quarantine",
         "compact": True,
     }
-    result = run_report(spark, ReportSpec.from_dict(cfg))
-    assert [tuple(r) for r in result.quality["accounts"].collect()] == [("small", 3, 1)]
-    assert result.report.count() == 4 and result.aggregates.total_balance == 18000.0
-    assert [r.account_number for r in spark.read.parquet(f"{bronze}/quarantine").collect()] == ["1003"]
+    return ReportSpec.from_dict(cfg)
+
+
+def test_rules_in_the_report_job(spark, bronze):
+    result = run_report(spark, few_copies(bronze))
+    assert [tuple(r) for r in result.quality["books"].collect()] == [("few", 4, 2)]
+    assert result.report.count() == 3 and result.aggregates.copies == 10.0
+    assert sorted(r.isbn for r in spark.read.parquet(f"{bronze}/quarantine").collect()) == ["b2", "b4"]
+
+
+def test_redelivered_days_leave_nothing_stale(spark, bronze):
+    """Some rows rejected, then none, then all: silver and quarantine always hold the last delivery."""
+    spec = few_copies(bronze)
+    for copies, silver, rejected in (("", 2, 2), ("1", 4, 0), ("8", 0, 4), ("1", 4, 0)):
+        rows = [(*r[:3], copies or r[3], r[4]) for r in MORNING]
+        deliver(bronze, "books_20240309101500.csv", books_text(rows))
+        if silver:
+            result = run_report(spark, spec)
+        else:
+            with pytest.raises(Exception):  # a report without a single book
+                run_report(spark, spec)
+            assert not (bronze / "silver" / "books" / "year=2024" / "month=03" / "day=09").exists()
+            continue
+        counts = accounting(spark, {"books": result.ingested["books"]}, spec.datasets).first()
+        assert (counts.rows, counts.silver, counts.quarantined) == (4, silver, rejected)
 
 
 def test_silver_failure_names_its_dataset(spark, bronze):
-    (bronze / "bronze" / "customers" / "customers_20240101070707.csv").write_text("a,b\n1,2\n")
     cfg = config(bronze)
-    cfg["datasets"]["customers"]["rules"] = [
-        {"name": "boom", "kind": "sql", "expression": "raise_error('boom') is null"}
-    ]
-    cfg["datasets"]["customers"]["quarantine_path"] = f"{bronze}/quarantine"
-    with pytest.raises(Exception, match="customers|boom"):
+    cfg["datasets"]["branches"] |= {
+        "rules": [{"name": "boom", "kind": "sql", "expression": "raise_error('boom') is null"}],
+        "quarantine_path": f"{bronze}/quarantine",
+    }
+    with pytest.raises(Exception, match="branches|boom"):
         run_report(spark, ReportSpec.from_dict(cfg))
-    del cfg["datasets"]["customers"]["output_path"], cfg["datasets"]["customers"]["rules"]
+    del cfg["datasets"]["branches"]["output_path"], cfg["datasets"]["branches"]["rules"]
     with pytest.raises(SpecError, match="output_path"):
         run_report(spark, ReportSpec.from_dict(cfg))
 
 
 def test_missing_output_format_fails_before_any_work(spark, bronze):
-    spec = ReportSpec.from_dict(config(bronze, format="no_such_source"))
     with pytest.raises(SpecError, match="classpath"):
-        run_report(spark, spec)
+        run(spark, bronze, format="no_such_source")
     assert not (bronze / "silver").exists()
 
 
 def snapshots(spark):
-    names = [c for c in HEADER.strip().split("|")]
-    frames = []
-    for text in (SECOND, FIRST):
-        rows = [tuple(line.split("|")) for line in text.strip().splitlines()]
-        frames.append(spark.createDataFrame(rows, names))
-    return frames
-
-
-EXPECTED = {
-    "1001": "Savings Account",
-    "1002": "Checking Account",
-    "1003": "Premium Investment Account",
-    "1004": "Checking Account",
-}
+    return [spark.createDataFrame(rows, COLUMNS) for rows in (EVENING, MORNING)]
 
 
 @pytest.mark.parametrize("compare", ["null_safe", "hash"])
 @pytest.mark.parametrize("small", [False, True])
 def test_scd1_on_sample(spark, compare, small):
     source, target = snapshots(spark)
-    merged = scd1_merge(source, target, ["account_number"], compare=compare, small_source=small)
-    assert {r.account_number: r.account_type for r in merged.collect()} == EXPECTED
+    merged = scd1_merge(source, target, ["isbn"], compare=compare, small_source=small)
+    assert {r.isbn: r.genre for r in merged.collect()} == MERGED
     assert merged.columns == target.columns
 
 
 def test_change_classes_on_sample(spark):
-    source, target = snapshots(spark)
-    classes = {r.account_number: r.change for r in change_class(source, target, ["account_number"]).collect()}
-    assert classes == {"1001": "unchanged", "1002": "target_only", "1003": "updated", "1004": "new"}
+    classes = {r.isbn: r.change for r in change_class(*snapshots(spark), ["isbn"]).collect()}
+    assert classes == {"b1": "unchanged", "b2": "target_only", "b3": "updated", "b4": "target_only", "b5": "new"}
 
 
 def seeded(spark, root, **settings):
-    add_second(root)
+    add_evening(root)
 
     def snapshot(stamp):
-        return DatasetSpec(
-            "accounts", f"{root}/bronze/accounts", f"{root}/silver/accounts",
-            delimiter="|", pattern=f"accounts_{stamp}.*",
-        )
-
-    initial_load(spark, snapshot("20240101060606"), f"{root}/gold/accounts", snapshot("20240101080808"))
-    cfg = {
-        "source_table": f"{root}/silver/accounts",
-        "target_table": f"{root}/gold/accounts",
-        "join_keys": ["account_number"],
-        **settings,
-    }
-    return ScdSpec.from_dict(cfg)
+        folders = f"{root}/bronze/books", f"{root}/silver/books"
+        return DatasetSpec("books", *folders, delimiter="|", pattern=f"books_{stamp}.*")
+
+    initial_load(spark, snapshot("20240309101500"), f"{root}/gold/books", snapshot("20240309171500"))
+    paths = {"source_table": f"{root}/silver/books", "target_table": f"{root}/gold/books"}
+    return ScdSpec.from_dict({**paths, "join_keys": ["isbn"], **settings})
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_dimension_job(spark, bronze, limit):
     spec = seeded(spark, bronze, scd_type="scd1", broadcast_limit_bytes=limit)
-    assert merge_dimension(spark, spec) == 4
+    assert merge_dimension(spark, spec) == 5
     gold = spark.read.parquet(spec.target_path)
-    assert {r.account_number: r.account_type for r in gold.collect()} == EXPECTED
-    assert {str(r.date_id) for r in gold.collect()} == {"2024-01-01"}
-    assert merge_dimension(spark, spec) == 4  # a second run changes nothing
+    assert {r.isbn: r.genre for r in gold.collect()} == MERGED
+    assert {str(r.date_id) for r in gold.collect()} == {"2024-03-09"}
+    assert merge_dimension(spark, spec) == 5  # a second run changes nothing
 
 
 def test_initial_load_refuses_to_replace(spark, bronze):
     seeded(spark, bronze)
+    books = DatasetSpec("books", f"{bronze}/bronze/books", delimiter="|", pattern="books.*", snapshot="latest")
     with pytest.raises(Exception, match="already exists"):
-        initial_load(
-            spark,
-            DatasetSpec("accounts", f"{bronze}/bronze/accounts", delimiter="|", pattern="accounts.*"),
-            f"{bronze}/gold/accounts",
-        )
+        initial_load(spark, books, f"{bronze}/gold/books")
 
 
 def test_type2_dimension_job(spark, bronze):
     first = seeded(spark, bronze)
-    spec = ScdSpec(first.source_path, f"{bronze}/gold/history", ("account_number",), scd_type="scd2")
-    merge_dimension(spark, spec, datetime.date(2024, 1, 1))
-    silver = spark.read.parquet(first.source_path)
-    changed = silver.replace("Savings Account", "Closed Account", subset=["account_type"])
+    history = f"{bronze}/gold/history"
+    merge_dimension(spark, ScdSpec(first.source_path, history, ("isbn",), scd_type="scd2"), datetime.date(2024, 3, 9))
+    changed = spark.read.parquet(first.source_path).replace("Poetry", "Verse", subset=["genre"])
     changed.write.partitionBy("year", "month", "day").parquet(f"{bronze}/silver/next")
-    spec = ScdSpec(f"{bronze}/silver/next", spec.target_path, ("account_number",), scd_type="scd2")
-    assert merge_dimension(spark, spec, datetime.date(2024, 2, 1)) == 4
-    assert merge_dimension(spark, spec, datetime.date(2024, 2, 1)) == 4
-    history = spark.read.parquet(spec.target_path)
-    one = history.filter("account_number = '1001'").orderBy("effective_from").collect()
-    assert [(r.account_type, str(r.effective_from), str(r.effective_to), str(r.is_current)) for r in one] == [
-        ("Savings Account", "2024-01-01", "2024-02-01", "false"),
-        ("Closed Account", "2024-02-01", "None", "true"),
+    spec = ScdSpec(f"{bronze}/silver/next", history, ("isbn",), scd_type="scd2")
+    for _ in range(2):
+        assert merge_dimension(spark, spec, datetime.date(2024, 4, 1)) == 4
+    versions = spark.read.parquet(history).filter("isbn = 'b1'").orderBy("effective_from").collect()
+    assert [(r.genre, str(r.effective_from), str(r.effective_to), str(r.is_current)) for r in versions] == [
+        ("Poetry", "2024-03-09", "2024-04-01", "false"),
+        ("Verse", "2024-04-01", "None", "true"),
     ]

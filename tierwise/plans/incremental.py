@@ -1,10 +1,10 @@
-"""Incremental bronze to silver: only days with files the ledger has not seen."""
+"""Incremental bronze to silver: only days with files that are new."""
 
 from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.plans.report import publish_silver
 from tierwise.sources.files import day_files, feed_files, read_feed
@@ -12,20 +12,31 @@ from tierwise.sources.ledger import FileLedger
 from tierwise.spec import DatasetSpec
 
 
+def publish_days(spark: SparkSession, spec: DatasetSpec, listing: DataFrame, fresh: DataFrame) -> None:
+    """Publish the days that the files ``fresh`` belong to, through the dataset's rules.
+
+    A touched day is read from all its files and its folder replaced as a whole, so a run that
+    failed is simply repeated: nothing is lost or doubled.
+    """
+    everything = dataclasses.replace(spec, snapshot="all")
+    _, frame = read_feed(spark, everything, day_files(listing, fresh))
+    if frame is not None:
+        publish_silver(spark, {spec.name: frame}, {spec.name: everything})
+
+
 def ingest_new(spark: SparkSession, spec: DatasetSpec, ledger: FileLedger, batch_id: str) -> int:
     """Publish the days new files belong to and record those files; returns how many.
 
-    A touched day is read from all its files and its folder replaced as a whole, so a run
-    that failed before recording is simply repeated: nothing is lost or doubled.
+    The batch's files are recorded as ``found`` first, so that those which arrive meanwhile are left
+    to the next batch, and as ``done`` in the end.
     """
     listing = feed_files(spark, spec)
     fresh = ledger.unprocessed(listing.filter("dated"), spec.name)
-    names = [r.file_name for r in fresh.select("file_name").collect()]  # names only
-    if not names:
-        return 0
-    found = listing.filter(listing.file_name.isin(names))
-    everything = dataclasses.replace(spec, snapshot="all")
-    _, frame = read_feed(spark, everything, day_files(listing, found))
-    publish_silver(spark, {spec.name: frame}, {spec.name: everything})
-    ledger.record(found, spec.name, batch_id)
-    return len(names)
+    ledger.record(fresh, spec.name, batch_id, "found")
+    found = ledger.of_batch(spec.name, batch_id)
+    n = found.count()
+    if n:
+        mine = listing.join(found.select("file_name"), "file_name", "left_semi")
+        publish_days(spark, spec, listing, mine)
+        ledger.record(mine, spec.name, batch_id)
+    return n

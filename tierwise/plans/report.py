@@ -4,41 +4,33 @@ from __future__ import annotations
 
 import datetime
 import logging
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.functions.columns import date_id, project
 from tierwise.operators.joins import join_chain
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
 from tierwise.operators.quality import quarantine, rule_report
+from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
     BUILT_IN_FORMATS,
+    drop_folders,
+    folders_of,
     require_format,
     staged_publish,
     write_partitioned,
     write_silver,
 )
 from tierwise.sources.catalog import create_external_table, register_views
-from tierwise.sources.files import IngestResult, frames, ingest_all, latest_day, read_layer
+from tierwise.sources.files import IngestResult, feed_files, frames, ingest_all, latest_day, read_layer
 from tierwise.spec import DATE_PARTS, VIEW_SUFFIX, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
 log = logging.getLogger(__name__)
 
-# The projection used when a bank configuration declares none.
-BANK_COLUMNS = (
-    "transactions_table.transaction_id",
-    "transactions_table.account_number",
-    "transactions_table.amount",
-    "transactions_table.transaction_type",
-    "customers_table.customer_id",
-    "customers_table.name",
-)
-BANK_DATE_PARTS = ("transactions_table.year", "transactions_table.month", "transactions_table.day")
-
-
 @dataclass(frozen=True)
 class ReportResult:
     ingested: Mapping[str, IngestResult]
@@ -54,8 +46,9 @@ def report_chain(silver: Mapping[str, DataFrame], spec: ReportSpec) -> DataFrame
 
 def report_rows(chain: DataFrame, output: OutputSpec) -> DataFrame:
     """The declared projection of the chain with its ``date_id``."""
-    columns = output.select or BANK_COLUMNS
-    parts = output.date_parts or BANK_DATE_PARTS
+    columns, parts = output.select, output.date_parts
+    if not columns:
+        raise SpecError("output: select is required")
     if len(parts) != 3:
         raise SpecError("output: date_parts needs year, month and day")
     day = date_id(*[F.col(p) for p in parts], legacy=output.legacy_date_id).alias("date_id")
@@ -78,24 +71,65 @@ def publish_silver(
     dynamic: bool = True,
 ) -> None:
     """Validate, set rejects aside, write silver and register its tables."""
-    valid = {}
     for name, frame in ingested.items():
-        rules = specs[name].rules
-        valid[name], rejected = quarantine(frame, rules) if rules else (frame, None)
-        if rejected is not None:
-            write_partitioned(
-                rejected, specs[name].quarantine_path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic
-            )
-    write_silver(valid, specs, dynamic=dynamic)
-    for name in valid:
+        spec = specs[name]
+        if not spec.rules:
+            continue
+        valid, rejected = quarantine(frame, spec.rules)
+        days = folders_of(frame, DATE_PARTS)
+        for rows, path in ((valid, spec.output_path), (rejected, spec.quarantine_path)):
+            if not path:
+                raise SpecError(f"dataset {name}: output_path is required to write silver")
+            stale = days - folders_of(rows, DATE_PARTS)  # this delivery has no row for them any more
+            drop_folders(spark, path, stale)
+        ingested = {**ingested, name: valid}
+        write_partitioned(rejected, spec.quarantine_path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
+    write_silver(ingested, specs, dynamic=dynamic)
+    for name in ingested:
         if specs[name].table:
             create_external_table(spark, specs[name].table, specs[name].output_path, partitioned=True)
 
 
+def accounting(
+    spark: SparkSession, ingested: Mapping[str, IngestResult], specs: Mapping[str, DatasetSpec]
+) -> DataFrame:
+    """(dataset, files, undated_files, rows, silver, quarantined) of the days that were read.
+
+    Every row read is in silver or in quarantine, so ``rows = silver + quarantined``.
+    """
+    found = None
+    for name, result in sorted(ingested.items()):
+        if result.frame is None:
+            continue
+        days = folders_of(result.frame, DATE_PARTS)
+
+        def kept(path: str | None, days: set[str] = days) -> Column:
+            folders = [f"{path.rstrip('/')}/{d}" for d in days] if path else []
+            there = [f for f in folders if path_exists(spark, f)]
+            if not there:
+                return F.lit(0).cast("long")
+            return spark.read.option("basePath", path).parquet(*there).agg(F.count(F.lit(1))).scalar()
+
+        files = feed_files(spark, specs[name])
+        row = spark.range(1).select(
+            F.lit(name).alias("dataset"),
+            files.agg(F.count(F.lit(1))).scalar().alias("files"),
+            files.agg(F.count_if(~F.col("dated"))).scalar().alias("undated_files"),
+            result.frame.agg(F.count(F.lit(1))).scalar().alias("rows"),
+            kept(specs[name].output_path).alias("silver"),
+            kept(specs[name].quarantine_path).alias("quarantined"),
+        )
+        found = row if found is None else found.unionByName(row)
+    if found is None:
+        schema = "dataset string, files bigint, undated_files bigint, rows bigint, silver bigint, quarantined bigint"
+        return spark.createDataFrame([], schema)
+    return found
+
+
 def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     """The datasets the report uses.
 
-    Silver keeps earlier days; of a ``latest`` dataset only the newest day counts, so an
+    Silver keeps earlier days; of a dataset that is not ``all`` only the newest day counts, so an
     older snapshot of the same rows is not joined a second time.
     """
     used = {spec.joins[0].left, *[s.right for s in spec.joins]} if spec.joins else set(spec.datasets)
@@ -103,7 +137,7 @@ def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     for name in sorted(used):
         dataset = spec.datasets[name]
         frame = read_layer(spark, dataset.output_path, dict(dataset.casts))
-        newest = latest_day(spark, dataset.output_path) if dataset.snapshot == "latest" else None
+        newest = None if dataset.snapshot == "all" else latest_day(spark, dataset.output_path)
         frames[name] = frame if newest is None else frame.filter(newest)
     return frames
 
@@ -117,18 +151,28 @@ def since(
     """
     if not (output.dynamic and output.drop_unmatched):
         raise SpecError("output: from_day needs dynamic and drop_unmatched, or older days would be lost")
-    parts = output.date_parts or BANK_DATE_PARTS
-    dated = parts[0].split(".")[0].removesuffix(VIEW_SUFFIX)
-    day = date_id(*[F.col(p.rsplit(".", 1)[-1]) for p in parts])
+    dated, day = dated_by(output)
     return {**silver, dated: silver[dated].filter(day >= F.lit(from_day))}
 
 
-def publish_report(spark: SparkSession, rows: DataFrame, output: OutputSpec) -> None:
+def dated_by(output: OutputSpec) -> tuple[str, Column]:
+    """The dataset that dates the report, and the day of its rows."""
+    parts = output.date_parts
+    day = date_id(*[F.col(p.rsplit(".", 1)[-1]) for p in parts], legacy=output.legacy_date_id)
+    return parts[0].split(".")[0].removesuffix(VIEW_SUFFIX), day
+
+
+def publish_report(
+    spark: SparkSession, rows: DataFrame, output: OutputSpec, days: DataFrame | None = None
+) -> None:
     """Replace the gold table, or with ``dynamic`` only the days in ``rows``.
 
-    File formats are swapped in after they are complete: an overwrite in place would
-    delete the old table first and leave nothing behind a failed job.
+    ``days`` (date_id) are those that the run has read: of them, the ones without a row any more
+    lose their folder.  File formats are swapped in after they are complete: an overwrite in place
+    would delete the old table first and leave nothing behind a failed job.
     """
+    if output.dynamic and days is not None and output.partition_by == ("date_id",):
+        drop_folders(spark, output.path, folders_of(days, ["date_id"]) - folders_of(rows, ["date_id"]))
     if output.dynamic or output.format not in BUILT_IN_FORMATS:
         write_partitioned(
             rows,
@@ -145,10 +189,17 @@ def publish_report(spark: SparkSession, rows: DataFrame, output: OutputSpec) ->
         create_external_table(spark, output.table, output.path, output.format, bool(output.partition_by))
 
 
+def write_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """The aggregates of one run, with the time; a repeated run replaces its own."""
+    stamped = metrics.withColumns({"recorded_at": F.current_timestamp(), "run_id": F.lit(run_id)})
+    write_partitioned(stamped, path, mode="overwrite", partition_by="run_id", dynamic=True)
+
+
 def run_report(
     spark: SparkSession,
     spec: ReportSpec,
     metrics_path: str | None = None,
+    run_id: str | None = None,
     dynamic_silver: bool = True,
     preview: int = 0,
     from_day: datetime.date | None = None,
@@ -156,8 +207,8 @@ def run_report(
     """Run the whole job.
 
     After the silver writes there are two actions: one row of aggregates and the gold
-    write.  ``metrics_path`` appends the aggregates to a table instead of returning that
-    row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
+    write.  ``metrics_path`` adds the aggregates to a table, as those of ``run_id``, instead of
+    returning that row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
     the gold table.  ``from_day`` limits the run to later days, see ``since``.  The result's
     ``quality`` holds a rule report per dataset with rules, computed when it is read.
     """
@@ -175,13 +226,14 @@ def run_report(
     if spec.aggregations:
         metrics = report_aggregates(chain, spec)
         if metrics_path:
-            stamped = metrics.withColumn("recorded_at", F.current_timestamp())
-            write_partitioned(stamped, metrics_path, mode="append")
+            write_metrics(metrics, metrics_path, run_id or uuid.uuid4().hex)
         elif not spec.group_by:
             aggregates = metrics.first()
             log.info("aggregates: %s", aggregates.asDict())
 
-    publish_report(spark, report_rows(chain, spec.output), spec.output)
+    rows = report_rows(chain, spec.output)
+    dated, day = dated_by(spec.output)
+    publish_report(spark, rows, spec.output, silver[dated].select(day.alias("date_id")) if dated in silver else None)
     report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)

@@ -104,15 +104,19 @@ def _read(
 ) -> tuple[str, DataFrame | None]:
     usable = listing.filter("dated")
     if spec.schema and whole_feed:
-        facts = usable.agg(F.count(F.lit(1)).alias("n"), F.max("stamp").alias("latest")).first()
+        facts = usable.agg(F.count(F.lit(1)).alias("n"), F.max("stamp").alias("latest"), F.count_distinct("stamp").alias("stamps")).first()
         if facts.n == 0:
             return "no file with a date in its name matches", None
         name = F.col("_metadata.file_name")
         chosen = name_matches(name, spec.pattern) & is_dated(name)
+        if spec.snapshot is None and facts.stamps > 1:
+            raise SpecError(f"dataset {spec.name}: files of {facts.stamps} stamps match; declare 'snapshot'")
         if spec.snapshot == "latest":
             chosen &= file_stamp(name) == facts.latest
         return "", _with_file_columns(_reader(spark, spec).load(spec.input_path).filter(chosen))
     rows = usable.select("path", "stamp").collect()  # file names only
+    if spec.snapshot is None and len({r.stamp for r in rows}) > 1:
+        raise SpecError(f"dataset {spec.name}: files of several stamps match; declare 'snapshot'")
     if spec.snapshot == "latest" and rows:
         latest = max(r.stamp for r in rows)
         rows = [r for r in rows if r.stamp == latest]
@@ -142,6 +146,8 @@ def _ingest(spark: SparkSession, spec: DatasetSpec) -> IngestResult:
     except AnalysisException as err:
         return IngestResult(spec.name, "error", str(err).splitlines()[0])
     rejected = listing.filter("NOT dated")
+    if undated := rejected.count():  # of the listing
+        log.warning("dataset %s: %d files have no date in their name and are not read", spec.name, undated)
     if frame is None:
         return IngestResult(spec.name, "no_files", reason, rejected=rejected)
     return IngestResult(spec.name, "read", frame=frame, rejected=rejected)

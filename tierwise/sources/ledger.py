@@ -14,10 +14,10 @@ LEDGER_SCHEMA = (
 
 
 class FileLedger:
-    """An append-only Parquet table partitioned by batch.
+    """An append-only Parquet table partitioned by dataset, batch and status.
 
     Recording a batch overwrites exactly that batch's folder, so a retried batch leaves
-    one copy of its rows.
+    one copy of its rows; a dataset's entries are read without those of others.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -34,6 +34,11 @@ class FileLedger:
         done = self.read().filter((F.col("dataset") == dataset) & (F.col("status") == "done"))
         return unprocessed(listing, done, "file_name")
 
+    def of_batch(self, dataset: str, batch_id: str) -> DataFrame:
+        """Files recorded for one batch, each once."""
+        rows = self.read().filter((F.col("dataset") == dataset) & (F.col("batch_id") == batch_id))
+        return rows.select("file_name", "stamp", "length").distinct()
+
     def record(self, listing: DataFrame, dataset: str, batch_id: str, status: str = "done") -> None:
         rows = listing.select(
             F.lit(dataset).alias("dataset"),
@@ -47,7 +52,7 @@ class FileLedger:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("dataset", "batch_id", "status")
             .parquet(self.path)
         )
 

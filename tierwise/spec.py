@@ -122,7 +122,8 @@ class Rule:
 class DatasetSpec:
     """A feed: the files of one directory whose names match ``pattern``.
 
-    ``snapshot`` is ``latest`` (files carrying the newest stamp) or ``all``.
+    ``snapshot`` is ``latest`` (files carrying the newest stamp) or ``all``; it must be declared if
+    files of more than one stamp match.
     ``schema`` is an optional DDL string; without it columns come as read.
     ``casts`` are applied with ``try_cast`` when the silver layer is read back.  Rows
     breaking one of ``rules`` go to ``quarantine_path`` instead of silver.  ``table``
@@ -139,7 +140,7 @@ class DatasetSpec:
     delimiter: str = ","
     multiline: bool = True
     schema: str | None = None
-    snapshot: str = "latest"
+    snapshot: str | None = None
     required: bool = False
     casts: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
@@ -149,7 +150,7 @@ class DatasetSpec:
     compact: bool = False
 
     def __post_init__(self) -> None:
-        _one_of(self.snapshot, ("latest", "all"), f"dataset {self.name}")
+        _one_of(self.snapshot, ("latest", "all", None), f"dataset {self.name}")
         try:
             re.compile(self.pattern)
         except re.error as err:
@@ -169,7 +170,7 @@ class DatasetSpec:
             delimiter=cfg.get("delimiter", ","),
             multiline=as_bool(cfg.get("multiline", True)),
             schema=cfg.get("schema"),
-            snapshot=cfg.get("snapshot", "latest"),
+            snapshot=cfg.get("snapshot"),
             required=as_bool(cfg.get("required", False)),
             casts=dict(cfg.get("casts", {})),
             options=dict(cfg.get("options", {})),

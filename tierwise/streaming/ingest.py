@@ -1,4 +1,4 @@
-"""File streams: bronze feeds to silver, each file exactly once."""
+"""File streams: bronze feeds to silver, each new file once."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierwise.functions.columns import file_name_parts, is_dated
-from tierwise.sources.files import name_matches, with_format
-from tierwise.spec import DATE_PARTS, DatasetSpec, SpecError
+from tierwise.plans.incremental import publish_days
+from tierwise.sources.files import feed_files, name_matches, with_format
+from tierwise.spec import DatasetSpec, SpecError
 
 
 def feed_stream(spark: SparkSession, spec: DatasetSpec, max_files: int | None = None) -> DataFrame:
@@ -26,16 +27,23 @@ def feed_stream(spark: SparkSession, spec: DatasetSpec, max_files: int | None =
 def stream_to_silver(
     spark: SparkSession, spec: DatasetSpec, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
-    """Append all files not seen before to silver, then stop.
+    """Publish the days of all files not seen before, then stop.
 
-    The checkpoint remembers consumed files and the sink's log committed ones, so a rerun
-    reads nothing and a crash neither loses nor repeats a file.
+    The stream finds new files; each batch publishes the days they belong to as a batch run does:
+    through the dataset's rules, into the same silver folder, with silver's days replaced as a whole.
+    A repeated batch thus changes nothing, and batch and stream runs can take turns.
     """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        listing = feed_files(spark, spec)
+        names = batch.select("filename").distinct()
+        fresh = listing.join(names, listing.file_name == names.filename, "left_semi")
+        publish_days(spark, spec, listing, fresh)
+
     return (
         feed_stream(spark, spec, max_files)
-        .writeStream.format("parquet")
-        .partitionBy(*DATE_PARTS)
+        .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(spec.output_path)
+        .start()
     )

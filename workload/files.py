@@ -11,14 +11,16 @@ from tierwise.functions.columns import drop_file_columns, malformed_counts, side
 from tierwise.operators.scd1 import schema_report
 from tierwise.plans.dimension import initial_load
 from tierwise.plans.incremental import ingest_new
-from tierwise.plans.report import publish_silver, run_report
-from tierwise.scratch import work_dir
+from tierwise.operators.metrics import global_aggregates
+from tierwise.plans.report import accounting, publish_silver, run_report, write_metrics
+from tierwise.scratch import delete, path_exists, work_dir
 from tierwise.sinks.publish import write_partitioned, write_silver
 from tierwise.sources.catalog import create_external_table, register_views, view
 from tierwise.sources.files import feed_files, ingest, ingest_all, read_layer
 from tierwise.sources.ledger import FileLedger, unprocessed
 from tierwise.spec import DatasetSpec, ReportSpec, Rule
 from workload.registry import query
+from workload.relational import AGGREGATES, _sql_aggregates, chain
 from workload.tables import (
     CUT,
     EARLY,
@@ -119,7 +121,7 @@ def ingest_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
     account_snapshots(spark, sf_dir, folder)
-    return ingest(spark, feed_spec("accounts", folder, delimiter="|")).frame.select(
+    return ingest(spark, feed_spec("accounts", folder, delimiter="|", snapshot="latest")).frame.select(
         "account_number", "balance", file_stamp()
     )
 
@@ -190,7 +192,19 @@ def bank_config(spark: SparkSession, sf_dir: str) -> dict:
                 "total_balance": "round(sum(accounts_table.balance), 2)",
                 "transactions_count": "count(*)",
             },
-            "output": {"path": f"{root}/gold/bank", "format": "parquet"},
+            "output": {
+                "path": f"{root}/gold/bank",
+                "format": "parquet",
+                "select": [
+                    "transactions_table.transaction_id",
+                    "transactions_table.account_number",
+                    "transactions_table.amount",
+                    "transactions_table.transaction_type",
+                    "customers_table.customer_id",
+                    "customers_table.name",
+                ],
+                "date_parts": [f"transactions_table.{p}" for p in ("year", "month", "day")],
+            },
         },
     }
 
@@ -419,3 +433,43 @@ def ledger_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("length"))
     )
     return unprocessed(listing, listing.filter("stamp < '20240121000000'"), "file_name")
+
+
+@query("metric_sink", _sql_aggregates("total_balance", "accounts", "rows").replace("select ", "select 'second' as run_id, ", 1)
+       + " union all " + _sql_aggregates("total_balance", "accounts", "rows").replace("select ", "select 'first', ", 1))
+def metric_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's aggregates written as those of two runs, one of them repeated."""
+    path = work_dir(spark, "metrics")
+    metrics = global_aggregates(chain(spark, sf_dir), {n: AGGREGATES[n] for n in ("total_balance", "accounts", "rows")})
+    for run_id in ("first", "second", "first"):
+        write_metrics(metrics, path, run_id)
+    return spark.read.parquet(path).drop("recorded_at")
+
+
+@query(
+    "feed_accounting",
+    f"""select 'accounts' as dataset, 1::bigint as files, 0::bigint as undated_files, count(*) as "rows",
+    count(*) filter (o_totalprice <= 450000) as silver, count(*) filter (o_totalprice > 450000) as quarantined
+    from ({SQL_ACCOUNTS.replace("o_orderdate from", "o_orderdate, o_totalprice from")})""",
+)
+def feed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery whose rows are all rejected, then the corrected one under the same name."""
+    root = work_dir(spark, "accounting")
+    rule = Rule("price_plausible", "sql", expression="try_cast(balance as double) <= 450000")
+    spec = feed_spec(
+        "accounts",
+        f"{root}/bronze",
+        output_path=f"{root}/silver",
+        delimiter="|",
+        schema=ACCOUNT_SCHEMA,
+        rules=(rule,),
+        quarantine_path=f"{root}/quarantine",
+    )
+    rows = accounts(spark, sf_dir)
+    for delivery in (rows.withColumn("balance", F.lit("900000")), rows):
+        if path_exists(spark, spec.input_path):
+            delete(spark, spec.input_path)
+        drop_feed(delivery.coalesce(1), spec.input_path, "accounts", EARLY, "csv", header=True, sep="|")
+        result = ingest(spark, spec)
+        publish_silver(spark, {"accounts": result.frame}, {"accounts": spec})
+    return accounting(spark, {"accounts": result}, {"accounts": spec})

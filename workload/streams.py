@@ -17,6 +17,7 @@ from tierwise.streaming.windows import (
     sliding,
     tumbling,
 )
+from tierwise.sources.files import read_layer
 from tierwise.spec import DatasetSpec
 from workload.merges import KEY, SQL_MERGED
 from workload.registry import query
@@ -119,7 +120,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop_feed(part.drop("ts"), spec.input_path, "events", stamp, "csv", header=True)
         stream_to_silver(spark, spec, f"{root}/checkpoint").awaitTermination()
     stream_to_silver(spark, spec, f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(spec.output_path).drop("filename")
+    return read_layer(spark, spec.output_path).drop("filename")
 
 
 @query("stream_scd1", SQL_MERGED)
