@@ -204,3 +204,14 @@ def test_compact_survives_a_stop_after_any_step(spark, tmp_path):
         again.apply(frame(spark, [(2, "later", "n")]), 11)
         assert rows(again.snapshot()) == [(1, "new10", "x"), (2, "later", "n")]
     assert stops >= 4
+
+
+def test_target_rows_without_a_key_stay_and_are_not_joined(spark):
+    target = frame(spark, [(1, "a", "a"), (None, "n", "1"), (None, "n", "2")])
+    source = frame(spark, [(1, "b", "b"), (2, "c", "c")])
+    expected = [(1, "b", "b"), (2, "c", "c"), (None, "n", "1"), (None, "n", "2")]
+    for small in (False, True):
+        assert rows(scd1_merge(source, target, ["k"], small_source=small)) == expected
+    assert rows(scd1_merge(source, target, ["k"], delete_missing=True)) == expected[:2]
+    classes = rows(change_class(source, target, ["k"]))
+    assert classes == [(1, "updated"), (2, "new"), (None, "target_only"), (None, "target_only")]

@@ -106,14 +106,16 @@ def change_class(
 ) -> DataFrame:
     """(keys, change): new, updated, unchanged or target_only, for every key of either side."""
     rule = Compare(compare_columns(target, keys, compare_exclude), compare)
-    base = _paired(prepared_source(source, target, keys, order_by), target, keys, "full")
+    keyed, keyless = split_null_keys(target, keys)
+    base = _paired(prepared_source(source, target, keys, order_by), keyed, keys, "full")
     change = (
         F.when(F.col("s.__in_s").isNull(), "target_only")
         .when(F.col("t.__in_t").isNull(), "new")
         .when(rule.changed("s", "t"), "updated")
         .otherwise("unchanged")
     )
-    return base.select(*[F.coalesce(f"s.{k}", f"t.{k}").alias(k) for k in keys], change.alias("change"))
+    classes = base.select(*[F.coalesce(f"s.{k}", f"t.{k}").alias(k) for k in keys], change.alias("change"))
+    return classes.unionByName(keyless.select(*keys, F.lit("target_only").alias("change")))
 
 
 def scd1_merge(
@@ -149,8 +151,11 @@ def scd1_merge(
         F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns
     ]
     if not small_source:
-        how = "right" if delete_missing else "full"
-        return _paired(ready, target, keys, how).select(*merged)
+        if delete_missing:
+            return _paired(ready, target, keys, "right").select(*merged)
+        # Rows without a key match nothing, and in the full join all of them would go to one task.
+        keyed, keyless = split_null_keys(target, keys)
+        return _paired(ready, keyed, keys, "full").select(*merged).unionByName(keyless)
     ready = F.broadcast(ready)
     how = "inner" if delete_missing else "left"
     kept = _paired(ready, target, keys, how).select(*merged)
