@@ -75,8 +75,11 @@ def arrow_schema(schema: str) -> pa.Schema:
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
-    """``frame`` as a table in the shared folder: computed once, lineage ends there."""
+    """``frame`` as a table in the shared folder: computed once, lineage ends there.
+
+    Zstandard needs no memory outside the heap, which other codecs take for each of many small files.
+    """
     spark = frame.sparkSession
     path = work_dir(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
