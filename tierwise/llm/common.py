@@ -15,6 +15,8 @@ from tierwise.scratch import work_dir
 
 #: Rows of one slice of an Arrow batch; texts of a slice are Python objects at the same time.
 SLICE_ROWS = 500
+#: Rows of a file of a small table.
+ROWS_PER_FILE = 500_000
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -74,12 +76,15 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """``frame`` as a table in the shared folder: computed once, lineage ends there.
 
-    Zstandard needs no memory outside the heap, which other codecs take for each of many small files.
+    If it is known to have about ``rows`` rows it gets a file for every ``ROWS_PER_FILE`` of them, however
+    many tasks have made it.  Zstandard needs no memory outside the heap, which other codecs take for each of many small files.
     """
     spark = frame.sparkSession
     path = work_dir(spark, label)
+    if rows is not None:
+        frame = frame.repartition(1 + rows // ROWS_PER_FILE)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -42,6 +42,6 @@ def connected_components(links: DataFrame) -> DataFrame:
     now = written(clean.distinct(), "links")
     before, after = None, state(now)
     while before != after:
-        now = written(small_star(large_star(now)), "links")
+        now = written(small_star(large_star(now)), "links", rows=after[0])
         before, after = after, state(now)
     return now.selectExpr("u node", "v root").union(now.selectExpr("v node", "v root").distinct())
