@@ -116,6 +116,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+SQL_CONTAMINATION = f"""with d as (select doc_id, {SQL_WORDS} w from documents), b as (select item_id, {SQL_WORDS} w from benchmark),
+    win as (select distinct item_id, n, unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) win
+      from (select *, least(10, len(w)) n from b) where n > 0),
+    placed as (select doc_id, n, unnest(range(1, len(w) - n + 2)) i,
+      unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) win
+      from d join (select distinct n from win) on len(w) >= n),
+    hit as (select doc_id, i, placed.n, item_id from placed join win using (win)),
+    items as (select doc_id, count(*) n_items, string_agg(item, ',' order by item) named
+      from (select distinct doc_id, cast(item_id as varchar) item from hit) group by doc_id),
+    inside as (select doc_id, count(distinct p) n_hit
+      from (select doc_id, unnest(range(i, i + n)) p from (select distinct doc_id, i, n from hit)) group by doc_id)
+    select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+      sha256(coalesce(named, '')) items_sha256, n_hit is not null contaminated
+    from d left join items using (doc_id) left join inside using (doc_id)"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the smallest id that links of two bits reach."""
     found = simhash.near_duplicates(documents(spark, sf_dir), words=3, seed=42, max_bits=2)
@@ -148,4 +166,4 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
 }
-ORACLE: dict[str, str] = {"op2_url_lists": SQL_LISTS, "op10_warc": SQL_WARC}
+ORACLE: dict[str, str] = {"op2_url_lists": SQL_LISTS, "op8_decontamination": SQL_CONTAMINATION, "op10_warc": SQL_WARC}
