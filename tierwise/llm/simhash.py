@@ -100,7 +100,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: i
     have the fingerprint zero.  Repeated rows give repeated rows; other columns are not read.
     """
     prints, of_print = grouped(docs, words, seed, max_bits)
-    component = of_print.select("fingerprint", F.col("smallest.doc_id").alias("component_id"))
+    # written, so that the join with a fingerprint's many documents may split them
+    component = written(of_print.select("fingerprint", F.col("smallest.doc_id").alias("component_id")), "groups")
     return prints.join(component, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
