@@ -53,6 +53,13 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     return valid, checked.filter(F.size("failed_rules") > 0)
 
 
+def verdicts_by_day(df: DataFrame, rules: Sequence[Rule], parts: Sequence[str]) -> DataFrame:
+    """(parts, valid, rejected): how many rows of each day would go where."""
+    fails = F.size("failed_rules") > 0
+    counts = with_failed_rules(df, rules).groupBy(*parts)
+    return counts.agg(F.count_if(~fails).alias("valid"), F.count_if(fails).alias("rejected"))
+
+
 def not_unique(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return duplicate_keys(df, as_tuple(keys))
 

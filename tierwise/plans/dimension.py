@@ -89,7 +89,17 @@ def merge_dimension(
     if len(spec.partition_by) == 1:
         finish_days(spark, spec.target_path.rstrip("/"))
     target = read_layer(spark, spec.target_path)
-    batch = prepared_source(source, target, spec.join_keys, order_by)
+    # computed once: the checks, the choice of the days and the merge all read it
+    staged = scratch.work_dir(spark, "batch")
+    prepared_source(source, target, spec.join_keys, order_by).write.parquet(staged)
+    try:
+        return _merge_batch(spark, spec, spark.read.parquet(staged), target)
+    finally:
+        scratch.delete(spark, staged)
+
+
+def _merge_batch(spark: SparkSession, spec: ScdSpec, batch: DataFrame, target: DataFrame) -> int:
+    """Merge a reduced batch into the published target."""
     size = measured_bytes(batch)
     if spec.delete_missing and size == 0:
         raise ValueError(f"{spec.source_path}: an empty source would delete the whole dimension")
@@ -99,12 +109,11 @@ def merge_dimension(
         require_unique(split_null_keys(target, spec.join_keys)[0], spec.join_keys, spec.target_path)
     merge = partial(
         scd1_merge,
-        source,
+        batch,
         keys=spec.join_keys,
         compare=spec.compare,
         metadata_cols=spec.metadata_cols,
         compare_exclude=spec.compare_exclude,
-        order_by=order_by,
         delete_missing=spec.delete_missing,
         small_source=small,
     )

@@ -7,6 +7,7 @@ import logging
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from tierwise.functions.columns import date_id, project
 from tierwise.operators.joins import join_chain
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
-from tierwise.operators.quality import quarantine, rule_report
+from tierwise.operators.quality import quarantine, rule_report, verdicts_by_day
+from tierwise.parallel import together
 from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
     BUILT_IN_FORMATS,
@@ -70,21 +72,33 @@ def publish_silver(
     specs: Mapping[str, DatasetSpec],
     dynamic: bool = True,
 ) -> None:
-    """Validate, set rejects aside, write silver and register its tables."""
+    """Validate, set rejects aside, write silver and register its tables.
+
+    One pass over a feed with rules counts both kinds of rows by day, so that its rejects are only
+    written if there are any, and days of which a table has no row any more lose their folder.
+    """
+    stale: list[tuple[str, str]] = []
+    rejects = {}
     for name, frame in ingested.items():
         spec = specs[name]
+        if not spec.output_path:
+            raise SpecError(f"dataset {name}: output_path is required to write silver")
         if not spec.rules:
             continue
         valid, rejected = quarantine(frame, spec.rules)
-        days = folders_of(frame, DATE_PARTS)
-        for rows, path in ((valid, spec.output_path), (rejected, spec.quarantine_path)):
-            if not path:
-                raise SpecError(f"dataset {name}: output_path is required to write silver")
-            stale = days - folders_of(rows, DATE_PARTS)  # this delivery has no row for them any more
-            drop_folders(spark, path, stale)
+        days = verdicts_by_day(frame, spec.rules, DATE_PARTS).collect()  # one row for each day folder
+        for day in days:
+            folder = "/".join(f"{p}={day[p]}" for p in DATE_PARTS)
+            empty = [spec.output_path] * (not day.valid) + [spec.quarantine_path] * (not day.rejected)
+            stale += [(path, folder) for path in empty]
+        if any(day.rejected for day in days):
+            write = partial(write_partitioned, rejected, spec.quarantine_path, "parquet", "overwrite", DATE_PARTS)
+            rejects[name] = partial(write, dynamic=dynamic)
         ingested = {**ingested, name: valid}
-        write_partitioned(rejected, spec.quarantine_path, "parquet", "overwrite", DATE_PARTS, dynamic=dynamic)
+    together(spark, rejects)
     write_silver(ingested, specs, dynamic=dynamic)
+    for path, folder in stale:
+        drop_folders(spark, path, [folder])
     for name in ingested:
         if specs[name].table:
             create_external_table(spark, specs[name].table, specs[name].output_path, partitioned=True)
