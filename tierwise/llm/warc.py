@@ -70,11 +70,10 @@ def parse_arc(content: bytes, name: str = "") -> Iterator[tuple[int, dict[str, b
     """
     if not content:
         return
-    version, at = 1, 0  # the first line has the fields of version 1 in files of version 1
     first = content.split(b"\n", 2)
     if not first[0].startswith(b"filedesc://") or len(first) < 2 or first[1][:1] not in (b"1", b"2"):
         raise ValueError(f"{name}: no ARC version block")
-    version = int(first[1][:1])
+    version, at = int(first[1][:1]), 0
     while at < len(content):
         if content[at : at + 1] in (b"\n", b"\r"):  # between records
             at += 1
