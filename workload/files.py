@@ -17,7 +17,7 @@ from tierwise.scratch import delete, path_exists, work_dir
 from tierwise.sinks.publish import write_partitioned, write_silver
 from tierwise.sources.catalog import create_external_table, register_views, view
 from tierwise.sources.files import feed_files, ingest, ingest_all, read_layer
-from tierwise.sources.ledger import FileLedger, unprocessed
+from tierwise.sources.ledger import FileLedger
 from tierwise.spec import DatasetSpec, ReportSpec, Rule
 from workload.registry import query
 from workload.relational import AGGREGATES, _sql_aggregates, chain
@@ -421,18 +421,21 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ledger_unprocessed",
-    """select strftime(ts, 'events_%Y%m%d000000.csv') file_name, strftime(ts, '%Y%m%d000000') stamp,
-    count(*) as length from events where ts >= timestamp '2024-01-21' group by 1, 2""",
+    """select '20240121000000' as stamp, count(*) as n_rows from events where ts >= timestamp '2024-01-21'""",
 )
 def ledger_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily files the events imply, against a ledger of the days already consumed."""
-    stamp = F.date_format("ts", "yyyyMMdd000000")
-    listing = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.concat(F.lit("events_"), stamp, F.lit(".csv")).alias("file_name"), stamp.alias("stamp"))
-        .agg(F.count(F.lit(1)).alias("length"))
-    )
-    return unprocessed(listing, listing.filter("stamp < '20240121000000'"), "file_name")
+    """Two deliveries, the files of the first one recorded as done: what is left to read."""
+    root = work_dir(spark, "ledger")
+    ledger = FileLedger(spark, f"{root}/ledger")
+    spec = feed_spec("events", f"{root}/bronze", schema="event_id bigint, event_type string", snapshot="all")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    early = F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz")
+    drop_feed(rows.filter(early).drop("ts"), spec.input_path, "events", "20240101000000", "csv", header=True)
+    ledger.record(feed_files(spark, spec), "events", "first")
+    drop_feed(rows.filter(~early).drop("ts"), spec.input_path, "events", "20240121000000", "csv", header=True)
+    todo = ledger.unprocessed(feed_files(spark, spec), "events")
+    read = ingest(spark, spec).frame.groupBy("filename").agg(F.count(F.lit(1)).alias("n"))
+    return todo.join(read, todo.file_name == read.filename).groupBy("stamp").agg(F.sum("n").alias("n_rows"))
 
 
 @query("metric_sink", _sql_aggregates("total_balance", "accounts", "rows").replace("select ", "select 'second' as run_id, ", 1)
