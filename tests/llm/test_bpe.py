@@ -3,7 +3,7 @@ import random
 
 import public_tokenizers
 import pytest
-from conftest import TEXTS
+from llm_rows import TEXTS
 from tokenizers import Tokenizer
 
 from tierwise.llm import bpe

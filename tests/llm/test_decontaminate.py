@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from conftest import SF, TEXTS
+from llm_rows import SF, TEXTS
 
 from tierwise.llm import decontaminate
 from tierwise.llm.queries import op8_decontamination

@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import SF, TEXTS
+from llm_rows import SF, TEXTS
 
 from tierwise.llm import lm
 from tierwise.llm.common import id_and_text

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import SF, TEXTS
+from llm_rows import SF, TEXTS
 
 from tierwise.llm import packing
 from tierwise.llm.queries import BYTE_VOCABULARY, op5_packing

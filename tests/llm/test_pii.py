@@ -3,7 +3,7 @@ import random
 import re
 import time
 
-from conftest import SF, TEXTS
+from llm_rows import SF, TEXTS
 
 from tierwise.llm import pii
 from tierwise.llm.queries import op1_pii

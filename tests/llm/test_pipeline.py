@@ -1,7 +1,7 @@
 import public_tokenizers
 import pytest
 from compare import connect, mismatch
-from conftest import SF
+from llm_rows import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

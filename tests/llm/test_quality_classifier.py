@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from llm_rows import TEXTS
 from pyspark.sql import functions as F
 
 from tierwise.llm import quality

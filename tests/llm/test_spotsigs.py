@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SF, TEXTS
+from llm_rows import SF, TEXTS
 from pyspark.sql import functions as F
 
 from tierwise.llm import spotsigs
