@@ -150,7 +150,8 @@ class DatasetSpec:
     compact: bool = False
 
     def __post_init__(self) -> None:
-        _one_of(self.snapshot, ("latest", "all", None), f"dataset {self.name}")
+        if self.snapshot is not None:
+            _one_of(self.snapshot, ("latest", "all"), f"dataset {self.name}")
         try:
             re.compile(self.pattern)
         except re.error as err:
