@@ -83,3 +83,34 @@ def test_odd_rows(odd_docs, no_docs):
 
 def test_query(spark, texts):
     assert op6_pseudo_likelihood(spark, SF).count() == len(texts)
+
+
+def test_every_word_is_predicted_inside_its_group(spark):
+    base = [f"base{i}" for i in range(lm.FREQUENT)]
+    group = int(word_hashes([b"rare"])[0]) % (lm.WORDS - lm.FREQUENT)
+    gibberish = next(w for w in (f"q{i}" for i in range(10_000)) if int(word_hashes([w.encode()])[0]) % (lm.WORDS - lm.FREQUENT) == group)
+    given = [(1, "base0 base1 rare base2"), (2, f"base0 base1 {gibberish} base2"), (3, "rare rare rare"), (4, " ".join(base * 20)), (4, "rare rare rare"), (5, "")]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    rows = lm.score(docs).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3, 4, 4, 5]
+    one, two, three, empty = (next(r for r in rows if r.doc_id == i) for i in (1, 2, 3, 5))
+    assert abs(one.log_likelihood - two.log_likelihood) < 1e-3
+    assert abs(one.token_log_likelihood - two.token_log_likelihood - np.log(7)) < 1e-3
+    assert abs(three.token_log_likelihood - three.log_likelihood - 3 * np.log(7 / 8)) < 1e-6
+    assert three.per_token == three.token_log_likelihood / 3
+    assert (empty.token_log_likelihood, empty.per_token) == (0, None)
+
+
+def test_shares_of_all_words(docs, texts):
+    words = {i: word_hashes(words_of(t.encode())).tolist() for i, t in texts.items()}
+    counts = {}
+    for w in (w for own in words.values() for w in own):
+        counts[w] = counts.get(w, 0) + 1
+    rare = {w: n for w, n in sorted(counts.items(), key=lambda c: (-c[1], np.uint64(c[0]).view(np.int64)))[lm.FREQUENT :]}
+    groups = lm.WORDS - lm.FREQUENT
+    total = np.zeros(groups)
+    for w, n in rare.items():
+        total[w % groups] += n
+    for r in lm.score(docs).collect():
+        expected = sum(np.log(rare[w] / total[w % groups]) for w in words[r.doc_id] if w in rare)
+        assert abs(r.token_log_likelihood - r.log_likelihood - expected) < 1e-6 * max(1, -expected)

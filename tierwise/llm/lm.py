@@ -4,6 +4,9 @@ A small network sees the two words before and after a place and predicts the wor
 from both sides; a document's score is the sum of its words' conditional log-probabilities.
 
 * Words: the most frequent ones of the whole corpus by their counts, all others by hashed groups.
+  Inside its group a word has the probability of its share of the group's words in the corpus (the
+  tail of an adaptive softmax), so that every word of the corpus is predicted, not only its group.
+  The counts stay a table: the documents' grouped words are joined to it.
 * Network: an embedding for each word and side, summed; tanh; a softmax over classes of words, and
   one over the words of the class.
 * Training: each task goes once over all words of its rows, in numpy and from the same start, by
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import SLICE_ROWS, arrow_schema, id_and_text, map_arrow, map_slices
+from tierwise.llm.common import SLICE_ROWS, arrow_schema, id_and_text, map_arrow, written
 from tierwise.llm.decontaminate import word_hashes, words_of
 
 #: Classes, words of a class, and width of the network.
@@ -50,6 +53,10 @@ class WordIds:
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One sequence of all texts' ids with two ends after each text, the places of the words in it,
         and the text that each is of."""
+        return self.with_hashes(texts)[:3]
+
+    def with_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What ``of`` gives, and the words' hashes."""
         parts = [word_hashes(words_of(t)) for t in texts]
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
         hashes = np.concatenate([np.empty(0, np.uint64), *parts])
@@ -61,7 +68,7 @@ class WordIds:
         places = np.arange(len(of_text)) + 2 + 2 * of_text
         line = np.full(len(ids) + 2 * len(texts) + 2, WORDS, dtype=np.int64)
         line[places] = ids
-        return line, places, of_text
+        return line, places, of_text, hashes
 
 
 def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,8 +207,8 @@ def train(rows: DataFrame, frequent: np.ndarray) -> list[np.ndarray]:
             columns = {"at": np.arange(len(flat)), "sum": flat * training.words, "words": np.full(len(flat), training.words)}
             yield pa.RecordBatch.from_pydict(columns, schema=arrow)
 
-    shares = map_arrow(rows.select("text"), run, schema)
-    means = shares.groupBy("at").agg((F.sum("sum") / F.sum("words")).alias("mean"))
+    parts = map_arrow(rows.select("text"), run, schema)
+    means = parts.groupBy("at").agg((F.sum("sum") / F.sum("words")).alias("mean"))
     made = start()
     flat = np.concatenate([p.ravel() for p in made])
     for at, mean in means.collect():  # as many as the network has parameters
@@ -210,33 +217,85 @@ def train(rows: DataFrame, frequent: np.ndarray) -> list[np.ndarray]:
     return [part.reshape(p.shape) for part, p in zip(np.split(flat, cuts), made, strict=True)]
 
 
+def shares(counts: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(word, log_share) of each word without an id of its own: its part of its group's words in ``counts``."""
+    groups = WORDS - len(frequent)
+    rare = counts.filter(~F.col("word").isin(frequent.view(np.int64).tolist()))
+    # the group that WordIds gives, of hashes as signed numbers
+    rare = rare.withColumn("group", F.expr(f"pmod(pmod(word, {groups}) + if(word < 0, {2**64 % groups}, 0), {groups})"))
+    totals = rare.groupBy("group").agg(F.sum("n").alias("total"))  # a row for each group
+    return rare.join(F.broadcast(totals), "group").select("word", F.log(F.col("n") / F.col("total")).alias("log_share"))
+
+
+SCORED = "key long, word long, times int, doc_id long, n_words long, own double"
+
+
 def score(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, log_likelihood, per_word) of each row under a network trained on all rows.
+    """(doc_id, n_words, log_likelihood, per_word, token_log_likelihood, per_token) of each row under a
+    network trained on all rows.
+
+    ``log_likelihood`` is the network's alone, of words and groups; ``token_log_likelihood`` is that of
+    every word itself, with grouped words' shares of their groups.
 
     Words are what A-Z in lower case, digits and letters beyond ASCII form.  A text without words, a
-    null one too, has the sum 0 and no mean.  Repeated rows give repeated rows, and count in training
+    null one too, has the sums 0 and no means.  Repeated rows give repeated rows, and count in training
     as often; other columns are not read.
     """
     rows = id_and_text(docs).withColumn("text", F.col("text").cast("binary"))
-    counts = word_counts(rows).orderBy(F.desc("n"), "word").limit(FREQUENT)
-    frequent = np.array([r[0] for r in counts.select("word").collect()], dtype=np.int64).view(np.uint64)
+    counts = written(word_counts(rows), "word-counts")
+    most = counts.orderBy(F.desc("n"), "word").limit(FREQUENT)
+    frequent = np.array([r[0] for r in most.select("word").collect()], dtype=np.int64).view(np.uint64)
     model = docs.sparkSession.sparkContext.broadcast((frequent, train(rows, frequent)))
+    arrow = arrow_schema(SCORED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A record for each row, and one for each different grouped word in it; they share the row's key."""
+        from pyspark import TaskContext
 
-    def work():
         frequent, parameters = model.value
-        ids = WordIds(frequent)
-
-        def handle(part: dict[str, list]) -> dict[str, list]:
-            line, places, of_text = ids.of(part["text"])
-            n = len(part["text"])
-            sums = np.zeros(n)
-            for step in in_steps(line, places):
-                found, _ = run_step(parameters, line, places[step], gradients=False)
-                sums += np.bincount(of_text[step], found, n)
-            words = np.bincount(of_text, minlength=n)
-            means = [s / k if k else None for s, k in zip(sums.tolist(), words.tolist(), strict=True)]
-            return {"doc_id": part["doc_id"], "n_words": words.tolist(), "log_likelihood": sums.tolist(), "per_word": means}
-
-        return handle
-
-    return map_slices(rows, work, "doc_id long, n_words long, log_likelihood double, per_word double")
+        ids, key = WordIds(frequent), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(first, SLICE_ROWS)
+                line, places, of_text, hashes = ids.with_hashes(part.column("text").to_pylist())
+                n = part.num_rows
+                sums = np.zeros(n)
+                for step in in_steps(line, places):
+                    found, _ = run_step(parameters, line, places[step], gradients=False)
+                    sums += np.bincount(of_text[step], found, n)
+                grouped = line[places] >= ids.first_group
+                of_text_grouped, hashes = of_text[grouped], hashes[grouped]
+                order = np.lexsort((hashes, of_text_grouped))
+                of_text_grouped, hashes = of_text_grouped[order], hashes[order]
+                new = np.ones(len(hashes), dtype=bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (of_text_grouped[1:] != of_text_grouped[:-1])
+                at = np.flatnonzero(new)
+                keys = key + np.arange(n)
+                key += n
+                # a row's own record has no word and is counted 0 times; any number deals it out
+                dealt = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                absent = len(at)
+                columns = [
+                    pa.array(np.concatenate([keys, keys[of_text_grouped[at]]])),
+                    pa.array(np.concatenate([dealt, hashes[at].view(np.int64)])),
+                    pa.array(np.concatenate([np.zeros(n, np.int32), np.diff(np.append(at, len(hashes))).astype(np.int32)])),
+                    pa.concat_arrays([pa.array(part.column("doc_id").to_pylist(), pa.int64()), pa.nulls(absent, pa.int64())]),
+                    pa.concat_arrays([pa.array(np.bincount(of_text, minlength=n)), pa.nulls(absent, pa.int64())]),
+                    pa.concat_arrays([pa.array(sums), pa.nulls(absent, pa.float64())]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    # the records are dealt out by their words, many more than the counted ones, which are not sorted against them
+    joined = map_arrow(rows, run, SCORED).join(shares(counts, frequent).hint("shuffle_hash"), "word", "left")
+    inside = F.sum(F.when(F.col("times") > 0, F.col("times") * F.col("log_share")))
+    each = joined.groupBy("key").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("own").alias("log_likelihood"),
+        F.coalesce(inside, F.lit(0.0)).alias("inside"),
+    )
+    each = each.withColumn("token_log_likelihood", F.col("log_likelihood") + F.col("inside"))
+
+    def mean(of: str):
+        return F.when(F.col("n_words") > 0, F.col(of) / F.col("n_words"))
+
+    return each.select("doc_id", "n_words", "log_likelihood", mean("log_likelihood").alias("per_word"),
+                       "token_log_likelihood", mean("token_log_likelihood").alias("per_token"))
