@@ -62,6 +62,18 @@ def test_long_words_are_cut_without_loss():
         assert coder.decode(packing.encode(coder, text)) == text
 
 
+def test_long_runs_have_the_vocabularys_own_ids():
+    coder, rng = BYTE_VOCABULARY.encoder(), random.Random(2)
+    joined = ",".join(f"item{i}" for i in range(600))
+    spaces = ["".join(rng.choice(" \t\n\r\x85\u3000") for _ in range(n)) for n in (1999, 2000, 2001, 6000)]
+    texts = [joined, "a" * 5000, "漢字" * 3000, "é=" * 3000, "x1" * 3000, "\x1c" * 5000 + "b", "it's" * 3000]
+    texts += [f"{a}{s}{b}" for s in [" " * 2000, " " * 9000, "\n" * 5000, *spaces] for a in ("", "one ", "?") for b in ("", "two  2", "!", "\n")]
+    texts.append(" ".join([joined, spaces[-1], joined, spaces[-2]]))
+    for text in texts:
+        assert packing.encode(coder, text) == coder.encode_ordinary(text)
+    assert coder.decode(packing.encode(coder, " " * 1_000_000 + "b")) == " " * 1_000_000 + "b"
+
+
 def test_query(spark, texts):
     rows = op5_packing(spark, SF).collect()
     check(rows, list(texts.items()), 2048)
