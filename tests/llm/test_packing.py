@@ -74,6 +74,35 @@ def test_long_runs_have_the_vocabularys_own_ids():
     assert coder.decode(packing.encode(coder, " " * 1_000_000 + "b")) == " " * 1_000_000 + "b"
 
 
+def test_files(spark, odd_docs, no_docs, tmp_path):
+    path, width = str(tmp_path / "packed"), 64
+    packing.write_packed(odd_docs, BYTE_VOCABULARY, path, width, shard_tokens=3000)
+    rows = packing.read_packed(spark, path).collect()
+    check(rows, TEXTS, width)
+    assert sorted(rows) == sorted(packing.pack(odd_docs, BYTE_VOCABULARY, width, shard_tokens=3000).collect())
+    by_shard = {}
+    for r in rows:
+        by_shard.setdefault(r.shard, {})[r.row] = r
+    files = [f for f in (tmp_path / "packed").glob("part-*") if f.stat().st_size]
+    assert len(files) == len(by_shard) > 1
+    for file in files:
+        with np.load(file) as stored:
+            own = by_shard.pop(str(stored["shard"]))
+            assert stored["ids"].shape == (len(own), width) and stored["ids"].dtype == np.dtype("<u2")
+            assert [i.tobytes() for i in stored["ids"]] == [own[k].ids for k in range(len(own))]
+            assert stored["cu_seqlens"].tolist() == [x for k in range(len(own)) for x in own[k].cu_seqlens]
+            assert stored["position_resets"].tolist() == [x for k in range(len(own)) for x in own[k].position_resets]
+    packing.write_packed(no_docs, BYTE_VOCABULARY, str(tmp_path / "none"))
+    assert packing.read_packed(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_query_writes_its_rows_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tierwise.llm.queries.work_dir", lambda _, label: str(tmp_path / label))
+    rows = op5_packing(spark, SF).count()
+    files = [f for f in (tmp_path / "packed").glob("part-*") if f.stat().st_size]
+    assert files and sum(len(np.load(f)["ids"]) for f in files) == rows
+
+
 def test_query(spark, texts):
     rows = op5_packing(spark, SF).collect()
     check(rows, list(texts.items()), 2048)

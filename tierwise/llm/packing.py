@@ -9,11 +9,15 @@ the places at which positions begin again, so that a model does not look across
 A shard is what one task reads, in parts of ``SHARD_TOKENS``: no shuffle, and a task's memory is
 bounded by its shard.  Which rows share a shard depends on how the input is split into tasks; what
 is packed does not.
+
+``write_packed`` stores each shard as one binary file, written by Spark's text writer from the task that
+packs it: an uncompressed ``npz`` archive of the id matrix and its rows' segments, and a line end.
 """
 
 from __future__ import annotations
 
 import base64
+import io
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm.common import SLICE_ROWS, arrow_schema, id_and_text, map_arrow, map_slices
@@ -151,6 +155,32 @@ def pack_shard(shard: str, docs: list[tuple[int | None, np.ndarray]], size: int,
     return made
 
 
+def shards_of(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, size: int, shard_tokens: int) -> Iterator[list[dict]]:
+    """The rows of each shard of what a task reads."""
+    from pyspark import TaskContext
+
+    encoder, task = vocabulary.encoder(), TaskContext.get().partitionId()
+    kind = np.dtype("<u2" if max(encoder.n_vocab, vocabulary.eos + 1) <= 1 << 16 else "<u4")
+    held: list[tuple[int | None, np.ndarray]] = []
+    tokens = shards = 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(start, SLICE_ROWS).to_pydict()
+            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+                held.append((doc_id, np.array([*encode(encoder, text), vocabulary.eos], dtype=kind)))
+                tokens += len(held[-1][1])
+                if tokens >= shard_tokens:
+                    yield pack_shard(f"{task:06d}-{shards:06d}", held, size, vocabulary.eos)
+                    held, tokens, shards = [], 0, shards + 1
+    if held:
+        yield pack_shard(f"{task:06d}-{shards:06d}", held, size, vocabulary.eos)
+
+
+def in_batches(rows: list[dict], arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(rows), SLICE_ROWS):
+        yield pa.RecordBatch.from_pylist(rows[start : start + SLICE_ROWS], schema=arrow)
+
+
 def pack(docs: DataFrame, vocabulary: Vocabulary, size: int = ROW_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Rows of ``size`` ids that hold all documents, each with its ``eos``.
 
@@ -162,31 +192,86 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, size: int = ROW_TOKENS, shard_
     arrow = arrow_schema(PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        for rows in shards_of(batches, vocabulary, size, shard_tokens):
+            yield from in_batches(rows, arrow)
 
-        encoder, task = vocabulary.encoder(), TaskContext.get().partitionId()
-        kind = np.dtype("<u2" if max(encoder.n_vocab, vocabulary.eos + 1) <= 1 << 16 else "<u4")
-        held: list[tuple[int | None, np.ndarray]] = []
-        tokens = shards = 0
+    return map_arrow(id_and_text(docs), run, PACKED)
 
-        def packed() -> Iterator[pa.RecordBatch]:
-            rows = pack_shard(f"{task:06d}-{shards:06d}", held, size, vocabulary.eos)
-            for start in range(0, len(rows), SLICE_ROWS):
-                yield pa.RecordBatch.from_pylist(rows[start : start + SLICE_ROWS], schema=arrow)
 
+def shard_file(rows: list[dict], size: int) -> bytes:
+    """A shard's rows as an archive of arrays: ``ids`` is the matrix, ``n_tokens`` and ``n_segments`` have
+    a number for each row of it; the arrays of segments follow each other row by row."""
+
+    def joined(name: str, kind: str) -> np.ndarray:
+        return np.array([x for r in rows for x in r[name]], dtype=kind)
+
+    doc_ids = [i for r in rows for i in r["doc_ids"]]
+    file = io.BytesIO()
+    np.savez(
+        file,
+        shard=np.array(rows[0]["shard"]),
+        ids=np.frombuffer(b"".join(r["ids"] for r in rows), dtype=f"<u{len(rows[0]['ids']) // size}").reshape(-1, size),
+        n_tokens=np.array([r["n_tokens"] for r in rows], dtype="<i4"),
+        n_segments=np.array([len(r["doc_ids"]) for r in rows], dtype="<i4"),
+        cu_seqlens=joined("cu_seqlens", "<i4"),
+        position_resets=joined("position_resets", "<i4"),
+        doc_ids=np.array([i or 0 for i in doc_ids], dtype="<i8"),
+        doc_has_id=np.array([i is not None for i in doc_ids], dtype=bool),
+        doc_numbers=joined("doc_numbers", "<i4"),
+        doc_offsets=joined("doc_offsets", "<i8"),
+    )
+    return file.getvalue()
+
+
+def rows_of_file(content: bytes) -> list[dict]:
+    """The rows that ``shard_file`` has stored."""
+    with np.load(io.BytesIO(content)) as stored:
+        found = {name: stored[name] for name in stored.files}
+    made, ends = [], np.cumsum([0, *found["n_segments"]]).tolist()
+    for row, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+        ids = zip(found["doc_ids"][a:b].tolist(), found["doc_has_id"][a:b].tolist(), strict=True)
+        made.append(
+            {
+                "shard": str(found["shard"]),
+                "row": row,
+                "n_tokens": int(found["n_tokens"][row]),
+                "ids": found["ids"][row].tobytes(),
+                "doc_ids": [i if known else None for i, known in ids],
+                "doc_numbers": found["doc_numbers"][a:b].tolist(),
+                "doc_offsets": found["doc_offsets"][a:b].tolist(),
+                "cu_seqlens": found["cu_seqlens"][a + row : b + row + 1].tolist(),
+                "position_resets": found["position_resets"][a:b].tolist(),
+            }
+        )
+    return made
+
+
+def write_packed(
+    docs: DataFrame, vocabulary: Vocabulary, path: str, size: int = ROW_TOKENS, shard_tokens: int = SHARD_TOKENS
+) -> None:
+    """Write the shards of ``pack`` as binary files below ``path``, one each.  A repeated task's files
+    replace those of its first try, by Spark's commit."""
+    arrow = arrow_schema("value binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in shards_of(batches, vocabulary, size, shard_tokens):
+            yield pa.RecordBatch.from_pydict({"value": [shard_file(rows, size)]}, schema=arrow)
+
+    files = map_arrow(id_and_text(docs), run, "value binary").select(F.col("value").cast("string").alias("value"))
+    files.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``pack`` from the files below ``path``."""
+    arrow = arrow_schema(PACKED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS).to_pydict()
-                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                    held.append((doc_id, np.array([*encode(encoder, text), vocabulary.eos], dtype=kind)))
-                    tokens += len(held[-1][1])
-                    if tokens >= shard_tokens:
-                        yield from packed()
-                        held, tokens, shards = [], 0, shards + 1
-        if held:
-            yield from packed()
+            for i in range(batch.num_rows):
+                yield from in_batches(rows_of_file(batch.column(0)[i].as_py()), arrow)
 
-    return map_arrow(id_and_text(docs), run, PACKED)
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content")
+    return map_arrow(files, run, PACKED)
 
 
 def position_ids(cu_seqlens: list[int], size: int) -> np.ndarray:

@@ -91,8 +91,10 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as packed rows of 2,048 ids."""
-    return packing.pack(documents(spark, sf_dir), BYTE_VOCABULARY)
+    """All documents as packed rows of 2,048 ids, read back from the files of their shards."""
+    path = work_dir(spark, "packed")
+    packing.write_packed(documents(spark, sf_dir), BYTE_VOCABULARY, path)
+    return packing.read_packed(spark, path)
 
 
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
