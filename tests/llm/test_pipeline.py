@@ -67,7 +67,7 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs):
 
 def test_names():
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
-    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 11))
+    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -77,14 +77,17 @@ def arrow_schema(schema: str) -> pa.Schema:
 
 
 def written(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
-    """``frame`` as a table in the shared folder: computed once, lineage ends there.
+    """``frame`` as a new table in the shared folder: computed once, lineage ends there."""
+    return written_to(frame, work_dir(frame.sparkSession, label), rows)
+
+
+def written_to(frame: DataFrame, path: str, rows: int | None = None) -> DataFrame:
+    """``frame`` as a table at ``path``, for whoever deletes it there when nothing needs it any more.
 
     If it is known to have about ``rows`` rows it gets a file for every ``ROWS_PER_FILE`` of them, however
     many tasks have made it.  Zstandard needs no memory outside the heap, which other codecs take for each of many small files.
     """
-    spark = frame.sparkSession
-    path = work_dir(spark, label)
     if rows is not None:
         frame = frame.repartition(1 + rows // ROWS_PER_FILE)
     frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

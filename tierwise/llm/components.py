@@ -3,8 +3,8 @@
 A large star gives every greater neighbour of a node the node's smallest neighbour, a small star
 every lesser one; when nothing changes, each node is linked to the smallest node of its component
 only.  Smallest neighbours are aggregated before they are joined back, so that a node with very
-many links is never gathered in one task; a round's links are written to the shared folder, and
-the driver sees two numbers a round.
+many links is never gathered in one task; a round's links are written to the shared folder and
+deleted after the next one, and the driver sees two numbers a round.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import written
+from tierwise.llm.common import written_to
+from tierwise.scratch import delete, work_dir
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -39,9 +40,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     those without a node say nothing.
     """
     clean = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = written(clean.distinct(), "links")
+    spark, place = links.sparkSession, work_dir(links.sparkSession, "links")
+    now = written_to(clean.distinct(), place)
     before, after = None, state(now)
     while before != after:
-        now = written(small_star(large_star(now)), "links", rows=after[0])
+        spent, place = place, work_dir(spark, "links")
+        now = written_to(small_star(large_star(now)), place, rows=after[0])
         before, after = after, state(now)
+        delete(spark, spent)
     return now.selectExpr("u node", "v root").union(now.selectExpr("v node", "v root").distinct())

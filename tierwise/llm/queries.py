@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import bpe, decontaminate, lm, packing, pii, quality, simhash, spotsigs, url_filter, warc
+from tierwise.llm import bpe, decontaminate, grace, lm, packing, pii, quality, ranking, simhash, spelling, spotsigs, url_filter, warc
 from tierwise.llm.common import documents
 from tierwise.scratch import work_dir
 
@@ -156,6 +156,42 @@ SQL_WARC = """select page_id, cast(bytes as bigint) payload_bytes, sha256(body)
     from (select page_id, body, strlen(body) bytes, min(page_id) over (partition by body) first
       from (select page_id, coalesce(html, '') body from pages)))"""
 
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every longer word of the documents with its most frequent near word and what that leads to."""
+    return spelling.variants(documents(spark, sf_dir), least_length=7, least_count=2, ratio=10)
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each item of the benchmark."""
+    return ranking.rank(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SQL_RANKING = f"""with d as (select doc_id, {SQL_TERMS} w from documents),
+    total as (select count(*) filter (len(w) > 0) big_n, cast(sum(len(w)) as bigint) big_l from d),
+    q as (select item_id, term, count(*) times from (select item_id, unnest({SQL_TERMS}) term from benchmark) group by all),
+    tf as (select doc_id, n, term, count(*) tf from (select doc_id, len(w) n, unnest(w) term from d) group by all),
+    used as (select * from tf where term in (select term from q)),
+    weight as (select term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) as bigint) w
+      from used, total group by term, big_n),
+    scored as (select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) as bigint) score
+      from q join used using (term) join weight using (term), total group by item_id, doc_id),
+    ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) r from scored where score > 0)
+    select item_id, cast(r as int) rank, doc_id, score from ranked where r <= 10"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equals that is kept."""
+    return grace.exact_duplicates(documents(spark, sf_dir))
+
+
+SQL_EXACT = r"""select doc_id, min(doc_id) over same keep_id, count(*) over same group_size,
+    doc_id = min(doc_id) over same kept, sha256(t) text_sha256
+  from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)
+  window same as (partition by t)"""
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_url_lists": op2_url_lists,
@@ -167,5 +203,14 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op11_spelling": op11_spelling,
+    "op12_ranking": op12_ranking,
+    "op13_exact_dedup": op13_exact_dedup,
+}
+ORACLE: dict[str, str] = {
+    "op2_url_lists": SQL_LISTS,
+    "op8_decontamination": SQL_CONTAMINATION,
+    "op10_warc": SQL_WARC,
+    "op12_ranking": SQL_RANKING,
+    "op13_exact_dedup": SQL_EXACT,
 }
-ORACLE: dict[str, str] = {"op2_url_lists": SQL_LISTS, "op8_decontamination": SQL_CONTAMINATION, "op10_warc": SQL_WARC}
