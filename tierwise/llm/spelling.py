@@ -5,15 +5,15 @@ first three bigrams in this order (all that are as frequent as the third, too):
 most two.  Two of the prefix that do not overlap, chosen by dynamic programming for the fewest
 words that have them, are the word's pivots: one edit leaves at least one of them as it is.  If
 two words are one edit apart, then a pivot of the one whose prefix ends first is in the prefix of
-the other, and not anywhere: the edit is before it or after it, so the words are equal from their
-beginning to its end, or from it to theirs.  Pivots are joined with prefixes on just that, and the
-edit distance verifies what is found.
+the other, and not anywhere: its place is the same and the edit comes after it, or it has moved by the
+difference in length and the edit comes before it.  If the first pivot is untouched and the edit
+comes after it, the words are equal up to its end; else the edit comes before the second, and they are
+equal from there on.  Of what the other word has on the side of the edit, one half is as it was,
+too.  Pivots are joined with prefixes on just that, and the edit distance verifies what is found.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,43 +69,67 @@ def pivots_of(places: list[int], costs: list[int]) -> list[int]:
     return list(best[-1][PIVOTS][1])
 
 
-def indexed(words: DataFrame, frequency: dict[str, int]) -> DataFrame:
-    """(side, word, n, last, pivot): two rows for each bigram of a word's prefix, what the word is to
-    the bigram's end and what it is from the bigram on."""
+def prefixes(words: DataFrame, frequency: dict[str, int]) -> DataFrame:
+    """(word, n, last, places, first, second): the rank of the prefix's last bigram, the places of the prefix
+    and of its two pivots."""
     order = {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))}
     shared = words.sparkSession.sparkContext.broadcast((order, frequency))
 
     def handle(rows: dict[str, list]) -> dict[str, list]:
-        made = list(sides(rows["word"], rows["n"], *shared.value))
-        columns = zip(*made, strict=True) if made else [[]] * 5
-        return dict(zip(("side", "word", "n", "last", "pivot"), map(list, columns), strict=True))
-
-    return map_slices(words, lambda: handle, "side string, word string, n long, last int, pivot boolean")
-
-
-def sides(words: list[str], counts: list[int], order: dict[str, int], frequency: dict[str, int]) -> Iterator[tuple]:
-    for word, n in zip(words, counts, strict=True):
-        found = [word[i : i + GRAM] for i in range(len(word) - GRAM + 1)]
-        ranks = [order[g] for g in found]
-        places = prefix_of(ranks)
-        pivots = set(pivots_of(places, [frequency[found[at]] for at in places]))
-        last = max(ranks[at] for at in places)
-        for at in places:
-            yield f"<{word[: at + GRAM]}", word, n, last, at in pivots
-            yield f">{word[at:]}", word, n, last, at in pivots
+        ranks_of, costs_of = shared.value
+        out: dict[str, list] = {"word": rows["word"], "n": rows["n"], "last": [], "places": [], "first": [], "second": []}
+        for word in rows["word"]:
+            found = [word[i : i + GRAM] for i in range(len(word) - GRAM + 1)]
+            ranks = [ranks_of[g] for g in found]
+            places = prefix_of(ranks)
+            first, second = pivots_of(places, [costs_of[found[at]] for at in places])
+            for name, value in (("last", max(ranks[at] for at in places)), ("places", places), ("first", first), ("second", second)):
+                out[name].append(value)
+        return out
+
+    return map_slices(words, lambda: handle, "word string, n long, last int, places array<int>, first int, second int")
+
+
+def edited_after(at: str, rest: str) -> list[Column]:
+    """Keys of a word that is as it was up to the bigram at ``at``; the other word has ``rest`` code points behind
+    it, the first half of which, or else the second, ``word`` has too."""
+    second = f"({rest}) - ({rest}) div 2"
+    return [
+        F.expr(f"if({rest} < 0, null, xxhash64('<', {rest}, left(word, {at} + {GRAM} + ({rest}) div 2)))"),
+        F.expr(
+            f"if({rest} < 0 OR {second} > length(word) - {at} - {GRAM}, null, "
+            f"xxhash64('<', {rest}, left(word, {at} + {GRAM}), right(word, {second})))"
+        ),
+    ]
+
+
+def edited_before(at: str, rest: str) -> list[Column]:
+    """Likewise, of a word that is as it was from the bigram at ``at`` on; the other one has ``rest`` before it."""
+    second = f"({rest}) - ({rest}) div 2"
+    return [
+        F.expr(f"if({rest} < 0, null, xxhash64('>', {rest}, left(word, ({rest}) div 2), substr(word, {at} + 1)))"),
+        F.expr(f"if({rest} < 0 OR {second} > {at}, null, xxhash64('>', {rest}, substr(word, {at} + 1 - ({second}))))"),
+    ]
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, near, near_n): all words one inserted, deleted or replaced code point apart, both ways."""
     counts = words.select(F.explode(grams(F.col("word"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     frequency = {r.gram: r.n for r in counts.collect()}  # at most 8,100
-    index = written(indexed(words, frequency), "bigrams")
-    a = index.filter("pivot").select("side", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"))
-    b = index.select(F.col("side").alias("b_side"), F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"))
+    found = written(prefixes(words, frequency), "prefixes")
+    placed = found.select("word", "n", "last", F.explode("places").alias("at"))
+    keys = [*edited_after("at", f"length(word) - at - {GRAM}"), *edited_before("at", "at")]
+    index = placed.select(F.explode(F.array(*keys)).alias("key"), "word", "n", "last")
+    moved = found.select("word", "n", "last", "first", "second", F.explode(F.array(*map(F.lit, (-EDITS, 0, EDITS)))).alias("by"))
+    keys = [*edited_after("first", f"length(word) - first - {GRAM} + by"), *edited_before("second", "second + by")]
+    probes = moved.select(F.explode(F.array(*keys)).alias("key"), "word", "n", "last").filter("key IS NOT NULL")
+
+    a = probes.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"))
+    b = index.select(F.col("key").alias("b_key"), F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"))
     close = "a <> b AND a_last <= b_last AND abs(length(a) - length(b)) <= 1 AND levenshtein(a, b, 1) = 1"
-    found = a.join(b, (F.col("side") == F.col("b_side")) & F.expr(close))
+    near = a.join(b, (F.col("key") == F.col("b_key")) & F.expr(close))
     both = F.explode(F.expr("array(struct(a AS word, b AS near, b_n AS near_n), struct(b AS word, a AS near, a_n AS near_n))"))
-    return found.select(both.alias("l")).select("l.*").distinct()
+    return near.select(both.alias("l")).select("l.*").distinct()
 
 
 def roots_of(forms: DataFrame) -> DataFrame:
