@@ -33,9 +33,21 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A key that rows share only if both their id and their text are equal; never null."""
+    """The id and 128 bits of hashes of the text; null ids have their own key, null texts the empty text's.
+
+    Rows whose ids are equal share a key if their texts are, and otherwise with odds of one in 2 ** 128.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.hex(F.xxhash64(text)))
+    hashes = [F.hex(F.xxhash64(text)), F.hex(F.xxhash64(F.lit("second"), text))]
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), *hashes)
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or what it becomes by underscores until no column of ``frame`` is called that."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def map_slices(
@@ -61,13 +73,18 @@ def map_slices(
 def map_arrow(
     frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``mapInArrow`` whose workers look for this package where the driver found it, too; a cluster
-    without that folder gets the package with ``--py-files``."""
-    environment = frame.sparkSession.sparkContext.environment
+    """``mapInArrow`` whose workers find this package."""
+    ship_package(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, too; a cluster without that
+    folder gets the package with ``--py-files``."""
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [PACKAGE_ROOT])
-    return frame.mapInArrow(run, schema)
 
 
 def arrow_schema(schema: str) -> pa.Schema:

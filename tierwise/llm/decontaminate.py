@@ -6,9 +6,9 @@ by their number in all documents, and a window whose rarest one is in no documen
 Documents send out those of their shingles only that are somebody's prefix, with the words
 around; length and position bounds and then the exact words decide.
 
-What a document's shingles are tested against first is a bitmap of fixed size
-(``FILTER_BITS``, two probes): it grows with nothing, and what it lets through wrongly the join
-sorts out.  Documents are read twice and never shuffled.
+What a document's shingles are tested against first is a filter of bounded size (``membership``);
+what it lets through wrongly the join sorts out.  To find windows, documents are read twice and not
+moved; to leave documents out, they are read twice more, and those to be left out are moved.
 """
 
 from __future__ import annotations
@@ -19,11 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.llm.common import id_and_text, map_slices, row_key, written
+from tierwise.llm.membership import filter_of, passing, without_keys
 
 #: Words of a window and of a shingle.
 WINDOW, SHINGLE = 10, 5
-#: Bits of the broadcast filter: 2 MiB.
-FILTER_BITS = 24
 #: A-Z in lower case; bytes that are no digit, letter or part of a longer code point separate.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256)
@@ -71,40 +70,6 @@ def item_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
     return map_slices(items, lambda: handle, "item_id long, win string, n int, shingles array<long>")
 
 
-def probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return hashes >> np.uint64(64 - FILTER_BITS), hashes & np.uint64((1 << FILTER_BITS) - 1)
-
-
-def bitmap(shingles: DataFrame) -> np.ndarray:
-    """The filter of a column ``shingle``; at most 2 ** FILTER_BITS / 64 numbers come to the driver."""
-    bit = F.explode(
-        F.array(
-            F.shiftrightunsigned("shingle", 64 - FILTER_BITS),
-            F.col("shingle").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)),
-        )
-    )
-    cells = (
-        shingles.select(bit.alias("bit"))
-        .groupBy(F.expr("int(bit div 64)").alias("cell"))
-        .agg(F.expr("bit_or(shiftleft(1L, int(bit % 64)))").alias("bits"))
-    )
-    found = np.zeros((1 << FILTER_BITS) // 64, dtype=np.int64)
-    for cell, bits in cells.collect():
-        found[cell] = bits
-    return found.view(np.uint8)
-
-
-def passing(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Positions of the hashes that the filter lets through."""
-
-    def has(bit: np.ndarray) -> np.ndarray:
-        return (cells[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-
-    high, low = probes(hashes)
-    first = np.flatnonzero(has(high))
-    return first[has(low[first]) == 1]
-
-
 def shingle_counts(rows: DataFrame, cells, sizes: list[int]) -> DataFrame:
     """(shingle, n_found) over all documents, of shingles that the filter lets through."""
 
@@ -164,7 +129,7 @@ def search(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> tupl
     unique = written(windows.groupBy("win", "n").agg(F.first("shingles").alias("shingles")), "windows")
     sizes = sorted(r[0] for r in unique.select(F.least("n", F.lit(shingle))).distinct().collect())
 
-    cells = spark.sparkContext.broadcast(bitmap(unique.select(F.explode("shingles").alias("shingle"))))
+    cells = spark.sparkContext.broadcast(filter_of(unique.select(F.explode("shingles").alias("shingle"))))
     counts = written(shingle_counts(rows.select("text"), cells, sizes), "shingles")
     each = unique.select("win", "n", F.posexplode("shingles").alias("offset", "shingle"))
     # a window with a shingle that no document has cannot occur
@@ -172,7 +137,7 @@ def search(docs: DataFrame, items: DataFrame, window: int, shingle: int) -> tupl
     prefixes = each.join(counts, "shingle", "left").groupBy("win", "n").agg(rarest).filter("rarest.n_found > 0")
     prefixes = written(prefixes.select("win", "n", "rarest.shingle", "rarest.offset"), "prefixes")
 
-    cells = spark.sparkContext.broadcast(bitmap(prefixes.select("shingle")))
+    cells = spark.sparkContext.broadcast(filter_of(prefixes.select("shingle")))
     scanned = written(candidates(rows, cells, sizes, window), "candidates")
     near = scanned.select("row_key", "n_words", F.explode("found").alias("f")).select("row_key", "n_words", "f.*")
     inside = F.expr("at >= offset AND at - offset + n <= n_words")
@@ -217,7 +182,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that have no window of an item, with all their columns as they are."""
+    """The rows of ``docs`` that have no window of an item, with all their columns as they are.
+
+    Rows that stay are not moved: ``without_keys``.  Repeated rows stay or go together.
+    """
     _, _, hits = search(docs, items, window, shingle)
-    gone = hits.select(F.col("row_key").alias("__row_key")).distinct()
-    return docs.withColumn("__row_key", row_key()).join(gone, "__row_key", "left_anti").drop("__row_key")
+    gone = written(hits.select("row_key").distinct(), "gone")
+    return without_keys(docs, row_key(), gone)

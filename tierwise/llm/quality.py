@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tierwise.llm.common import SLICE_ROWS, arrow_schema, id_and_text, map_arrow, written
+from tierwise.llm.common import SLICE_ROWS, arrow_schema, free_name, id_and_text, map_arrow, written
 
 #: Buckets that n-grams are hashed into, and the count that every bucket has beforehand.
 BUCKETS, PRIOR = 1 << 16, 1.0
@@ -165,9 +165,9 @@ class Sample:
 
     def keeps(self, docs: DataFrame) -> DataFrame:
         """The rows of ``docs`` that are in the sample, with their columns as they are."""
-        weighted = with_weight(docs, self.model, "__log_weight")
-        key = gumbel_key("__log_weight", self.seed, self.temperature)
-        return weighted.filter(key >= F.lit(self.least_key)).drop("__log_weight")
+        weight = free_name(docs, "log_weight")
+        key = gumbel_key(weight, self.seed, self.temperature)
+        return with_weight(docs, self.model, weight).filter(key >= F.lit(self.least_key)).drop(weight)
 
 
 def resample(

@@ -8,8 +8,8 @@ item is a short list of nodes.  The nodes are a directed acyclic graph that the
 some documents at a time, every node's accumulators are computed once, from those of its two
 children, and every item adds up its list.
 
-Texts are read once: each document gives the terms that any item has, found by a bitmap of fixed
-size and counted (what the bitmap lets through wrongly is in no item and adds nothing).  Only the
+Texts are read once: each document gives the terms that any item has, found by a filter of
+bounded size and counted (what the filter lets through wrongly is in no item and adds nothing).  Only the
 best ``k`` documents of an item leave a task.
 """
 
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierwise.llm.common import arrow_schema, id_and_text, map_arrow, map_slices, written
-from tierwise.llm.decontaminate import bitmap, passing, word_hashes, words_of
+from tierwise.llm.decontaminate import word_hashes, words_of
+from tierwise.llm.membership import filter_of, passing
 
 #: Different terms of all items of a block together, about: what is broadcast is bounded by it.
 BLOCK_TERMS = 200_000
@@ -233,7 +234,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 10, block_terms: int = BLOC
     """
     spark = docs.sparkSession
     queries = written(query_terms(items), "queries")
-    cells = spark.sparkContext.broadcast(bitmap(queries.select(F.explode("hashes").alias("shingle"))))
+    cells = spark.sparkContext.broadcast(filter_of(queries.select(F.explode("hashes").alias("hash"))))
     found = written(occurrences(docs, cells), "occurrences")
     n_docs, n_words = found.select(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))

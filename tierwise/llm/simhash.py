@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tierwise.llm.common import id_and_text, map_slices, row_key, written
 from tierwise.llm.components import connected_components
+from tierwise.llm.membership import without_keys
 
 #: Shingles counted at a time: 64 bytes each.
 CHUNK = 1 << 16
@@ -109,9 +110,13 @@ def keep_one(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: int = MA
     """The rows of ``docs`` that stay, one of each component: that of the smallest ``doc_id``.
 
     Rows without an id come after those with one; of equal rows one stays, of several texts with
-    the smallest id one.  All columns are kept as they are.
+    the smallest id one.  All columns are kept as they are, and rows that stay are not moved:
+    ``without_keys``.
     """
-    _, of_print = grouped(docs, words, seed, max_bits)
-    stay = of_print.filter("first = smallest").select(F.col("first.row_key").alias("__row_key"))
-    keyed = docs.withColumn("__row_key", row_key())
-    return keyed.join(stay, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
+    prints, of_print = grouped(docs, words, seed, max_bits)
+    # written, so that the join with a fingerprint's many rows may split them
+    staying = written(of_print.select("fingerprint", F.col("smallest.row_key").alias("staying")), "groups")
+    rows = prints.groupBy("row_key", "fingerprint").agg(F.count("*").alias("n"))
+    rows = written(rows, "rows").join(staying, "fingerprint").select("row_key", (F.col("row_key") == F.col("staying")).alias("stays"), "n")
+    rows = written(rows.filter("NOT stays OR n > 1"), "doubtful")
+    return without_keys(docs, row_key(), rows.filter("NOT stays"), single=rows.filter("stays"))
