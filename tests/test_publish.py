@@ -1,11 +1,14 @@
 import datetime
 import os
+import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierwise import scratch
 from tierwise.operators.scd1 import scd1_merge
+from tierwise.operators.scd2 import rebuild_history
 from tierwise.plans import dimension
 from tierwise.plans.dimension import merge_dimension, read_history
 from tierwise.sinks import publish
@@ -152,29 +155,79 @@ def silver(spark, path, rows):
     return path
 
 
-def test_type2_merge_survives_a_crash_after_closing(spark, tmp_path, monkeypatch):
-    day0, day1 = datetime.date(2024, 1, 1), datetime.date(2024, 2, 1)
-    gold = f"{tmp_path}/gold"
+def versions_of(spark, gold):
+    return sorted((r.k, r.v, r.effective_from.day, r.effective_to and r.effective_to.day, r.is_current) for r in read_history(spark, gold).collect())
 
-    def spec(source):
-        return ScdSpec(source, gold, ("k",), scd_type="scd2")
 
-    merge_dimension(spark, spec(silver(spark, f"{tmp_path}/s0", [("1", "a"), ("2", "b")])), day0)
-    second = spec(silver(spark, f"{tmp_path}/s1", [("1", "z"), ("3", "c")]))
+@pytest.mark.parametrize("day", [3, 1])
+def test_type2_merge_survives_a_stop_after_any_step(spark, tmp_path, day):
+    """A batch of a new day, and one of an earlier day again."""
+    first, stops = f"{tmp_path}/gold", 0
 
-    def crash(*args):
-        raise OSError("lost")
+    def spec(name, rows, gold):
+        return ScdSpec(silver(spark, f"{tmp_path}/{name}", rows), gold, ("k",), scd_type="scd2")
 
-    monkeypatch.setattr(dimension, "swap", crash)
-    with pytest.raises(OSError, match="lost"):
-        merge_dimension(spark, second, day1)
-    monkeypatch.setattr(dimension, "swap", publish.swap)
-    for _ in range(2):
-        assert merge_dimension(spark, second, day1) == 4
-        found = sorted((r.k, r.v, r.effective_to, r.is_current) for r in read_history(spark, gold).collect())
-        assert found == [
-            ("1", "a", day1, False), ("1", "z", None, True), ("2", "b", None, True), ("3", "c", None, True),
-        ]
+    merge_dimension(spark, spec("s1", [("1", "a"), ("2", "b"), ("4", "d")], first), datetime.date(2024, 1, 2))
+    merge_dimension(spark, spec("s2", [("1", "a"), ("2", "z"), ("4", "d")], first), datetime.date(2024, 1, 3))
+    on = datetime.date(2024, 1, day + 1)
+    for stop, run in steps_until_done(tmp_path):
+        gold = f"{run.root}/gold"
+        shutil.copytree(first, gold)
+        batch = spec("s3", [("1", "z"), ("2", "b"), ("3", "c")], gold)
+        with run.stopping():
+            merge_dimension(spark, batch, on)
+        stops += run.stopped
+        for _ in range(1 + (stop == 3)):
+            merge_dimension(spark, batch, on)
+            assert versions_of(spark, gold) == {
+                3: [("1", "a", 2, 4, False), ("1", "z", 4, None, True), ("2", "b", 2, 3, False), ("2", "b", 4, None, True),
+                    ("2", "z", 3, 4, False), ("3", "c", 4, None, True), ("4", "d", 2, None, True)],
+                1: [("1", "a", 3, None, True), ("1", "z", 2, 3, False), ("2", "b", 2, 3, False), ("2", "z", 3, None, True),
+                    ("3", "c", 2, None, True), ("4", "d", 2, None, True)],
+            }[day], stop
+        assert not os.path.exists(publish.days_of(gold))
+    assert stops >= 4
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_type2_batches_in_any_order(spark, tmp_path, seed):
+    """Every order of the batches gives what sequencing all rows at once gives."""
+    rng = random.Random(seed)
+    days = [datetime.date(2024, 1, n) for n in sorted(rng.sample(range(1, 29), 5))]
+    batches = [(d, {str(k): rng.choice("ab") for k in rng.sample(range(12), 9)}) for d in days]
+    batches.append((days[rng.randrange(5)], {str(k): rng.choice("ab") for k in rng.sample(range(12), 6)}))  # a day once more
+    order = batches[:]
+    rng.shuffle(order)
+    gold = f"{tmp_path}/gold"
+    for n, (day, values) in enumerate(order):
+        source = silver(spark, f"{tmp_path}/s{n}", list(values.items()))
+        merge_dimension(spark, ScdSpec(source, gold, ("k",), scd_type="scd2"), day)
+    rows = [(k, v, day, n) for n, (day, values) in enumerate(order) for k, v in values.items()]
+    frame = spark.createDataFrame(rows, "k string, v string, effective_from date, n int")
+    columns = ["k", "v", "effective_from", "effective_to", "is_current", "row_hash"]
+    expected = rebuild_history(frame, ["k"], sequence_by=["n"]).select(*columns)
+    assert sorted(map(str, read_history(spark, gold).select(*columns).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_a_late_batch_replaces_the_folders_it_touches_only(spark, tmp_path):
+    gold, day = f"{tmp_path}/gold", lambda n: datetime.date(2024, 1, n)
+
+    def run(n, rows):
+        return merge_dimension(spark, ScdSpec(silver(spark, f"{tmp_path}/s{n}", rows), gold, ("k",), scd_type="scd2"), day(n))
+
+    for n in range(2, 12, 2):
+        run(n, [("1", f"v{n}"), ("2", f"v{n}"), ("3", "same")])
+
+    def files():
+        return {f"{os.path.basename(d)}/{f}" for d, _, fs in os.walk(gold) for f in fs if f.endswith(".parquet") and "_seen" not in d}
+
+    before = files()
+    run(5, [("1", "late")])  # cuts what is valid from 4 to 6
+    assert {f.split("/")[0] for f in before - files()} == {"effective_to=2024-01-06"}
+    assert {f.split("/")[0] for f in files() - before} == {"effective_to=2024-01-05", "effective_to=2024-01-06"}
+    assert [v[1:4] for v in versions_of(spark, gold) if v[0] == "1"] == [
+        ("late", 5, 6), ("v10", 10, None), ("v2", 2, 4), ("v4", 4, 5), ("v6", 6, 8), ("v8", 8, 10),
+    ]
 
 
 def test_type2_merge_reads_current_versions_only(spark, tmp_path):
@@ -330,7 +383,7 @@ def test_no_source_row_is_lost_without_a_trace(spark, tmp_path):
 
 def test_late_and_corrected_versions(spark, tmp_path):
     history = f"{tmp_path}/history"
-    day = {n: datetime.date(2024, 1, n) for n in (5, 7, 8)}
+    day = {n: datetime.date(2024, 1, n) for n in (5, 7, 8, 9)}
 
     def run(rows, n, **more):
         source = batch_of(spark, tmp_path, rows)
@@ -343,10 +396,14 @@ def test_late_and_corrected_versions(spark, tmp_path):
     assert [(r.v, str(r.effective_from), r.is_current) for r in versions] == [
         ("a", "2024-01-05", False), ("corrected", "2024-01-08", True),
     ]
-    with pytest.raises(ValueError, match="older than the current version: 1"):
+    shutil.rmtree(f"{history}/_seen")  # as published before deliveries were recorded
+    with pytest.raises(ValueError, match="older than the record of deliveries: 1"):
         run([("1", "late"), ("2", "B")], 7)
     for _ in range(2):
         assert run([("1", "late"), ("2", "B")], 7, late_path=f"{tmp_path}/late") == 4
         assert [r.v for r in spark.read.parquet(f"{tmp_path}/late").collect()] == ["late"]
+        shutil.rmtree(f"{history}/_seen")
+    assert run([("2", "C")], 9) == 5
+    assert run([("1", "in place"), ("2", "C")], 9) == 6
     with pytest.raises(SpecError, match="type 1"):
         ScdSpec("s", "t", ("k",), scd_type="scd2", delete_missing=True)

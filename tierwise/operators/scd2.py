@@ -73,7 +73,7 @@ def scd2_merge(
     pass through untouched.  Only current versions are joined.  Applying a batch twice
     changes nothing, and a changed delivery for the same day replaces the versions that day
     opened.  Changes earlier than the version they would close are left out here and
-    reported by ``late_rows``; ``rebuild_history`` can sequence them.
+    reported by ``late_rows``; ``splice_versions`` puts them where they belong.
     ``small_source`` says the source is known to fit a broadcast: no version is shuffled.
     """
     columns = history.columns
@@ -104,6 +104,66 @@ def scd2_merge(
     return history.filter("NOT is_current").unionByName(merged)
 
 
+def splice_versions(
+    source: DataFrame,
+    history: DataFrame,
+    seen: DataFrame,
+    keys: Sequence[str],
+    effective: datetime.date,
+    exclude: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """(removed, added): for each key that a batch of any day changes, arrays of the versions that go and
+    of those that come.
+
+    A row is a delivery of its key on the day ``effective``, and stands until the key's next one.  It
+    falls into the version that is valid on that day, or before all; that version is cut there, and goes
+    on from the next day of ``seen`` (keys and ``day``: when which keys were delivered) inside it.  A
+    neighbour that says the same is joined instead of followed.  Of ``history`` only the versions that
+    are current or close on that day or later are needed.  A joined version has the columns of its
+    earlier part; one that goes on has those it had, also outside the compared ones.
+    """
+    columns, names = history.columns, list(keys)
+    day = F.lit(effective).cast("date")
+    start, end = F.col("effective_from"), F.col("effective_to")
+    whole = F.struct(*columns)
+    batch = _batch(source, history, keys, effective, exclude, order_by).select(*names, whole.alias("__b"))
+    holds = (start <= day) & (end.isNull() | (end > day))
+    around = (
+        history.filter(end.isNull() | (end >= day))
+        .join(batch.select(*names), names, "left_semi")
+        .groupBy(*names)
+        .agg(
+            F.first(F.when(end == day, whole), ignorenulls=True).alias("__p"),
+            F.first(F.when(holds, whole), ignorenulls=True).alias("__v"),
+            F.min_by(whole, F.when(start > day, start)).alias("__w"),
+        )
+    )
+    onward = seen.filter(F.col("day") > day).join(batch.select(*names), names, "left_semi")
+    onward = onward.groupBy(*names).agg(F.min("day").alias("__s"))
+    found = batch.join(around, names, "left").join(onward, names, "left")
+    p, v, w, s, b = (F.col(f"__{x}") for x in "pvwsb")
+    v_to = v["effective_to"]
+    begins = v["effective_from"] == day
+    again = v.isNotNull() & s.isNotNull() & (v_to.isNull() | (s < v_to))
+    upto = F.when(again, s).when(v.isNotNull(), v_to).otherwise(w["effective_from"])
+    with_next = ~again & w.isNotNull() & (w["effective_from"] == upto) & (w["row_hash"] == b["row_hash"])
+    with_last = p.isNotNull() & (v.isNull() | begins) & (p["row_hash"] == b["row_hash"])
+
+    def version(row: Column, first: Column, last: Column) -> Column:
+        values = {"effective_from": first, "effective_to": last, "is_current": last.isNull()}
+        return F.struct(*[values.get(c, row[c]).alias(c) for c in columns])
+
+    last = F.when(with_next, w["effective_to"]).otherwise(upto)
+    new = F.when(with_last, version(p, p["effective_from"], last)).otherwise(version(b, day, last))
+    added = [F.when(v.isNotNull() & ~begins, version(v, v["effective_from"], day)), new, F.when(again, version(v, s, v_to))]
+    removed = [v, F.when(with_next, w), F.when(with_last, p)]
+    changed = found.filter(v.isNull() | (v["row_hash"] != b["row_hash"]))
+    return changed.select(
+        F.array_compact(F.array(*removed)).alias("removed"), F.array_compact(F.array(*added)).alias("added")
+    )
+
+
 def late_rows(
     source: DataFrame,
     history: DataFrame,

@@ -15,15 +15,14 @@ from tierwise import scratch
 from tierwise.functions.columns import date_id_from_name, drop_file_columns, file_stamp, with_date_id
 from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys
 from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
-from tierwise.operators.scd2 import VERSION_COLUMNS, late_rows, open_versions, scd2_merge
+from tierwise.operators.scd2 import VERSION_COLUMNS, late_rows, open_versions, scd2_merge, splice_versions
 from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
     finish_days,
     recover,
     stage_days,
+    stage_folders,
     staged_publish,
-    staging_of,
-    swap,
     write_partitioned,
     write_silver,
 )
@@ -33,6 +32,9 @@ from tierwise.spec import DatasetSpec, ScdSpec
 log = logging.getLogger(__name__)
 
 STAMP = "__stamp"
+# Folder names of a type 2 dimension: current versions, the record of deliveries, and the file in it that says
+# the record goes back to the first one.
+CURRENT, SEEN, FROM_START = "is_current=true", "_seen", "_from_start"
 
 
 def initial_load(
@@ -73,9 +75,10 @@ def merge_dimension(
     """Merge the source into the target path and publish it there; returns its row count.
 
     No source row is lost without a trace: those with an incomplete key go to a folder of
-    ``quarantine_path`` for their batch, changes that come too late for a type 2 history to
-    ``late_path`` likewise; where one is needed and not given, the job fails before it writes.  A
-    batch is named by its date, or else by the newest stamp of its files, so a rerun replaces it.
+    ``quarantine_path`` for their batch; where one is needed and not given, the job fails before it
+    writes.  A batch is named by its date, or else by the newest stamp of its files, so a rerun replaces
+    it.  Type 2 batches may come in any order.  Only a history published before its deliveries were
+    recorded has no place for earlier changes: they go to ``late_path`` in the same way.
     """
     silver = read_layer(spark, spec.source_path)
     source = dimension_source(silver.filter(spec.source_filter) if spec.source_filter else silver)
@@ -191,46 +194,98 @@ def _merge_versions(
 ) -> int:
     """Type 2 merge whose cost follows the current versions, not the history.
 
-    Current versions live in one folder, closed ones in a folder per closing date.  A
-    merge reads and replaces the current folder and adds the batch's closing date; older
-    folders are not touched.  Closed rows are published first: after a crash the rerun
-    finds the same changes and writes them again.
+    Current versions live in one folder, closed ones in a folder per closing date, and beside them is
+    written which keys were delivered on which day.  A batch of a new day reads and replaces the current
+    folder and adds the day's closing folder.  One of an earlier day, or of one that was delivered
+    before, is spliced into the versions of its keys: it reads the folders that close on its day or later
+    and replaces those that it changes.  Batches give the same history in any order.
+
+    The new folders are staged and listed, then moved in; a run after a crash moves the rest first.
     """
     exclude = [*spec.metadata_cols, *spec.compare_exclude]
     source = source.drop(*[c for c in spec.partition_by if c not in spec.join_keys])
-    path = spec.target_path.rstrip("/")
-    current_path, closed_path = f"{path}/is_current=true", f"{path}/is_current=false"
-    recover(spark, current_path)
-    small = measured_bytes(source) <= spec.broadcast_limit_bytes
-    if path_exists(spark, current_path):
-        current = read_history(spark, path).filter("is_current")
+    path, keys = spec.target_path.rstrip("/"), list(spec.join_keys)
+    finish_days(spark, path)
+    recover(spark, f"{path}/{CURRENT}")
+    if path_exists(spark, f"{path}/{CURRENT}"):
+        history = read_history(spark, path)
+        current = history.filter("is_current")
         if spec.check_target:
-            require_unique(split_null_keys(current, spec.join_keys)[0], spec.join_keys, path)
+            require_unique(split_null_keys(current, keys)[0], keys, path)
+        newest = current.agg(F.max("effective_from")).first()[0]
     else:
-        current = open_versions(source.drop(STAMP), spec.join_keys, effective, exclude).limit(0)
-    late = late_rows(source, current, spec.join_keys, effective, exclude, order_by)
-    set_aside(late, spec.late_path, batch_name, f"{path}: changes older than the current version")
-    merged = scd2_merge(
-        source, current, spec.join_keys, effective, exclude, order_by, small_source=small
-    )
-    staging = staging_of(f"{path}/merge")
-    folders = ["is_current", "effective_to"]  # two folders, so any task writes two files at most
-    write_partitioned(merged, staging, mode="errorifexists", partition_by=folders)
-    day = f"effective_to={effective.isoformat()}"
-    newly_closed = f"{staging}/is_current=false/{day}"
-    if path_exists(spark, newly_closed):
-        _add_closed(spark, newly_closed, f"{closed_path}/{day}", (*spec.join_keys, "effective_from"))
-    if path_exists(spark, f"{staging}/is_current=true"):
-        swap(spark, f"{staging}/is_current=true", current_path)
-    scratch.delete(spark, staging)
+        history = current = open_versions(source.drop(STAMP), keys, effective, exclude).limit(0)
+        newest = None
+    days = delivered_days(spark, path)
+    behind = newest is not None and effective <= max([newest, *days])
+    complete = path_exists(spark, f"{path}/{SEEN}/{FROM_START}") or bool(days) and effective >= min(days)
+    if newest is None:
+        scratch.write_text(spark, f"{path}/{SEEN}/{FROM_START}", "")
+
+    spliced = None
+    if behind and complete:
+        spliced = scratch.work_dir(spark, "splice")
+        seen = read_seen(spark, path, [d for d in days if d > effective], current, keys)
+        splice_versions(source, history, seen, keys, effective, exclude, order_by).write.parquet(spliced)
+        rows, folders = _respliced(spark, history, spark.read.parquet(spliced), keys)
+    else:
+        late = late_rows(source, current, keys, effective, exclude, order_by)
+        set_aside(late, spec.late_path, batch_name, f"{path}: changes older than the record of deliveries")
+        small = measured_bytes(source) <= spec.broadcast_limit_bytes
+        merged = scd2_merge(source, current, keys, effective, exclude, order_by, small_source=small)
+        closing = closed_folder(effective)
+        if path_exists(spark, f"{path}/{closing}"):  # published before deliveries were recorded
+            identity = [*keys, "effective_from"]
+            before = history.filter(F.col("effective_to") == F.lit(effective))
+            merged = merged.unionByName(before.join(merged.filter("NOT is_current").select(*identity), identity, "left_anti"))
+        rows, folders = merged, [CURRENT, closing]
+    types = {f.name: f.dataType for f in current.schema}
+    delivered = split_null_keys(source, keys)[0].select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+    delivered = delivered.unionByName(read_seen(spark, path, [effective] if effective in days else [], current, keys).select(*keys))
+    beside = {f"{SEEN}/day={effective.isoformat()}": delivered.distinct()}
+    stage_folders(spark, path, rows, ["is_current", "effective_to"], folders, beside)
+    finish_days(spark, path)
+    if spliced:
+        scratch.delete(spark, spliced)
     return read_history(spark, path).count()
 
 
-def _add_closed(spark: SparkSession, rows_path: str, path: str, identity: tuple[str, ...]) -> None:
-    recover(spark, path)
-    if not path_exists(spark, path):
-        scratch.make_parents(spark, path)
-        scratch.rename(spark, rows_path, path)
-        return
-    both = spark.read.parquet(path).unionByName(spark.read.parquet(rows_path))
-    staged_publish(spark, dedup_latest(both, identity), path)
+def closed_folder(day: datetime.date) -> str:
+    return f"is_current=false/effective_to={day.isoformat()}"
+
+
+def _respliced(
+    spark: SparkSession, history: DataFrame, changes: DataFrame, keys: list[str]
+) -> tuple[DataFrame | None, list[str]]:
+    """The new content of the folders that spliced versions leave or enter, and these folders."""
+    identity = [*keys, "effective_from", "effective_to"]
+    both = [changes.select(F.explode(c).alias("r")).select("r.*") for c in ("removed", "added")]
+    versions = both[0].unionByName(both[1])
+    closings = [r[0] for r in versions.select("effective_to").distinct().collect()]  # one row per folder
+    if not closings:
+        return None, []
+    dates = [d for d in closings if d is not None]
+    touched = F.col("effective_to").isin(dates) & ~F.col("is_current")
+    if None in closings:
+        touched = touched | F.col("is_current")
+    old = history.filter(touched)
+    same = [old[c].eqNullSafe(versions[c]) if c == "effective_to" else old[c] == versions[c] for c in identity]
+    rows = old.join(versions, same, "left_anti").unionByName(both[1])
+    return rows, [CURRENT] * (None in closings) + [closed_folder(d) for d in dates]
+
+
+def delivered_days(spark: SparkSession, path: str) -> list[datetime.date]:
+    """The days whose deliveries are recorded, see ``read_seen``."""
+    names = scratch.list_names(spark, f"{path}/{SEEN}")
+    return [datetime.date.fromisoformat(n.removeprefix("day=")) for n in names if n.startswith("day=")]
+
+
+def read_seen(
+    spark: SparkSession, path: str, days: list[datetime.date], like: DataFrame, keys: list[str]
+) -> DataFrame:
+    """(keys, day): the keys that were delivered on each of ``days``, with the types of ``like``."""
+    if not days:
+        return like.select(*keys, F.lit(None).cast("date").alias("day")).limit(0)
+    root = f"{path}/{SEEN}"
+    rows = spark.read.option("basePath", root).parquet(*[f"{root}/day={d.isoformat()}" for d in days])
+    return rows.select(*keys, F.col("day").cast("date").alias("day"))

@@ -178,22 +178,49 @@ def recover(spark: SparkSession, path: str) -> bool:
 
 
 def stage_days(spark: SparkSession, df: DataFrame, path: str, column: str, days: Sequence[str]) -> None:
-    """Write the new content of the folders ``days`` of ``path`` aside; one without rows will go.
+    """Write the new content of the folders ``days`` of ``path`` aside; one without rows will go."""
+    stage_folders(spark, path, df, [column], days)
 
-    ``df`` may read ``path`` and has rows of these folders only.  The list of folders is written last:
-    with it the stage is complete, and ``finish_days`` can be repeated until it went through.
+
+def stage_folders(
+    spark: SparkSession,
+    path: str,
+    df: DataFrame | None,
+    columns: Sequence[str],
+    folders: Iterable[str],
+    beside: Mapping[str, DataFrame] | None = None,
+) -> None:
+    """Write the new content of ``folders`` of ``path`` aside: ``df`` by ``columns``, and frames for folders of
+    their own.
+
+    ``df`` may read ``path`` and has rows of these folders only; one without rows will go.  The list of
+    folders is written last: with it the stage is complete, and ``finish_days`` can be repeated until it
+    went through.
     """
-    staging = days_of(path)
+    staging, folders = days_of(path), set(folders)
     scratch.delete(spark, staging)
-    write_partitioned(df, staging, partition_by=column)
-    written = {n for n in scratch.list_names(spark, staging) if n.startswith(f"{column}=")}
-    if strays := written - set(days):
+    if df is not None:
+        write_partitioned(df, staging, partition_by=columns)
+    leaves = partition_folders(spark, staging, len(columns))
+    replaced = {f for f in folders if any(leaf == f or leaf.startswith(f"{f}/") for leaf in leaves)}
+    if strays := {leaf for leaf in leaves if not any(leaf == f or leaf.startswith(f"{f}/") for f in folders)}:
         scratch.delete(spark, staging)
         raise RuntimeError(f"{path}: rows of folders that were not to be replaced: {sorted(strays)}")
-    plan = {"replaced": sorted(written), "emptied": sorted(set(days) - written)}
+    for name, frame in (beside or {}).items():
+        write_partitioned(frame, f"{staging}/{name}")
+        replaced.add(name)
+    plan = {"replaced": sorted(replaced), "emptied": sorted(folders - replaced)}
     scratch.write_text(spark, f"{staging}/{PLAN}", json.dumps(plan))
 
 
+def partition_folders(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Names of the partition folders below ``path``, all ``levels`` of them together."""
+    found = [""]
+    for _ in range(levels):
+        found = [f"{at}/{n}" for at in found for n in scratch.list_names(spark, f"{path}{at}") if "=" in n]
+    return [name[1:] for name in found]
+
+
 def finish_days(spark: SparkSession, path: str) -> bool:
     """Move complete staged folders in; after a crash, go on where it stopped, or discard the rest."""
     staging = days_of(path)
@@ -203,6 +230,7 @@ def finish_days(spark: SparkSession, path: str) -> bool:
         for name in todo["replaced"]:
             if scratch.path_exists(spark, f"{staging}/{name}"):  # else it was moved before
                 scratch.delete(spark, f"{path}/{name}")
+                scratch.make_parents(spark, f"{path}/{name}")
                 scratch.rename(spark, f"{staging}/{name}", f"{path}/{name}")
         drop_folders(spark, path, todo["emptied"])
     scratch.delete(spark, staging)

@@ -298,7 +298,7 @@ class ScdSpec:
     ``source_filter`` is a SQL condition on the silver layer, normally on its year, month
     and day, so that a run reads only new days.  Several source rows of one key are
     reduced to the latest by ``order_by``, or by the stamp of their files.  ``late_path`` gets
-    the rows that come too late for a type 2 history.
+    the changes that are older than a type 2 history's record of deliveries, if it has none from the start.
     """
 
     source_path: str

@@ -168,6 +168,37 @@ def scd2_dimension_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_history(spark, f"{root}/gold")
 
 
+#: Deliveries of the customers' latest orders of a year, in the order in which they arrive; one arrives twice.
+YEARS = (1998, 2000, 1996, 1999, 1996, 2001, 1995, 1997)
+
+
+@query(
+    "scd2_any_order",
+    f"""with d as (select * from (select o_custkey customer_key, o_orderstatus status, o_orderpriority priority,
+        make_date(year(o_orderdate), 12, 31) effective_from, row_number() over (partition by o_custkey,
+        year(o_orderdate) order by o_orderdate desc, o_orderkey desc) rn from orders
+        where year(o_orderdate) between {min(YEARS)} and {max(YEARS)}) where rn = 1),
+    h as (select *, {SQL_HASH.format('')} row_hash from d),
+    c as (select *, lag(row_hash) over (partition by customer_key order by effective_from) b from h),
+    v as (select * from c where b is null or b <> row_hash)
+    select customer_key, status, priority, effective_from,
+      lead(effective_from) over (partition by customer_key order by effective_from) effective_to,
+      lead(effective_from) over (partition by customer_key order by effective_from) is null is_current,
+      row_hash from v""",
+)
+def scd2_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly deliveries through the published dimension, most of them late."""
+    orders = table(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
+    columns = {"o_custkey": "customer_key", "o_orderstatus": "status", "o_orderpriority": "priority"}
+    root = work_dir(spark, "any_order")
+    for y in YEARS:
+        latest = dedup_latest(orders.filter(F.col("y") == y), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+        rows = latest.select(*[F.col(c).alias(n) for c, n in columns.items()], F.lit(None).alias("as_of"))
+        source = _silver(rows, f"{root}/{y}", f"{y}1231000000")
+        merge_dimension(spark, ScdSpec(source, f"{root}/gold", tuple(KEY), scd_type="scd2"), datetime.date(y, 12, 31))
+    return read_history(spark, f"{root}/gold")
+
+
 @query(
     "scd2_late_rows",
     f"""with {SQL_PROFILES} select t.customer_key, t.status, t.priority from tgt t
