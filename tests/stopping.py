@@ -1,4 +1,4 @@
-"""Stops a job after each single change it makes to the file system, one run at a time."""
+"""Stops a job after each single change it makes to the file system or the catalog, one run at a time."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from unittest import mock
 
 from tierwise import scratch
+from tierwise.sources import catalog
 
-CHANGES = ("delete", "rename", "write_text")
+CHANGES = [(scratch, n) for n in ("delete", "rename", "write_text", "write_once")] + [(catalog, "change")]
 
 
 class Stopped(Exception):
@@ -36,7 +37,7 @@ class Run:
 
             return call
 
-        patches = [mock.patch.object(scratch, name, counted(getattr(scratch, name))) for name in CHANGES]
+        patches = [mock.patch.object(where, name, counted(getattr(where, name))) for where, name in CHANGES]
         for patch in patches:
             patch.start()
         try:

@@ -153,6 +153,27 @@ def test_a_correction_that_empties_a_gold_day(spark, bronze):
     assert days == ["2024-03-09"]
 
 
+def test_report_through_the_catalog(spark, bronze):
+    """The same days as above, in a table whose folders are switched by the catalog."""
+    cfg = config(bronze, dynamic=True, drop_unmatched=True, table="lending_versions", versioned=True)
+    cfg["datasets"]["loans"]["snapshot"] = "all"
+    deliver(bronze, "loans_20240311120000.json", loans_text([(21, "b2", 9, "home")]))
+
+    def days():
+        report = run_report(spark, ReportSpec.from_dict(cfg)).report
+        assert report.count() == spark.table("lending_versions").count()
+        return sorted((str(r.date_id), r["count"]) for r in report.groupBy("date_id").count().collect())
+
+    assert days() == [("2024-03-09", 6), ("2024-03-11", 1)]
+    deliver(bronze, "loans_20240311120000.json", loans_text([(21, "unknown", 9, "home")]))
+    assert days() == [("2024-03-09", 6)]
+    cfg["etl"]["output"] |= {"dynamic": False, "drop_unmatched": False}
+    assert days() == [("2024-03-09", 6), ("None", 1)]
+    spark.sql("DROP TABLE lending_versions")
+    with pytest.raises(SpecError, match="versioned"):
+        ReportSpec.from_dict(config(bronze, versioned=True))
+
+
 def test_legacy_date_id_is_unpadded(spark, bronze):
     run(spark, bronze, legacy_date_id="true")
     assert (bronze / "gold" / "lending" / "date_id=2024-3-9").is_dir()

@@ -26,6 +26,8 @@ from tierwise.sinks.publish import (
     write_partitioned,
     write_silver,
 )
+from tierwise.sinks.versions import manifest, publish_folders, roll_forward
+from tierwise.sources.catalog import quoted
 from tierwise.sources.files import ingest, read_layer
 from tierwise.spec import DatasetSpec, ScdSpec
 
@@ -38,18 +40,22 @@ CURRENT, SEEN, FROM_START = "is_current=true", "_seen", "_from_start"
 
 
 def initial_load(
-    spark: SparkSession, first: DatasetSpec, gold_path: str, then: DatasetSpec | None = None
+    spark: SparkSession, first: DatasetSpec, gold_path: str, then: DatasetSpec | None = None, table: str | None = None
 ) -> None:
     """Seed a gold dimension by ``date_id`` from one snapshot and silver from the next.
 
-    Refuses to replace an existing dimension.
+    Refuses to replace an existing dimension.  With ``table`` it is a versioned one.
     """
     seed = ingest(spark, first)
     if seed.frame is None:
         raise FileNotFoundError(f"{first.name}: {seed.reason}")
     if path_exists(spark, gold_path):
         raise FileExistsError(f"{gold_path} already exists")
-    staged_publish(spark, with_date_id(seed.frame).drop("filename"), gold_path, partition_by="date_id")
+    rows = with_date_id(seed.frame).drop("filename")
+    if table:
+        publish_folders(spark, rows, table, gold_path, ["date_id"])
+    else:
+        staged_publish(spark, rows, gold_path, partition_by="date_id")
     if then is not None:
         later = ingest(spark, then)
         if later.frame is None:
@@ -88,10 +94,13 @@ def merge_dimension(
     set_aside(rejected.drop(STAMP), quarantine_path, batch_name, f"{spec.source_path}: rows without a key")
     if spec.scd_type == "scd2":
         return _merge_versions(spark, spec, source, order_by, effective or datetime.date.today(), batch_name)
-    recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
-    if len(spec.partition_by) == 1:
-        finish_days(spark, spec.target_path.rstrip("/"))
-    target = read_layer(spark, spec.target_path)
+    if spec.versioned:
+        roll_forward(spark, spec.table, spec.target_path.rstrip("/"))
+    else:
+        recover(spark, spec.target_path)  # a crash between two renames leaves only the backup
+        if len(spec.partition_by) == 1:
+            finish_days(spark, spec.target_path.rstrip("/"))
+    target = read_target(spark, spec)
     # computed once: the checks, the choice of the days and the merge all read it
     staged = scratch.work_dir(spark, "batch")
     prepared_source(source, target, spec.join_keys, order_by).write.parquet(staged)
@@ -101,6 +110,10 @@ def merge_dimension(
         scratch.delete(spark, staged)
 
 
+def read_target(spark: SparkSession, spec: ScdSpec) -> DataFrame:
+    return spark.table(quoted(spec.table)) if spec.versioned else read_layer(spark, spec.target_path)
+
+
 def _merge_batch(spark: SparkSession, spec: ScdSpec, batch: DataFrame, target: DataFrame) -> int:
     """Merge a reduced batch into the published target."""
     size = measured_bytes(batch)
@@ -121,7 +134,9 @@ def _merge_batch(spark: SparkSession, spec: ScdSpec, batch: DataFrame, target: D
         small_source=small,
     )
     if small and not spec.delete_missing and _replace_days(spark, spec, merge, batch, target):
-        return read_layer(spark, spec.target_path).count()
+        return read_target(spark, spec).count()
+    if spec.versioned:
+        return publish_folders(spark, merge(target), spec.table, spec.target_path, spec.partition_by, rebalance=not small)
     # A small source leaves target rows in their scan tasks, each of few dates: no shuffle to write.
     return staged_publish(
         spark, merge(target), spec.target_path, "parquet", spec.partition_by, rebalance=not small
@@ -147,11 +162,16 @@ def _replace_days(
     hit = target.select(*keys, column).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
     dates = hit.select(column).unionByName(batch.select(column)).distinct()
     days = [row[0] for row in dates.collect()]  # one row per folder
-    existing = [n for n in scratch.list_names(spark, path) if n.startswith(f"{column}=")]
+    existing = manifest(spark, path).folders if spec.versioned else scratch.list_names(spark, path)
+    existing = [n for n in existing if n.startswith(f"{column}=")]
     if None in days or 2 * len(days) > len(existing):
         return False
     touched = target.join(F.broadcast(dates), column, "left_semi").select(*target.columns)
-    stage_days(spark, merge(touched), path, column, [f"{column}={d}" for d in days])
+    folders = [f"{column}={d}" for d in days]
+    if spec.versioned:
+        publish_folders(spark, merge(touched), spec.table, path, [column], whole=False, emptied=folders)
+        return True
+    stage_days(spark, merge(touched), path, column, folders)
     return finish_days(spark, path)
 
 

@@ -27,7 +27,8 @@ from tierwise.sinks.publish import (
     write_partitioned,
     write_silver,
 )
-from tierwise.sources.catalog import create_external_table, register_views
+from tierwise.sinks.versions import publish_folders
+from tierwise.sources.catalog import create_external_table, quoted, register_views
 from tierwise.sources.files import IngestResult, feed_files, frames, ingest_all, latest_day, read_layer
 from tierwise.spec import DATE_PARTS, VIEW_SUFFIX, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
@@ -183,8 +184,14 @@ def publish_report(
 
     ``days`` (date_id) are those that the run has read: of them, the ones without a row any more
     lose their folder.  File formats are swapped in after they are complete: an overwrite in place
-    would delete the old table first and leave nothing behind a failed job.
+    would delete the old table first and leave nothing behind a failed job.  A ``versioned`` table is
+    published through the catalog instead.
     """
+    if output.versioned:
+        known = output.dynamic and days is not None and output.partition_by == ("date_id",)
+        emptied = folders_of(days, ["date_id"]) if known else ()
+        publish_folders(spark, rows, output.table, output.path, output.partition_by, whole=not output.dynamic, emptied=emptied)
+        return
     if output.dynamic and days is not None and output.partition_by == ("date_id",):
         drop_folders(spark, output.path, folders_of(days, ["date_id"]) - folders_of(rows, ["date_id"]))
     if output.dynamic or output.format not in BUILT_IN_FORMATS:
@@ -248,7 +255,10 @@ def run_report(
     rows = report_rows(chain, spec.output)
     dated, day = dated_by(spec.output)
     publish_report(spark, rows, spec.output, silver[dated].select(day.alias("date_id")) if dated in silver else None)
-    report = spark.read.format(spec.output.format).load(spec.output.path)
+    if spec.output.versioned:
+        report = spark.table(quoted(spec.output.table))
+    else:
+        report = spark.read.format(spec.output.format).load(spec.output.path)
     if preview:
         report.show(preview, truncate=False)
     quality = {n: rule_report(f, spec.datasets[n].rules) for n, f in read.items() if spec.datasets[n].rules}

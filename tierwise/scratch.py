@@ -89,6 +89,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, created and closed without a rename; a reader must know a half-written one by its content."""
+    fs, target = hadoop_path(spark, path)
+    stream = fs.create(target, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small file; None if it does not exist."""
     fs, target = hadoop_path(spark, path)

@@ -53,3 +53,8 @@ def repoint_table(spark: SparkSession, table: str, path: str) -> None:
     location = path.replace("'", "\\'")
     spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{location}'")
     spark.catalog.refreshTable(quoted(table))
+
+
+def change(spark: SparkSession, statement: str) -> None:
+    """One change of the catalog."""
+    spark.sql(statement)

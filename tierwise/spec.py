@@ -233,7 +233,8 @@ class OutputSpec:
 
     ``date_parts`` are the three columns ``date_id`` is built from.  ``legacy_date_id``
     keeps the unpadded text form (``2024-1-1``) instead of a DATE.  ``dynamic`` replaces
-    only the days the run produced.  ``table`` registers the folder as an external table.
+    only the days the run produced.  ``table`` registers the folder as an external table; with ``versioned``
+    the table is published through the catalog, see ``sinks.versions``, and read by its name.
     """
 
     path: str
@@ -245,6 +246,11 @@ class OutputSpec:
     drop_unmatched: bool = False
     dynamic: bool = False
     table: str | None = None
+    versioned: bool = False
+
+    def __post_init__(self) -> None:
+        if self.versioned and not (self.table and self.partition_by and self.format == "parquet"):
+            raise SpecError("output: versioned needs a table, partition_by and the format parquet")
 
     @classmethod
     def from_dict(cls, cfg: Mapping) -> OutputSpec:
@@ -258,6 +264,7 @@ class OutputSpec:
             drop_unmatched=as_bool(cfg.get("drop_unmatched", False)),
             dynamic=as_bool(cfg.get("dynamic", False)),
             table=cfg.get("table"),
+            versioned=as_bool(cfg.get("versioned", False)),
         )
 
 
@@ -299,6 +306,8 @@ class ScdSpec:
     and day, so that a run reads only new days.  Several source rows of one key are
     reduced to the latest by ``order_by``, or by the stamp of their files.  ``late_path`` gets
     the changes that are older than a type 2 history's record of deliveries, if it has none from the start.
+    With ``versioned`` a type 1 dimension is the ``table``, published through the catalog below the target's
+    path, see ``sinks.versions``.
     """
 
     source_path: str
@@ -315,6 +324,8 @@ class ScdSpec:
     broadcast_limit_bytes: int = 64 << 20
     source_filter: str | None = None
     late_path: str | None = None
+    table: str | None = None
+    versioned: bool = False
 
     def __post_init__(self) -> None:
         _one_of(self.scd_type, ("scd1", "scd2"), "dimension")
@@ -323,6 +334,8 @@ class ScdSpec:
             raise SpecError("dimension: delete_missing and compare are settings of type 1")
         if not self.join_keys:
             raise SpecError("dimension: join_keys must not be empty")
+        if self.versioned and not (self.table and self.partition_by and self.scd_type == "scd1"):
+            raise SpecError("dimension: versioned needs a table, partition_by and type 1")
 
     @classmethod
     def from_dict(cls, cfg: Mapping) -> ScdSpec:
@@ -341,4 +354,6 @@ class ScdSpec:
             broadcast_limit_bytes=int(cfg.get("broadcast_limit_bytes", 64 << 20)),
             source_filter=cfg.get("source_filter"),
             late_path=cfg.get("late_path"),
+            table=cfg.get("table"),
+            versioned=as_bool(cfg.get("versioned", False)),
         )

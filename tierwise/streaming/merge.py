@@ -18,23 +18,40 @@ from tierwise import scratch
 from tierwise.operators.keys import dedup_latest, has_key
 from tierwise.operators.scd1 import align, require_columns, scd1_merge
 from tierwise.sinks.publish import note_of, recover, staged_publish
+from tierwise.sinks.versions import manifest, publish_folders, roll_forward
+from tierwise.sources.catalog import quoted
 
 
 class StreamedDimension:
-    """A base folder and a log of per-batch changes beside it."""
+    """A base folder and a log of per-batch changes beside it.
+
+    With ``table`` the base is that table, published by ``partition_by`` through the catalog.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, changes: str, keys: Sequence[str], order_by: Sequence[str] = ()
+        self,
+        spark: SparkSession,
+        path: str,
+        changes: str,
+        keys: Sequence[str],
+        order_by: Sequence[str] = (),
+        table: str | None = None,
+        partition_by: Sequence[str] = (),
     ) -> None:
         self.spark = spark
         self.path = path
         self.changes = changes
         self.keys = list(keys)
         self.order_by = list(order_by)
-        recover(spark, path)
+        self.table = table
+        self.partition_by = list(partition_by)
+        if table:
+            roll_forward(spark, table, path)
+        else:
+            recover(spark, path)
 
     def base(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.table(quoted(self.table)) if self.table else self.spark.read.parquet(self.path)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Body of ``foreachBatch``; cost follows the batch, not the dimension."""
@@ -53,7 +70,8 @@ class StreamedDimension:
 
     def folded(self) -> int:
         """The last batch that the base contains; the number is published with it."""
-        return int(note_of(self.spark, self.path) or -1)
+        note = manifest(self.spark, self.path).note if self.table else note_of(self.spark, self.path)
+        return int(note or -1)
 
     def batches(self) -> list[int]:
         """Batches with a change folder, in their order."""
@@ -78,7 +96,10 @@ class StreamedDimension:
         """
         batches = self.batches()
         last = max([self.folded(), *batches])
-        rows = staged_publish(self.spark, self.snapshot(), self.path, note=str(last))
+        if self.table:
+            rows = publish_folders(self.spark, self.snapshot(), self.table, self.path, self.partition_by, note=str(last))
+        else:
+            rows = staged_publish(self.spark, self.snapshot(), self.path, note=str(last))
         for batch in batches:
             scratch.delete(self.spark, f"{self.changes}/batch_id={batch}")
         return rows

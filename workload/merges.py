@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.operators.facts import fact_keys
 from tierwise.operators.keys import dedup_latest, surrogate_keys
 from tierwise.operators.quality import not_unique, orphans, rule_report, with_failed_rules
 from tierwise.operators.scd1 import change_class, measured_bytes, scd1_merge
@@ -14,6 +16,7 @@ from tierwise.operators.scd2 import late_rows, open_versions, rebuild_history, s
 from tierwise.plans.dimension import merge_dimension, read_history
 from tierwise.scratch import work_dir
 from tierwise.sinks.publish import staged_publish, write_partitioned
+from tierwise.sinks.versions import changes_between, manifests, publish_folders
 from tierwise.sources.files import read_layer
 from tierwise.spec import DATE_PARTS, Rule, ScdSpec
 from workload.registry import query
@@ -172,6 +175,49 @@ def scd2_dimension_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 YEARS = (1998, 2000, 1996, 1999, 1996, 2001, 1995, 1997)
 
 
+@query(
+    "catalog_publish",
+    """select o_orderkey, cast(year(o_orderdate) as int) o_year, case when year(o_orderdate) >= 1999 then 2 else 1 end * o_totalprice price
+    from orders where year(o_orderdate) between 1996 and 2000""",
+)
+def catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published whole by year, then two of its years replaced and one emptied."""
+    path, name = work_dir(spark, "published"), f"orders_published_{uuid.uuid4().hex[:12]}"
+    year = F.year("o_orderdate").alias("o_year")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), year)
+    publish_folders(spark, orders.filter("o_year <= 2000"), name, path, ["o_year"])
+    corrected = orders.filter("o_year IN (1999, 2000)").withColumn("price", F.col("price") * 2)
+    publish_folders(spark, corrected, name, path, ["o_year"], whole=False, emptied=["o_year=1995"])
+    read = f"{path}-read"
+    write_partitioned(spark.table(name), read)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(read)
+
+
+@query(
+    "dimension_changes",
+    f"""with {SQL_PROFILES} select case when t.customer_key is null then 'insert' when s.customer_key is null
+      then 'delete' else 'update' end as change, coalesce(s.customer_key, t.customer_key) customer_key,
+    t.status before_status, s.status after_status, t.as_of before_as_of, s.as_of after_as_of
+    from tgt t full join src s on t.customer_key = s.customer_key
+    where t.customer_key is null or s.customer_key is null or t.status <> s.status or t.priority <> s.priority
+      or t.as_of <> s.as_of""",
+)
+def dimension_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a merge that also deletes has changed, from the two published versions."""
+    source, target = profiles(spark, sf_dir)
+    path, name = work_dir(spark, "published"), f"profiles_{uuid.uuid4().hex[:12]}"
+    band = F.expr("int(customer_key div 100)")
+    publish_folders(spark, target.withColumn("band", band), name, path, ["band"])
+    merged = scd1_merge(source.withColumn("band", band), spark.table(name), KEY, delete_missing=True)
+    publish_folders(spark, merged, name, path, ["band"])
+    spark.sql(f"DROP TABLE {name}")
+    earlier, later = manifests(spark, path)
+    both = changes_between(spark, path, KEY, earlier, later)
+    sides = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for c in ("status", "as_of") for side in ("before", "after")]
+    return both.select("change", F.coalesce("after.customer_key", "before.customer_key").alias("customer_key"), *sides)
+
+
 @query(
     "scd2_any_order",
     f"""with d as (select * from (select o_custkey customer_key, o_orderstatus status, o_orderpriority priority,
@@ -265,6 +311,41 @@ def order_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_keys(orders, read_layer(spark, path), ["o_orderkey"])
 
 
+@query(
+    "fact_key_lookup",
+    f"""with d as (select * from (select o_custkey k, o_orderstatus status, o_orderpriority priority,
+        make_date(year(o_orderdate), 7, 1) since, row_number() over (partition by o_custkey,
+        year(o_orderdate) order by o_orderdate desc, o_orderkey desc) rn from orders) where rn = 1),
+    c as (select *, lag(status || priority) over (partition by k order by since) b from d),
+    v as (select k, status, priority, since, lead(since) over (partition by k order by since) upto
+      from c where b is null or b <> status || priority)
+    select l_orderkey, l_linenumber, v.since is not null "known", v.status, v.priority, v.since as valid_from
+    from lineitem join orders on l_orderkey = o_orderkey
+      left join v on o_custkey = k and cast(l_shipdate as date) >= since and (upto is null or cast(l_shipdate as date) < upto)""",
+)
+def fact_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the key of their customer's version on the day they were shipped."""
+    orders = table(spark, sf_dir, "orders")
+    yearly = dedup_latest(orders.withColumn("y", F.year("o_orderdate")), ["o_custkey", "y"], ["o_orderdate", "o_orderkey"])
+    history = rebuild_history(
+        yearly.select(
+            F.col("o_custkey").alias("customer_key"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_orderpriority").alias("priority"),
+            F.make_date("y", F.lit(7), F.lit(1)).alias("effective_from"),
+        ),
+        KEY,
+    )
+    identity = [*KEY, "effective_from"]
+    numbers = surrogate_keys(history, spark.createDataFrame([], "customer_key bigint, effective_from date, sk bigint"), identity)
+    versions = history.join(numbers, identity)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    facts = lines.join(orders.select("o_orderkey", F.col("o_custkey").alias("customer_key")), F.col("l_orderkey") == F.col("o_orderkey"))
+    found = fact_keys(facts, versions, KEY, F.to_date("l_shipdate"))
+    back = found.join(versions.drop(*KEY), "sk", "left")
+    return back.select("l_orderkey", "l_linenumber", (F.col("sk") > 0).alias("known"), "status", "priority", F.col("effective_from").alias("valid_from"))
+
+
 RULES = (
     Rule("customer_given", "not_null", "o_custkey"),
     Rule("price_plausible", "range", "o_totalprice", min=5000, max=450000),

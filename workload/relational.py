@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,9 @@ from tierwise.operators.metrics import (
     grouped_aggregates,
     totals_per_key,
 )
+from tierwise.operators.states import LOG_REGISTERS, DailyStates
 from tierwise.plans.report import report_rows
+from tierwise.scratch import work_dir
 from tierwise.spec import JoinStep, OutputSpec
 from workload.registry import query
 from workload.tables import (
@@ -344,6 +349,34 @@ def daily_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.withColumn("total_change", F.round("total_change", 2))
 
 
+STATES = DailyStates(["event_type"], {"total": "cast(value as decimal(18, 4))"}, {"users": "user_id", "events": "event_id"})
+
+
+@query(
+    "daily_distinct",
+    """with d as (select event_type, date_trunc('week', ts) m, case when cast(ts as date) = date '2024-01-10' then value * 2
+        else value end v from events where cast(ts as date) <> date '2024-01-11')
+    select cast(m as date) as "week", event_type, count(*) n, sum(cast(v as decimal(18, 4))) total, true as within_error
+    from d group by 1, 2""",
+)
+def daily_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks summed up from the days' states, after a day was corrected and another one emptied; the estimate
+    of distinct values held against the exact number, within three standard errors."""
+    path, day = work_dir(spark, "states"), F.to_date("ts")
+    events = table(spark, sf_dir, "events")
+    STATES.replace(path, events, day)
+    corrected, emptied = datetime.date(2024, 1, 10), datetime.date(2024, 1, 11)
+    again = events.filter(day == F.lit(corrected)).withColumn("value", F.col("value") * 2)
+    STATES.replace(path, again, day, [corrected, emptied])
+    found = STATES.totals(spark, path, by=[F.trunc("date_id", "week").alias("week"), "event_type"])
+    exact = events.filter(day != F.lit(emptied)).groupBy(F.trunc(day, "week").alias("week"), "event_type")
+    counts = [F.count_distinct(c).alias(f"exact_{n}") for n, c in (("users", "user_id"), ("events", "event_id"))]
+    both = found.join(exact.agg(*counts), ["week", "event_type"], "left")
+    error = 3 * 1.04 / math.sqrt(2**LOG_REGISTERS)
+    near = [F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.greatest(F.lit(1.0), error * F.col(f"exact_{n}")) for n in ("users", "events")]
+    return both.select("week", "event_type", "n", "total", (near[0] & near[1]).alias("within_error"))
+
+
 SQL_GROUPED = """select o_orderstatus, o_orderpriority, count(*) n, round(sum(o_totalprice), 2) total
     from orders group by %s (o_orderstatus, o_orderpriority)"""
 
