@@ -1,10 +1,12 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tierwise.plans.incremental import ingest_new
 from tierwise.plans.report import publish_silver
 from tierwise.sources.files import feed_files, ingest, ingest_all, list_files, read_layer
-from tierwise.sources.ledger import FileLedger
+from tierwise.sources.ledger import Claims, FileLedger
 from tierwise.spec import DatasetSpec, Rule, SpecError
 from tierwise.streaming.ingest import feed_stream, stream_to_silver
 from workload.tables import drop_feed
@@ -172,6 +174,59 @@ def test_incremental_ingest_repeats_safely(spark, feed, tmp_path, monkeypatch):
     assert ingest_new(spark, things, ledger, "b3") == 1 and silver() == ["1", "2", "3", "8"]
 
 
+def test_runs_side_by_side_and_one_that_dies(spark, feed, tmp_path, monkeypatch):
+    """Every file is published by one run, whichever comes when; a dead run's days wait until its claim is old."""
+    from tierwise.plans import incremental
+
+    things = spec(feed, schema=SCHEMA, output_path=str(tmp_path / "silver"))
+    ledger = FileLedger(spark, str(tmp_path / "ledger"))
+    now, read, real = [0.0], [], incremental.publish_days
+
+    def run(owner, inside=None):
+        def publish(spark, spec, listing, mine):
+            if inside:
+                inside()
+            real(spark, spec, listing, mine)
+            read.extend((owner, r.file_name) for r in mine.collect())
+
+        with monkeypatch.context() as patched:
+            patched.setattr(incremental, "publish_days", publish)
+            claims = Claims(spark, str(tmp_path / "claims"), owner, 100, lambda: time.time() + now[0])
+            return ingest_new(spark, things, ledger, owner, claims)
+
+    def dies():
+        raise OSError("lost")
+
+    def meanwhile():
+        (feed / "things_20240109080808.csv").write_text("id,v\n9,i\n")
+        assert run("b") == 1  # the new day; the others are being worked on
+
+    assert run("a", meanwhile) == 2
+    assert sorted(read) == [("a", "things_20240101060606.csv"), ("a", "things_20240102080808.csv"), ("b", "things_20240109080808.csv")]
+    (feed / "things_20240102090909.csv").write_text("id,v\n8,h\n")
+    (feed / "things_20240103090909.csv").write_text("id,v\n7,h\n")
+    with pytest.raises(OSError, match="lost"):
+        run("c", dies)
+    assert run("d") == 0 and len(read) == 3
+    now[0] = 200.0
+    assert run("e") == 2 and sorted(read[3:]) == [("e", "things_20240102090909.csv"), ("e", "things_20240103090909.csv")]
+    assert run("f") == 0
+    assert sorted(r.id for r in spark.read.parquet(things.output_path).collect()) == ["1", "2", "3", "7", "8", "9"]
+
+
+def test_claims(spark, tmp_path):
+    now = [0.0]
+    a, b = (Claims(spark, str(tmp_path / "claims"), n, 100, lambda: time.time() + now[0]) for n in "ab")
+    assert a.claim(["d1", "d2"]) == ["d1", "d2"] and b.claim(["d2", "d3"]) == ["d3"]
+    assert a.claim(["d1", "d3"]) == ["d1"] and a.holds("d1") and not b.holds("d1")
+    a.release(["d1", "d3"])  # the latter is not its own
+    assert b.claim(["d1"]) == ["d1"] and not a.holds("d1") and b.holds("d3")
+    now[0] = 150.0
+    assert not a.holds("d2") and b.claim(["d2"]) == ["d2"]
+    now[0] = 0.0
+    assert not a.holds("d2")  # taken over
+
+
 @pytest.mark.parametrize(
     "fmt, text, options, expected",
     [

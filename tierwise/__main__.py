@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from tierwise.plans.dimension import initial_load, merge_dimension
 from tierwise.plans.incremental import ingest_new
 from tierwise.plans.report import run_report
-from tierwise.sources.ledger import FileLedger
+from tierwise.sources.ledger import Claims, FileLedger
 from tierwise.spec import DatasetSpec, ReportSpec, ScdSpec, as_tuple, load_json
 from tierwise.streaming.ingest import stream_to_silver
 from tierwise.streaming.merge import StreamedDimension
@@ -55,7 +55,8 @@ def incremental(spark: SparkSession, config: dict, args: argparse.Namespace) ->
     ledger = FileLedger(spark, config["ledger"])
     batch = args.batch or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d%H%M%S")
     for name, cfg in config["datasets"].items():
-        log.info("%s: %d new files", name, ingest_new(spark, DatasetSpec.from_dict(name, cfg), ledger, batch))
+        claims = Claims(spark, f"{config['claims'].rstrip('/')}/{name}", batch) if "claims" in config else None
+        log.info("%s: %d new files", name, ingest_new(spark, DatasetSpec.from_dict(name, cfg), ledger, batch, claims))
 
 
 def stream(spark: SparkSession, config: dict, args: argparse.Namespace) -> None:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierwise.plans.report import publish_silver
 from tierwise.sources.files import day_files, feed_files, read_feed
-from tierwise.sources.ledger import FileLedger
+from tierwise.sources.ledger import Claims, FileLedger
 from tierwise.spec import DatasetSpec
 
 
@@ -24,19 +26,45 @@ def publish_days(spark: SparkSession, spec: DatasetSpec, listing: DataFrame, fre
         publish_silver(spark, {spec.name: frame}, {spec.name: everything})
 
 
-def ingest_new(spark: SparkSession, spec: DatasetSpec, ledger: FileLedger, batch_id: str) -> int:
+def ingest_new(
+    spark: SparkSession, spec: DatasetSpec, ledger: FileLedger, batch_id: str, claims: Claims | None = None
+) -> int:
     """Publish the days new files belong to and record those files; returns how many.
 
     The batch's files are recorded as ``found`` first, so that those which arrive meanwhile are left
-    to the next batch, and as ``done`` in the end.
+    to the next batch, and as ``done`` in the end.  With ``claims`` several runs may work on the feed at
+    once: a run takes the days that no other has, looks again which of their files are new, and leaves
+    the rest.  What a run that died had claimed is taken over when its claims are too old.
     """
-    listing = feed_files(spark, spec)
+    day = F.substring("stamp", 1, 8)
+    if claims is None:
+        return _ingest_listed(spark, spec, ledger, batch_id, feed_files(spark, spec))
+    fresh = ledger.unprocessed(feed_files(spark, spec).filter("dated"), spec.name)
+    mine = claims.claim([r[0] for r in fresh.select(day).distinct().collect()])  # one row for each day
+    if not mine:
+        return 0
+    listing = feed_files(spark, spec).filter(day.isin(mine))
+    n = _ingest_listed(spark, spec, ledger, batch_id, listing, lambda: all(map(claims.holds, mine)))
+    claims.release(mine)
+    return n
+
+
+def _ingest_listed(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    ledger: FileLedger,
+    batch_id: str,
+    listing: DataFrame,
+    may_publish: Callable[[], bool] = lambda: True,
+) -> int:
     fresh = ledger.unprocessed(listing.filter("dated"), spec.name)
     ledger.record(fresh, spec.name, batch_id, "found")
     found = ledger.of_batch(spec.name, batch_id)
-    n = found.count()
+    mine = listing.join(found.select("file_name"), "file_name", "left_semi")
+    n = mine.count()
     if n:
-        mine = listing.join(found.select("file_name"), "file_name", "left_semi")
+        if not may_publish():
+            raise RuntimeError(f"dataset {spec.name}: batch {batch_id} took too long and lost its days to another run")
         publish_days(spark, spec, listing, mine)
         ledger.record(mine, spec.name, batch_id)
     return n

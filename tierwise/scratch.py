@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -97,6 +98,26 @@ def write_once(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one; whether this call did.  Of several callers one does."""
+    fs, target = hadoop_path(spark, path)
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    return True
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When the file was written, in seconds since 1970."""
+    fs, target = hadoop_path(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small file; None if it does not exist."""
     fs, target = hadoop_path(spark, path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierwise.scratch import work_dir
 from tierwise.streaming.ingest import stream_to_silver
+from tierwise.streaming.joins import StreamSide, StreamStep, join_streams
 from tierwise.streaming.merge import StreamedDimension
 from tierwise.streaming.windows import (
     deduplicated,
@@ -135,3 +136,39 @@ def stream_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension.start(arrivals, f"{root}/checkpoint").awaitTermination()
     dimension.compact()
     return dimension.base()
+
+
+@query(
+    "stream_join",
+    """select c.event_id, v.event_id view_id, p.event_id purchase_id
+    from events c left join events v on v.event_type = 'view' and v.user_id = c.user_id
+        and v.ts between c.ts and c.ts + interval 2 hours
+      left join events p on p.event_type = 'purchase' and p.user_id = c.user_id
+        and p.ts between c.ts - interval 1 hour and c.ts + interval 3 hours
+    where c.event_type = 'click'""",
+)
+def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each click with its user's views and purchases around it, or none; three streams, joined in a chain.
+
+    A last row of each stream, long after all others, lets the watermark pass them.
+    """
+    root = work_dir(spark, "join")
+    last = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts"))
+    end = last.select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    end.write.parquet(f"{root}/end")
+    marker = spark.readStream.schema(end.schema).parquet(f"{root}/end")
+    utc = F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z")))
+
+    def side(event_type: str) -> StreamSide:
+        rows = events(spark, sf_dir).filter(F.col("event_type") == event_type).select("event_id", "user_id", "ts")
+        return StreamSide(rows.unionByName(marker.withColumn("ts", utc)), "ts", "1 hour")
+
+    sides = {"clicks": side("click"), "views": side("view"), "purchases": side("purchase")}
+    steps = [
+        StreamStep("clicks", "views", ("user_id",), ("user_id",), after="2 hours"),
+        StreamStep("clicks", "purchases", ("user_id",), ("user_id",), before="1 hour", after="3 hours"),
+    ]
+    names = {"clicks": "event_id", "views": "view_id", "purchases": "purchase_id"}
+    rows = join_streams(sides, steps).select(*[F.col(f"{n}_table.event_id").alias(c) for n, c in names.items()])
+    # filtered when all is done: a filter of the stream would be pushed below the watermark
+    return _finished(spark, rows, "joined").filter("event_id >= 0")
