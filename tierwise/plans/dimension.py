@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +14,8 @@ from pyspark.sql.types import DateType
 from tierwise import scratch
 from tierwise.functions.columns import date_id_from_name, drop_file_columns, file_stamp, with_date_id
 from tierwise.operators.keys import dedup_latest, require_unique, split_null_keys
-from tierwise.operators.scd1 import measured_bytes, prepared_source, scd1_merge
-from tierwise.operators.scd2 import VERSION_COLUMNS, late_rows, open_versions, scd2_merge, splice_versions
+from tierwise.operators.scd1 import measured_bytes, prepared_source, require_columns, scd1_merge
+from tierwise.operators.scd2 import VERSION_COLUMNS, late_rows, open_versions, rebuild_history, scd2_merge, splice_versions
 from tierwise.scratch import path_exists
 from tierwise.sinks.publish import (
     finish_days,
@@ -262,7 +262,7 @@ def _merge_versions(
     types = {f.name: f.dataType for f in current.schema}
     delivered = split_null_keys(source, keys)[0].select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
     delivered = delivered.unionByName(read_seen(spark, path, [effective] if effective in days else [], current, keys).select(*keys))
-    beside = {f"{SEEN}/day={effective.isoformat()}": delivered.distinct()}
+    beside = {f"{SEEN}/day={effective.isoformat()}": (delivered.distinct(), ())}
     stage_folders(spark, path, rows, ["is_current", "effective_to"], folders, beside)
     finish_days(spark, path)
     if spliced:
@@ -270,6 +270,52 @@ def _merge_versions(
     return read_history(spark, path).count()
 
 
+def append_days(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    keys: Sequence[str],
+    exclude: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+) -> int:
+    """Merge rows of several days, each with its ``effective_from``, into a type 2 dimension in one pass.
+
+    All days are later than any that was delivered before: the current versions and the rows of a key are
+    sequenced together, closed folders are not read, and the days' own are added.  The same as one merge for
+    each day, and published like it.  Returns the number of days.
+    """
+    path = path.rstrip("/")
+    finish_days(spark, path)
+    extra = [c for c in order_by if c not in rows.columns]
+    if extra:
+        raise ValueError(f"{path}: no columns {', '.join(extra)} to order by")
+    named = split_null_keys(rows, keys)[0]
+    days = sorted(r[0] for r in named.select("effective_from").distinct().collect())  # one row for each day
+    if not days:
+        return 0
+    helpers = {*VERSION_COLUMNS, *order_by}
+    columns = [c for c in rows.columns if c not in helpers]
+    if path_exists(spark, f"{path}/{CURRENT}"):
+        current = read_history(spark, path).filter("is_current")
+        newest = max([current.agg(F.max("effective_from")).first()[0], *delivered_days(spark, path)])
+        if days[0] <= newest:
+            raise ValueError(f"{path}: rows of {days[0]}, and {newest} was delivered before")
+        require_columns(rows, current, derived=VERSION_COLUMNS)
+        columns = [c for c in current.columns if c not in VERSION_COLUMNS]
+        types = {f.name: f.dataType for f in current.schema}
+        named = named.select(*[F.col(c).cast(types[c]).alias(c) for c in columns], "effective_from", *order_by)
+        everything = current.select(*columns, "effective_from").unionByName(named, allowMissingColumns=True)
+    else:
+        scratch.write_text(spark, f"{path}/{SEEN}/{FROM_START}", "")
+        everything = named
+    versions = rebuild_history(everything, keys, exclude=exclude, sequence_by=order_by)
+    seen = named.select(*keys, F.col("effective_from").alias("day")).distinct()
+    folders = [CURRENT, *map(closed_folder, days)]
+    stage_folders(spark, path, versions, ["is_current", "effective_to"], folders, {SEEN: (seen, ["day"])})
+    finish_days(spark, path)
+    return len(days)
+
+
 def closed_folder(day: datetime.date) -> str:
     return f"is_current=false/effective_to={day.isoformat()}"
 

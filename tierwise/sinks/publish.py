@@ -188,10 +188,10 @@ def stage_folders(
     df: DataFrame | None,
     columns: Sequence[str],
     folders: Iterable[str],
-    beside: Mapping[str, DataFrame] | None = None,
+    beside: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None,
 ) -> None:
     """Write the new content of ``folders`` of ``path`` aside: ``df`` by ``columns``, and frames for folders of
-    their own.
+    their own, each with the columns that it is partitioned by there, if any.
 
     ``df`` may read ``path`` and has rows of these folders only; one without rows will go.  The list of
     folders is written last: with it the stage is complete, and ``finish_days`` can be repeated until it
@@ -206,9 +206,10 @@ def stage_folders(
     if strays := {leaf for leaf in leaves if not any(leaf == f or leaf.startswith(f"{f}/") for f in folders)}:
         scratch.delete(spark, staging)
         raise RuntimeError(f"{path}: rows of folders that were not to be replaced: {sorted(strays)}")
-    for name, frame in (beside or {}).items():
-        write_partitioned(frame, f"{staging}/{name}")
-        replaced.add(name)
+    for name, (frame, parts) in (beside or {}).items():
+        write_partitioned(frame, f"{staging}/{name}", partition_by=parts)
+        leaves = partition_folders(spark, f"{staging}/{name}", len(parts)) if parts else []
+        replaced |= {f"{name}/{leaf}" for leaf in leaves} if parts else {name}
     plan = {"replaced": sorted(replaced), "emptied": sorted(folders - replaced)}
     scratch.write_text(spark, f"{staging}/{PLAN}", json.dumps(plan))
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.scratch import work_dir
+from tierwise.scratch import make_parents, work_dir
 from tierwise.streaming.ingest import stream_to_silver
 from tierwise.streaming.joins import StreamSide, StreamStep, join_streams
-from tierwise.streaming.merge import StreamedDimension
+from tierwise.streaming.merge import StreamedDimension, StreamedHistory
 from tierwise.streaming.windows import (
     deduplicated,
     run_available,
@@ -20,7 +22,7 @@ from tierwise.streaming.windows import (
 )
 from tierwise.sources.files import read_layer
 from tierwise.spec import DatasetSpec
-from workload.merges import KEY, SQL_MERGED
+from workload.merges import KEY, SQL_HASH, SQL_MERGED
 from workload.registry import query
 from workload.tables import EARLY, LATE, drop_feed, profiles, table, table_stream
 
@@ -172,3 +174,44 @@ def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = join_streams(sides, steps).select(*[F.col(f"{n}_table.event_id").alias(c) for n, c in names.items()])
     # filtered when all is done: a filter of the stream would be pushed below the watermark
     return _finished(spark, rows, "joined").filter("event_id >= 0")
+
+
+@query(
+    "stream_scd2",
+    f"""with d as (select * from (select o_custkey customer_key, o_orderstatus status, o_orderpriority priority,
+        make_date(year(o_orderdate), month(o_orderdate) // 7 * 6 + 1, 1) effective_from, row_number() over (partition by
+        o_custkey, year(o_orderdate), month(o_orderdate) // 7 order by o_orderdate desc, o_orderkey desc) rn from orders)
+        where rn = 1),
+    h as (select *, {SQL_HASH.format('')} row_hash from d),
+    c as (select *, lag(row_hash) over (partition by customer_key order by effective_from) b from h),
+    v as (select * from c where b is null or b <> row_hash)
+    select customer_key, status, priority, effective_from,
+      lead(effective_from) over (partition by customer_key order by effective_from) effective_to,
+      lead(effective_from) over (partition by customer_key order by effective_from) is null is_current,
+      row_hash from v""",
+)
+def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of half-years as changes of customers, in three arrivals that overlap; days are closed after each."""
+    root = work_dir(spark, "history")
+    ordered = F.col("o_orderdate")
+    half = F.make_date(F.year(ordered), F.expr("month(o_orderdate) div 7 * 6 + 1"), F.lit(1))
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_key"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
+        half.cast("timestamp").alias("at"),
+        ordered.cast("string").alias("placed"),
+        "o_orderkey",
+    )
+    keys, order = ["customer_key"], ["placed", "o_orderkey"]
+    history = StreamedHistory(spark, f"{root}/history", f"{root}/changes", keys, "at", datetime.timedelta(days=600), order)
+    make_parents(spark, f"{root}/arrivals/first")
+    arrivals = spark.readStream.schema(rows.schema).parquet(f"{root}/arrivals")
+    year, third = F.year("at"), F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    first, overlap = year < 1998, year.between(1998, 1999)
+    for part in (first | overlap & (third == 0), overlap & (third > 0) | (year == 2000) & (third == 0), (year == 2000) & (third > 0) | (year > 2000)):
+        rows.filter(part).write.mode("append").parquet(f"{root}/arrivals")
+        history.start(arrivals, f"{root}/checkpoint").awaitTermination()
+        history.compact()
+    history.compact(everything=True)
+    return history.history()
