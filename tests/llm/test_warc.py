@@ -2,6 +2,7 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierwise.llm import warc
 
@@ -60,6 +61,41 @@ def test_files_to_files(spark, tmp_path):
     assert rows["http://h/0"].refers_to_record == rows["http://h/2"].record_id
     assert rows["http://h/0"].payload_digest == hashlib.sha256(body).hexdigest()
     assert rows["http://h/other"].record_type == "resource" and rows["http://h/other"].payload_bytes == 200
+    assert {r.payload_bytes for r in rows.values()} == {200}
+
+
+def test_lengths_of_revisits_are_measured(spark, tmp_path):
+    """Whatever the HTTP head says of its length, or does not."""
+    heads = [b"Content-Length: 200\r\n", b"content-length: 200\r\n", b"", b"Content-Length: 17\r\n"]
+    body = b"y" * 200
+    records = [(b"http://h/%d" % i, b"20200101000000", b"text/html", b"HTTP/1.1 200 OK\r\n%s\r\n" % h + body) for i, h in enumerate(heads)]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "one.arc").write_bytes(archive(2, *records))
+    warc.write_warc(warc.with_revisits(warc.convert(spark.read.format("binaryFile").load(str(tmp_path / "arc")))), str(tmp_path / "warc"))
+    rows = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert sorted(r.record_type for r in rows) == ["response", "revisit", "revisit", "revisit"]
+    assert [r.payload_bytes for r in rows] == [200] * 4
+
+
+def test_files_are_cut_by_bytes_and_have_a_member_for_each_record(spark, tmp_path, monkeypatch):
+    pages = spark.range(20).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("concat(id div 2, repeat('large page ', 300000))").alias("html")
+    )
+    archives = warc.pages_as_arc(pages.coalesce(1))
+    sizes = [r.n for r in archives.select(F.length("content").alias("n")).collect()]
+    assert max(sizes) < warc.ARC_BYTES + 4_000_000 and len(sizes) == 7
+    records = warc.with_revisits(warc.convert(archives))
+    monkeypatch.setattr(warc, "WARC_BYTES", 30_000)
+    warc.write_warc(records.coalesce(1), str(tmp_path / "warc"))
+    files = sorted((tmp_path / "warc").glob("part-*"))
+    assert len(files) > 1
+    found = []
+    for file in files:
+        content = file.read_bytes()
+        assert len(list(warc.members(content))) == len(list(warc.parse_warc(gzip.decompress(content)))) + 1  # and the empty one
+        found += [f["warc-type"] for f, _ in warc.parse_warc(gzip.decompress(content))]
+    assert sorted(found) == ["response"] * 10 + ["revisit"] * 10
+    assert warc.read_warc(spark, str(tmp_path / "warc")).filter("payload_bytes > 3000000").count() == 20
 
 
 def test_damaged_warc_is_an_error():

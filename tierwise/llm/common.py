@@ -15,6 +15,8 @@ from tierwise.scratch import work_dir
 
 #: Rows of one slice of an Arrow batch; texts of a slice are Python objects at the same time.
 SLICE_ROWS = 500
+#: Bytes and rows after which a batch of rows with large values is given out.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 #: Rows of a file of a small table.
 ROWS_PER_FILE = 500_000
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
@@ -93,6 +95,24 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def batches_of(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of bounded bytes; the last value of a row says how many it has."""
+    held: list[list] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema, strict=True)], schema=schema)
+
+    for *row, n_bytes in rows:
+        held.append(row)
+        size += n_bytes
+        if size > BATCH_BYTES or len(held) >= BATCH_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 def written(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """``frame`` as a new table in the shared folder: computed once, lineage ends there."""
     return written_to(frame, work_dir(frame.sparkSession, label), rows)

@@ -26,14 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import arrow_schema, id_and_text, map_arrow, written
+from tierwise.llm.common import arrow_schema, batches_of, id_and_text, map_arrow, written
 
 #: Bytes of contents and numbers that a table holds before it is spilled.
 TABLE_BYTES = 64 << 20
 #: Bits of the hash that a level of spill files is dealt by, and levels until they are used up.
 LEVEL_BITS, LEVELS = 4, 16
-#: Bytes and rows after which an Arrow batch is given out.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 1000
 
 SPACE = re.compile(rb"[\x20\x09-\x0d]+")
 HEADER = struct.Struct("<QII")
@@ -157,20 +155,6 @@ def grouped_in_task(records: Iterator[Record], budget: int) -> Iterator[Record]:
         shutil.rmtree(folder, ignore_errors=True)
 
 
-def batches_of(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of bounded bytes; the last value of a row says how many it has."""
-    held: list[tuple] = []
-    size = 0
-    for *row, n_bytes in rows:
-        held.append(row)
-        size += n_bytes
-        if size > BATCH_BYTES or len(held) >= BATCH_ROWS:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema, strict=True)], schema=schema)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema, strict=True)], schema=schema)
-
-
 def normalised(text: bytes) -> bytes:
     """Each run of ASCII white space as one space."""
     return SPACE.sub(b" ", text)

@@ -7,9 +7,9 @@ file's name and the record's place, the timestamp in ISO form, the type, and the
 the payload.  Of equal payloads the one of the smallest page id is kept, the others become
 ``revisit`` records that refer to it.
 
-WARC files are written by Spark's text writer, whose line separator is the format's end of a
-record, one gzip stream a file; an archive is read as a whole by one task, so that files get
-``RECORDS_PER_FILE`` records at most.
+Records are written once as a table; which of them are copies is found from their digests and ids
+alone, and payloads that stay are not moved.  Every record is a gzip member of its own, so files can be
+read record by record.  Archives and files are cut by their bytes: one of a larger record has only that.
 """
 
 from __future__ import annotations
@@ -21,13 +21,15 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import SLICE_ROWS, arrow_schema, map_arrow
+from tierwise.llm.common import arrow_schema, batches_of, map_arrow, written
+from tierwise.llm.membership import without_keys
 
-#: Records of one WARC file, and bytes from which a payload may be replaced by a revisit.
-RECORDS_PER_FILE, LEAST_REVISIT = 5_000, 100
+#: Bytes after which an ARC archive and a WARC file (compressed) end, and from which a payload may be replaced by a revisit.
+ARC_BYTES, WARC_BYTES, LEAST_REVISIT = 8 << 20, 32 << 20, 100
 # The formats' own words.
 FIELDS = {
     1: ("url", "ip", "date", "mime", "length"),
@@ -37,6 +39,8 @@ FIELD_LINE = {
     1: b"URL IP-address Archive-date Content-type Archive-length",
     2: b"URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+# This library's own header field of a revisit: the bytes of the payload that it stands for.
+PAYLOAD_LENGTH = "X-Payload-Length"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 UNSAFE = re.compile(rb"[\x00-\x20\x7f]")
 CRLF = b"\r\n"
@@ -110,20 +114,27 @@ def pages_as_arc(pages: DataFrame) -> DataFrame:
     arrow = arrow_schema("path string, content binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        task, n, records, size = TaskContext.get().partitionId(), 0, [], 0
+        head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%sContent-Length: %d\r\n\r\n"
+
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"path": [name], "content": [b"".join(records)]}, schema=arrow)
 
-        task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS).to_pydict()
-                version, name = 1 + n % 2, f"pages-{task:06d}-{n:06d}.arc"
-                n += 1
-                records = [arc_start(name, version)]
-                for page_id, url, html, date in zip(part["page_id"], part["url"], part["html"], part["date"], strict=True):
-                    known = b"" if page_id is None else b"X-Page-Id: %d\r\n" % page_id
-                    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%sContent-Length: %d\r\n\r\n"
-                    records.append(arc_record(version, url, date, b"text/html", head % (known, len(html)) + html))
-                yield pa.RecordBatch.from_pydict({"path": [name], "content": [b"".join(records)]}, schema=arrow)
+            for i in range(batch.num_rows):
+                page_id, url, html, date = (batch.column(c)[i].as_py() for c in range(4))
+                if not records:
+                    version, name = 1 + n % 2, f"pages-{task:06d}-{n:06d}.arc"
+                    n += 1
+                    records = [arc_start(name, version)]
+                known = b"" if page_id is None else b"X-Page-Id: %d\r\n" % page_id
+                records.append(arc_record(version, url, date, b"text/html", head % (known, len(html)) + html))
+                size += len(records[-1])
+                if size >= ARC_BYTES:
+                    yield archive()
+                    records, size = [], 0
+        if records:
+            yield archive()
 
     return map_arrow(rows, run, "path string, content binary")
 
@@ -174,80 +185,109 @@ def convert(archives: DataFrame) -> DataFrame:
     arrow = arrow_schema(RECORD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                path, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                records = [converted(path, *r) for r in parse_arc(unzipped(content), path)]
-                for start in range(0, len(records), SLICE_ROWS):
-                    yield pa.RecordBatch.from_pylist(records[start : start + SLICE_ROWS], schema=arrow)
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    path, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                    for found in parse_arc(b"".join(members(content)), path):
+                        record = converted(path, *found)
+                        yield *(record[name] for name in arrow.names), len(found[2]) + 1000
+
+        yield from batches_of(rows(), arrow)
 
     return map_arrow(archives.select("path", "content"), run, RECORD)
 
 
-def unzipped(content: bytes) -> bytes:
-    """The content of a gzip file of any number of members; other content as it is."""
-    parts = []
+def members(content: bytes) -> Iterator[bytes]:
+    """The contents of a gzip file's members, one at a time; other content as it is."""
     while content[:2] == b"\x1f\x8b":
         stream = zlib.decompressobj(31)
-        parts.append(stream.decompress(content))
+        yield stream.decompress(content)
         content = stream.unused_data
-    return b"".join([*parts, content]) if parts else content
+    if content.strip(b"\x00"):
+        yield content
 
 
 def with_revisits(records: DataFrame, least_bytes: int = LEAST_REVISIT) -> DataFrame:
     """Responses of ``least_bytes`` or more whose payload another one has too become revisits of the one
-    with the smallest page id (then record id; those without a page id come last).
+    with the smallest page id (then record id; those without a page id come last), as ``first`` says; they have
+    no payload any more.
 
-    The first of each digest is aggregated, then joined back: one payload's many copies are split
-    by the join.
+    Only digests, ids and heads are joined; a payload of which one digest has very many copies is split by the
+    join.  Of the records only copies, and the few that a filter cannot tell from them, are moved.
     """
+    records = written(records, "records")
+    narrow = records.drop("payload")
     entry = F.struct(
         F.col("page_id").isNull().alias("no_id"), "page_id", "record_id", "target_uri", F.col("warc_date").alias("date")
     )
-    large = records.filter(F.col("payload_bytes") >= least_bytes).filter("record_type = 'response'")
+    large = narrow.filter(F.col("payload_bytes") >= least_bytes).filter("record_type = 'response'")
     first = large.groupBy("payload_digest").agg(F.min(entry).alias("first"))
-    marked = records.join(first, "payload_digest", "left")
-    is_copy = (
-        (F.col("record_type") == "response")
-        & (F.col("payload_bytes") >= least_bytes)
-        & (F.col("first.record_id") != F.col("record_id"))
-    )
-    return marked.withColumn("first", F.when(is_copy, F.col("first"))).withColumn(
-        "record_type", F.when(is_copy, "revisit").otherwise(F.col("record_type"))
-    )
+    copies = large.select("record_id", "payload_digest").distinct().join(first, "payload_digest")
+    copies = written(copies.filter("first.record_id <> record_id").select("record_id", "first"), "copies")
+    revisits = narrow.join(copies, "record_id").withColumns({"record_type": F.lit("revisit"), "payload": F.lit(None).cast("binary")})
+    others = without_keys(records, F.col("record_id"), copies.select(F.col("record_id").alias("row_key")))
+    return others.withColumn("first", F.lit(None).cast(copies.schema["first"].dataType)).unionByName(revisits)
+
+
+def warc_record(row: dict) -> bytes:
+    """A record of ``with_revisits`` with its header, block and end."""
+    first = row["first"]
+    block = row["http_head"] + (row["payload"] or b"")
+    lines = [
+        ("WARC-Type", row["record_type"]),
+        ("WARC-Record-ID", f"<{row['record_id']}>"),
+        ("WARC-Date", row["warc_date"]),
+        ("WARC-Target-URI", row["target_uri"]),
+        ("WARC-IP-Address", row["ip"]),
+        ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"),
+    ]
+    if first is not None:
+        lines += [
+            ("WARC-Refers-To", f"<{first['record_id']}>"),
+            ("WARC-Refers-To-Target-URI", first["target_uri"]),
+            ("WARC-Refers-To-Date", first["date"]),
+            ("WARC-Profile", REVISIT_PROFILE),
+            (PAYLOAD_LENGTH, row["payload_bytes"]),
+        ]
+        if first["page_id"] is not None:
+            lines.append(("X-Refers-To-Page-Id", first["page_id"]))
+    lines += [("Content-Type", row["block_type"]), ("Content-Length", len(block))]
+    head = "".join(f"{name}: {value}\r\n" for name, value in lines)
+    return b"WARC/1.1\r\n" + head.encode() + CRLF + block + CRLF * 2
+
+
+def gzipped(record: bytes) -> bytes:
+    stream = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return stream.compress(record) + stream.flush()
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Write the records of ``with_revisits`` as gzipped WARC files below ``path``."""
-
-    def line(name: str, value):
-        return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-
-    revisit = F.col("record_type") == "revisit"
-    block = F.concat(F.col("http_head"), F.when(revisit, F.lit("").cast("binary")).otherwise(F.col("payload")))
-    refers = F.concat(
-        line("WARC-Refers-To", F.concat(F.lit("<"), F.col("first.record_id"), F.lit(">"))),
-        line("WARC-Refers-To-Target-URI", F.col("first.target_uri")),
-        line("WARC-Refers-To-Date", F.col("first.date")),
-        line("WARC-Profile", F.lit(REVISIT_PROFILE)),
-        F.coalesce(line("X-Refers-To-Page-Id", F.col("first.page_id").cast("string")), F.lit("")),
-    )
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<"), F.col("record_id"), F.lit(">"))),
-        line("WARC-Date", F.col("warc_date")),
-        line("WARC-Target-URI", F.col("target_uri")),
-        line("WARC-IP-Address", F.col("ip")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
-        F.when(revisit, refers).otherwise(F.lit("")),
-        line("Content-Type", F.col("block_type")),
-        line("Content-Length", F.octet_length("block").cast("string")),
-        F.lit("\r\n"),
-    )
-    rows = records.withColumn("block", block).select(F.concat(head.cast("binary"), F.col("block")).cast("string").alias("value"))
-    writer = rows.write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    """Write the records of ``with_revisits`` as WARC files below ``path``, a gzip member each.
+
+    A file is one value of Spark's text writer, whose line separator is the file's last byte: the member that
+    ends it is empty, so that is a zero.  A repeated task's files replace those of its first try, by Spark's
+    commit.
+    """
+    arrow = arrow_schema("value binary")
+    last = gzipped(b"")
+    names = ["record_id", "record_type", "target_uri", "warc_date", "ip", "block_type", "http_head", "payload", "payload_bytes", "payload_digest", "first"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(c)[i].as_py() for c, name in enumerate(names)}
+                parts.append(gzipped(warc_record(row)))
+                size += len(parts[-1])
+                if size >= WARC_BYTES:
+                    yield pa.RecordBatch.from_pydict({"value": [b"".join([*parts, last[:-1]])]}, schema=arrow)
+                    parts, size = [], 0
+        if parts:
+            yield pa.RecordBatch.from_pydict({"value": [b"".join([*parts, last[:-1]])]}, schema=arrow)
+
+    files = map_arrow(records.select(*names), run, "value binary").select(F.col("value").cast("string").alias("value"))
+    files.write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 # ---- reading back
@@ -273,14 +313,14 @@ def parse_warc(content: bytes, name: str = "") -> Iterator[tuple[dict[str, str],
 
 
 def read_record(path: str, fields: dict[str, str], block: bytes) -> dict:
-    """A record's row.  A payload must have the digest that the record declares; a revisit has none,
-    its length is that of the HTTP head."""
+    """A record's row.  A payload must have the digest that the record declares; a revisit has none, and its
+    length is what the conversion measured (null in other writers' revisits, which do not say it)."""
     http, kind = fields["content-type"].startswith("application/http"), fields["warc-type"]
     head, payload = http_parts(block) if http else (b"", block)
     digest = fields["warc-payload-digest"].removeprefix("sha256:")
     if kind != "revisit" and hashlib.sha256(payload).hexdigest() != digest:
         raise ValueError(f"{path}: the payload of {fields['warc-record-id']} has another digest")
-    refers = fields.get("x-refers-to-page-id")
+    refers, measured = fields.get("x-refers-to-page-id"), fields.get(PAYLOAD_LENGTH.lower())
     return {
         "path": path,
         "record_id": fields["warc-record-id"].strip("<>"),
@@ -288,7 +328,7 @@ def read_record(path: str, fields: dict[str, str], block: bytes) -> dict:
         "target_uri": fields["warc-target-uri"],
         "warc_date": fields["warc-date"],
         "page_id": http_header(head, b"X-Page-Id"),
-        "payload_bytes": http_header(head, b"Content-Length") if kind == "revisit" else len(payload),
+        "payload_bytes": len(payload) if kind != "revisit" else int(measured) if measured else None,
         "payload_digest": digest,
         "refers_to_record": fields.get("warc-refers-to", "").strip("<>") or None,
         "refers_to": int(refers) if refers else None,
@@ -300,11 +340,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     arrow = arrow_schema(READ)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                name, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows = [read_record(name, *r) for r in parse_warc(unzipped(content), name)]
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    name = batch.column(0)[i].as_py()
+                    for member in members(batch.column(1)[i].as_py()):
+                        for found in parse_warc(member, name):
+                            record = read_record(name, *found)
+                            yield *(record[c] for c in arrow.names), 1000
+
+        yield from batches_of(rows(), arrow)
 
     files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
     return map_arrow(files, run, READ)
