@@ -49,9 +49,9 @@ class Run:
                 patch.stop()
 
 
-def steps_until_done(tmp_path):
-    """(number, run) for a run that stops at once, after one change, and so on, until one is not stopped."""
-    for after in range(100):
+def steps_until_done(tmp_path, every=1):
+    """(number, run) for a run that stops at once, after ``every`` more changes, and so on, until one is not stopped."""
+    for after in range(0, 100, every):
         run = Run(f"{tmp_path}/stop{after}", after)
         yield after, run
         if not run.stopped:
