@@ -98,6 +98,16 @@ def test_files_are_cut_by_bytes_and_have_a_member_for_each_record(spark, tmp_pat
     assert warc.read_warc(spark, str(tmp_path / "warc")).filter("payload_bytes > 3000000").count() == 20
 
 
+def test_members():
+    given = [b"", b"a", bytes(range(256)) * 400, b"\x00" * 70_000, b"end"]
+    zipped = [gzip.compress(g) for g in given]
+    assert list(warc.members(b"".join(zipped))) == given
+    assert list(warc.members(b"".join(zipped) + b"\x00\x00")) == given
+    assert list(warc.members(b"plain\x00")) == [b"plain\x00"] and list(warc.members(b"")) == []
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(b"".join(zipped)[:-1]))
+
+
 def test_damaged_warc_is_an_error():
     block = b"abc"
     record = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <u>\r\nWARC-Payload-Digest: sha256:00\r\nContent-Type: a/b\r\nWARC-Target-URI: u\r\nWARC-Date: d\r\nContent-Length: 3\r\n\r\n" + block

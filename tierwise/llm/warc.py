@@ -30,6 +30,8 @@ from tierwise.llm.membership import without_keys
 
 #: Bytes after which an ARC archive and a WARC file (compressed) end, and from which a payload may be replaced by a revisit.
 ARC_BYTES, WARC_BYTES, LEAST_REVISIT = 8 << 20, 32 << 20, 100
+#: Bytes of a gzip file that are decompressed at a time.
+PIECE = 1 << 14
 # The formats' own words.
 FIELDS = {
     1: ("url", "ip", "date", "mime", "length"),
@@ -200,12 +202,18 @@ def convert(archives: DataFrame) -> DataFrame:
 
 def members(content: bytes) -> Iterator[bytes]:
     """The contents of a gzip file's members, one at a time; other content as it is."""
-    while content[:2] == b"\x1f\x8b":
-        stream = zlib.decompressobj(31)
-        yield stream.decompress(content)
-        content = stream.unused_data
-    if content.strip(b"\x00"):
-        yield content
+    view, at = memoryview(content), 0
+    while view[at : at + 2] == b"\x1f\x8b":
+        stream, parts = zlib.decompressobj(31), []
+        while not stream.eof:
+            piece = view[at : at + PIECE]
+            if not piece:
+                raise ValueError("a gzip member is cut off")
+            parts.append(stream.decompress(piece))
+            at += len(piece) - len(stream.unused_data)
+        yield b"".join(parts)
+    if rest := bytes(view[at:]).strip(b"\x00"):
+        yield rest if at else content
 
 
 def with_revisits(records: DataFrame, least_bytes: int = LEAST_REVISIT) -> DataFrame:
