@@ -11,6 +11,7 @@ from tierwise.operators.joins import (
     key_pair,
     salted_outer_join,
     unparsable_keys,
+    unreadable_values,
     with_row,
 )
 from tierwise.spec import JoinStep, SpecError
@@ -190,3 +191,27 @@ def test_chain_of_salted_steps_equals_the_plain_chain(spark, monkeypatch):
             chain = join_chain(frames, steps).select("a_table.a", "b_table.b", "c_table.c", "d_table.d")
             found.append(chain.groupBy("a", "b", "c", "d").count())
         assert found[0].exceptAll(found[1]).count() == found[1].exceptAll(found[0]).count() == 0
+
+
+def test_rows_of_a_hot_key_spread_whatever_they_come_from(spark, tmp_path):
+    """Text files and aggregated frames have no row places; their rows' salts differ all the same."""
+    plain = spark.range(2000).select(F.lit(7).alias("k"), F.col("id").alias("x"))
+    plain.coalesce(1).write.option("header", True).csv(f"{tmp_path}/c")
+    plain.coalesce(1).write.json(f"{tmp_path}/j")
+    frames = [
+        spark.read.option("header", True).csv(f"{tmp_path}/c"),
+        spark.read.json(f"{tmp_path}/j"),
+        plain.groupBy("k", "x").agg(F.count("*").alias("n"), F.map_from_arrays(F.collect_list("k"), F.collect_list("x")).alias("m")),
+    ]
+    for frame in frames:
+        salts = with_row(frame, "row").groupBy(F.pmod("row", F.lit(16)).alias("salt")).count().collect()
+        assert len(salts) == 16 and max(r["count"] for r in salts) < 250
+
+
+def test_unreadable_values(spark):
+    a = spark.createDataFrame([("1", "x"), ("no", "2"), (None, "3"), ("5", None)], "k string, v string")
+    b = spark.createDataFrame([(1, "7")], "k bigint, w string")
+    step = JoinStep.from_dict("join", {"left": "a", "right": "b", "left_key": "k", "right_key": "k", "join_type": "inner", "as": "other"})
+    rows = unreadable_values({"a": a, "b": b}, [step], {"a": {"v": "int"}}).collect()
+    assert sorted(map(tuple, rows)) == [("a", "k", "bigint", "key", 1), ("a", "v", "int", "cast", 1)]
+    assert unreadable_values({"b": b}).count() == 0

@@ -153,6 +153,16 @@ def test_a_correction_that_empties_a_gold_day(spark, bronze):
     assert days == ["2024-03-09"]
 
 
+def test_values_that_cannot_be_read_are_counted(spark, bronze):
+    """A book without a numeric number of copies, and loans whose keys are no numbers when compared with it."""
+    deliver(bronze, "books_20240309101500.csv", books_text([*MORNING, ("b9", "Prose", "N", "many", "2020-01-01")]))
+    cfg = config(bronze)
+    cfg["datasets"]["books"]["casts"] = {"copies": "int"}
+    cfg["etl"]["join"] |= {"left_key": "copies", "right_key": "isbn"}
+    found = {(r.dataset, r.column, r.used_as): r.bad_values for r in run_report(spark, ReportSpec.from_dict(cfg)).unreadable}
+    assert found == {("books", "copies", "cast"): 1, ("loans", "isbn", "key"): 6}
+
+
 def test_report_through_the_catalog(spark, bronze):
     """The same days as above, in a table whose folders are switched by the catalog."""
     cfg = config(bronze, dynamic=True, drop_unmatched=True, table="lending_versions", versioned=True)

@@ -60,13 +60,15 @@ def with_row(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a number that tells its rows apart and is the same when a task is repeated.
 
     For a file scan that knows them these are the file and the place in it, of which no column has
-    to be read; copies of a row differ.  For other frames it is the partition the row is in now.
+    to be read; copies of a row differ.  For other frames (text files, aggregated rows) it is a hash of the
+    row's values, without maps, and of the partition it is in now: different rows of a key differ.
     """
     place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     try:
         return df.withColumn(name, place)
     except AnalysisException:  # no scan, or one of a format without places
-        return df.withColumn(name, F.spark_partition_id().cast("long"))
+        values = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+        return df.withColumn(name, F.xxhash64(F.spark_partition_id(), *values))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[Column], parts: int, with_nulls: bool = False) -> DataFrame:
@@ -201,6 +203,50 @@ def join_chain(frames: Mapping[str, DataFrame], steps: Sequence[JoinStep]) -> Da
     return chain.drop(*[f"{ROW}{name}" for name in joined]) if salted else chain
 
 
+def unreadable_values(
+    frames: Mapping[str, DataFrame], steps: Sequence[JoinStep] = (), casts: Mapping[str, Mapping[str, str]] | None = None
+) -> DataFrame:
+    """(dataset, column, as_type, used_as, bad_values): how many values are present but cannot be read as the
+    type that a declared cast or a join compares in.
+
+    ``frames`` are as before the casts.  Such a value becomes null: a row with one as its key matches
+    nothing, and an inner join drops it.  One pass over each dataset, which reads these columns only.
+    """
+    casts = casts or {}
+    wanted: dict[str, dict[tuple[str, str, str], Column]] = {n: {} for n in frames}
+
+    def typed(name: str, column: str) -> tuple[Column, str]:
+        own = casts.get(name, {}).get(column)
+        return (F.col(column).try_cast(own), own) if own else (F.col(column), frames[name].schema[column].dataType.simpleString())
+
+    def count(name: str, column: str, as_type: str, used_as: str, value: Column) -> None:
+        wanted[name][column, as_type, used_as] = F.count_if(value.isNotNull() & value.try_cast(as_type).isNull())
+
+    for name in frames:
+        for column, as_type in casts.get(name, {}).items():
+            count(name, column, as_type, "cast", F.col(column))
+    datasets = {n: n for n in frames} | {s.right_name: s.right for s in steps}
+    for step in steps:
+        for lk, rk in zip(step.left_keys, step.right_keys):
+            sides = [(datasets[step.left], lk), (datasets[step.right_name], rk)]
+            kinds = [T._parse_datatype_string(typed(*side)[1]) for side in sides]
+            as_type = step.key_type or compare_type(*kinds)
+            for side, kind in zip(sides, kinds):
+                if as_type and kind.simpleString() != as_type:
+                    count(*side, as_type, "key", typed(*side)[0])
+    found = None
+    for name, counts in wanted.items():
+        if counts:
+            rows = [F.struct(F.lit(name).alias("dataset"), *[F.lit(v).alias(n) for v, n in zip(what, ("column", "as_type", "used_as"))],
+                             n.alias("bad_values")) for what, n in counts.items()]
+            each = frames[name].agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+            found = each if found is None else found.unionByName(each)
+    if found is None:
+        spark = next(iter(frames.values())).sparkSession
+        return spark.createDataFrame([], "dataset string, column string, as_type string, used_as string, bad_values long")
+    return found
+
+
 def unparsable_keys(df: DataFrame, key: str, key_type: str) -> DataFrame:
     """One row: how many keys are present but cannot be read as ``key_type``."""
     bad = F.col(key).isNotNull() & F.col(key).try_cast(key_type).isNull()

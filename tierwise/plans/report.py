@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import logging
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.functions.columns import date_id, project
-from tierwise.operators.joins import join_chain
+from tierwise.operators.joins import join_chain, unreadable_values
 from tierwise.operators.metrics import global_aggregates, grouped_aggregates
 from tierwise.operators.quality import quarantine, rule_report, verdicts_by_day
 from tierwise.parallel import together
@@ -41,6 +41,7 @@ class ReportResult:
     metrics: DataFrame | None
     report: DataFrame
     quality: Mapping[str, DataFrame]
+    unreadable: Sequence[Row] = ()
 
 
 def report_chain(silver: Mapping[str, DataFrame], spec: ReportSpec) -> DataFrame:
@@ -141,8 +142,8 @@ def accounting(
     return found
 
 
-def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
-    """The datasets the report uses.
+def read_silver(spark: SparkSession, spec: ReportSpec, typed: bool = True) -> dict[str, DataFrame]:
+    """The datasets the report uses, with their declared casts if ``typed``.
 
     Silver keeps earlier days; of a dataset that is not ``all`` only the newest day counts, so an
     older snapshot of the same rows is not joined a second time.
@@ -151,7 +152,7 @@ def read_silver(spark: SparkSession, spec: ReportSpec) -> dict[str, DataFrame]:
     frames = {}
     for name in sorted(used):
         dataset = spec.datasets[name]
-        frame = read_layer(spark, dataset.output_path, dict(dataset.casts))
+        frame = read_layer(spark, dataset.output_path, dict(dataset.casts) if typed else None)
         newest = None if dataset.snapshot == "all" else latest_day(spark, dataset.output_path)
         frames[name] = frame if newest is None else frame.filter(newest)
     return frames
@@ -231,15 +232,20 @@ def run_report(
     write.  ``metrics_path`` adds the aggregates to a table, as those of ``run_id``, instead of
     returning that row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
     the gold table.  ``from_day`` limits the run to later days, see ``since``.  The result's
-    ``quality`` holds a rule report per dataset with rules, computed when it is read.
+    ``quality`` holds a rule report per dataset with rules, computed when it is read, and ``unreadable`` the
+    numbers of values that a cast or a join key has made null (``unreadable_values``); they are logged as well.
     """
     require_format(spark, spec.output.format)
     ingested = ingest_all(spark, spec.datasets.values())
     read = frames(ingested)
     publish_silver(spark, read, spec.datasets, dynamic_silver)
-    silver = read_silver(spark, spec)
+    silver, untyped = read_silver(spark, spec), read_silver(spark, spec, typed=False)
     if from_day:
-        silver = since(silver, spec.output, from_day)
+        silver, untyped = since(silver, spec.output, from_day), since(untyped, spec.output, from_day)
+    unreadable = unreadable_values(untyped, spec.joins, {n: spec.datasets[n].casts for n in untyped}).collect()
+    for bad in unreadable:  # one row for each such column
+        if bad.bad_values:
+            log.warning("dataset %s: %d values of %s are not %s (%s)", *(bad[c] for c in ("dataset", "bad_values", "column", "as_type", "used_as")))
     register_views(spark, silver)
     chain = report_chain(silver, spec)
 
@@ -262,4 +268,4 @@ def run_report(
     if preview:
         report.show(preview, truncate=False)
     quality = {n: rule_report(f, spec.datasets[n].rules) for n, f in read.items() if spec.datasets[n].rules}
-    return ReportResult(ingested, aggregates, metrics, report, quality)
+    return ReportResult(ingested, aggregates, metrics, report, quality, unreadable)

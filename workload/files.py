@@ -415,8 +415,10 @@ def dq_feed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("external_table", "select * from orders")
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _orders_by_year(spark, sf_dir)
-    name = f"orders_by_year_{uuid.uuid4().hex[:12]}"
-    return create_external_table(spark, name, path, partitioned=True).drop("order_year")
+    name, read = f"orders_by_year_{uuid.uuid4().hex[:12]}", work_dir(spark, "read")
+    write_partitioned(create_external_table(spark, name, path, partitioned=True).drop("order_year"), read)
+    spark.sql(f"DROP TABLE {name}")
+    return read_layer(spark, read)
 
 
 @query(
@@ -451,7 +453,7 @@ def metric_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "feed_accounting",
-    f"""select 'accounts' as dataset, 1::bigint as files, 0::bigint as undated_files, count(*) as "rows",
+    f"""select 'accounts' as dataset, true as has_files, 0::bigint as undated_files, count(*) as "rows",
     count(*) filter (o_totalprice <= 450000) as silver, count(*) filter (o_totalprice > 450000) as quarantined
     from ({SQL_ACCOUNTS.replace("o_orderdate from", "o_orderdate, o_totalprice from")})""",
 )
@@ -472,7 +474,8 @@ def feed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in (rows.withColumn("balance", F.lit("900000")), rows):
         if path_exists(spark, spec.input_path):
             delete(spark, spec.input_path)
-        drop_feed(delivery.coalesce(1), spec.input_path, "accounts", EARLY, "csv", header=True, sep="|")
+        drop_feed(delivery, spec.input_path, "accounts", EARLY, "csv", header=True, sep="|")
         result = ingest(spark, spec)
         publish_silver(spark, {"accounts": result.frame}, {"accounts": spec})
-    return accounting(spark, {"accounts": result}, {"accounts": spec})
+    counted = accounting(spark, {"accounts": result}, {"accounts": spec})
+    return counted.withColumn("has_files", F.col("files") > 0).drop("files")

@@ -16,7 +16,7 @@ from tierwise.functions.columns import (
     project,
 )
 from tierwise.functions.hashing import row_hash
-from tierwise.operators.joins import join_chain
+from tierwise.operators.joins import join_chain, unreadable_values
 from tierwise.operators.metrics import (
     daily_summary,
     day_over_day,
@@ -177,6 +177,23 @@ def join_mixed_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(joined, ["orders_table.o_orderkey", "customer_table.c_name"])
 
 
+@query(
+    "unreadable_values",
+    """select 'orders' as dataset, 'key' as "column", 'bigint' as as_type, 'key' as used_as,
+      count(*) filter (o_custkey % 7 = 0) as bad_values from orders
+    union all select 'orders', 'price', 'double', 'cast', count(*) filter (o_orderpriority like '1%') from orders
+    union all select 'customer', 'c_name', 'int', 'cast', count(c_name) from customer""",
+)
+def unread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a join's keys and declared casts would lose of text that is no number."""
+    key = F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit("no "), "o_custkey")).otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(F.col("o_orderpriority").like("1%"), F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    orders = table(spark, sf_dir, "orders").select(key.alias("key"), price.alias("price"))
+    frames = {"orders": orders, "customer": table(spark, sf_dir, "customer")}
+    step = one_step("inner", "orders", "customer", "key", "c_custkey")
+    return unreadable_values(frames, [step], {"orders": {"price": "double"}, "customer": {"c_name": "int"}})
+
+
 AGGREGATES = {
     "total_balance": "round(sum(orders_table.o_totalprice), 2)",
     "accounts": "count(distinct orders_table.o_orderkey)",
