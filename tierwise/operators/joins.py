@@ -215,9 +215,9 @@ def unreadable_values(
     casts = casts or {}
     wanted: dict[str, dict[tuple[str, str, str], Column]] = {n: {} for n in frames}
 
-    def typed(name: str, column: str) -> tuple[Column, str]:
+    def typed(name: str, column: str) -> Column:
         own = casts.get(name, {}).get(column)
-        return (F.col(column).try_cast(own), own) if own else (F.col(column), frames[name].schema[column].dataType.simpleString())
+        return F.col(column).try_cast(own) if own else F.col(column)
 
     def count(name: str, column: str, as_type: str, used_as: str, value: Column) -> None:
         wanted[name][column, as_type, used_as] = F.count_if(value.isNotNull() & value.try_cast(as_type).isNull())
@@ -229,11 +229,11 @@ def unreadable_values(
     for step in steps:
         for lk, rk in zip(step.left_keys, step.right_keys):
             sides = [(datasets[step.left], lk), (datasets[step.right_name], rk)]
-            kinds = [T._parse_datatype_string(typed(*side)[1]) for side in sides]
+            kinds = [frames[name].select(typed(name, key)).schema[0].dataType for name, key in sides]
             as_type = step.key_type or compare_type(*kinds)
             for side, kind in zip(sides, kinds):
                 if as_type and kind.simpleString() != as_type:
-                    count(*side, as_type, "key", typed(*side)[0])
+                    count(*side, as_type, "key", typed(*side))
     found = None
     for name, counts in wanted.items():
         if counts:

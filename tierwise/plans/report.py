@@ -30,6 +30,7 @@ from tierwise.sinks.publish import (
 from tierwise.sinks.versions import publish_folders
 from tierwise.sources.catalog import create_external_table, quoted, register_views
 from tierwise.sources.files import IngestResult, feed_files, frames, ingest_all, latest_day, read_layer
+from tierwise.sources.schemas import silver_schema
 from tierwise.spec import DATE_PARTS, VIEW_SUFFIX, DatasetSpec, OutputSpec, ReportSpec, SpecError
 
 log = logging.getLogger(__name__)
@@ -152,7 +153,8 @@ def read_silver(spark: SparkSession, spec: ReportSpec, typed: bool = True) -> di
     frames = {}
     for name in sorted(used):
         dataset = spec.datasets[name]
-        frame = read_layer(spark, dataset.output_path, dict(dataset.casts) if typed else None)
+        casts = dict(dataset.casts) if typed else None
+        frame = read_layer(spark, dataset.output_path, casts, schema=silver_schema(spark, dataset))
         newest = None if dataset.snapshot == "all" else latest_day(spark, dataset.output_path)
         frames[name] = frame if newest is None else frame.filter(newest)
     return frames

@@ -17,6 +17,7 @@ from functools import partial
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierwise.functions.columns import file_name_parts, file_stamp, is_dated, try_casts
 from tierwise.parallel import together
@@ -103,6 +104,8 @@ def _read(
     spark: SparkSession, spec: DatasetSpec, listing: DataFrame, whole_feed: bool
 ) -> tuple[str, DataFrame | None]:
     usable = listing.filter("dated")
+    if spec.schema_log:
+        return _read_evolving(spark, spec, usable)
     if spec.schema and whole_feed:
         facts = usable.agg(F.count(F.lit(1)).alias("n"), F.max("stamp").alias("latest"), F.count_distinct("stamp").alias("stamps")).first()
         if facts.n == 0:
@@ -125,6 +128,18 @@ def _read(
     return "", _with_file_columns(_reader(spark, spec).load(sorted(r.path for r in rows)))
 
 
+def _read_evolving(spark: SparkSession, spec: DatasetSpec, usable: DataFrame) -> tuple[str, DataFrame | None]:
+    from tierwise.sources.schemas import SchemaLog, read_evolving  # it reads with what is above
+
+    if spec.snapshot != "all":
+        facts = usable.agg(F.max("stamp").alias("latest"), F.count_distinct("stamp").alias("stamps")).first()
+        if spec.snapshot is None and facts.stamps > 1:
+            raise SpecError(f"dataset {spec.name}: files of {facts.stamps} stamps match; declare 'snapshot'")
+        usable = usable.filter(F.col("stamp") == F.lit(facts.latest))
+    frame = read_evolving(spark, spec, SchemaLog(spark, spec.schema_log), usable)
+    return ("no file with a date in its name matches", None) if frame is None else ("", frame)
+
+
 def ingest(spark: SparkSession, spec: DatasetSpec) -> IngestResult:
     """Read one dataset, reporting instead of hiding what went wrong."""
     result = _ingest(spark, spec)
@@ -188,14 +203,18 @@ def latest_day(spark: SparkSession, path: str) -> Column | None:
 
 
 def read_layer(
-    spark: SparkSession, path: str, casts: dict[str, str] | None = None, text_parts: bool = False
+    spark: SparkSession,
+    path: str,
+    casts: dict[str, str] | None = None,
+    text_parts: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """A silver or gold Parquet layer.
+    """A silver or gold Parquet layer, with ``schema`` if its files differ.
 
     Directory values come back as inferred (``01`` becomes 1); ``text_parts`` restores
     the two-digit text the file names had.
     """
-    df = try_casts(spark.read.parquet(path), casts or {})
+    df = try_casts((spark.read.schema(schema) if schema else spark.read).parquet(path), casts or {})
     if text_parts:
         width = {"year": 4}
         df = df.withColumns(

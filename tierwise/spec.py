@@ -128,7 +128,8 @@ class DatasetSpec:
     ``casts`` are applied with ``try_cast`` when the silver layer is read back.  Rows
     breaking one of ``rules`` go to ``quarantine_path`` instead of silver.  ``table``
     registers the silver folder as an external table; ``compact`` gathers each day's
-    rows before writing silver.
+    rows before writing silver.  ``schema_log`` names a folder in which the schema of each delivery is
+    kept: deliveries may then differ, see ``sources.schemas``.
     """
 
     name: str
@@ -148,6 +149,7 @@ class DatasetSpec:
     quarantine_path: str | None = None
     table: str | None = None
     compact: bool = False
+    schema_log: str | None = None
 
     def __post_init__(self) -> None:
         if self.snapshot is not None:
@@ -177,6 +179,7 @@ class DatasetSpec:
             options=dict(cfg.get("options", {})),
             rules=tuple(Rule.from_dict(r) for r in cfg.get("rules", ())),
             quarantine_path=cfg.get("quarantine_path"),
+            schema_log=cfg.get("schema_log"),
             table=cfg.get("table"),
             compact=as_bool(cfg.get("compact", False)),
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tierwise.sinks.publish import write_partitioned, write_silver
 from tierwise.sources.catalog import create_external_table, register_views, view
 from tierwise.sources.files import feed_files, ingest, ingest_all, read_layer
 from tierwise.sources.ledger import FileLedger
+from tierwise.sources.schemas import SchemaConflict, silver_schema
 from tierwise.spec import DatasetSpec, ReportSpec, Rule
 from workload.registry import query
 from workload.relational import AGGREGATES, _sql_aggregates, chain
@@ -479,3 +481,45 @@ def feed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish_silver(spark, {"accounts": result.frame}, {"accounts": spec})
     counted = accounting(spark, {"accounts": result}, {"accounts": spec})
     return counted.withColumn("has_files", F.col("files") > 0).drop("files")
+
+
+@query(
+    "schema_evolution",
+    """select o_orderkey, cast(case when year(o_orderdate) < 1997 then cast(o_totalprice as decimal(12, 2)) else o_totalprice end
+      as decimal(14, 4)) price, case when year(o_orderdate) >= 1997 then o_orderstatus end status,
+    case when year(o_orderdate) >= 1999 then cast(o_orderdate as timestamp) when year(o_orderdate) >= 1997
+      then cast(cast(o_orderdate as date) as timestamp) end placed, case when year(o_orderdate) < 1999 then o_custkey end customer
+    from orders""",
+)
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of orders with ever wider types, a column that comes and one that goes; through silver.
+
+    A fourth one, whose price is text, is refused before anything is read.
+    """
+    root = work_dir(spark, "evolving")
+    spec = feed_spec("orders", f"{root}/bronze", format="parquet", output_path=f"{root}/silver", snapshot="all", schema_log=f"{root}/schemas")
+    orders, year = table(spark, sf_dir, "orders"), F.year("o_orderdate")
+
+    def columns(key: str, price: str, **more) -> list:
+        given = {"o_orderkey": F.col("o_orderkey").cast(key), "price": F.col("o_totalprice").cast(price), **more}
+        return [c.alias(n) for n, c in given.items()]
+
+    customer, status = F.col("o_custkey"), F.col("o_orderstatus")
+    deliveries = [
+        (year < 1997, columns("int", "decimal(12, 2)", customer=customer.cast("int"))),
+        (year.between(1997, 1998), columns("bigint", "decimal(14, 4)", customer=customer, status=status, placed=F.to_date("o_orderdate"))),
+        (year >= 1999, columns("int", "decimal(14, 4)", status=status, placed=F.col("o_orderdate"))),
+    ]
+    for n, (chosen, names) in enumerate(deliveries, 1):
+        drop_feed(orders.filter(chosen).select(*names), spec.input_path, "orders", f"2024010{n}000000", "parquet")
+        latest = replace(spec, snapshot="latest")  # each day's silver has its own delivery's types
+        publish_silver(spark, {"orders": ingest(spark, latest).frame}, {"orders": latest})
+    drop_feed(orders.limit(1).select(F.lit("none").alias("price")), spec.input_path, "orders", "20240104000000", "parquet")
+    try:
+        ingest(spark, spec)
+    except SchemaConflict:
+        pass
+    else:
+        raise AssertionError("a price that is text was admitted")
+    silver = read_layer(spark, spec.output_path, schema=silver_schema(spark, spec))
+    return silver.select("o_orderkey", "price", "status", "placed", F.col("customer").cast("bigint").alias("customer"))
