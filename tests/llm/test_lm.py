@@ -114,3 +114,80 @@ def test_shares_of_all_words(docs, texts):
     for r in lm.score(docs).collect():
         expected = sum(np.log(rare[w] / total[w % groups]) for w in words[r.doc_id] if w in rare)
         assert abs(r.token_log_likelihood - r.log_likelihood - expected) < 1e-6 * max(1, -expected)
+
+
+def plain_network(texts):
+    """The whole computation for texts of one task and one step, place by place in double precision: words by their
+    counts, one Adagrad step of the mean gradient, then each text's sums."""
+    hashes = [[int(h) for h in word_hashes(words_of(t.encode()))] for t in texts]
+    counts = {}
+    for h in (h for own in hashes for h in own):
+        counts[h] = counts.get(h, 0) + 1
+    signed = {h: h - (1 << 64) if h >> 63 else h for h in counts}
+    most = sorted(counts, key=lambda h: (-counts[h], signed[h]))[: lm.FREQUENT]
+    number = {h: i for i, h in enumerate(most)}
+    groups = lm.WORDS - len(most)
+
+    def word(h):
+        return number[h] if h in number else len(most) + h % groups
+
+    embedding, shift, to_class, class_shift, to_word, word_shift = parameters = [p.astype(np.float64) for p in lm.start()]
+
+    def places():
+        for n, own in enumerate(hashes):
+            line = [lm.WORDS] * 2 + [word(h) for h in own] + [lm.WORDS] * 2
+            for i in range(2, len(line) - 2):
+                yield n, line[i], [line[i + side] for side in lm.SIDES]
+
+    def outputs(around):
+        hidden = np.tanh(sum(embedding[side][w] for side, w in enumerate(around)) + shift)
+        at_class = np.exp(hidden @ to_class + class_shift)
+        return hidden, at_class / at_class.sum()
+
+    def in_class(hidden, c):
+        at = np.exp(hidden @ to_word[c] + word_shift[c])
+        return at / at.sum()
+
+    total, n_words = [np.zeros_like(p) for p in parameters], 0
+    for _, w, around in places():
+        c, inner = divmod(w, lm.IN_CLASS)
+        hidden, p_class = outputs(around)
+        p_word = in_class(hidden, c)
+        d_class, d_word = -p_class, -p_word
+        d_class[c] += 1
+        d_word[inner] += 1
+        back = (to_class @ d_class + to_word[c] @ d_word) * (1 - hidden**2)
+        for side, v in enumerate(around):
+            total[0][side, v] += back
+        for at, g in ((1, back), (2, np.outer(hidden, d_class)), (3, d_class)):
+            total[at] += g
+        total[4][c] += np.outer(hidden, d_word)
+        total[5][c] += d_word
+        n_words += 1
+    for p, g in zip(parameters, total, strict=True):
+        g /= n_words
+        p += lm.RATE * g / np.sqrt(1e-8 + g * g)
+    tail = {}
+    for h in counts:
+        if h not in number:
+            tail[word(h)] = tail.get(word(h), 0) + counts[h]
+    sums = np.zeros(len(texts))
+    for n, w, around in places():
+        hidden, p_class = outputs(around)
+        sums[n] += np.log(p_class[w // lm.IN_CLASS]) + np.log(in_class(hidden, w // lm.IN_CLASS)[w % lm.IN_CLASS])
+    shares = [sum(np.log(counts[h] / tail[word(h)]) for h in own if h not in number) for own in hashes]
+    return sums, sums + np.array(shares), [len(own) for own in hashes]
+
+
+def test_whole_result_against_a_plain_version(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(900)]
+    weights = 1 / np.arange(1, 901)
+    texts = [" ".join(rng.choice(words, size=n, p=weights / weights.sum())) for n in rng.integers(0, 90, 60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    network, tokens, lengths = plain_network(texts)
+    rows = sorted(lm.score(docs).collect(), key=lambda r: r.doc_id)
+    assert [r.n_words for r in rows] == lengths and sum(lengths) < lm.STEP and len({w for t in texts for w in t.split()}) > lm.FREQUENT
+    # gradients near zero lose their sign in single precision, and Adagrad's first step is their sign
+    assert np.allclose([r.log_likelihood for r in rows], network, rtol=2e-3, atol=1e-2)
+    assert np.allclose([r.token_log_likelihood for r in rows], tokens, rtol=2e-3, atol=1e-2)

@@ -1,7 +1,11 @@
+import math
 import random
+import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from llm_rows import TEXTS
 from pyspark.sql import functions as F
 
@@ -80,3 +84,60 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 def test_query(spark, docs):
     assert op7_quality(spark, "/root/testdata/sf0.001").count() == docs.count()
+
+
+M64 = (1 << 64) - 1
+
+
+def plain_buckets(text):
+    words = re.findall(r"\w+|[^\w\s]+", text.lower())
+    one = [xxhash.xxh64_intdigest(w) for w in words]
+    two = [((a * 0x9E3779B97F4A7C15 + b) * 0xBF58476D1CE4E5B9) & M64 for a, b in zip(one, one[1:], strict=False)]
+    return [h >> 48 for h in one + two]
+
+
+def engine_hash(value, *more):
+    """The engine's hash of a long, then of ints or texts, unsigned."""
+    h = xxhash.xxh64_intdigest(struct.pack("<q", value), 42)
+    for m in more:
+        h = xxhash.xxh64_intdigest(m.encode() if isinstance(m, str) else struct.pack("<i", m), h)
+    return h
+
+
+def nearest_rank(values, share):
+    return sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+
+
+def test_whole_result_against_a_plain_version(spark):
+    """Weights, noise, the size from the labels that had no part in the model, and what is selected."""
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    good, bad = set(), set()
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r.quality == 1 and r.toxic == 0:
+            good.add(r.doc_id)
+        if r.quality == 0:
+            bad.add(r.doc_id)
+    buckets = {i: plain_buckets(t) for i, t in texts.items()}
+    raw, target = np.ones(1 << 16), np.ones(1 << 16)
+    for i, own in buckets.items():
+        np.add.at(raw, own, 1)
+        if i in good and engine_hash(i, "half") % 2 == 0:
+            np.add.at(target, own, 1)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    weight = {i: ratio[own].sum() / (len(own) + 30) for i, own in buckets.items()}
+    judged = [i for i in good | bad if i in texts and engine_hash(i, "half") % 2 == 1]
+    reached = nearest_rank([weight[i] for i in judged if i in good], 0.005)
+    ruled_out = nearest_rank([weight[i] for i in judged if i in bad], 0.9)
+    if ruled_out < reached:
+        reached = (reached + ruled_out) / 2
+    size = sum(w >= reached for w in weight.values())
+    uniform = {i: ((engine_hash(i, 7) >> 11) + 0.5) / 2**53 for i in texts}
+    key = {i: weight[i] / 0.01 - math.log(-math.log(uniform[i])) for i in texts}
+    chosen = set(sorted(texts, key=lambda i: -key[i])[:size])
+    rows = op7_quality(spark, folder).collect()
+    assert len(rows) == len(texts) and 0 < size < len(texts)
+    for r in rows:
+        assert r.n_grams == len(buckets[r.doc_id])
+        assert r.log_weight == pytest.approx(weight[r.doc_id], abs=1e-9) and r.key == pytest.approx(key[r.doc_id], abs=1e-6)
+    assert {r.doc_id for r in rows if r.selected} == chosen
