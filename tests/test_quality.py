@@ -1,9 +1,16 @@
+import datetime
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tierwise.functions.columns import malformed_counts, try_casts
 from tierwise.operators.quality import not_unique, orphans, quarantine, rule_report
+from tierwise.sources.keyfilters import KeyFilters, not_unique_with
 from tierwise.spec import DatasetSpec, ReportSpec, Rule, ScdSpec, SpecError
 
 RULES = [
@@ -75,3 +82,26 @@ def test_bad_descriptions_are_refused(spark):
             }
         )
     assert Rule.from_dict({"name": "r", "kind": "in_set", "column": "c", "values": ["a"]}).values == ("a",)
+
+
+@pytest.mark.parametrize("log_bits", [6, 22])
+def test_uniqueness_of_random_deliveries(spark, tmp_path, log_bits):
+    """Equal to the full check, however small the filters; with room in them, days without a common key are not read."""
+    rng = random.Random(log_bits)
+    filters = KeyFilters(spark, f"{tmp_path}/filters", ["k", "l"], log_bits, 4)
+    day, held = F.make_date(F.lit(2024), F.lit(1), "d"), {}
+    for n, d in enumerate([1, 2, 3, 4, 2]):
+        rows = [(rng.choice([None, *range(40 * d, 40 * d + 60)]), rng.choice("xy")) for _ in range(60)]
+        frame = spark.createDataFrame(rows, "k int, l string")
+        layer = spark.read.parquet(f"{tmp_path}/silver") if n else None
+        found = not_unique_with(frame, datetime.date(2024, 1, d), layer, day, filters)
+        held[d] = rows
+        everything = Counter(r for day_rows in held.values() for r in day_rows if r[0] is not None)
+        assert sorted(map(tuple, found.collect())) == sorted((*r, everything[r]) for r in set(rows) if everything[r] > 1)
+        if log_bits == 22 and n:
+            share = {other for other in held if other != d and set(held[other]) & set(rows) - {(None, "x"), (None, "y")}}
+            assert {x.day for x in filters.suspected(frame, but=[datetime.date(2024, 1, d)])} == share
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert any("make_date" in part.split("]")[0] for part in plan.split("PartitionFilters: ")[1:]) == bool(share)
+        frame.withColumn("d", F.lit(d)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(f"{tmp_path}/silver")
+        filters.record(frame, datetime.date(2024, 1, d))

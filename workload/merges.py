@@ -18,6 +18,7 @@ from tierwise.scratch import work_dir
 from tierwise.sinks.publish import staged_publish, write_partitioned
 from tierwise.sinks.versions import changes_between, manifests, publish_folders
 from tierwise.sources.files import read_layer
+from tierwise.sources.keyfilters import KeyFilters, not_unique_with
 from tierwise.spec import DATE_PARTS, Rule, ScdSpec
 from workload.registry import query
 from workload.tables import CUT, EARLY, LATE, SQL_PROFILES, profiles, table
@@ -390,6 +391,28 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return not_unique(table(spark, sf_dir, "lineitem"), LINE_KEY)
 
 
+@query(
+    "dq_unique_incremental",
+    "select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2 having count(*) > 1",
+)
+def dq_unique_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by delivery, a year of line items each: a key is looked up in the filters of the years before."""
+    root, year = work_dir(spark, "unique"), F.year("l_shipdate")
+    filters = KeyFilters(spark, f"{root}/filters", LINE_KEY, log_bits=22, probes=4)
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, year.alias("year"))
+    years = sorted(r[0] for r in lines.select("year").distinct().collect())
+    first = F.make_date("year", F.lit(1), F.lit(1))
+    for n, y in enumerate(years):
+        delivery, day = lines.filter(F.col("year") == y), datetime.date(y, 1, 1)
+        layer = read_layer(spark, f"{root}/silver") if n else None
+        found = not_unique_with(delivery.drop("year"), day, layer, first, filters)
+        write_partitioned(found, f"{root}/found/delivery={y}")
+        write_partitioned(delivery, f"{root}/silver", partition_by="year", dynamic=True)
+        filters.record(delivery, day)
+    # the last delivery that has a key has seen all of its rows
+    return spark.read.parquet(f"{root}/found").groupBy(*LINE_KEY).agg(F.max("n").alias("n"))
+
+
 @query(
     "dq_referential",
     """select o_orderkey, o_custkey, o_totalprice from orders o
