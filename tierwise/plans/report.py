@@ -230,8 +230,8 @@ def run_report(
 ) -> ReportResult:
     """Run the whole job.
 
-    After the silver writes there are two actions: one row of aggregates and the gold
-    write.  ``metrics_path`` adds the aggregates to a table, as those of ``run_id``, instead of
+    After the silver writes there are two actions, one row of aggregates and the gold write, and beside
+    the first a count of the values that casts and keys lose.  ``metrics_path`` adds the aggregates to a table, as those of ``run_id``, instead of
     returning that row; grouped aggregates come back as the ``metrics`` frame.  ``preview`` shows rows of
     the gold table.  ``from_day`` limits the run to later days, see ``since``.  The result's
     ``quality`` holds a rule report per dataset with rules, computed when it is read, and ``unreadable`` the
@@ -244,21 +244,23 @@ def run_report(
     silver, untyped = read_silver(spark, spec), read_silver(spark, spec, typed=False)
     if from_day:
         silver, untyped = since(silver, spec.output, from_day), since(untyped, spec.output, from_day)
-    unreadable = unreadable_values(untyped, spec.joins, {n: spec.datasets[n].casts for n in untyped}).collect()
-    for bad in unreadable:  # one row for each such column
-        if bad.bad_values:
-            log.warning("dataset %s: %d values of %s are not %s (%s)", *(bad[c] for c in ("dataset", "bad_values", "column", "as_type", "used_as")))
     register_views(spark, silver)
     chain = report_chain(silver, spec)
 
-    aggregates = metrics = None
-    if spec.aggregations:
-        metrics = report_aggregates(chain, spec)
-        if metrics_path:
-            write_metrics(metrics, metrics_path, run_id or uuid.uuid4().hex)
-        elif not spec.group_by:
-            aggregates = metrics.first()
-            log.info("aggregates: %s", aggregates.asDict())
+    casts = {n: spec.datasets[n].casts for n in untyped}
+    actions = {"unreadable": lambda: unreadable_values(untyped, spec.joins, casts).collect()}  # one row for each such column
+    metrics = report_aggregates(chain, spec) if spec.aggregations else None
+    if metrics is not None and metrics_path:
+        actions["metrics"] = lambda: write_metrics(metrics, metrics_path, run_id or uuid.uuid4().hex)
+    elif metrics is not None and not spec.group_by:
+        actions["aggregates"] = metrics.first
+    done = together(spark, actions)
+    unreadable, aggregates = done["unreadable"], done.get("aggregates")
+    if aggregates is not None:
+        log.info("aggregates: %s", aggregates.asDict())
+    for bad in unreadable:
+        if bad.bad_values:
+            log.warning("dataset %s: %d values of %s are not %s (%s)", *(bad[c] for c in ("dataset", "bad_values", "column", "as_type", "used_as")))
 
     rows = report_rows(chain, spec.output)
     dated, day = dated_by(spec.output)
