@@ -2,15 +2,20 @@
 
 import datetime
 import os
+import threading
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 from stopping import steps_until_done
 
 from tierwise import scratch
+from tierwise.parallel import LISTING
 from tierwise.plans.dimension import merge_dimension
+from tierwise.sinks import versions
 from tierwise.sinks.publish import NO_VALUE
 from tierwise.sinks.versions import MANIFESTS, changes_between, manifest, manifests, publish_folders, read_folders, roll_forward
+from tierwise.sources import catalog
 from tierwise.spec import ScdSpec, SpecError
 from tierwise.streaming.merge import StreamedDimension
 
@@ -160,3 +165,43 @@ def test_streamed_dimension_in_a_table(spark, tmp_path, table):
     assert rows(opened().snapshot()) == expected
     assert opened().compact() == 4
     assert rows(spark.table(table)) == expected and opened().folded() == 0 and opened().batches() == []
+
+
+def test_many_folders_are_moved_and_dropped_side_by_side(spark, tmp_path, table, monkeypatch):
+    """Two threads meet in the catalog; what is dropped goes in few statements."""
+    path, made, meet = f"{tmp_path}/t", [], threading.Barrier(2, timeout=20)
+    real = catalog.change
+
+    def change(session, statement):
+        made.append(statement)
+        if " SET " in statement and sum(" SET " in s for s in made) <= 2:
+            meet.wait()
+        real(session, statement)
+
+    first = [(str(n), "a", n, "x") for n in range(1, 8)]
+    publish_folders(spark, frame(spark, first), table, path, COLUMNS)
+    monkeypatch.setattr(catalog, "change", change)
+    monkeypatch.setattr(versions, "TOGETHER", 2)
+    after = [(str(n), "b", n, "x") for n in range(1, 5)]
+    publish_folders(spark, frame(spark, after), table, path, COLUMNS)
+    assert rows(spark.table(table)) == after
+    assert sum(" SET " in s for s in made) == 4 and sum(" DROP " in s for s in made) == 2
+
+
+def test_folders_of_a_version_are_listed_from_its_root_in_few_tasks(spark, tmp_path, table, monkeypatch):
+    path, looked_up = f"{tmp_path}/t", []
+    real = DataFrameReader.parquet
+
+    def parquet(self, *paths, **options):
+        looked_up.append((len(paths), int(spark.conf.get(LISTING))))
+        return real(self, *paths, **options)
+
+    monkeypatch.setattr(DataFrameReader, "parquet", parquet)
+    before = spark.conf.get(LISTING)
+    publish_folders(spark, frame(spark, FIRST), table, path, COLUMNS)
+    whole = manifest(spark, path)
+    assert rows(read_folders(spark, path, whole)) == sorted(FIRST, key=str)
+    some = sorted(whole.folders)[:2]
+    assert rows(read_folders(spark, path, whole, some)) == FIRST[:2]
+    assert [paths for paths, _ in looked_up] == [1, 1, 2]  # the digests, all folders, two of them
+    assert all(tasks < 10_000 for _, tasks in looked_up) and spark.conf.get(LISTING) == before

@@ -18,6 +18,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +27,14 @@ from pyspark.sql.types import StructType
 
 from tierwise import scratch
 from tierwise.functions.hashing import differs
+from tierwise.parallel import listing_by_cores, together
 from tierwise.sinks.publish import NO_VALUE, partition_folders, write_partitioned
 from tierwise.sources import catalog
 from tierwise.sources.catalog import quoted
 
-# Folder of the manifests below the table's path, ending of the marks, and statements joined into one.
-MANIFESTS, DONE, TOGETHER = "_manifests", ".done", 100
+# Folder of the manifests below the table's path, ending of the marks, folders changed by one statement or, where each
+# needs its own, by one thread, and such threads at a time.
+MANIFESTS, DONE, TOGETHER, AT_ONCE = "_manifests", ".done", 100, 16
 
 
 @dataclass(frozen=True)
@@ -109,8 +112,9 @@ def publish_folders(
     if before and (was := kinds_of(schema_of(before))) != kinds:
         raise ValueError(f"{table}: its columns are {was}, not {kinds}")
     version = f"v{datetime.datetime.now(datetime.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:6]}"
-    write_partitioned(df, f"{path}/{version}", mode="errorifexists", partition_by=columns, rebalance=rebalance)
-    written = digests(spark, f"{path}/{version}", version, df.schema, columns)
+    with listing_by_cores(spark):
+        write_partitioned(df, f"{path}/{version}", mode="errorifexists", partition_by=columns, rebalance=rebalance)
+        written = digests(spark, f"{path}/{version}", version, df.schema, columns)
     old = dict(before.folders) if before else {}
     leaving = set(old if whole else emptied) - set(written)
     same = {n for n, f in written.items() if n in old and (f.rows, f.digest) == (old[n].rows, old[n].digest)}
@@ -158,10 +162,15 @@ def partition_of(name: str) -> str:
     return f"PARTITION ({', '.join(values)})"
 
 
+def chunks(names: Sequence[str]) -> list[Sequence[str]]:
+    return [names[i : i + TOGETHER] for i in range(0, len(names), TOGETHER)]
+
+
 def roll_forward(spark: SparkSession, table: str, path: str) -> bool:
     """Set the catalog to the newest manifest if it is not there yet; any number of times.
 
-    A table that the catalog does not know, or not any more, is created with all its partitions.
+    A folder's new place takes a statement of its own: many folders are dealt to threads, which the driver's
+    cores and the catalog serve side by side.  A table that the catalog does not know, or not any more, is created with all its partitions.
     """
     newest, name = manifest(spark, path), quoted(table)
     if newest is None:
@@ -177,15 +186,18 @@ def roll_forward(spark: SparkSession, table: str, path: str) -> bool:
         to_set = tuple(newest.folders)
     there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}  # one row per folder
     place = {n: f"LOCATION {text_of(f'{path}/{f.version}/{n}')}" for n, f in newest.folders.items()}
-    for n in to_set:
-        if n in there:
+
+    def set_places(names: Sequence[str]) -> None:
+        for n in names:
             catalog.change(spark, f"ALTER TABLE {name} {partition_of(n)} SET {place[n]}")
-    missing = [n for n in to_set if n not in there]
-    for i in range(0, len(missing), TOGETHER):
-        added = " ".join(f"{partition_of(n)} {place[n]}" for n in missing[i : i + TOGETHER])
+
+    moved = chunks([n for n in to_set if n in there])
+    together(spark, {f"from {names[0]}": partial(set_places, names) for names in moved}, AT_ONCE)
+    for names in chunks([n for n in to_set if n not in there]):
+        added = " ".join(f"{partition_of(n)} {place[n]}" for n in names)
         catalog.change(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
-    for n in newest.dropped:
-        catalog.change(spark, f"ALTER TABLE {name} DROP IF EXISTS {partition_of(n)}")
+    for names in chunks(newest.dropped):
+        catalog.change(spark, f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(partition_of, names))}")
     spark.catalog.refreshTable(name)
     scratch.write_once(spark, f"{path}/{MANIFESTS}/{newest.version}{DONE}", "")
     return True
@@ -221,7 +233,10 @@ def read_folders(spark: SparkSession, path: str, of: Manifest, names: Iterable[s
     for version, folders in by_version.items():
         root = f"{path.rstrip('/')}/{version}"
         kinds = StructType([*data.fields, *[schema[c] for c in of.columns]])
-        rows = spark.read.schema(kinds).option("basePath", root).parquet(*[f"{root}/{n}" for n in folders])
+        all_of_it = set(folders) == set(partition_folders(spark, root, len(of.columns)))
+        paths = [root] if all_of_it else [f"{root}/{n}" for n in folders]  # each path given is looked up by itself
+        with listing_by_cores(spark):
+            rows = spark.read.schema(kinds).option("basePath", root).parquet(*paths)
         frames.append(rows.select(*schema.names))
     found = spark.createDataFrame([], schema)
     for frame in frames:
