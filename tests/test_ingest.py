@@ -31,6 +31,32 @@ def spec(feed, **settings):
     return DatasetSpec("things", str(feed), **settings)
 
 
+def plan_of(frame):
+    return str(frame._jdf.queryExecution().optimizedPlan()).lower()
+
+
+@pytest.mark.parametrize("schema", [None, SCHEMA])
+def test_no_pattern_is_matched_for_each_row_of_a_folder_of_one_feed(spark, tmp_path, schema):
+    for day in "12":
+        (tmp_path / f"things_2024010{day}060606.csv").write_text(f"id,v\n{day},a\n")
+    things = spec(tmp_path, schema=schema, snapshot="all", pattern="things")
+    frame = ingest(spark, things).frame
+    assert "regexp" not in plan_of(frame) and "rlike" not in plan_of(frame)
+    name = "things_2024010{}060606.csv"
+    assert sorted(map(tuple, frame.collect())) == [(d, "a", "2024", "01", f"0{d}", name.format(d)) for d in "12"]
+
+    def days():
+        return sorted((r.id, r.day) for r in ingest(spark, things).frame.collect())
+
+    (tmp_path / "things_1_20240103060606.csv").write_text("id,v\n3,a\n")  # a stamp at another place
+    assert days() == [(d, f"0{d}") for d in "123"]
+    (tmp_path / "things_20240104060606_20240105060606.x.csv").write_text("id,v\n5,a\n")  # the last stamp counts
+    (tmp_path / "things x%20_20240106060606.csv").write_text("id,v\n6,a\n")  # Spark encodes this name
+    assert days() == [(d, f"0{d}") for d in "12356"]
+    (tmp_path / "others_20240107060606.csv").write_text("x;y\n9;9\n")
+    assert days() == [(d, f"0{d}") for d in "12356"]
+
+
 @pytest.mark.parametrize("schema", [None, SCHEMA])
 def test_snapshots_and_file_columns(spark, feed, schema):
     latest = ingest(spark, spec(feed, schema=schema)).frame

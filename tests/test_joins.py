@@ -215,3 +215,16 @@ def test_unreadable_values(spark):
     rows = unreadable_values({"a": a, "b": b}, [step], {"a": {"v": "int"}}).collect()
     assert sorted(map(tuple, rows)) == [("a", "k", "bigint", "key", 1), ("a", "v", "int", "cast", 1)]
     assert unreadable_values({"b": b}).count() == 0
+
+
+def test_only_keys_in_buckets_of_a_hot_keys_size_are_counted_by_themselves(spark):
+    rows = spark.range(0, 9000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 2).when(F.col("id") % 3 == 1, -F.col("id")).alias("k"), (F.col("id") % 2).alias("l")
+    )
+    keys = [F.col("k"), F.col("l")]
+    for with_nulls, nulls in ((False, []), (True, [(None, 0, 30), (None, 1, 30)])):
+        hot = hot_keys(rows, keys, 180, with_nulls)  # a share is 50 rows
+        assert sorted(map(tuple, hot.collect()), key=str) == sorted([(0, 0, 30), (1, 1, 30), *nulls], key=str)
+    assert hot_keys(rows.filter("l > 1"), keys, 180).count() == 0
+    plan = str(hot_keys(rows, keys, 180)._jdf.queryExecution().optimizedPlan())
+    assert "Aggregate [__hot_0" in plan and "LeftSemi" in plan.split("Aggregate [__hot_0")[1]

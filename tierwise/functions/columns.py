@@ -7,15 +7,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.spec import DATE_PARTS, FILE_COLUMNS, STAMP_DIGITS, STAMP_PATTERN
+from tierwise.spec import DATE_PARTS, FILE_COLUMNS, STAMP_DIGITS, STAMP_PATTERN, STAMP_START
 
 
-def file_name_parts(name: Column) -> dict[str, Column]:
-    """year, month, day and filename as text, taken from a stamped file name."""
+def file_name_parts(name: Column, stamp_at: int | None = None) -> dict[str, Column]:
+    """year, month, day and filename as text, taken from a stamped file name.
+
+    ``stamp_at`` is where the stamp begins (from 1) if that is the same in all names, see ``stamp_place``:
+    then no pattern is matched for each row.
+    """
+    if stamp_at:
+        places = zip(DATE_PARTS, (0, 4, 6), (4, 2, 2))
+        return {**{part: F.substring(name, stamp_at + at, width) for part, at, width in places}, "filename": name}
     parts = {part: F.regexp_extract(name, STAMP_PATTERN, i) for i, part in enumerate(DATE_PARTS, 1)}
     return {**parts, "filename": name}
 
 
+def stamp_place(name: Column) -> Column:
+    """Where a name's date begins, from 1: after what ``STAMP_PATTERN`` takes up to the last underscore before a stamp.
+
+    Null for a name with characters that ``_metadata`` encodes.
+    """
+    date = F.concat(*[F.regexp_extract(name, STAMP_PATTERN, i) for i in range(1, 4)])
+    at = F.length(F.regexp_extract(name, STAMP_START, 1)) + 1
+    return F.when((F.substring(name, at, 8) == date) & name.rlike(r"^[A-Za-z0-9._-]+$"), at)
+
+
 def file_stamp(name: Column) -> Column:
     """The 14-digit stamp of a file name, null where there is none."""
     return F.nullif(F.regexp_extract(name, STAMP_DIGITS, 1), F.lit(""))

@@ -30,6 +30,8 @@ from tierwise.spec import VIEW_SUFFIX, JoinStep, SpecError
 
 # A key is hot if its rows are more than this share of what a shuffle partition has on average.
 HOT_SHARE = 0.25
+# Buckets in which keys are counted first, for each such share: one with ordinary keys only has a 16th of it.
+BUCKETS = 16
 # Prefix of the helper columns that say which row of its dataset a row came from.
 ROW = "__row_"
 
@@ -74,13 +76,19 @@ def with_row(df: DataFrame, name: str) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[Column], parts: int, with_nulls: bool = False) -> DataFrame:
     """(__hot_0, ..., __salts) of the keys that hold over 1 / ``parts`` of the rows: under ``parts`` rows.
 
-    Each has a salt for every such share of its rows.
+    Each has a salt for every such share of its rows.  Rows are counted by buckets of the keys' hash first: a hot
+    key's bucket has at least its rows, so only keys in such buckets, mostly hot ones, are counted by themselves
+    and moved.
     """
     names = [f"__hot_{i}" for i in range(len(keys))]
     keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)])
-    counts = (keyed if with_nulls else keyed.dropna()).groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
-    share = keyed.agg((F.count(F.lit(1)) / parts).alias("__share")).scalar()
-    hot = counts.filter(F.col("__n") > share)
+    bucket = F.pmod(F.xxhash64(*names), F.lit(BUCKETS * parts)).alias("__bucket")
+    sizes = keyed.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n"))
+    share = sizes.agg((F.sum("__n") / parts).alias("__share")).scalar()
+    large = sizes.filter(F.col("__n") > share).select("__bucket")  # bounded: fewer than ``parts``
+    wanted = keyed if with_nulls else keyed.filter(reduce(and_, [F.col(n).isNotNull() for n in names]))
+    wanted = wanted.select("*", bucket).join(F.broadcast(large), "__bucket", "left_semi")
+    hot = wanted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > share)
     return hot.select(*names, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
 
 

@@ -1,25 +1,26 @@
 """Feed discovery and ingestion.
 
 File selection works on a listing frame (one row per file), never on file contents, and
-on any Hadoop file system.  A feed with a declared schema is read as one directory scan
-whose ``_metadata.file_name`` filter prunes files at planning time, so no file list is
-held by the driver.  Without a schema the names are handed to the reader, because header
+on any Hadoop file system.  A feed with a declared schema is read as one directory scan.  If that
+scan has files of the snapshot only, no row is asked for its file's name; else a
+``_metadata.file_name`` filter prunes files at planning time, and is evaluated for each row
+again.  Without a schema the names are handed to the reader, because header
 and type inference must look at matching files only.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierwise.functions.columns import file_name_parts, file_stamp, is_dated, try_casts
+from tierwise.functions.columns import file_name_parts, file_stamp, is_dated, stamp_place, try_casts
 from tierwise.parallel import together
 from tierwise.scratch import list_names, path_exists
 from tierwise.spec import DATE_PARTS, READ_FORMATS, DatasetSpec, SpecError
@@ -84,9 +85,22 @@ def _reader(spark: SparkSession, spec: DatasetSpec):
     return with_format(spark.read, spec)
 
 
-def _with_file_columns(df: DataFrame) -> DataFrame:
-    """Tag every row at the scan, before a shuffle can hide the file it came from."""
-    return df.withColumns(file_name_parts(F.col("_metadata.file_name")))
+def _with_file_columns(df: DataFrame, files: Sequence[Row] | None = None) -> DataFrame:
+    """Tag every row at the scan, before a shuffle can hide the file it came from.
+
+    ``files`` are all files of ``df`` (stamp_at) if they are known: where their stamps begin at one place, they are
+    cut out there, and no pattern is matched for each row.
+    """
+    places = {f.stamp_at for f in files or ()}
+    return df.withColumns(file_name_parts(F.col("_metadata.file_name"), places.pop() if len(places) == 1 else None))
+
+
+def _has_only(df: DataFrame, files: Sequence[Row]) -> bool:
+    """Whether the scan ``df``, as it was listed, has no file but ``files`` (file_name).
+
+    The scan's names are encoded as in ``_metadata``; one that this changes counts as another file.
+    """
+    return {path.rsplit("/", 1)[-1] for path in df.inputFiles()} <= {f.file_name for f in files}
 
 
 def read_feed(
@@ -106,26 +120,25 @@ def _read(
     usable = listing.filter("dated")
     if spec.schema_log:
         return _read_evolving(spark, spec, usable)
-    if spec.schema and whole_feed:
-        facts = usable.agg(F.count(F.lit(1)).alias("n"), F.max("stamp").alias("latest"), F.count_distinct("stamp").alias("stamps")).first()
-        if facts.n == 0:
-            return "no file with a date in its name matches", None
-        name = F.col("_metadata.file_name")
-        chosen = name_matches(name, spec.pattern) & is_dated(name)
-        if spec.snapshot is None and facts.stamps > 1:
-            raise SpecError(f"dataset {spec.name}: files of {facts.stamps} stamps match; declare 'snapshot'")
-        if spec.snapshot == "latest":
-            chosen &= file_stamp(name) == facts.latest
-        return "", _with_file_columns(_reader(spark, spec).load(spec.input_path).filter(chosen))
-    rows = usable.select("path", "stamp").collect()  # file names only
-    if spec.snapshot is None and len({r.stamp for r in rows}) > 1:
-        raise SpecError(f"dataset {spec.name}: files of several stamps match; declare 'snapshot'")
-    if spec.snapshot == "latest" and rows:
-        latest = max(r.stamp for r in rows)
-        rows = [r for r in rows if r.stamp == latest]
-    if not rows:
+    found = ["path", "file_name", "stamp", stamp_place(F.col("file_name")).alias("stamp_at")]
+    files = usable.select(*found).collect()  # file names only
+    if not files:
         return "no file with a date in its name matches", None
-    return "", _with_file_columns(_reader(spark, spec).load(sorted(r.path for r in rows)))
+    stamps = {f.stamp for f in files}
+    if spec.snapshot is None and len(stamps) > 1:
+        raise SpecError(f"dataset {spec.name}: files of {len(stamps)} stamps match; declare 'snapshot'")
+    if spec.snapshot == "latest":
+        files = [f for f in files if f.stamp == max(stamps)]
+    if not (spec.schema and whole_feed):
+        return "", _with_file_columns(_reader(spark, spec).load(sorted(f.path for f in files)), files)
+    scan = _reader(spark, spec).load(spec.input_path)
+    if _has_only(scan, files):  # so no row of it needs to be asked for its file's name
+        return "", _with_file_columns(scan, files)
+    name = F.col("_metadata.file_name")
+    chosen = name_matches(name, spec.pattern) & is_dated(name)
+    if spec.snapshot == "latest":
+        chosen &= file_stamp(name) == max(stamps)
+    return "", _with_file_columns(scan.filter(chosen))
 
 
 def _read_evolving(spark: SparkSession, spec: DatasetSpec, usable: DataFrame) -> tuple[str, DataFrame | None]:

@@ -15,6 +15,7 @@ from typing import ClassVar
 # Configuration vocabulary, file-name stamp and view suffix.
 STAMP_PATTERN = r".*_(\d{4})(\d{2})(\d{2})\d{6}\..*"
 STAMP_DIGITS = r".*_(\d{14})\..*"
+STAMP_START = r"(.*_)\d{14}\..*"
 VIEW_SUFFIX = "_table"
 DATE_PARTS = ("year", "month", "day")
 FILE_COLUMNS = (*DATE_PARTS, "filename")
